@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridvoice.operators import enrich
-from gridvoice.operators import kpi
+from gridvoice.operators import enrich, kpi, sla
 from gridvoice.plans.registry import query
 from gridvoice.sources.conform import AS_OF
 
@@ -156,9 +155,7 @@ def partition_columns(t):
     WHERE type_reclamation = 'RACCORDEMENT_RESEAU'""",
 )
 def planned_flag(t):
-    from gridvoice.operators import sla
-
-    return enrich.with_planned_flag(sla.connection_detail(t.complaints, t.interventions)).select(
+    return sla.connection_detail(t.complaints, t.interventions, AS_OF).select(
         "id_reclamation", "intervention_planifiee"
     )
 
