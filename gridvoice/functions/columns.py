@@ -65,6 +65,11 @@ def rate(part: Column, whole: Column, scale: float = 100.0) -> Column:
     return F.try_divide(F.lit(scale) * part, whole)
 
 
+def exact_avg(value: str | Column, digits: int) -> Column:
+    """Mean of already rounded figures, computed in decimals and rounded half up."""
+    return F.round(F.avg(col(value).cast("decimal(20,6)")), digits).cast("double")
+
+
 def evolution(current: Column, previous: Column) -> Column:
     """Percentage change, null unless the base is positive."""
     return F.when(previous > 0, F.lit(100.0) * (current - previous) / previous)

@@ -182,8 +182,8 @@ def weekly_summary(weeks: DataFrame) -> DataFrame:
         .groupBy("type_reclamation")
         .agg(
             F.sum("total_reclamations").alias("total"),
-            F.round(F.avg("taux_respect_sla"), 1).alias("taux_sla_moy"),
-            F.round(F.avg("evolution_vs_semaine_precedente"), 1).alias("evolution"),
+            C.exact_avg("taux_respect_sla", 1).alias("taux_sla_moy"),
+            C.exact_avg("evolution_vs_semaine_precedente", 1).alias("evolution"),
         )
         .orderBy(F.desc("total"), "type_reclamation")
     )
@@ -224,9 +224,9 @@ def monthly_sla_report(months: DataFrame, label: str) -> DataFrame:
         .groupBy("type_reclamation", "sla_cible")
         .agg(
             F.sum("total_reclamations").alias("total"),
-            F.round(F.avg("taux_respect_sla"), 1).alias("taux_sla_moy"),
+            C.exact_avg("taux_respect_sla", 1).alias("taux_sla_moy"),
             F.min("taux_respect_sla").alias("taux_sla_min"),
-            F.round(F.avg("evolution_vs_mois_precedent"), 1).alias("evol_m1"),
+            C.exact_avg("evolution_vs_mois_precedent", 1).alias("evol_m1"),
         )
         .orderBy("taux_sla_moy", "type_reclamation")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from gridvoice.sources.conform import Tables, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None, digits: int = 4):
@@ -25,12 +25,17 @@ def query(name: str, sql: str | None = None, digits: int = 4):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = lambda spark, directory: presentable(fn(Tables(spark, directory)), digits)
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            _SQL[name] = sql
         return fn
 
     return wrap
 
 
+def oracles() -> dict[str, str]:
+    """SQL twins with the domain views they use."""
+    return {name: with_views(sql) for name, sql in _SQL.items()}
+
+
 def presentable(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round doubles and print dates and times, so results compare across engines."""
     columns = []
