@@ -135,3 +135,12 @@ def report(impacts: DataFrame, weather: DataFrame, run_date: str) -> DataFrame:
         )
         .orderBy(F.desc("impact_meteo_pct"), "region")
     )
+
+
+def incidents_by_weather(incidents: DataFrame, weather: DataFrame) -> DataFrame:
+    """Incidents and affected customers per vigilance level of their region and day."""
+    conditions = weather.select(F.col("date_mesure").alias("_day"), "region", "vigilance_meteo")
+    joined = incidents.withColumn("_day", F.to_date("date_debut_incident")).join(conditions, ["_day", "region"], "left")
+    return joined.groupBy(F.coalesce("vigilance_meteo", F.lit("VERTE")).alias("vigilance_meteo")).agg(
+        F.count(F.lit(1)).alias("nb_incidents"), F.sum("nb_clients_affectes").alias("nb_clients_affectes")
+    )

@@ -311,3 +311,18 @@ def planning_report(t):
 )
 def outage_alerts(t):
     return sla.outage_alerts(sla.detail(t.complaints, "COUPURE_ELECTRIQUE", AS_OF))
+
+
+@query(
+    "t02_worst_compliance",
+    """SELECT region, type_reclamation, round(100.0::DOUBLE * count(*) FILTER (WHERE duree_traitement_heures <= sla_heures) / count(*), 4) AS taux_conformite
+    FROM timed WHERE duree_traitement_heures IS NOT NULL GROUP BY 1, 2
+    ORDER BY count(*) FILTER (WHERE duree_traitement_heures <= sla_heures) / count(*), region, type_reclamation LIMIT 20""",
+)
+def worst_compliance(t):
+    return (
+        sla.compliance(closed_durations(t), AS_OF)
+        .orderBy("taux_conformite", "region", "type_reclamation")
+        .limit(20)
+        .select("region", "type_reclamation", "taux_conformite")
+    )

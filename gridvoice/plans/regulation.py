@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from gridvoice.operators import enrich, regulatory, sla, weather
+from gridvoice.plans.incidents import merged
 from gridvoice.plans.periods import RUN, consolidated
 from gridvoice.plans.registry import query
 from gridvoice.sources.conform import AS_OF, register_sql_view
@@ -221,3 +222,12 @@ def weather_impact(t):
 def weather_report(t):
     conditions = region_weather(t)
     return weather.report(weather.impact(t.daily_kpi, conditions, IMPACT_DAY), conditions, IMPACT_DAY)
+
+
+@query(
+    "a54_incidents_by_weather",
+    """SELECT coalesce(w.vigilance_meteo, 'VERTE') AS vigilance_meteo, count(*) AS nb_incidents, sum(nb_clients_affectes)::BIGINT AS nb_clients_affectes
+    FROM merged_incidents i LEFT JOIN region_weather w ON CAST(i.date_debut_incident AS DATE) = w.date_mesure AND i.region = w.region GROUP BY 1""",
+)
+def incidents_by_weather(t):
+    return weather.incidents_by_weather(merged(t), region_weather(t))
