@@ -86,23 +86,33 @@ def consistency(df: DataFrame) -> DataFrame:
 
 
 def overall(df: DataFrame, key: str = "id_reclamation") -> DataFrame:
-    """The four scores, their weighted sum and the pass mark, as one row."""
+    """The four scores, their weighted sum and the pass mark, as one row.
+
+    One scan: figures are summed per key (merged on the map side) and then over the
+    keys, where the rows beyond the first of a key are the duplicates.
+    """
     columns = D.REQUIRED_COLUMNS
-    parts = df.agg(
-        _n().alias("total"),
-        _share(missing_cells(df, columns), _n() * len(columns)).alias("completude"),
-        _share(
-            _outside("type_reclamation", D.TYPES) + _outside("statut", D.STATUSES) + _outside("priorite", D.PRIORITIES),
-            _n() * 3,
-        ).alias("validite"),
-        _share(F.count_if(F.col("date_cloture") < F.col("date_creation")), _n()).alias("coherence"),
+    invalid = (
+        _outside("type_reclamation", D.TYPES) + _outside("statut", D.STATUSES) + _outside("priorite", D.PRIORITIES)
+    )
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(
+        _n().alias("_n"),
+        missing_cells(df, columns).alias("_nulls"),
+        invalid.alias("_invalid"),
+        F.count_if(F.col("date_cloture") < F.col("date_creation")).alias("_late"),
+    )
+    rows = F.sum("_n")
+    parts = per_key.agg(
+        rows.alias("total"),
+        F.sum(F.col("_n") - 1).alias("duplicates"),
+        _share(F.sum("_nulls"), rows * len(columns)).alias("completude"),
+        _share(F.sum(F.col("_n") - 1), rows).alias("unicite"),
+        _share(F.sum("_invalid"), rows * 3).alias("validite"),
+        _share(F.sum("_late"), rows).alias("coherence"),
     )
-    unique = uniqueness(df, key).select("duplicates", F.col("score").alias("unicite"))
     total = reduce(lambda a, b: a + b, [F.col(k) * w for k, w in D.QUALITY_WEIGHTS.items()])
-    return (
-        parts.crossJoin(F.broadcast(unique))  # one row each
-        .withColumn("score_global", F.round(total, 2))
-        .withColumn("accepte", F.col("score_global") >= D.QUALITY_PASS)
+    return parts.withColumn("score_global", F.round(total, 2)).withColumn(
+        "accepte", F.col("score_global") >= D.QUALITY_PASS
     )
 
 

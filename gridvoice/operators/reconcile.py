@@ -103,29 +103,30 @@ def all_findings(complaints: DataFrame, interventions: DataFrame, known: DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+CONTROLS = {"CRM_OMEGA_STATUT": "CRM_OMEGA", "SAP_CRM_FACTURE": "SAP_CRM", "DELAI_SYNC_CRM_OMEGA": "DELAI_SYNC"}
+
+
 def coherence_log(complaints: DataFrame, findings: DataFrame) -> DataFrame:
     """Checked rows, findings and coherence percentage per control, in one pass over each input."""
     closed = (F.col("statut") == "CLOTURE") & F.col("type_reclamation").isin(CHECKED_TYPES)
-    checked = complaints.agg(
+    counts = complaints.agg(
         F.count_if(closed).alias("CRM_OMEGA"),
         F.count_if(F.col("type_reclamation") == "FACTURATION").alias("SAP_CRM"),
+        F.lit(0).cast("long").alias("DELAI_SYNC"),
     )
-    found = findings.agg(
-        F.count_if(F.col("type_incoherence") == "CRM_OMEGA_STATUT").alias("f1"),
-        F.count_if(F.col("type_incoherence") == "SAP_CRM_FACTURE").alias("f2"),
-        F.count_if(F.col("type_incoherence") == "DELAI_SYNC_CRM_OMEGA").alias("f3"),
+    rows = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in CONTROLS.values()])
+    checked = counts.select(F.explode(rows).alias("r")).select(
+        F.col("r.c").alias("type_controle"), F.col("r.n").alias("_v"), F.lit(0).cast("long").alias("_i")
     )
-    rows = F.array(
-        F.struct(F.lit("CRM_OMEGA").alias("c"), F.col("CRM_OMEGA").alias("v"), F.col("f1").alias("i")),
-        F.struct(F.lit("SAP_CRM").alias("c"), F.col("SAP_CRM").alias("v"), F.col("f2").alias("i")),
-        F.struct(F.lit("DELAI_SYNC").alias("c"), F.lit(0).cast("long").alias("v"), F.col("f3").alias("i")),
+    found = findings.groupBy(C.case("type_incoherence", CONTROLS).alias("type_controle")).agg(
+        F.lit(0).cast("long").alias("_v"), F.count(F.lit(1)).alias("_i")
     )
-    both = checked.crossJoin(F.broadcast(found))  # one row each
-    return both.select(F.explode(rows).alias("r")).select(
-        F.col("r.c").alias("type_controle"),
-        F.col("r.v").alias("nb_verifies"),
-        F.col("r.i").alias("nb_incoherences"),
-        F.round(100.0 * (F.col("r.v") - F.col("r.i")) / F.greatest(F.col("r.v"), F.lit(1)), 2).alias("taux_coherence_pct"),
+    both = checked.unionByName(found).groupBy("type_controle").agg(F.sum("_v").alias("v"), F.sum("_i").alias("i"))
+    return both.select(
+        "type_controle",
+        F.col("v").alias("nb_verifies"),
+        F.col("i").alias("nb_incoherences"),
+        F.round(100.0 * (F.col("v") - F.col("i")) / F.greatest(F.col("v"), F.lit(1)), 2).alias("taux_coherence_pct"),
     )
 
 
@@ -207,8 +208,15 @@ def moved_clients(links: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def point_stats(points: DataFrame, findings: DataFrame) -> DataFrame:
+    """Number of points, active points and open findings, as one row."""
+    zero = F.lit(0).cast("long")
     totals = points.agg(
-        F.count(F.lit(1)).alias("total_pdl"), F.count_if(F.col("statut_pdl") == "ACTIF").alias("pdl_actifs")
+        F.count(F.lit(1)).alias("total_pdl"),
+        F.count_if(F.col("statut_pdl") == "ACTIF").alias("pdl_actifs"),
+        zero.alias("incoherences_ouvertes"),
+    )
+    open_ = findings.agg(
+        zero.alias("total_pdl"), zero.alias("pdl_actifs"), F.count(F.lit(1)).alias("incoherences_ouvertes")
     )
-    open_ = findings.agg(F.count(F.lit(1)).alias("incoherences_ouvertes"))
-    return totals.crossJoin(F.broadcast(open_))  # one row each
+    both = totals.unionByName(open_)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])

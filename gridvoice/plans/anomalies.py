@@ -72,10 +72,10 @@ def labelled_anomalies(t):
 @query(
     "t01_by_distance",
     """SELECT region, date::VARCHAR AS date, round(z_score, 4) AS z_score FROM scored_days WHERE abs(z_score) > 2
-    ORDER BY abs(z_score) DESC, region, date LIMIT 50""",
+    ORDER BY abs(z_score) DESC, region, date""",
 )
 def by_distance(t):
-    return anomaly.by_distance(anomaly.volume_outliers(t.tickets)).limit(50).select("region", "date", "z_score")
+    return anomaly.by_distance(anomaly.volume_outliers(t.tickets)).select("region", "date", "z_score")
 
 
 _SHIFT = f"""

@@ -129,10 +129,10 @@ def incident_key(t):
 
 @query(
     "t07_clusters_by_size",
-    f"""SELECT region, {_TS.format('fenetre_debut')} AS fenetre, nb_clients FROM clusters ORDER BY nb_clients DESC, region, departement, fenetre_debut LIMIT 10""",
+    f"""SELECT region, {_TS.format('fenetre_debut')} AS fenetre, nb_clients FROM clusters ORDER BY nb_clients DESC, region, departement, fenetre_debut""",
 )
 def clusters_by_size(t):
-    return clusters.by_size(found(t)).limit(10).select(
+    return clusters.by_size(found(t)).select(
         "region", F.date_format("fenetre_debut", "yyyy-MM-dd HH:mm:ss").alias("fenetre"), "nb_clients"
     )
 

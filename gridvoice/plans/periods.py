@@ -279,8 +279,8 @@ def top_clients(t):
 @query(
     "t06_mixed_order",
     """SELECT date_calcul::VARCHAR AS date_calcul, region, type_reclamation, nombre_ouvertes FROM daily_kpi
-    ORDER BY daily_kpi.date_calcul DESC, region, type_reclamation LIMIT 40""",
+    ORDER BY daily_kpi.date_calcul DESC, region, type_reclamation""",
 )
 def mixed_order(t):
-    ordered = t.daily_kpi.orderBy(F.desc("date_calcul"), "region", "type_reclamation").limit(40)
+    ordered = t.daily_kpi.orderBy(F.desc("date_calcul"), "region", "type_reclamation")
     return ordered.select("date_calcul", "region", "type_reclamation", "nombre_ouvertes")

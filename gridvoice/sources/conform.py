@@ -14,8 +14,13 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridvoice.functions.domains import NOTICE_SLA, TYPES
+from gridvoice.functions.skew import broadcast_if_small
+
+# Schemas already read from file footers, by path: a second read of a table starts no job.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 AS_OF = "2001-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
@@ -40,7 +45,10 @@ class Tables:
         self.directory = directory.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        path = f"{self.directory}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # ---- complaints from orders -------------------------------------------------
 
@@ -89,12 +97,11 @@ class Tables:
     @cached_property
     def geography(self) -> DataFrame:
         """Customer → region and département. Nation (25) and region (5) rows are fixed."""
-        places = self.raw("nation").join(
-            F.broadcast(self.raw("region")), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        regions = broadcast_if_small(self.raw("region"))
+        places = self.raw("nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
         return (
             self.raw("customer")
-            .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(broadcast_if_small(places), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("r_name").alias("region"), F.col("n_name").alias("departement"))
         )
 
@@ -170,7 +177,7 @@ class Tables:
         return (
             self.raw("events")
             .withColumn("ts", F.col("ts").cast("timestamp"))
-            .join(F.broadcast(regions), F.col("user_id") % 5 == F.col("_rk"))
+            .join(broadcast_if_small(regions), F.col("user_id") % 5 == F.col("_rk"))
             .withColumn("_kind", self.event_complaint_type())
         )
 
@@ -304,21 +311,19 @@ class Tables:
     def requests(self) -> DataFrame:
         k = F.col("c_custkey")
         asked = F.date_add(F.lit("2001-06-01").cast("date"), (k % 60).cast("int"))
-        return (
-            self.raw("customer")
-            .filter(k % 50 < 4)
-            .select(
-                k.alias("id"),
-                k.alias("client_id"),
-                pick(k % 50, ["OUBLI", "ACCES", "RECTIFICATION", "PORTABILITE"]).alias("type_demande"),
-                asked.alias("date_demande"),
-                F.date_add(asked, 30).alias("date_limite_legal"),
-                pick(F.floor(k / 50) % 4, ["EN_ATTENTE", "EN_COURS", "TRAITE", "EN_ATTENTE"]).alias("statut"),
-            )
+        kinds = ["OUBLI", "ACCES", "RECTIFICATION", "PORTABILITE"]
+        return self.raw("customer").select(
+            k.alias("id"),
+            k.alias("client_id"),
+            F.when(k % 50 < 4, pick(F.least(k % 50, F.lit(3)), kinds)).otherwise("OPPOSITION").alias("type_demande"),
+            asked.alias("date_demande"),
+            F.date_add(asked, 30).alias("date_limite_legal"),
+            pick(F.floor(k / 50) % 4, ["EN_ATTENTE", "EN_COURS", "TRAITE", "EN_ATTENTE"]).alias("statut"),
         )
 
     @staticmethod
     def _pdl(k: Column) -> Column:
+        """Some customers share the point of their neighbour."""
         return F.when(k % 15 == 14, k - 1).otherwise(k)
 
     @cached_property
@@ -336,11 +341,11 @@ class Tables:
 
     @cached_property
     def points(self) -> DataFrame:
-        """Reference list of delivery points (some customers' points are missing)."""
+        """Reference list of delivery points; those of customers in debt are missing."""
         k = F.col("c_custkey")
         return (
             self.raw("customer")
-            .filter((k % 30 != 0) & (k % 15 != 14))
+            .filter((F.col("c_acctbal") >= 0) & (self._pdl(k) == k))
             .select(
                 k.alias("pdl_id"),
                 F.when(k % 8 == 0, "INACTIF").otherwise("ACTIF").alias("statut_pdl"),
@@ -471,11 +476,11 @@ SQL_VIEWS: dict[str, str] = {
       FROM events""",
     "requests": """
       SELECT c_custkey AS id, c_custkey AS client_id,
-        CASE c_custkey % 50 WHEN 0 THEN 'OUBLI' WHEN 1 THEN 'ACCES' WHEN 2 THEN 'RECTIFICATION' ELSE 'PORTABILITE' END AS type_demande,
+        CASE c_custkey % 50 WHEN 0 THEN 'OUBLI' WHEN 1 THEN 'ACCES' WHEN 2 THEN 'RECTIFICATION' WHEN 3 THEN 'PORTABILITE' ELSE 'OPPOSITION' END AS type_demande,
         DATE '2001-06-01' + (c_custkey % 60)::INTEGER AS date_demande,
         DATE '2001-06-01' + (c_custkey % 60)::INTEGER + 30 AS date_limite_legal,
         CASE (c_custkey // 50) % 4 WHEN 1 THEN 'EN_COURS' WHEN 2 THEN 'TRAITE' ELSE 'EN_ATTENTE' END AS statut
-      FROM customer WHERE c_custkey % 50 < 4""",
+      FROM customer""",
     "point_history": """
       SELECT CASE WHEN c_custkey % 15 = 14 THEN c_custkey - 1 ELSE c_custkey END AS pdl_id, c_custkey AS client_id,
         DATE '1994-01-01' + (c_custkey % 1000)::INTEGER AS date_debut,
@@ -486,7 +491,7 @@ SQL_VIEWS: dict[str, str] = {
       SELECT c_custkey AS pdl_id,
         CASE WHEN c_custkey % 8 = 0 THEN 'INACTIF' ELSE 'ACTIF' END AS statut_pdl, c_custkey % 25 AS departement,
         DATE '1995-01-01' AS date_derniere_maj
-      FROM customer WHERE c_custkey % 30 <> 0 AND c_custkey % 15 <> 14""",
+      FROM customer WHERE c_acctbal >= 0 AND c_custkey % 15 <> 14""",
     "complaint_points": """
       SELECT id_reclamation, CASE WHEN client_id % 15 = 14 THEN client_id - 1 ELSE client_id END AS pdl_id, client_id, date_creation
       FROM tickets""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -224,18 +225,22 @@ def fingerprint(df: DataFrame) -> Column:
 
 def manifest(spark: SparkSession, paths: Mapping[str, str], sep: str = ";") -> DataFrame:
     """Rows, columns, bytes and checksum of each written extract, read back from storage."""
-    parts = None
+    parts = []
     for name, path in paths.items():
         df = spark.read.option("header", True).option("sep", sep).csv(path)
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length")
-        row = df.agg(F.count(F.lit(1)).alias("rows"), fingerprint(df).alias("checksum")).crossJoin(
-            F.broadcast(files.agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files")))
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("rows"), fingerprint(df).alias("checksum")).select(
+                F.lit(name).alias("extract"), "rows", F.lit(len(df.columns)).alias("columns"), "checksum"
+            )
         )
-        row = row.select(
-            F.lit(name).alias("extract"), "rows", F.lit(len(df.columns)).alias("columns"), "bytes", "files", "checksum"
+        parts.append(
+            files.select("length")
+            .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+            .select(F.lit(name).alias("extract"), "bytes", "files")
         )
-        parts = row if parts is None else parts.unionByName(row)
-    return parts
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.groupBy("extract").agg(*[F.max(c).alias(c) for c in ("rows", "columns", "bytes", "files", "checksum")])
 
 
 def validate_outputs(spark: SparkSession, paths: Mapping[str, str], min_rows: Mapping[str, int] | int = 1) -> DataFrame:
