@@ -65,6 +65,11 @@ def rate(part: Column, whole: Column, scale: float = 100.0) -> Column:
     return F.try_divide(F.lit(scale) * part, whole)
 
 
+def rounded(value: str | Column, digits: int) -> Column:
+    """Half-up rounding of the decimal value, so a figure computed as 57.50499999… rounds like 57.505."""
+    return F.round(col(value).cast("decimal(28,8)"), digits).cast("double")
+
+
 def exact_avg(value: str | Column, digits: int) -> Column:
     """Mean of already rounded figures, computed in decimals and rounded half up."""
     return F.round(F.avg(col(value).cast("decimal(20,6)")), digits).cast("double")

@@ -81,10 +81,10 @@ def cross_type_kpis(consolidated: DataFrame, run_date: str) -> DataFrame:
         .agg(
             F.count_if(C.is_open()).alias("nombre_ouvertes"),
             F.count_if(F.col("statut") == "CLOTURE").alias("nombre_cloturees"),
-            F.round(F.avg("duree_heures"), 2).alias("duree_moyenne_traitement"),
-            F.round(C.rate(met, known), 2).alias("taux_respect_sla"),
+            C.rounded(F.avg("duree_heures"), 2).alias("duree_moyenne_traitement"),
+            C.rounded(C.rate(met, known), 2).alias("taux_respect_sla"),
             critical.alias("nb_critiques"),
-            F.round(C.rate(critical, total), 2).alias("taux_critique"),
+            C.rounded(C.rate(critical, total), 2).alias("taux_critique"),
         )
         .withColumn("date_calcul", F.lit(run_date).cast("date"))
     )
@@ -100,7 +100,7 @@ def summary(consolidated: DataFrame, run_date: str) -> DataFrame:
             F.count_if(C.is_open()).alias("en_cours"),
             F.count_if(late).alias("hors_sla"),
             F.count_if("risque_depassement").alias("en_risque"),
-            F.round(F.avg("duree_heures"), 1).alias("duree_moy_h"),
+            C.rounded(F.avg("duree_heures"), 1).alias("duree_moy_h"),
         )
         .orderBy(F.desc("total"), "type_reclamation")
     )

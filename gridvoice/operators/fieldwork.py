@@ -60,7 +60,7 @@ def technician_load(interventions: DataFrame, day: str | None = None) -> DataFra
             F.count_if(F.col("statut") == "PLANIFIEE").alias("nb_interventions_planifiees"),
             F.count_if(F.col("priorite") <= 2).alias("nb_interventions_urgentes"),
             hours.alias("charge_heures"),
-            F.round(100.0 * hours / DAY_HOURS, 2).alias("taux_charge_pct"),
+            C.rounded(100.0 * hours / DAY_HOURS, 2).alias("taux_charge_pct"),
         )
         .withColumn("disponible", F.col("taux_charge_pct") < 100)
     )

@@ -116,7 +116,7 @@ def scores(anomalies: DataFrame, run_date: str, days: int = 30) -> DataFrame:
             F.max("client_id").alias("client_id"),
             F.min("date_detection").alias("date_premiere_anomalie"),
             F.count(F.lit(1)).alias("nb_anomalies_30j"),
-            F.least(F.lit(100.0), F.round(F.sum(weight), 2)).alias("score_fraude"),
+            F.least(F.lit(100.0), C.rounded(F.sum(weight), 2)).alias("score_fraude"),
             F.max(F.col("type_anomalie") == "CONSO_PENDANT_COUPURE").alias("_outage"),
         )
         .filter(n >= 2)

@@ -148,10 +148,10 @@ def _figures() -> list[Column]:
         F.sum(F.col("nombre_ouvertes") + F.col("nombre_cloturees")).alias("total_reclamations"),
         F.sum("nombre_ouvertes").alias("total_ouvertes"),
         F.sum("nombre_cloturees").alias("total_cloturees"),
-        F.round(F.avg("duree_moyenne_traitement"), 2).alias("duree_moyenne_heures"),
-        F.round(F.avg("duree_mediane_traitement"), 2).alias("duree_mediane_heures"),
-        F.round(F.avg("taux_respect_sla"), 2).alias("taux_respect_sla"),
-        F.round(F.avg("nb_critiques"), 2).alias("taux_critique"),
+        C.rounded(F.avg("duree_moyenne_traitement"), 2).alias("duree_moyenne_heures"),
+        C.rounded(F.avg("duree_mediane_traitement"), 2).alias("duree_mediane_heures"),
+        C.rounded(F.avg("taux_respect_sla"), 2).alias("taux_respect_sla"),
+        C.rounded(F.avg("nb_critiques"), 2).alias("taux_critique"),
     ]
 
 
@@ -161,7 +161,7 @@ def weekly(kpis: DataFrame, run_date: str) -> DataFrame:
     start, end = F.date_sub(run, 7), F.date_sub(run, 1)
     share = F.try_divide(F.col("nb_critiques").cast("double"), F.col("nombre_reclamations_total"))
     current = _period(kpis, start, end).groupBy(*REGION_TYPE).agg(
-        *_figures(), F.round((1 - F.avg(share)) * 100, 2).alias("taux_non_critique")
+        *_figures(), C.rounded((1 - F.avg(share)) * 100, 2).alias("taux_non_critique")
     )
     previous = _volume(kpis, F.date_sub(start, 7), F.date_sub(start, 1), "_prec")
     return current.join(previous, list(REGION_TYPE), "left").select(
@@ -170,7 +170,7 @@ def weekly(kpis: DataFrame, run_date: str) -> DataFrame:
         start.alias("debut_semaine"),
         end.alias("fin_semaine"),
         *current.columns,
-        F.round(C.evolution(F.col("total_reclamations"), F.col("_prec")), 2).alias("evolution_vs_semaine_precedente"),
+        C.rounded(C.evolution(F.col("total_reclamations"), F.col("_prec")), 2).alias("evolution_vs_semaine_precedente"),
     )
 
 
@@ -200,7 +200,7 @@ def monthly(kpis: DataFrame, run_date: str) -> DataFrame:
         return first, F.last_day(first)
 
     current = _period(kpis, start, end).groupBy(*REGION_TYPE).agg(
-        *_figures(), F.round(F.avg("taux_escalade"), 2).alias("taux_escalade")
+        *_figures(), C.rounded(F.avg("taux_escalade"), 2).alias("taux_escalade")
     )
     return (
         current.join(_volume(kpis, *shifted(-1), "_m1"), list(REGION_TYPE), "left")
@@ -209,8 +209,8 @@ def monthly(kpis: DataFrame, run_date: str) -> DataFrame:
             F.year(start).alias("annee"),
             F.month(start).alias("mois"),
             *current.columns,
-            F.round(C.evolution(F.col("total_reclamations"), F.col("_m1")), 2).alias("evolution_vs_mois_precedent"),
-            F.round(C.evolution(F.col("total_reclamations"), F.col("_an")), 2).alias("evolution_vs_meme_mois_an_dernier"),
+            C.rounded(C.evolution(F.col("total_reclamations"), F.col("_m1")), 2).alias("evolution_vs_mois_precedent"),
+            C.rounded(C.evolution(F.col("total_reclamations"), F.col("_an")), 2).alias("evolution_vs_meme_mois_an_dernier"),
             C.sla_limit(default=None).alias("sla_cible"),
         )
     )
@@ -240,8 +240,8 @@ def sla_summary(kpis: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         .agg(
             F.sum("nombre_reclamations_total").alias("total_reclamations"),
             F.sum("nombre_ouvertes").alias("en_cours"),
-            F.round(F.avg("taux_respect_sla"), 2).alias("taux_sla_moyen"),
-            F.round(F.avg("duree_moyenne_traitement"), 2).alias("duree_moyenne_h"),
+            C.rounded(F.avg("taux_respect_sla"), 2).alias("taux_sla_moyen"),
+            C.rounded(F.avg("duree_moyenne_traitement"), 2).alias("duree_moyenne_h"),
             F.max("date_calcul").alias("derniere_date"),
         )
     )
@@ -267,9 +267,9 @@ def trends(kpis: DataFrame, as_of: str, days: int = 90) -> DataFrame:
         "date_calcul",
         "type_reclamation",
         "volume_total",
-        F.round("_sla", 2).alias("taux_sla"),
-        F.round("_duree", 2).alias("duree_moy"),
-        F.round(F.avg("_sla").over(last_seven), 2).alias("taux_sla_mm7j"),
+        C.rounded("_sla", 2).alias("taux_sla"),
+        C.rounded("_duree", 2).alias("duree_moy"),
+        C.rounded(F.avg("_sla").over(last_seven), 2).alias("taux_sla_mm7j"),
     )
 
 
@@ -279,9 +279,9 @@ def sla_by_region(kpis: DataFrame, as_of: str, days: int = 365) -> DataFrame:
         kpis.filter(F.col("date_calcul") >= F.date_sub(F.lit(as_of).cast("date"), days))
         .groupBy("date_calcul", *REGION_TYPE)
         .agg(
-            F.round(F.avg("taux_respect_sla"), 2).alias("taux_sla_moyen"),
+            C.rounded(F.avg("taux_respect_sla"), 2).alias("taux_sla_moyen"),
             F.sum(F.col("nombre_ouvertes") + F.col("nombre_cloturees")).alias("volume_total"),
-            F.round(F.avg("duree_moyenne_traitement"), 2).alias("duree_moy"),
+            C.rounded(F.avg("duree_moyenne_traitement"), 2).alias("duree_moy"),
         )
     )
 
@@ -292,7 +292,7 @@ def top_meter_faults(detail: DataFrame, as_of: str, days: int = 30) -> DataFrame
         .groupBy("region", "type_panne")
         .agg(
             _count().alias("occurrences"),
-            F.round(F.avg("duree_heures"), 1).alias("duree_moyenne_h"),
+            C.rounded(F.avg("duree_heures"), 1).alias("duree_moyenne_h"),
             F.max("export_date").alias("derniere_observation"),
         )
         .orderBy(F.desc("occurrences"), "region", "type_panne")
@@ -352,5 +352,5 @@ def scenario_summary(df: DataFrame, label: str = "scenario_test") -> DataFrame:
     return df.groupBy(label).agg(
         _count().alias("nb"),
         _count(F.col("statut") == "CLOTURE").alias("cloturees"),
-        F.round(F.avg("duree_traitement_heures"), 1).alias("duree_moy"),
+        C.rounded(F.avg("duree_traitement_heures"), 1).alias("duree_moy"),
     )

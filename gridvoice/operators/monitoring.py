@@ -40,7 +40,7 @@ def freshness(
     age = C.hours_between(C.moment(as_of), "derniere")
     fresh = F.coalesce(F.col("age_heures") <= F.col("seuil_heures"), F.lit(False))
     level = F.when(F.col("nom_table").isin(*critical), "CRITIQUE") if critical else F
-    return rows.withColumn("age_heures", F.round(age, 2)).select(
+    return rows.withColumn("age_heures", C.rounded(age, 2)).select(
         "nom_table",
         "age_heures",
         "seuil_heures",
@@ -50,7 +50,7 @@ def freshness(
 
 
 def freshness_score(report: DataFrame) -> DataFrame:
-    score = F.round(F.avg(F.col("a_jour").cast("double")) * 100, 1)
+    score = C.rounded(F.avg(F.col("a_jour").cast("double")) * 100, 1)
     return report.agg(
         F.count(F.lit(1)).alias("nb_tables"), F.count_if("a_jour").alias("nb_a_jour"), score.alias("score")
     ).withColumn("statut", status_band("score", 95, 80))
@@ -81,7 +81,7 @@ def job_states(runs: DataFrame, policy: DataFrame, as_of: str) -> DataFrame:
     failed = F.col("status").isin("FAILED", "ERROR", "ALERT")
     state = F.when(absent, "MANQUANT").when(failed, "ECHEC").otherwise("OK")
     slow = (state == "OK") & F.coalesce(F.col("duration_seconds") > F.col("seuil_lent_s"), F.lit(False))
-    return rows.select("dag_id", "status", "duration_seconds", F.round("age_h", 2).alias("age_h"), state.alias("etat"), slow.alias("lent"))
+    return rows.select("dag_id", "status", "duration_seconds", C.rounded("age_h", 2).alias("age_h"), state.alias("etat"), slow.alias("lent"))
 
 
 def health_score(states: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def health_score(states: DataFrame) -> DataFrame:
     ok, slow = F.count_if(F.col("etat") == "OK"), F.count_if("lent")
     failed, missing = F.count_if(F.col("etat") == "ECHEC"), F.count_if(F.col("etat") == "MANQUANT")
     total = F.count(F.lit(1))
-    raw = F.round(100 * (ok + slow * 0.7 - failed * 0.5) / total, 1)
+    raw = C.rounded(100 * (ok + slow * 0.7 - failed * 0.5) / total, 1)
     return states.agg(
         ok.alias("nb_ok"),
         slow.alias("nb_lents"),
@@ -116,7 +116,7 @@ def with_load(df: DataFrame, volume: str = "volume", per_day: int = D.BASELINE_P
     ratio = load_ratio(volume, per_day)
     return df.withColumns(
         {
-            "ratio_baseline": F.round(ratio, 2),
+            "ratio_baseline": C.rounded(ratio, 2),
             "niveau_charge": load_level(ratio),
             "mode_degrade": load_level(ratio).isin("CRITIQUE", "CRISE"),
             "niveau_degrade": degraded_level(ratio),

@@ -89,7 +89,7 @@ def communication_sla(notices: DataFrame, day: str | None = None) -> DataFrame:
         total.alias("nb_total"),
         met.alias("nb_dans_delai"),
         (total - met).alias("nb_hors_delai"),
-        F.round(C.rate(met, total), 2).alias("taux_conformite_pct"),
+        C.rounded(C.rate(met, total), 2).alias("taux_conformite_pct"),
     )
     limits = notices.sparkSession.createDataFrame(
         list(D.NOTICE_SLA.items()), "type_notification string, sla_heures int"

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridvoice.functions import columns as C
 from gridvoice.functions import domains as D
 from gridvoice.operators import cleaning
 
@@ -23,7 +24,7 @@ def _n() -> Column:
 
 
 def _share(bad: Column, of: Column) -> Column:
-    return F.coalesce(F.round((1 - F.try_divide(bad.cast("double"), of)) * 100, 2), F.lit(100.0))
+    return F.coalesce(C.rounded((1 - F.try_divide(bad.cast("double"), of)) * 100, 2), F.lit(100.0))
 
 
 def _missing(field: T.StructField) -> Column:
@@ -111,7 +112,7 @@ def overall(df: DataFrame, key: str = "id_reclamation") -> DataFrame:
         _share(F.sum("_late"), rows).alias("coherence"),
     )
     total = reduce(lambda a, b: a + b, [F.col(k) * w for k, w in D.QUALITY_WEIGHTS.items()])
-    return parts.withColumn("score_global", F.round(total, 2)).withColumn(
+    return parts.withColumn("score_global", C.rounded(total, 2)).withColumn(
         "accepte", F.col("score_global") >= D.QUALITY_PASS
     )
 
@@ -123,7 +124,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select("_total", F.explode(pairs).alias("p")).select(
         F.col("p.colonne").alias("colonne"),
         F.col("p.nb").alias("nb_nulls"),
-        F.round(F.try_divide(F.col("p.nb") * 100.0, F.col("_total")), 2).alias("pct_nulls"),
+        C.rounded(F.try_divide(F.col("p.nb") * 100.0, F.col("_total")), 2).alias("pct_nulls"),
     )
 
 

@@ -126,7 +126,7 @@ def coherence_log(complaints: DataFrame, findings: DataFrame) -> DataFrame:
         "type_controle",
         F.col("v").alias("nb_verifies"),
         F.col("i").alias("nb_incoherences"),
-        F.round(100.0 * (F.col("v") - F.col("i")) / F.greatest(F.col("v"), F.lit(1)), 2).alias("taux_coherence_pct"),
+        C.rounded(100.0 * (F.col("v") - F.col("i")) / F.greatest(F.col("v"), F.lit(1)), 2).alias("taux_coherence_pct"),
     )
 
 

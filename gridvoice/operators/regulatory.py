@@ -40,11 +40,11 @@ def continuity(consolidated: DataFrame, complaints: DataFrame, as_of: str, run_d
     return outages.join(clients, "region", "left").select(
         F.lit(run_date).cast("date").alias("date_calcul"),
         *PLACE,
-        F.round(F.when(has_base, minutes * F.col("nb_clients_affectes") / F.col("_base")).otherwise(0.0), 4).alias(
+        C.rounded(F.when(has_base, minutes * F.col("nb_clients_affectes") / F.col("_base")).otherwise(0.0), 4).alias(
             "saidi_minutes"
         ),
-        F.round(F.when(has_base, F.col("nb_clients_affectes") / F.col("_base")).otherwise(0.0), 6).alias("saifi_index"),
-        F.round(F.when(F.col("nb_clients_affectes") > 0, minutes).otherwise(0.0), 4).alias("caidi_minutes"),
+        C.rounded(F.when(has_base, F.col("nb_clients_affectes") / F.col("_base")).otherwise(0.0), 6).alias("saifi_index"),
+        C.rounded(F.when(F.col("nb_clients_affectes") > 0, minutes).otherwise(0.0), 4).alias("caidi_minutes"),
         "nb_clients_affectes",
         "nb_interruptions",
         "duree_totale_interruption_h",
@@ -52,7 +52,7 @@ def continuity(consolidated: DataFrame, complaints: DataFrame, as_of: str, run_d
 
 
 def _on_time(total: Column, late: Column) -> Column:
-    return F.round(F.when(total > 0, 100.0 * (total - late) / total).otherwise(100.0), 2)
+    return C.rounded(F.when(total > 0, 100.0 * (total - late) / total).otherwise(100.0), 2)
 
 
 def connection_delays(detail: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def connection_delays(detail: DataFrame) -> DataFrame:
         total.alias("nb_raccordements_periode"),
         late.alias("nb_raccordements_hors_delai"),
         _on_time(total, late).alias("taux_respect_delai_raccordement"),
-        F.round(F.avg(F.col("duree_heures") / 24.0), 2).alias("delai_moyen_raccordement_j"),
+        C.rounded(F.avg(F.col("duree_heures") / 24.0), 2).alias("delai_moyen_raccordement_j"),
     )
 
 
@@ -93,7 +93,7 @@ def founded_complaints(consolidated: DataFrame) -> DataFrame:
         .groupBy("region", F.coalesce("departement", F.lit("INCONNU")).alias("departement"))
         .agg(
             founded.alias("nb_reclamations_fondees"),
-            F.round(F.when(total > 0, 100.0 * founded / total).otherwise(0.0), 2).alias("taux_reclamations_fondees"),
+            C.rounded(F.when(total > 0, 100.0 * founded / total).otherwise(0.0), 2).alias("taux_reclamations_fondees"),
         )
     )
 
@@ -117,7 +117,7 @@ def alerts(kpis: DataFrame) -> DataFrame:
         F.lit("SAIDI_DEPASSE").alias("type_alerte"),
         yearly.alias("valeur_mesuree"),
         F.lit(limit).alias("seuil_legal"),
-        F.round(100 * (yearly - limit) / limit, 2).alias("depassement_pct"),
+        C.rounded(100 * (yearly - limit) / limit, 2).alias("depassement_pct"),
     )
     # A zero rate counts as unmeasured, as a null one does.
     low = kpis.filter((rate != 0) & (rate < D.CONNECTION_RATE_MIN)).select(
@@ -125,7 +125,7 @@ def alerts(kpis: DataFrame) -> DataFrame:
         F.lit("DELAI_RACCORDEMENT_DEPASSE").alias("type_alerte"),
         rate.alias("valeur_mesuree"),
         F.lit(D.CONNECTION_RATE_MIN).alias("seuil_legal"),
-        F.round(100 * (D.CONNECTION_RATE_MIN - rate) / D.CONNECTION_RATE_MIN, 2).alias("depassement_pct"),
+        C.rounded(100 * (D.CONNECTION_RATE_MIN - rate) / D.CONNECTION_RATE_MIN, 2).alias("depassement_pct"),
     )
     return saidi.unionByName(low)
 

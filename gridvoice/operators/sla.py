@@ -162,7 +162,7 @@ def planning_report(df: DataFrame) -> DataFrame:
             F.count_if("intervention_planifiee").alias("avec_planification"),
             F.count_if(~F.col("intervention_planifiee")).alias("sans_planification"),
             F.count_if("risque_depassement").alias("en_risque_sla"),
-            F.round(F.avg("duree_heures"), 1).alias("duree_moyenne_h"),
+            C.rounded(F.avg("duree_heures"), 1).alias("duree_moyenne_h"),
         )
         .orderBy(F.desc("en_risque_sla"), F.desc("total"), "region")
     )

@@ -109,9 +109,9 @@ def impact(kpis: DataFrame, weather: DataFrame, run_date: str) -> DataFrame:
             run.alias("date_calcul"),
             "region",
             "nb_coupures_jour",
-            F.round(base, 2).alias("nb_coupures_baseline"),
-            F.round(count - F.coalesce(base, count.cast("double")), 2).alias("surplus_coupures"),
-            F.round(F.when(base > 0, 100.0 * (count - base) / base).otherwise(0.0), 2).alias("impact_meteo_pct"),
+            C.rounded(base, 2).alias("nb_coupures_baseline"),
+            C.rounded(count - F.coalesce(base, count.cast("double")), 2).alias("surplus_coupures"),
+            C.rounded(F.when(base > 0, 100.0 * (count - base) / base).otherwise(0.0), 2).alias("impact_meteo_pct"),
             level.alias("vigilance_jour"),
             F.coalesce("type_phenomene", F.lit("NORMAL")).alias("type_phenomene"),
             day_class(level).alias("classification_jour"),

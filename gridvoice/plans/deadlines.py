@@ -284,7 +284,7 @@ def connection_work(t):
 
 @query(
     "a30_billing_metrics",
-    """SELECT count(*) AS total, round(sum(montant_conteste), 2) AS montant_total, round(avg(montant_conteste), 2) AS montant_moyen,
+    """SELECT count(*) AS total, round((sum(montant_conteste))::DECIMAL(28,8), 2)::DOUBLE AS montant_total, round((avg(montant_conteste))::DECIMAL(28,8), 2)::DOUBLE AS montant_moyen,
       count(*) FILTER (WHERE NOT sla_respect AND date_cloture IS NOT NULL) AS hors_sla,
       count(*) FILTER (WHERE risque_depassement) AS en_risque FROM billing_detail""",
     digits=2,
@@ -297,7 +297,7 @@ def billing_metrics(t):
     "a31_planning_report",
     """SELECT region, count(*) AS total, count(*) FILTER (WHERE intervention_planifiee) AS avec_planification,
       count(*) FILTER (WHERE NOT intervention_planifiee) AS sans_planification,
-      count(*) FILTER (WHERE risque_depassement) AS en_risque_sla, round(avg(duree_heures), 1) AS duree_moyenne_h
+      count(*) FILTER (WHERE risque_depassement) AS en_risque_sla, round((avg(duree_heures))::DECIMAL(28,8), 1)::DOUBLE AS duree_moyenne_h
     FROM connection_detail GROUP BY 1""",
 )
 def planning_report(t):

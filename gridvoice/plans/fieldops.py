@@ -59,8 +59,8 @@ def dispatch_urgency(t):
     "a34_technician_load",
     """SELECT date_planifiee::VARCHAR AS date_calcul, technicien_id, zone_intervention, departement,
       count(*) FILTER (WHERE statut = 'PLANIFIEE') AS nb_interventions_planifiees, count(*) FILTER (WHERE priorite <= 2) AS nb_interventions_urgentes,
-      round(sum(coalesce(duree_estimee_h, 2.0)), 4) AS charge_heures, round(100.0::DOUBLE * sum(coalesce(duree_estimee_h, 2.0)) / 8.0::DOUBLE, 2) AS taux_charge_pct,
-      round(100.0::DOUBLE * sum(coalesce(duree_estimee_h, 2.0)) / 8.0::DOUBLE, 2) < 100 AS disponible
+      round(sum(coalesce(duree_estimee_h, 2.0)), 4) AS charge_heures, round((100.0::DOUBLE * sum(coalesce(duree_estimee_h, 2.0)) / 8.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE AS taux_charge_pct,
+      round((100.0::DOUBLE * sum(coalesce(duree_estimee_h, 2.0)) / 8.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE < 100 AS disponible
     FROM interventions GROUP BY 1, 2, 3, 4""",
 )
 def technician_load(t):
@@ -146,7 +146,7 @@ def findings_union(t):
     i AS (SELECT CASE type_incoherence WHEN 'CRM_OMEGA_STATUT' THEN 'CRM_OMEGA' WHEN 'SAP_CRM_FACTURE' THEN 'SAP_CRM' ELSE 'DELAI_SYNC' END AS type_controle,
       count(*) AS nb FROM findings GROUP BY 1)
     SELECT type_controle, nb_verifies, coalesce(nb, 0) AS nb_incoherences,
-      round(100.0::DOUBLE * (nb_verifies - coalesce(nb, 0)) / greatest(nb_verifies, 1), 2) AS taux_coherence_pct FROM v LEFT JOIN i USING (type_controle)""",
+      round((100.0::DOUBLE * (nb_verifies - coalesce(nb, 0)) / greatest(nb_verifies, 1))::DECIMAL(28,8), 2)::DOUBLE AS taux_coherence_pct FROM v LEFT JOIN i USING (type_controle)""",
 )
 def coherence_log(t):
     complaints = timed(t)
@@ -211,7 +211,7 @@ def missing_notice_union(t):
 @query(
     "a36_communication_sla",
     """SELECT type_notification, sla_heures, coalesce(nb, 0) AS nb_total, coalesce(ok, 0) AS nb_dans_delai, coalesce(nb - ok, 0) AS nb_hors_delai,
-      round(100.0::DOUBLE * ok / nb, 2) AS taux_conformite_pct
+      round((100.0::DOUBLE * ok / nb)::DECIMAL(28,8), 2)::DOUBLE AS taux_conformite_pct
     FROM (VALUES ('ACCUSE_RECEPTION', 240), ('COUPURE_PROGRAMMEE', 120), ('RESOLUTION_RECLAMATION', 48), ('INCIDENT_SYSTEMIQUE', 2), ('DEPASSEMENT_SLA', 24)) s(type_notification, sla_heures)
     LEFT JOIN (SELECT type_notification, count(*) AS nb, count(*) FILTER (WHERE dans_delai_legal) AS ok FROM notifications GROUP BY 1) USING (type_notification)""",
 )

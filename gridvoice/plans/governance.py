@@ -109,7 +109,7 @@ def fresh_tables(t):
 
 _FRESH = f"""SELECT *, coalesce(age_heures <= seuil_heures, FALSE) AS a_jour,
     CASE WHEN NOT coalesce(age_heures <= seuil_heures, FALSE) THEN CASE WHEN nom_table = 'kpis' THEN 'CRITIQUE' ELSE 'ATTENTION' END END AS niveau_alerte FROM (
-  SELECT nom_table, seuil_heures, round((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') // 1000000 - epoch_us(derniere) // 1000000) / 3600.0::DOUBLE, 2) AS age_heures FROM (
+  SELECT nom_table, seuil_heures, round(((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') // 1000000 - epoch_us(derniere) // 1000000) / 3600.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE AS age_heures FROM (
     SELECT 'executions' AS nom_table, max(created_at) AS derniere, 2.0::DOUBLE AS seuil_heures FROM runs
     UNION ALL SELECT 'notifications', max(created_at), 26.0 FROM notifications
     UNION ALL SELECT 'kpis', max(date_calcul)::TIMESTAMP, 72.0 FROM daily_kpi
@@ -123,7 +123,7 @@ def freshness(t):
 
 @query(
     "a40_freshness_score",
-    f"""SELECT count(*) AS nb_tables, count(*) FILTER (WHERE a_jour) AS nb_a_jour, round(avg(a_jour::INTEGER) * 100, 1) AS score,
+    f"""SELECT count(*) AS nb_tables, count(*) FILTER (WHERE a_jour) AS nb_a_jour, round((avg(a_jour::INTEGER) * 100)::DECIMAL(28,8), 1)::DOUBLE AS score,
       CASE WHEN avg(a_jour::INTEGER) * 100 >= 95 THEN 'OK' WHEN avg(a_jour::INTEGER) * 100 >= 80 THEN 'WARNING' ELSE 'ALERT' END AS statut FROM ({_FRESH})""",
 )
 def freshness_score(t):
@@ -133,7 +133,7 @@ def freshness_score(t):
 MAX_ABSENCE = {"click": 26, "error": 26, "purchase": 26, "signup": 200, "view": 26, "refund": 26}
 SLOW = {"click": 20, "error": 300, "purchase": 10, "view": 30}
 _STATES = f"""SELECT p.dag_id, r.status, round(r.duration_seconds, 4) AS duration_seconds,
-    round((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') // 1000000 - epoch_us(r.created_at) // 1000000) / 3600.0::DOUBLE, 2) AS age_h,
+    round(((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') // 1000000 - epoch_us(r.created_at) // 1000000) / 3600.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE AS age_h,
     CASE WHEN r.created_at IS NULL OR (epoch_us(TIMESTAMP '{EVENTS_AS_OF}') // 1000000 - epoch_us(r.created_at) // 1000000) / 3600.0::DOUBLE > p.absence THEN 'MANQUANT'
       WHEN r.status IN ('FAILED', 'ERROR', 'ALERT') THEN 'ECHEC' ELSE 'OK' END AS etat, p.lent AS seuil
   FROM (VALUES ('click', 26, 20), ('error', 26, 300), ('purchase', 26, 10), ('signup', 200, NULL), ('view', 26, 30), ('refund', 26, NULL)) p(dag_id, absence, lent)
@@ -160,7 +160,7 @@ _COUNTS = f"""SELECT count(*) AS n, count(*) FILTER (WHERE etat = 'OK') AS ok, c
     "a41_health_score",
     f"""SELECT ok AS nb_ok, slow AS nb_lents, failed AS nb_echecs, missing AS nb_manquants, score,
       CASE WHEN score >= 90 THEN 'OK' WHEN score >= 70 THEN 'WARNING' ELSE 'CRITICAL' END AS statut
-    FROM (SELECT *, greatest(0.0::DOUBLE, least(100.0::DOUBLE, round(100 * (ok + slow * 0.7::DOUBLE - failed * 0.5::DOUBLE) / n, 1))) AS score FROM ({_COUNTS}))""",
+    FROM (SELECT *, greatest(0.0::DOUBLE, least(100.0::DOUBLE, round((100 * (ok + slow * 0.7::DOUBLE - failed * 0.5::DOUBLE) / n)::DECIMAL(28,8), 1)::DOUBLE)) AS score FROM ({_COUNTS}))""",
 )
 def health_score(t):
     return monitoring.health_score(states(t))
@@ -169,7 +169,7 @@ def health_score(t):
 # Baseline scaled so that the given events cover several load levels.
 PER_DAY = 120
 _RATIO = f"volume / ({PER_DAY} / 24.0::DOUBLE)"
-_LOAD = f"""round({_RATIO}, 2) AS ratio_baseline,
+_LOAD = f"""round(({_RATIO})::DECIMAL(28,8), 2)::DOUBLE AS ratio_baseline,
   CASE WHEN {_RATIO} >= 10 THEN 'CRISE' WHEN {_RATIO} >= 5 THEN 'CRITIQUE' WHEN {_RATIO} >= 2 THEN 'ELEVE' ELSE 'NORMAL' END AS niveau_charge,
   {_RATIO} >= 5 AS mode_degrade,
   CASE WHEN {_RATIO} >= 10 THEN 3 WHEN {_RATIO} >= 5 THEN 2 WHEN {_RATIO} >= 2 THEN 1 ELSE 0 END AS niveau_degrade"""

@@ -39,8 +39,8 @@ register_sql_view("meter_anomalies", f"{zero_sql(MIN_ZERO)} UNION ALL {_DELTA} U
 register_sql_view(
     "suspicions",
     f"""SELECT numero_compteur, max(client_id) AS client_id, min(date_detection) AS date_premiere_anomalie, count(*) AS nb_anomalies_30j,
-        least(100.0::DOUBLE, round(sum(CASE type_anomalie WHEN 'CONSO_PENDANT_COUPURE' THEN 40 WHEN 'DELTA_INDEX' THEN 25 WHEN 'CONSO_NULLE' THEN 15 ELSE 10 END
-          * CASE severite WHEN 'CRITIQUE' THEN 2.0::DOUBLE WHEN 'ELEVEE' THEN 1.5 WHEN 'MODEREE' THEN 1.0 ELSE 0.5 END), 2)) AS score_fraude,
+        least(100.0::DOUBLE, round((sum(CASE type_anomalie WHEN 'CONSO_PENDANT_COUPURE' THEN 40 WHEN 'DELTA_INDEX' THEN 25 WHEN 'CONSO_NULLE' THEN 15 ELSE 10 END
+          * CASE severite WHEN 'CRITIQUE' THEN 2.0::DOUBLE WHEN 'ELEVEE' THEN 1.5 WHEN 'MODEREE' THEN 1.0 ELSE 0.5 END))::DECIMAL(28,8), 2)::DOUBLE) AS score_fraude,
         CASE WHEN count(*) >= 3 AND bool_or(type_anomalie = 'CONSO_PENDANT_COUPURE') THEN 'CONFIRME' WHEN count(*) >= 4 THEN 'ELEVE' ELSE 'MODERE' END AS niveau_risque
       FROM meter_anomalies WHERE date_detection >= DATE '{DAY}' - 30 GROUP BY numero_compteur HAVING count(*) >= 2""",
 )

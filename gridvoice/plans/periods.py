@@ -76,10 +76,10 @@ def join_update(t):
 @query(
     "a22_cross_type_kpis",
     """SELECT region, type_reclamation, count(*) FILTER (WHERE statut IN ('OUVERT', 'EN_COURS')) AS nombre_ouvertes,
-      count(*) FILTER (WHERE statut = 'CLOTURE') AS nombre_cloturees, round(avg(duree_heures), 2) AS duree_moyenne_traitement,
-      round(100.0::DOUBLE * count(*) FILTER (WHERE sla_respect) / nullif(count(sla_respect), 0), 2) AS taux_respect_sla,
+      count(*) FILTER (WHERE statut = 'CLOTURE') AS nombre_cloturees, round((avg(duree_heures))::DECIMAL(28,8), 2)::DOUBLE AS duree_moyenne_traitement,
+      round((100.0::DOUBLE * count(*) FILTER (WHERE sla_respect) / nullif(count(sla_respect), 0))::DECIMAL(28,8), 2)::DOUBLE AS taux_respect_sla,
       count(*) FILTER (WHERE priorite = 'CRITIQUE') AS nb_critiques,
-      round(100.0::DOUBLE * count(*) FILTER (WHERE priorite = 'CRITIQUE') / count(*), 2) AS taux_critique, '2001-08-02' AS date_calcul
+      round((100.0::DOUBLE * count(*) FILTER (WHERE priorite = 'CRITIQUE') / count(*))::DECIMAL(28,8), 2)::DOUBLE AS taux_critique, '2001-08-02' AS date_calcul
     FROM consolidated GROUP BY 1, 2""",
 )
 def cross_type_kpis(t):
@@ -90,7 +90,7 @@ def cross_type_kpis(t):
     "a23_consolidation_summary",
     """SELECT type_reclamation, count(*) AS total, count(*) FILTER (WHERE statut IN ('OUVERT', 'EN_COURS')) AS en_cours,
       count(*) FILTER (WHERE NOT sla_respect AND date_cloture IS NOT NULL) AS hors_sla,
-      count(*) FILTER (WHERE risque_depassement) AS en_risque, round(avg(duree_heures), 1) AS duree_moy_h
+      count(*) FILTER (WHERE risque_depassement) AS en_risque, round((avg(duree_heures))::DECIMAL(28,8), 1)::DOUBLE AS duree_moy_h
     FROM consolidated GROUP BY 1""",
 )
 def consolidation_summary(t):
@@ -110,17 +110,17 @@ def latest_export_active(t):
 
 
 _FIGURES = """sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS total_reclamations, sum(nombre_ouvertes)::BIGINT AS total_ouvertes,
-  sum(nombre_cloturees)::BIGINT AS total_cloturees, round(avg(duree_moyenne_traitement), 2) AS duree_moyenne_heures,
-  round(avg(duree_mediane_traitement), 2) AS duree_mediane_heures, round(avg(taux_respect_sla), 2) AS taux_respect_sla,
-  round(avg(nb_critiques), 2) AS taux_critique"""
+  sum(nombre_cloturees)::BIGINT AS total_cloturees, round((avg(duree_moyenne_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_moyenne_heures,
+  round((avg(duree_mediane_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_mediane_heures, round((avg(taux_respect_sla))::DECIMAL(28,8), 2)::DOUBLE AS taux_respect_sla,
+  round((avg(nb_critiques))::DECIMAL(28,8), 2)::DOUBLE AS taux_critique"""
 
 
 def _weekly(day: str) -> str:
     return f"""SELECT extract(isoyear FROM DATE '{day}' - 7)::INTEGER AS annee, extract(week FROM DATE '{day}' - 7)::INTEGER AS semaine,
       (DATE '{day}' - 7)::VARCHAR AS debut_semaine, (DATE '{day}' - 1)::VARCHAR AS fin_semaine, c.*,
-      round(CASE WHEN prec > 0 THEN 100.0::DOUBLE * (total_reclamations - prec) / prec END, 2) AS evolution_vs_semaine_precedente
+      round((CASE WHEN prec > 0 THEN 100.0::DOUBLE * (total_reclamations - prec) / prec END)::DECIMAL(28,8), 2)::DOUBLE AS evolution_vs_semaine_precedente
     FROM (SELECT region, type_reclamation, {_FIGURES},
-        round((1 - avg(nb_critiques::DOUBLE / nullif(nombre_reclamations_total, 0))) * 100, 2) AS taux_non_critique
+        round(((1 - avg(nb_critiques::DOUBLE / nullif(nombre_reclamations_total, 0))) * 100)::DECIMAL(28,8), 2)::DOUBLE AS taux_non_critique
       FROM daily_kpi WHERE date_calcul BETWEEN DATE '{day}' - 7 AND DATE '{day}' - 1 GROUP BY 1, 2) c
     LEFT JOIN (SELECT region, type_reclamation, sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS prec FROM daily_kpi
       WHERE date_calcul BETWEEN DATE '{day}' - 14 AND DATE '{day}' - 8 GROUP BY 1, 2) p USING (region, type_reclamation)"""
@@ -144,8 +144,8 @@ def week_over_week(t):
 @query(
     "a18_weekly_summary",
     f"""WITH s AS ({_weekly('2024-01-15')} UNION ALL {_weekly('2024-01-22')})
-    SELECT type_reclamation, sum(total_reclamations)::BIGINT AS total, round((sum(taux_respect_sla::DECIMAL(20,6))::DOUBLE / count(taux_respect_sla)), 1) AS taux_sla_moy,
-      round((sum(evolution_vs_semaine_precedente::DECIMAL(20,6))::DOUBLE / count(evolution_vs_semaine_precedente)), 1) AS evolution
+    SELECT type_reclamation, sum(total_reclamations)::BIGINT AS total, round(((sum(taux_respect_sla::DECIMAL(20,6))::DOUBLE / count(taux_respect_sla)))::DECIMAL(28,8), 1)::DOUBLE AS taux_sla_moy,
+      round(((sum(evolution_vs_semaine_precedente::DECIMAL(20,6))::DOUBLE / count(evolution_vs_semaine_precedente)))::DECIMAL(28,8), 1)::DOUBLE AS evolution
     FROM s WHERE debut_semaine = (SELECT max(debut_semaine) FROM s) GROUP BY 1""",
 )
 def weekly_summary(t):
@@ -154,11 +154,11 @@ def weekly_summary(t):
 
 
 _MONTHLY = f"""SELECT 2000 AS annee, 7 AS mois, c.*,
-      round(CASE WHEN m1 > 0 THEN 100.0::DOUBLE * (total_reclamations - m1) / m1 END, 2) AS evolution_vs_mois_precedent,
-      round(CASE WHEN an > 0 THEN 100.0::DOUBLE * (total_reclamations - an) / an END, 2) AS evolution_vs_meme_mois_an_dernier,
+      round((CASE WHEN m1 > 0 THEN 100.0::DOUBLE * (total_reclamations - m1) / m1 END)::DECIMAL(28,8), 2)::DOUBLE AS evolution_vs_mois_precedent,
+      round((CASE WHEN an > 0 THEN 100.0::DOUBLE * (total_reclamations - an) / an END)::DECIMAL(28,8), 2)::DOUBLE AS evolution_vs_meme_mois_an_dernier,
       CASE type_reclamation WHEN 'COUPURE_ELECTRIQUE' THEN 48 WHEN 'COMPTEUR_LINKY' THEN 120 WHEN 'FACTURATION' THEN 240
         WHEN 'RACCORDEMENT_RESEAU' THEN 360 WHEN 'INTERVENTION_TECHNIQUE' THEN 168 END AS sla_cible
-    FROM (SELECT region, type_reclamation, {_FIGURES}, round(avg(taux_escalade), 2) AS taux_escalade FROM kpi_history
+    FROM (SELECT region, type_reclamation, {_FIGURES}, round((avg(taux_escalade))::DECIMAL(28,8), 2)::DOUBLE AS taux_escalade FROM kpi_history
       WHERE date_calcul BETWEEN DATE '2000-07-01' AND DATE '2000-07-31' GROUP BY 1, 2) c
     LEFT JOIN (SELECT region, type_reclamation, sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS m1 FROM kpi_history
       WHERE date_calcul BETWEEN DATE '2000-06-01' AND DATE '2000-06-30' GROUP BY 1, 2) m USING (region, type_reclamation)
@@ -173,8 +173,8 @@ def monthly_rollup(t):
 
 @query(
     "a20_monthly_sla_report",
-    f"""SELECT type_reclamation, sla_cible, sum(total_reclamations)::BIGINT AS total, round((sum(taux_respect_sla::DECIMAL(20,6))::DOUBLE / count(taux_respect_sla)), 1) AS taux_sla_moy,
-      min(taux_respect_sla) AS taux_sla_min, round((sum(evolution_vs_mois_precedent::DECIMAL(20,6))::DOUBLE / count(evolution_vs_mois_precedent)), 1) AS evol_m1
+    f"""SELECT type_reclamation, sla_cible, sum(total_reclamations)::BIGINT AS total, round(((sum(taux_respect_sla::DECIMAL(20,6))::DOUBLE / count(taux_respect_sla)))::DECIMAL(28,8), 1)::DOUBLE AS taux_sla_moy,
+      min(taux_respect_sla) AS taux_sla_min, round(((sum(evolution_vs_mois_precedent::DECIMAL(20,6))::DOUBLE / count(evolution_vs_mois_precedent)))::DECIMAL(28,8), 1)::DOUBLE AS evol_m1
     FROM ({_MONTHLY}) GROUP BY 1, 2""",
 )
 def monthly_sla_report(t):
@@ -184,7 +184,7 @@ def monthly_sla_report(t):
 @query(
     "a46_sla_summary",
     """SELECT region, type_reclamation, sum(nombre_reclamations_total)::BIGINT AS total_reclamations, sum(nombre_ouvertes)::BIGINT AS en_cours,
-      round(avg(taux_respect_sla), 2) AS taux_sla_moyen, round(avg(duree_moyenne_traitement), 2) AS duree_moyenne_h,
+      round((avg(taux_respect_sla))::DECIMAL(28,8), 2)::DOUBLE AS taux_sla_moyen, round((avg(duree_moyenne_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_moyenne_h,
       max(date_calcul)::VARCHAR AS derniere_date
     FROM kpi_history WHERE date_calcul >= DATE '2001-08-02' - 30 GROUP BY 1, 2""",
 )
@@ -194,7 +194,7 @@ def sla_summary(t):
 
 @query(
     "a47_top_meter_faults",
-    """SELECT region, type_panne, count(*) AS occurrences, round(avg(duree_heures), 1) AS duree_moyenne_h,
+    """SELECT region, type_panne, count(*) AS occurrences, round((avg(duree_heures))::DECIMAL(28,8), 1)::DOUBLE AS duree_moyenne_h,
       max(export_date)::VARCHAR AS derniere_observation
     FROM linky_detail WHERE export_date >= DATE '2024-01-31' - 30 GROUP BY 1, 2""",
 )
@@ -204,8 +204,8 @@ def top_meter_faults(t):
 
 @query(
     "a48_sla_by_region",
-    """SELECT date_calcul::VARCHAR AS date_calcul, region, type_reclamation, round(avg(taux_respect_sla), 2) AS taux_sla_moyen,
-      sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS volume_total, round(avg(duree_moyenne_traitement), 2) AS duree_moy
+    """SELECT date_calcul::VARCHAR AS date_calcul, region, type_reclamation, round((avg(taux_respect_sla))::DECIMAL(28,8), 2)::DOUBLE AS taux_sla_moyen,
+      sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS volume_total, round((avg(duree_moyenne_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_moy
     FROM kpi_history WHERE date_calcul >= DATE '2001-08-02' - 365 GROUP BY 1, 2, 3""",
 )
 def sla_by_region(t):
@@ -215,8 +215,8 @@ def sla_by_region(t):
 @query(
     "w03_moving_average",
     """SELECT date_calcul::VARCHAR AS date_calcul, type_reclamation, sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS volume_total,
-      round(avg(taux_respect_sla), 2) AS taux_sla, round(avg(duree_moyenne_traitement), 2) AS duree_moy,
-      round(avg(avg(taux_respect_sla)) OVER (PARTITION BY type_reclamation ORDER BY daily_kpi.date_calcul ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS taux_sla_mm7j
+      round((avg(taux_respect_sla))::DECIMAL(28,8), 2)::DOUBLE AS taux_sla, round((avg(duree_moyenne_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_moy,
+      round((avg(avg(taux_respect_sla)) OVER (PARTITION BY type_reclamation ORDER BY daily_kpi.date_calcul ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))::DECIMAL(28,8), 2)::DOUBLE AS taux_sla_mm7j
     FROM daily_kpi WHERE daily_kpi.date_calcul >= DATE '2024-01-31' - 90 GROUP BY daily_kpi.date_calcul, type_reclamation""",
 )
 def moving_average(t):
@@ -227,7 +227,7 @@ def moving_average(t):
     "a51_scenario_summary",
     """SELECT CASE WHEN id_reclamation % 20 < 14 THEN 'NORMAL' WHEN id_reclamation % 20 < 17 THEN 'HORS_SLA'
         WHEN id_reclamation % 20 < 19 THEN 'RISQUE_SLA' ELSE 'CRITIQUE_COUPURE' END AS scenario_test, count(*) AS nb,
-      count(*) FILTER (WHERE statut = 'CLOTURE') AS cloturees, round(avg(duree_traitement_heures), 1) AS duree_moy
+      count(*) FILTER (WHERE statut = 'CLOTURE') AS cloturees, round((avg(duree_traitement_heures))::DECIMAL(28,8), 1)::DOUBLE AS duree_moy
     FROM timed GROUP BY 1""",
 )
 def scenario_summary(t):

@@ -8,7 +8,7 @@ from gridvoice.operators import cleaning, quality
 from gridvoice.plans.registry import query
 from gridvoice.sources.conform import register_sql_view
 
-_SHARE = "round((1 - ({0})::DOUBLE / ({1})) * 100, 2)"
+_SHARE = "round(((1 - ({0})::DOUBLE / ({1})) * 100)::DECIMAL(28,8), 2)::DOUBLE"
 _NULLS7 = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in D.REQUIRED_COLUMNS)
 _BAD_TYPE = "count(*) FILTER (WHERE type_reclamation IS NULL OR type_reclamation NOT IN ('COUPURE_ELECTRIQUE', 'COMPTEUR_LINKY', 'FACTURATION', 'RACCORDEMENT_RESEAU', 'INTERVENTION_TECHNIQUE'))"
 _BAD_STATUS = "count(*) FILTER (WHERE statut IS NULL OR statut NOT IN ('OUVERT', 'EN_COURS', 'CLOTURE', 'ESCALADE'))"
@@ -98,8 +98,8 @@ _OVERALL = f"""SELECT count(*) AS total, {_SHARE.format(_NULLS7, 'count(*) * 7')
 
 @query(
     "q05_weighted_score",
-    f"""SELECT *, round(completude * 0.3::DOUBLE + unicite * 0.3::DOUBLE + validite * 0.2::DOUBLE + coherence * 0.2::DOUBLE, 2) AS score_global,
-      round(completude * 0.3::DOUBLE + unicite * 0.3::DOUBLE + validite * 0.2::DOUBLE + coherence * 0.2::DOUBLE, 2) >= 90 AS accepte FROM ({_OVERALL})""",
+    f"""SELECT *, round((completude * 0.3::DOUBLE + unicite * 0.3::DOUBLE + validite * 0.2::DOUBLE + coherence * 0.2::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE AS score_global,
+      round((completude * 0.3::DOUBLE + unicite * 0.3::DOUBLE + validite * 0.2::DOUBLE + coherence * 0.2::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE >= 90 AS accepte FROM ({_OVERALL})""",
 )
 def weighted_score(t):
     return quality.overall(raw_tickets(t))
@@ -109,7 +109,7 @@ def weighted_score(t):
     "q06_null_profile",
     " UNION ALL ".join(
         f"SELECT '{c}' AS colonne, count(*) FILTER (WHERE {c} IS NULL) AS nb_nulls, "
-        f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / count(*), 2) AS pct_nulls FROM raw_tickets"
+        f"round((count(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / count(*))::DECIMAL(28,8), 2)::DOUBLE AS pct_nulls FROM raw_tickets"
         for c in _ALL
     ),
 )

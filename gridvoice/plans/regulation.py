@@ -23,21 +23,21 @@ register_sql_view(
 register_sql_view(
     "connections",
     """SELECT region, departement, count(*) AS nb_raccordements_periode, count(*) FILTER (WHERE duree_heures > 720) AS nb_raccordements_hors_delai,
-        round(100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE duree_heures > 720)) / count(*), 2) AS taux_respect_delai_raccordement,
-        round(avg(duree_heures / 24.0::DOUBLE), 2) AS delai_moyen_raccordement_j
+        round((100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE duree_heures > 720)) / count(*))::DECIMAL(28,8), 2)::DOUBLE AS taux_respect_delai_raccordement,
+        round((avg(duree_heures / 24.0::DOUBLE))::DECIMAL(28,8), 2)::DOUBLE AS delai_moyen_raccordement_j
       FROM connection_base GROUP BY 1, 2""",
 )
 register_sql_view(
     "commissionings",
     """SELECT region, departement, count(*) AS nb_mises_en_service, count(*) FILTER (WHERE duree_heures > 168) AS nb_mises_en_service_hors_delai,
-        round(100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE duree_heures > 168)) / count(*), 2) AS taux_respect_delai_mes
+        round((100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE duree_heures > 168)) / count(*))::DECIMAL(28,8), 2)::DOUBLE AS taux_respect_delai_mes
       FROM timed WHERE type_reclamation = 'RACCORDEMENT_RESEAU' AND statut = 'CLOTURE'
         AND CAST(date_creation AS DATE) BETWEEN DATE '2000-01-01' AND DATE '2001-08-02' GROUP BY 1, 2""",
 )
 register_sql_view(
     "founded",
     """SELECT region, departement, count(*) FILTER (WHERE sla_respect) AS nb_reclamations_fondees,
-        round(100.0::DOUBLE * count(*) FILTER (WHERE sla_respect) / count(*), 2) AS taux_reclamations_fondees
+        round((100.0::DOUBLE * count(*) FILTER (WHERE sla_respect) / count(*))::DECIMAL(28,8), 2)::DOUBLE AS taux_reclamations_fondees
       FROM consolidated WHERE statut = 'CLOTURE' GROUP BY 1, 2""",
 )
 register_sql_view(
@@ -109,7 +109,7 @@ def compliance_flags(t):
     """SELECT region, departement, 'SAIDI_DEPASSE' AS type_alerte, round(saidi_minutes * 365, 2) AS valeur_mesuree, 60.0::DOUBLE AS seuil_legal,
       round(100 * (saidi_minutes * 365 - 60) / 60, 2) AS depassement_pct FROM legal WHERE saidi_minutes * 365 > 60
     UNION ALL SELECT region, departement, 'DELAI_RACCORDEMENT_DEPASSE', taux_respect_delai_raccordement, 90.0,
-      round(100 * (90.0 - taux_respect_delai_raccordement) / 90.0::DOUBLE, 2) FROM legal
+      round((100 * (90.0 - taux_respect_delai_raccordement) / 90.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE FROM legal
       WHERE taux_respect_delai_raccordement <> 0 AND taux_respect_delai_raccordement < 90""",
     digits=2,
 )
@@ -119,8 +119,8 @@ def compliance_alerts(t):
 
 @query(
     "a27_region_report",
-    """SELECT region, round(avg(saidi_minutes), 3) AS saidi_moy, round(round(avg(saifi_index), 6), 4) AS saifi_moy,
-      round((sum(taux_respect_delai_raccordement::DECIMAL(20,6))::DOUBLE / count(taux_respect_delai_raccordement)), 1) AS taux_racc, round((sum(taux_respect_delai_mes::DECIMAL(20,6))::DOUBLE / count(taux_respect_delai_mes)), 1) AS taux_mes,
+    """SELECT region, round((avg(saidi_minutes))::DECIMAL(28,8), 3)::DOUBLE AS saidi_moy, round(round(avg(saifi_index), 6), 4) AS saifi_moy,
+      round(((sum(taux_respect_delai_raccordement::DECIMAL(20,6))::DOUBLE / count(taux_respect_delai_raccordement)))::DECIMAL(28,8), 1)::DOUBLE AS taux_racc, round(((sum(taux_respect_delai_mes::DECIMAL(20,6))::DOUBLE / count(taux_respect_delai_mes)))::DECIMAL(28,8), 1)::DOUBLE AS taux_mes,
       count(*) FILTER (WHERE motifs <> '') AS non_conforme FROM judged GROUP BY 1""",
 )
 def region_report(t):
@@ -149,8 +149,8 @@ register_sql_view(
 IMPACT_DAY = "2024-01-25"
 register_sql_view(
     "impacts",
-    f"""SELECT region, nb AS nb_coupures_jour, round(base, 2) AS nb_coupures_baseline, round(nb - coalesce(base, nb), 2) AS surplus_coupures,
-        round(CASE WHEN base > 0 THEN 100.0::DOUBLE * (nb - base) / base ELSE 0 END, 2) AS impact_meteo_pct,
+    f"""SELECT region, nb AS nb_coupures_jour, round((base)::DECIMAL(28,8), 2)::DOUBLE AS nb_coupures_baseline, round((nb - coalesce(base, nb))::DECIMAL(28,8), 2)::DOUBLE AS surplus_coupures,
+        round((CASE WHEN base > 0 THEN 100.0::DOUBLE * (nb - base) / base ELSE 0 END)::DECIMAL(28,8), 2)::DOUBLE AS impact_meteo_pct,
         coalesce(vigilance_meteo, 'VERTE') AS vigilance_jour, coalesce(type_phenomene, 'NORMAL') AS type_phenomene,
         CASE vigilance_meteo WHEN 'ROUGE' THEN 'CRISE_METEO' WHEN 'ORANGE' THEN 'TEMPETE' WHEN 'JAUNE' THEN 'METEO_MODEREE' ELSE 'NORMAL' END AS classification_jour,
         vigilance_meteo

@@ -13,7 +13,7 @@ from gridvoice.sources import readers, schemas, scratch, sinks
 from gridvoice.sources.conform import AS_OF
 
 _CSV_COLUMNS = ["id_reclamation", "client_id", "type_reclamation", "priorite", "statut", "date_creation", "date_cloture", "latitude"]
-_SUMMARY = """SELECT type_reclamation, count(*) AS nb, count(date_cloture) AS nb_cloturees, round(sum(latitude), 2) AS somme_latitude,
+_SUMMARY = """SELECT type_reclamation, count(*) AS nb, count(date_cloture) AS nb_cloturees, round((sum(latitude))::DECIMAL(28,8), 2)::DOUBLE AS somme_latitude,
   strftime(max(date_creation), '%Y-%m-%d %H:%M:%S') AS derniere FROM tickets GROUP BY 1"""
 
 
@@ -170,7 +170,7 @@ def full_reload(t):
 
 @query(
     "s16_slice_replace",
-    """SELECT year(date_creation)::INTEGER AS annee, count(*) AS nb, round(sum(CASE WHEN year(date_creation) = 1997 THEN montant * 2 ELSE montant END), 1) AS montant
+    """SELECT year(date_creation)::INTEGER AS annee, count(*) AS nb, round((sum(CASE WHEN year(date_creation) = 1997 THEN montant * 2 ELSE montant END))::DECIMAL(28,8), 1)::DOUBLE AS montant
     FROM tickets GROUP BY 1""",
     digits=1,
 )

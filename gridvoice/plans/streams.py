@@ -44,7 +44,7 @@ _RATIO = f"volume / ({PER_DAY} / 24.0::DOUBLE)"
 
 @query(
     "st1_stream_hourly_load",
-    f"""SELECT strftime(heure, '%Y-%m-%d %H:%M:%S') AS heure, volume, round({_RATIO}, 2) AS ratio_baseline,
+    f"""SELECT strftime(heure, '%Y-%m-%d %H:%M:%S') AS heure, volume, round(({_RATIO})::DECIMAL(28,8), 2)::DOUBLE AS ratio_baseline,
       CASE WHEN {_RATIO} >= 10 THEN 'CRISE' WHEN {_RATIO} >= 5 THEN 'CRITIQUE' WHEN {_RATIO} >= 2 THEN 'ELEVE' ELSE 'NORMAL' END AS niveau_charge,
       {_RATIO} >= 5 AS mode_degrade, CASE WHEN {_RATIO} >= 10 THEN 3 WHEN {_RATIO} >= 5 THEN 2 WHEN {_RATIO} >= 2 THEN 1 ELSE 0 END AS niveau_degrade
     FROM hours WHERE heure + INTERVAL 1 HOUR <= (SELECT limite FROM closed)""",
