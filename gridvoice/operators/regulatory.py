@@ -117,7 +117,7 @@ def alerts(kpis: DataFrame) -> DataFrame:
         F.lit("SAIDI_DEPASSE").alias("type_alerte"),
         yearly.alias("valeur_mesuree"),
         F.lit(limit).alias("seuil_legal"),
-        C.rounded(100 * (yearly - limit) / limit, 2).alias("depassement_pct"),
+        C.rounded(100 * (yearly - limit) / limit, 4).alias("depassement_pct"),
     )
     # A zero rate counts as unmeasured, as a null one does.
     low = kpis.filter((rate != 0) & (rate < D.CONNECTION_RATE_MIN)).select(
@@ -125,7 +125,7 @@ def alerts(kpis: DataFrame) -> DataFrame:
         F.lit("DELAI_RACCORDEMENT_DEPASSE").alias("type_alerte"),
         rate.alias("valeur_mesuree"),
         F.lit(D.CONNECTION_RATE_MIN).alias("seuil_legal"),
-        C.rounded(100 * (D.CONNECTION_RATE_MIN - rate) / D.CONNECTION_RATE_MIN, 2).alias("depassement_pct"),
+        C.rounded(100 * (D.CONNECTION_RATE_MIN - rate) / D.CONNECTION_RATE_MIN, 4).alias("depassement_pct"),
     )
     return saidi.unionByName(low)
 

@@ -106,12 +106,11 @@ def compliance_flags(t):
 
 @query(
     "p35_compliance_alerts",
-    """SELECT region, departement, 'SAIDI_DEPASSE' AS type_alerte, round(saidi_minutes * 365, 2) AS valeur_mesuree, 60.0::DOUBLE AS seuil_legal,
-      round(100 * (saidi_minutes * 365 - 60) / 60, 2) AS depassement_pct FROM legal WHERE saidi_minutes * 365 > 60
+    """SELECT region, departement, 'SAIDI_DEPASSE' AS type_alerte, round(saidi_minutes * 365, 4) AS valeur_mesuree, 60.0::DOUBLE AS seuil_legal,
+      round(100 * (saidi_minutes * 365 - 60) / 60, 4) AS depassement_pct FROM legal WHERE saidi_minutes * 365 > 60
     UNION ALL SELECT region, departement, 'DELAI_RACCORDEMENT_DEPASSE', taux_respect_delai_raccordement, 90.0,
-      round((100 * (90.0 - taux_respect_delai_raccordement) / 90.0::DOUBLE)::DECIMAL(28,8), 2)::DOUBLE FROM legal
+      round(100 * (90.0 - taux_respect_delai_raccordement) / 90.0::DOUBLE, 4) FROM legal
       WHERE taux_respect_delai_raccordement <> 0 AND taux_respect_delai_raccordement < 90""",
-    digits=2,
 )
 def compliance_alerts(t):
     return regulatory.alerts(legal(t))
