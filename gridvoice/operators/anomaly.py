@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridvoice.functions import columns as C
-from gridvoice.functions.skew import attach_group_stats, exact_quantiles
+from gridvoice.functions.skew import exact_quantiles
 
 # Fixed order of severities in reports.
 SEVERITY_ORDER = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
@@ -20,9 +20,14 @@ def daily_counts(df: DataFrame, key: str = "region") -> DataFrame:
 
 
 def with_mean_and_deviation(daily: DataFrame, key: str = "region") -> DataFrame:
-    """Mean and sample deviation of the daily counts on each day (joined back, not windowed)."""
-    return attach_group_stats(
-        daily, [key], moyenne=F.avg("nb_reclamations"), ecart_type=F.stddev("nb_reclamations")
+    """Mean and sample deviation of the daily counts on each day.
+
+    There is one row per key and day, so the window's groups are bounded by the
+    number of days and the complaints are scanned only once.
+    """
+    group = W.partitionBy(key)
+    return daily.withColumns(
+        {"moyenne": F.avg("nb_reclamations").over(group), "ecart_type": F.stddev("nb_reclamations").over(group)}
     )
 
 
@@ -257,9 +262,13 @@ def report(anomalies: DataFrame) -> DataFrame:
     )
 
 
-def seven_day_peaks(df: DataFrame, volume: str = "nb_reclamations_zone_jour", zone: str = "region", days: int = 7) -> DataFrame:
+def seven_day_peaks(
+    df: DataFrame, volume: str = "nb_reclamations_zone_jour", zone: str = "region", days: int = 7
+) -> DataFrame:
     """Rolling mean and deviation of the zone-day volume over the rows of the last ``days`` days.
 
+    The volume is the number of rows of the zone and day, unless ``df`` has it already.
+
     The frame is a range of seconds over all rows of a zone. Rows are first counted
     per zone and second, then each second is laid on its own period and the next
     one: a period and its predecessor cover every frame, so the window runs per
@@ -267,7 +276,13 @@ def seven_day_peaks(df: DataFrame, volume: str = "nb_reclamations_zone_jour", zo
     """
     span = days * 86400
     second = F.unix_timestamp("date_creation")
-    per_second = df.groupBy(zone, second.alias("_s"), F.col(volume).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    if volume in df.columns:
+        per_second = df.groupBy(zone, second.alias("_s"), F.col(volume).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        per_second = df.groupBy(zone, second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+        # At most one row per second of the day in a group.
+        of_day = W.partitionBy(zone, F.floor(F.col("_s") / 86400))
+        per_second = per_second.withColumn("_v", F.sum("_n").over(of_day))
     per_second = per_second.withColumn("_p", F.floor(F.col("_s") / span))
     laid = per_second.withColumn("_part", F.explode(F.array(F.col("_p"), F.col("_p") + 1)))
     frame = W.partitionBy(zone, "_part").orderBy("_s").rangeBetween(-span, 0)
@@ -290,7 +305,10 @@ def seven_day_peaks(df: DataFrame, volume: str = "nb_reclamations_zone_jour", zo
             ).alias("ecart_type_7j"),
         )
     )
-    on = df[zone].eqNullSafe(F.col("_zone")) & (second == F.col("_at")) & (F.col(volume) == F.col("_vol"))
-    joined = df.join(stats, on).drop("_zone", "_at", "_vol")
+    on = df[zone].eqNullSafe(F.col("_zone")) & (second == F.col("_at"))
+    if volume in df.columns:
+        joined = df.join(stats, on & (F.col(volume) == F.col("_vol"))).drop("_zone", "_at", "_vol")
+    else:
+        joined = df.join(stats, on).drop("_zone", "_at").withColumnRenamed("_vol", volume)
     peak = F.col(volume) > F.col("moyenne_7j") + 2 * F.col("ecart_type_7j")
     return joined.withColumn("est_anomalie_statistique", F.coalesce(peak, F.lit(False)))

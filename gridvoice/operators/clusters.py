@@ -31,7 +31,7 @@ def open_outages(complaints: DataFrame, run_date: str | None = None) -> DataFram
 
 
 def clusters(outages: DataFrame, min_clients: int = D.CLUSTER_MIN_CLIENTS) -> DataFrame:
-    """Windows with enough distinct clients, with counts and time span.
+    """Windows with enough distinct clients, with counts and time span. Complaint ids are unique.
 
     Member ids are kept as rows (see :func:`members`), never as an array: a storm
     window may hold a large share of all complaints.
@@ -40,7 +40,7 @@ def clusters(outages: DataFrame, min_clients: int = D.CLUSTER_MIN_CLIENTS) -> Da
         outages.groupBy(*CLUSTER)
         .agg(
             F.count_distinct("client_id").alias("nb_clients"),
-            F.count_distinct("id_reclamation").alias("nb_reclamations"),
+            F.count(F.lit(1)).alias("nb_reclamations"),
             F.min("date_creation").alias("debut_incident"),
             F.max("date_creation").alias("fin_periode"),
         )

@@ -96,7 +96,7 @@ SHIFT_DAY = "2024-01-16"
     + " SELECT type_reclamation, total_today, round(avg_total, 4) AS avg_total, round(std_total, 4) AS std_total, round(z_score, 4) AS z_score FROM shift",
 )
 def type_volume_shift(t):
-    return anomaly.type_volume_shift(t.daily_kpi, SHIFT_DAY)
+    return anomaly.type_volume_shift(t.kept("daily_kpi"), SHIFT_DAY)
 
 
 # The complaints are dense enough for one month, not for one day: durations are
@@ -176,8 +176,9 @@ register_sql_view(
 
 
 def kpi_gaps(t):
+    """Daily KPIs with two regions missing on one day; stored, as several detectors read them."""
     gap = (F.col("date_calcul") == F.lit(KPI_DAY).cast("date")) & F.col("region").isin("ASIA", "EUROPE")
-    return t.daily_kpi.filter(~gap)
+    return t.kept("daily_kpi").filter(~gap)
 
 
 @query("j08_missing_regions", _MISSING)
@@ -256,9 +257,7 @@ def severity_order(t):
     SELECT id_reclamation, round(m, 4) AS moyenne_7j, round(e, 4) AS ecart_type_7j, coalesce(nb > m + 2 * e, FALSE) AS est_anomalie_statistique FROM w""",
 )
 def seven_day_peaks(t):
-    df = t.tickets.withColumn("jour", F.to_date("date_creation"))
-    df = enrich.with_group_volume(df, ["region", "jour"], "nb_reclamations_zone_jour")
-    return anomaly.seven_day_peaks(df).select(
+    return anomaly.seven_day_peaks(t.tickets).select(
         "id_reclamation", "moyenne_7j", "ecart_type_7j", "est_anomalie_statistique"
     )
 

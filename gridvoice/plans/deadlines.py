@@ -221,18 +221,23 @@ def kpi_sla(t):
     return kpi.sla_rates(closed_durations(t))
 
 
-@query(
-    "j05_kpi_merge",
-    f"""WITH v AS ({_VOLUMES}), d AS ({_DELAYS}), s AS ({_RATES})
+_MERGED = f"""WITH v AS ({_VOLUMES}), d AS ({_DELAYS}), s AS ({_RATES})
     SELECT region, type_reclamation, nombre_reclamations, nombre_ouvertes, nombre_cloturees, duree_moyenne_traitement,
       duree_mediane_traitement, delai_moyen_premiere_reponse_heures, taux_respect_sla, nb_critiques, taux_critique, taux_escalade
-    FROM v FULL JOIN d USING (region, type_reclamation) FULL JOIN s USING (region, type_reclamation)""",
-)
+    FROM v FULL JOIN d USING (region, type_reclamation) FULL JOIN s USING (region, type_reclamation)"""
+
+
+@query("j05_kpi_merge", _MERGED)
 def kpi_merge(t):
     df = closed_durations(t)
     return kpi.merged(kpi.volumes(df), kpi.delays(df), kpi.sla_rates(df))
 
 
+@query("j05_kpi_single_scan", _MERGED)
+def kpi_single_scan(t):
+    return kpi.indicators(closed_durations(t))
+
+
 @query(
     "a12_sla_compliance",
     """SELECT region, type_reclamation, count(*) AS total_reclamations,

@@ -57,7 +57,8 @@ register_sql_view(
 
 
 def found(t):
-    return clusters.clusters(clusters.open_outages(t.event_tickets), MIN_CLIENTS)
+    """Clusters, written once: the incident steps below use them several times."""
+    return t.kept("clusters", lambda: clusters.clusters(clusters.open_outages(t.event_tickets), MIN_CLIENTS))
 
 
 def known_incidents(t):

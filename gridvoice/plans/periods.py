@@ -128,7 +128,7 @@ def _weekly(day: str) -> str:
 
 @query("a17_weekly_rollup", _weekly("2024-01-22"))
 def weekly_rollup(t):
-    return kpi.weekly(t.daily_kpi, "2024-01-22")
+    return kpi.weekly(t.kept("daily_kpi"), "2024-01-22")
 
 
 @query(
@@ -136,7 +136,7 @@ def weekly_rollup(t):
     f"""SELECT region, type_reclamation, total_reclamations, evolution_vs_semaine_precedente FROM ({_weekly('2024-01-08')})""",
 )
 def week_over_week(t):
-    return kpi.weekly(t.daily_kpi, "2024-01-08").select(
+    return kpi.weekly(t.kept("daily_kpi"), "2024-01-08").select(
         "region", "type_reclamation", "total_reclamations", "evolution_vs_semaine_precedente"
     )
 
@@ -149,7 +149,8 @@ def week_over_week(t):
     FROM s WHERE debut_semaine = (SELECT max(debut_semaine) FROM s) GROUP BY 1""",
 )
 def weekly_summary(t):
-    weeks = kpi.weekly(t.daily_kpi, "2024-01-15").unionByName(kpi.weekly(t.daily_kpi, "2024-01-22"))
+    daily = t.kept("daily_kpi")
+    weeks = kpi.weekly(daily, "2024-01-15").unionByName(kpi.weekly(daily, "2024-01-22"))
     return kpi.weekly_summary(weeks)
 
 
@@ -168,7 +169,7 @@ _MONTHLY = f"""SELECT 2000 AS annee, 7 AS mois, c.*,
 
 @query("a19_monthly_rollup", _MONTHLY)
 def monthly_rollup(t):
-    return kpi.monthly(kpi_history(t), "2000-08-01")
+    return kpi.monthly(t.kept("kpi_history", lambda: kpi_history(t)), "2000-08-01")
 
 
 @query(
@@ -178,7 +179,8 @@ def monthly_rollup(t):
     FROM ({_MONTHLY}) GROUP BY 1, 2""",
 )
 def monthly_sla_report(t):
-    return kpi.monthly_sla_report(kpi.monthly(kpi_history(t), "2000-08-01"), "2000-07")
+    months = kpi.monthly(t.kept("kpi_history", lambda: kpi_history(t)), "2000-08-01")
+    return kpi.monthly_sla_report(months, "2000-07")
 
 
 @query(

@@ -62,11 +62,12 @@ def continuity(t):
 
 def legal(t):
     timed = enrich.with_elapsed(t.tickets, AS_OF)
+    consolidated_table = t.kept("consolidated", lambda: consolidated(t))
     return regulatory.with_legal_columns(
-        continuity(t),
+        regulatory.continuity(consolidated_table, t.tickets, AS_OF, RUN),
         regulatory.connection_delays(sla.detail(t.tickets, "RACCORDEMENT_RESEAU", AS_OF)),
         regulatory.commissioning_delays(timed, "2000-01-01", RUN),
-        regulatory.founded_complaints(consolidated(t)),
+        regulatory.founded_complaints(consolidated_table),
     )
 
 
@@ -164,7 +165,8 @@ register_sql_view(
 
 
 def region_weather(t):
-    return weather.worst_per_region(weather.classify(t.weather))
+    """One row per region and day, stored because the baseline and the day's conditions both read it."""
+    return t.kept("region_weather", lambda: weather.worst_per_region(weather.classify(t.weather)))
 
 
 @query(
@@ -202,7 +204,7 @@ def day_class(t):
       AND coalesce(vigilance_meteo, 'VERTE') NOT IN ('ORANGE', 'ROUGE') GROUP BY 1""",
 )
 def calm_day_baseline(t):
-    return weather.outage_baseline(t.daily_kpi, region_weather(t), IMPACT_DAY)
+    return weather.outage_baseline(t.kept("daily_kpi"), region_weather(t), IMPACT_DAY)
 
 
 @query(
@@ -211,7 +213,7 @@ def calm_day_baseline(t):
       type_phenomene, classification_jour FROM impacts""",
 )
 def weather_impact(t):
-    return weather.impact(t.daily_kpi, region_weather(t), IMPACT_DAY)
+    return weather.impact(t.kept("daily_kpi"), region_weather(t), IMPACT_DAY)
 
 
 @query(
@@ -220,7 +222,7 @@ def weather_impact(t):
 )
 def weather_report(t):
     conditions = region_weather(t)
-    return weather.report(weather.impact(t.daily_kpi, conditions, IMPACT_DAY), conditions, IMPACT_DAY)
+    return weather.report(weather.impact(t.kept("daily_kpi"), conditions, IMPACT_DAY), conditions, IMPACT_DAY)
 
 
 @query(

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from gridvoice.functions.domains import NOTICE_SLA, TYPES
 from gridvoice.functions.skew import broadcast_if_small
+from gridvoice.sources.scratch import materialise
 
 # Schemas already read from file footers, by path: a second read of a table starts no job.
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -43,6 +44,7 @@ class Tables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._kept: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.directory}/{name}.parquet"
@@ -50,6 +52,12 @@ class Tables:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
+    def kept(self, name: str, build=None) -> DataFrame:
+        """A derived frame (``build()``, or the attribute ``name``) written once per instance."""
+        if name not in self._kept:
+            self._kept[name] = materialise(build() if build else getattr(self, name), name)
+        return self._kept[name]
+
     # ---- complaints from orders -------------------------------------------------
 
     @cached_property

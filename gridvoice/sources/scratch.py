@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -25,3 +25,14 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once and read it back.
+
+    For small results that several branches of a query use: the inputs are scanned
+    once, and a lost executor costs no recomputation of the branches.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import Path
 
@@ -90,13 +91,17 @@ def main(argv):
     spark, con = session(), duck(directory)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
-    for name, fn in queries.items():
-        if prefixes and not name.startswith(prefixes):
-            continue
+    names = [n for n in queries if not prefixes or n.startswith(prefixes)]
+
+    def check(name):
         try:
-            ok, rows, spent, note = compare(spark, con, name, fn, oracles.get(name), directory)
+            return compare(spark, con.cursor(), name, queries[name], oracles.get(name), directory)
         except Exception as exc:  # report every failing query, then go on
-            ok, rows, spent, note = False, -1, 0.0, f"{type(exc).__name__}: {str(exc)[:600]}"
+            return False, -1, 0.0, f"{type(exc).__name__}: {str(exc)[:600]}"
+
+    with ThreadPoolExecutor(4) as pool:
+        outcomes = list(pool.map(check, names))
+    for name, (ok, rows, spent, note) in zip(names, outcomes):
         bad += not ok
         print(f"{'ok ' if ok else 'BAD'} {name:45s} rows={rows:<7d} {spent:5.1f}s {note}", flush=True)
     print("failures:", bad)
