@@ -122,6 +122,7 @@ def nearest_point(
     keys: Sequence[str],
     point_id: str,
     cell: float = 0.5,
+    unit: float = 1.0,
 ) -> DataFrame:
     """Nearest point of the same key for each distinct (key, latitude, longitude) site.
 
@@ -129,8 +130,8 @@ def nearest_point(
     only hold the nearest point if its closest corner is no farther than the
     farthest corner of the best cell. Points are then read for those cells only,
     so the number of compared rows follows the local density, not the size of the
-    key group. Cell counts are bounded by the covered area. Ties go to the
-    smallest ``point_id``. Distances are in degrees.
+    key group. Cell counts are bounded by the covered area. The distance is in
+    degrees times ``unit``; ties in that unit go to the smallest ``point_id``.
     """
     keys = list(keys)
 
@@ -163,9 +164,9 @@ def nearest_point(
         *keys,
         "latitude",
         "longitude",
-        F.struct(F.sqrt(dlat * dlat + dlon * dlon).alias("d"), F.col(point_id).alias("id")).alias("_c"),
+        F.struct((F.sqrt(dlat * dlat + dlon * dlon) * unit).alias("d"), F.col(point_id).alias("id")).alias("_c"),
     )
     nearest = compared.groupBy(*keys, "latitude", "longitude").agg(F.min("_c").alias("_c"))
     return nearest.select(
-        *keys, "latitude", "longitude", F.col("_c.id").alias(point_id), F.col("_c.d").alias("distance_degres")
+        *keys, "latitude", "longitude", F.col("_c.id").alias(point_id), F.col("_c.d").alias("distance")
     )

@@ -43,7 +43,7 @@ def link_nearest_incident(
     known = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     sites = placed.filter(known).select(*keys, "latitude", "longitude").distinct()
     points = active.filter(known).groupBy(*keys, "latitude", "longitude").agg(F.min("id_incident").alias("id_incident"))
-    nearest = nearest_point(sites, points, keys, "id_incident", cell)
+    nearest = nearest_point(sites, points, keys, "id_incident", cell, C.KM_PER_DEGREE)
     anyone = active.groupBy(*keys).agg(F.min("id_incident").alias("_any"))
     return (
         placed.join(nearest, [*keys, "latitude", "longitude"], "left")
@@ -51,7 +51,7 @@ def link_nearest_incident(
         .select(
             *complaints.columns,
             F.coalesce("id_incident", "_any").alias("incident_lie"),
-            (F.col("distance_degres") * C.KM_PER_DEGREE).alias("distance_incident_km"),
+            F.col("distance").alias("distance_incident_km"),
         )
     )
 

@@ -137,7 +137,7 @@ def with_compliance(kpis: DataFrame) -> DataFrame:
     reasons = [
         F.when(
             yearly > D.SAIDI_MAX_MINUTES_PER_YEAR,
-            F.format_string(f"SAIDI annualisé=%.2fmin > seuil={D.SAIDI_MAX_MINUTES_PER_YEAR}min", yearly),
+            F.format_string(f"SAIDI annualisé=%.4fmin > seuil={D.SAIDI_MAX_MINUTES_PER_YEAR}min", yearly),
         ),
         F.when((rate != 0) & (rate < D.CONNECTION_RATE_MIN), F.format_string("Taux raccordement=%.2f%% < 90%%", rate)),
     ]

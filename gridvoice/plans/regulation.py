@@ -50,7 +50,7 @@ register_sql_view(
 register_sql_view(
     "judged",
     """SELECT *, concat_ws('; ',
-        CASE WHEN saidi_minutes * 365 > 60 THEN printf('SAIDI annualisé=%.2fmin > seuil=60min', saidi_minutes * 365) END,
+        CASE WHEN saidi_minutes * 365 > 60 THEN printf('SAIDI annualisé=%.4fmin > seuil=60min', saidi_minutes * 365) END,
         CASE WHEN taux_respect_delai_raccordement <> 0 AND taux_respect_delai_raccordement < 90
           THEN printf('Taux raccordement=%.2f%% < 90%%', taux_respect_delai_raccordement) END) AS motifs FROM legal""",
 )

@@ -224,7 +224,7 @@ def test_weather_only_replaces_defaults_and_takes_the_worst(spark):
 def test_compliance_reasons(spark):
     df = spark.createDataFrame([("A", "1", 1.0, 80.0), ("A", "2", 0.1, 95.0), ("A", "3", None, None), ("A", "4", 0.0, 0.0)], "region string, departement string, saidi_minutes double, taux_respect_delai_raccordement double")
     got = {r.departement: (r.conforme_cre, r.motif_non_conformite) for r in regulatory.with_compliance(df).collect()}
-    assert got["1"] == (False, "SAIDI annualisé=365.00min > seuil=60min; Taux raccordement=80.00% < 90%")
+    assert got["1"] == (False, "SAIDI annualisé=365.0000min > seuil=60min; Taux raccordement=80.00% < 90%")
     assert got["2"] == got["3"] == got["4"] == (True, None)
     assert regulatory.alerts(df).count() == 2
 

@@ -41,7 +41,7 @@ def test_nearest_point(spark, cell):
         points.setdefault(place, i)
     s = spark.createDataFrame(list(sites), "z string, latitude double, longitude double")
     p = spark.createDataFrame([(*k, i) for k, i in points.items()], "z string, latitude double, longitude double, id int")
-    got = {(r.z, r.latitude, r.longitude): (r.distance_degres, r.id) for r in skew.nearest_point(s, p, ["z"], "id", cell).collect()}
+    got = {(r.z, r.latitude, r.longitude): (r.distance, r.id) for r in skew.nearest_point(s, p, ["z"], "id", cell).collect()}
     for z, lat, lon in sites:
         best = min((math.sqrt((lat - a) ** 2 + (lon - b) ** 2), i) for (q, a, b), i in points.items() if q == z)
         assert got[(z, lat, lon)][1] == best[1]
