@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridvoice.functions import columns as C
@@ -62,22 +63,27 @@ def with_group_volume(df: DataFrame, keys: Sequence[str], name: str) -> DataFram
 
 
 def with_sequence_number(df: DataFrame, key: str, at: str, tie: str, name: str) -> DataFrame:
-    """1-based rank of each row of ``key`` by time.
+    """1-based rank of each row of ``key`` by time, then by ``tie``.
 
-    Ranks inside a day are offset by the running count of earlier days, so a busy
-    key is spread over its days instead of being sorted in one task.
+    Rows are counted per second; running counts of earlier days and of earlier
+    seconds of the day give each second its offset, and only the rows of one second
+    are ordered. A busy key is thus spread over its seconds.
     """
-    from pyspark.sql import Window as W
-
-    day = F.to_date(at)
-    per_day = df.groupBy(F.col(key).alias("_k"), day.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_day.select(
-        "_k", "_d", (F.sum("_n").over(W.partitionBy("_k").orderBy("_d")) - F.col("_n")).alias("_before")
+    second, day = F.unix_timestamp(at), F.floor(F.col("_s") / 86400)
+    per_second = df.groupBy(F.col(key).alias("_k"), second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    per_second = per_second.withColumn("_d", day)
+    per_day = per_second.groupBy(F.col("_k").alias("_dk"), F.col("_d").alias("_dd")).agg(F.sum("_n").alias("_dn"))
+    earlier_days = F.sum("_dn").over(W.partitionBy("_dk").orderBy("_dd")) - F.col("_dn")
+    per_day = per_day.select("_dk", "_dd", earlier_days.alias("_days"))
+    earlier_seconds = F.sum("_n").over(W.partitionBy("_k", "_d").orderBy("_s")) - F.col("_n")
+    offsets = (
+        per_second.withColumn("_seconds", earlier_seconds)
+        .join(per_day, F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd")))
+        .select("_k", "_s", (F.col("_days") + F.col("_seconds")).alias("_before"))
     )
-    in_day = F.row_number().over(W.partitionBy(key, day).orderBy(at, tie))
-    ranked = df.withColumn("_r", in_day)
-    joined = ranked.join(offsets, ranked[key].eqNullSafe(F.col("_k")) & day.eqNullSafe(F.col("_d")))
-    return joined.withColumn(name, F.col("_r") + F.col("_before")).drop("_r", "_k", "_d", "_before")
+    ranked = df.withColumn("_r", F.row_number().over(W.partitionBy(key, second).orderBy(at, tie)))
+    joined = ranked.join(offsets, ranked[key].eqNullSafe(F.col("_k")) & second.eqNullSafe(F.col("_s")))
+    return joined.select(*df.columns, (F.col("_r") + F.col("_before")).alias(name))
 
 
 def with_partition_columns(df: DataFrame, at: str = "date_creation") -> DataFrame:
