@@ -121,7 +121,7 @@ def nearest_point(
     points: DataFrame,
     keys: Sequence[str],
     point_id: str,
-    cell: float = 0.5,
+    cell: float = 0.25,
     unit: float = 1.0,
 ) -> DataFrame:
     """Nearest point of the same key for each distinct (key, latitude, longitude) site.
@@ -160,13 +160,20 @@ def nearest_point(
     reachable = candidates.drop("_lower", "_upper", "_best").join(points_g, [*keys, "_px", "_py"])
     dlat = F.col("latitude") - F.col("_plat")
     dlon = F.col("longitude") - F.col("_plon")
-    compared = sites_g.join(reachable, [*keys, "_sx", "_sy"]).select(
-        *keys,
-        "latitude",
-        "longitude",
-        F.struct((F.sqrt(dlat * dlat + dlon * dlon) * unit).alias("d"), F.col(point_id).alias("id")).alias("_c"),
+    between = F.sqrt(dlat * dlat + dlon * dlon) * unit
+    site = [*keys, "latitude", "longitude"]
+    # Two passes over fixed-width values (hash aggregation, nothing sorted): the
+    # smallest distance of each site, then the smallest id at that distance.
+    best = (
+        sites_g.join(reachable, [*keys, "_sx", "_sy"])
+        .select(*site, between.alias("_d"))
+        .groupBy(*site)
+        .agg(F.min("_d").alias("distance"))
     )
-    nearest = compared.groupBy(*keys, "latitude", "longitude").agg(F.min("_c").alias("_c"))
-    return nearest.select(
-        *keys, "latitude", "longitude", F.col("_c.id").alias(point_id), F.col("_c.d").alias("distance")
+    return (
+        gridded(best, "_s")
+        .join(reachable, [*keys, "_sx", "_sy"])
+        .filter(between == F.col("distance"))
+        .groupBy(*site, "distance")
+        .agg(F.min(point_id).alias(point_id))
     )

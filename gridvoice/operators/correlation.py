@@ -13,7 +13,7 @@ LOOK_BACK_DAYS = 180
 
 
 def link_nearest_incident(
-    complaints: DataFrame, incidents: DataFrame, days: int = 3, cell: float = 0.5
+    complaints: DataFrame, incidents: DataFrame, days: int = 3, cell: float = 0.25
 ) -> DataFrame:
     """Closest incident of the region active at the complaint's creation, with its distance in km.
 
