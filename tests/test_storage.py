@@ -142,3 +142,11 @@ def test_scratch_uses_the_configured_folder(spark):
     root = scratch.shared_root(spark)
     assert root == (configured or spark.conf.get(scratch.SETTING))
     assert scratch.new_path(spark, "a") != scratch.new_path(spark, "a")
+
+
+@pytest.mark.parametrize("size,partitions", [(0, 8), (100 * 1024**2, 8), (100 * 1024**4, 200_000), (10 * 1024**4, 40_960)])
+def test_shuffle_partitions_follow_the_input(size, partitions):
+    from gridvoice import session
+
+    assert session.shuffle_partitions(size) == partitions
+    assert session.settings(size)["spark.sql.adaptive.skewJoin.enabled"] == "true"
