@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridvoice import layers
-from gridvoice.operators import enrich, kpi, merge
+from gridvoice.operators import enrich, kpi, merge, quality
 from gridvoice.plans.enrichment import gold_enriched
 from gridvoice.plans.periods import RUN, consolidated, kpi_history
 from gridvoice.plans.quality_checks import raw_tickets
@@ -103,18 +103,19 @@ _CONTRACT = {
 
 @query(
     "s07_schema_contract",
-    "SELECT colonne, CASE WHEN lu AND attendu THEN 'OK' WHEN lu THEN 'SUPPLEMENTAIRE' ELSE 'MANQUANTE' END AS etat FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS colonne, {'TRUE' if s != 'MANQUANTE' else 'FALSE'} AS lu, {'TRUE' if s != 'SUPPLEMENTAIRE' else 'FALSE'} AS attendu"
-        for c, s in _CONTRACT.items()
-    )
-    + ") WHERE (SELECT count(*) FROM customer) > 0",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS colonne, '{state}' AS etat, "
+        + ("NULL" if state == "MANQUANTE" else f"count(*) FILTER (WHERE {c} IS NULL)")
+        + " AS nb_nulls FROM customer"
+        for c, state in _CONTRACT.items()
+    ),
 )
 def schema_contract(t):
+    """State of each declared or present column, with the missing values of the present ones."""
     expected = T.StructType.fromDDL("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_phone STRING")
     customers = t.raw("customer")
     report = readers.contract_report(customers, expected).select("colonne", "etat")
-    return report if not customers.isEmpty() else report.limit(0)
+    return report.join(quality.null_profile(customers).select("colonne", "nb_nulls"), "colonne", "left")
 
 
 @query("s08_lineage", "SELECT 'orders.parquet' AS source_file, TRUE AS date_connue, count(*) AS nb FROM orders")
@@ -306,9 +307,12 @@ def target_columns(t):
     return merge.matching_columns(t.complaints, target)
 
 
-@query("s25_empty_clone", "SELECT * FROM (SELECT id_reclamation, client_id, statut FROM tickets) WHERE 1 = 0")
+@query("s25_empty_clone", "SELECT statut, count(*) AS nb FROM tickets GROUP BY 1")
 def empty_clone(t):
-    return merge.empty_like(t.complaints.select("id_reclamation", "client_id", "statut"))
+    """Clone the structure, then fill the clone with the rows it lacks: all of them."""
+    rows = t.complaints.select("id_reclamation", "client_id", "statut")
+    filled = merge.insert_if_absent(merge.empty_like(rows), rows, ["id_reclamation"])
+    return filled.groupBy("statut").agg(F.count(F.lit(1)).alias("nb"))
 
 
 @query(
