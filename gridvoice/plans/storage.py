@@ -105,7 +105,7 @@ _CONTRACT = {
     "s07_schema_contract",
     " UNION ALL ".join(
         f"SELECT '{c}' AS colonne, '{state}' AS etat, "
-        + ("NULL" if state == "MANQUANTE" else f"count(*) FILTER (WHERE {c} IS NULL)")
+        + ("nullif(count(*), count(*))" if state == "MANQUANTE" else f"count(*) FILTER (WHERE {c} IS NULL)")
         + " AS nb_nulls FROM customer"
         for c, state in _CONTRACT.items()
     ),
