@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridvoice.llm import shingles as S
-from gridvoice.llm.common import kept, slices
+from gridvoice.llm.common import broadcast_within, kept, slices
 from gridvoice.llm.components import components
 
 
@@ -293,3 +293,24 @@ def near_duplicates(
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Documents, with all their columns: one of each group of near duplicates, that with the smallest id.
+
+    Of rows that repeat an id one stays. Rows with a null id stay.
+    """
+    found = kept(near_duplicates(docs, settings), "duplicates")
+    gone = kept(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = broadcast_within(gone, gone.count(), 32)
+    again = kept(
+        found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"),
+        "again",
+    )
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    repeated = again.count()
+    if not repeated:
+        return left
+    again = broadcast_within(again, repeated, 32)
+    same = F.col("doc_id") == F.col("_again")
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))

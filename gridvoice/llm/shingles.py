@@ -19,6 +19,10 @@ _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _BLOCK = 1 << 16
 
 
+def symbol_values(size: int) -> np.ndarray:
+    return np.random.default_rng(0xA1FA).integers(1, 2**63, size, dtype=np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the 64 output bits (a bijection)."""
     x = x ^ (x >> np.uint64(30))
@@ -68,8 +72,11 @@ def words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE) -
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same wherever the word stands."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the same wherever the word stands.
+
+    ``values`` has a random odd number for each symbol; ``symbol_values`` makes it for other symbols than bytes.
+    """
     if not len(starts):
         return np.empty(0, np.uint64)
     total = np.empty(len(raw) + 1, np.uint64)
@@ -80,7 +87,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     with np.errstate(over="ignore"):
         for at in range(0, len(raw), _BLOCK):
             part = raw[at : at + _BLOCK]
-            total[at + 1 : at + 1 + len(part)] = _BYTE[part] * (_UP[: len(part)] * scale_up)
+            total[at + 1 : at + 1 + len(part)] = values[part] * (_UP[: len(part)] * scale_up)
             last = np.searchsorted(starts, at + len(part))
             down[first:last] = _DOWN[starts[first:last] - at] * scale_down
             first = last
