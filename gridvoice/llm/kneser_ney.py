@@ -28,10 +28,16 @@ START, OTHER = 0, 1
 
 @dataclass(frozen=True)
 class Settings:
-    """Quantile of the trusted documents that is still accepted, and the margin above it, as a factor."""
+    """Quantile of the trusted documents that is still accepted, and the margin above it, as a factor.
+
+    The mean over few characters scatters: below ``settled`` characters the threshold grows by the factor
+    ``exp(scatter * (1 / sqrt(n) - 1 / sqrt(settled)))``.
+    """
 
     quantile: float = 0.99
     margin: float = 1.05
+    settled: int = 256
+    scatter: float = 4.5
     #: Bins of the logarithm of the perplexity for the quantile, per unit.
     bins: int = 1000
 
@@ -210,7 +216,7 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """Per row: ``doc_id, lang, text_hash, n_chars_scored, perplexity, threshold, kept``.
 
     Trusted are all texts labelled ``quality = 1``. The threshold of a language is the accepted quantile of its trusted
-    documents times the margin; a language without trusted documents has that of all of them together. Without any
+    documents times the margin, higher for short texts; a language without trusted documents has that of all of them together. Without any
     trusted text the threshold is null and every text is kept. Null and empty texts have no perplexity and are not kept. A
     null language is a language of its own. Rows that repeat an id are each judged on their own text; labels that
     repeat an id count once, the best one. Other columns are ignored.
@@ -237,11 +243,14 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     )
     by_lang = _quantile(bins, settings, ["lang"])
     overall = _quantile(bins, settings, []).withColumnRenamed("threshold", "overall").select("overall")
+    short = F.greatest(
+        F.lit(0.0), 1 / F.sqrt(F.greatest(F.col("n_chars_scored"), F.lit(1))) - 1 / settings.settled**0.5
+    )
     limited = (
         scored.join(F.broadcast(by_lang), scored["lang"].eqNullSafe(by_lang["lang"]), "left")
         .drop(by_lang["lang"])
         .join(F.broadcast(overall), F.lit(True), "left")
-        .withColumn("threshold", F.coalesce("threshold", "overall"))
+        .withColumn("threshold", F.coalesce("threshold", "overall") * F.exp(settings.scatter * short))
     )
     fits = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return limited.select(

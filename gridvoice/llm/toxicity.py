@@ -1,12 +1,14 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
 1. The log-odds of a token between toxic and other labelled training texts, under a Dirichlet prior from the counts
-   of all documents, and its variance give a z-value. Tokens with a significant value score their log-odds, every other token costs
-   a little, so that a text without toxic tokens has a falling score.
+   of all documents, and its variance give a z-value. A text counts each of its tokens once, so a token repeated
+   in one text proves little. Tokens with a significant value score their log-odds, every other token costs a little, so
+   that a text without toxic tokens has a falling score.
 2. A linear scan finds all maximal segments: disjoint passages none of which can be made longer or shorter with a higher score.
 3. Under chance, the best segment of n tokens follows an extreme-value law. Its decay solves
    sum p exp(decay * score) = 1 over the tokens of the non-toxic training texts; a segment
-   of score s is expected K n exp(-decay s) times. A document's evidence is the sum over its significant segments.
+   of score s is expected E = K n exp(-decay s) times, so the chance of any is 1 - exp(-E). A document's evidence
+   is minus the logarithm of that chance, summed over its segments with E < 1, or of its best one if there are none.
 4. A logistic curve on the evidence, fitted on training labels, gives a score from 0 to 1.
 """
 
@@ -30,11 +32,11 @@ SEPARATOR = np.array([c < 0x80 and not (0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A)
 
 @dataclass(frozen=True)
 class Settings:
-    """Weight of the prior in tokens, least z-value of a scored token, cost of any other token, folds."""
+    """Weight of the prior as a share of the toxic counts, least z-value of a scored token, cost of any other token, folds."""
 
-    prior: float = 5000.0
-    z: float = 4.5
-    cost: float = 0.05
+    prior: float = 1.0
+    z: float = 3.0
+    cost: float = 0.1
     folds: int = 5
     bins: int = 400
 
@@ -53,9 +55,9 @@ def _tokens(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
-    """``(token, n, other, toxic)`` of ``rows(text, toxic)``: in all texts, in training texts labelled 0, and labelled 1.
+    """``(token, n, other, toxic)`` of ``rows(text, toxic)``: how many of all texts, of training texts labelled 0 and 1 have it.
 
-    Tasks sum the counts of a batch before the shuffle.
+    Tasks sum the counts of a slice before the shuffle.
     """
 
     def run(batches):
@@ -63,8 +65,11 @@ def token_counts(rows: DataFrame) -> DataFrame:
             for piece in slices(batch, "text", 8 << 20):
                 hashes, first = _tokens(piece)
                 label = piece.column("toxic").to_numpy(zero_copy_only=False).astype(float)
-                own = np.repeat(np.where(np.isnan(label), -1, label), np.diff(first))
+                rows_ = len(label)
+                text = np.repeat(np.arange(rows_), np.diff(first))
                 distinct, which = np.unique(hashes, return_inverse=True)
+                once = np.unique(which * rows_ + text)
+                which, own = once // max(rows_, 1), np.where(np.isnan(label), -1, label)[once % max(rows_, 1)]
                 columns = [
                     np.bincount(which, weights, len(distinct)).astype(np.int64) for weights in (None, own == 0, own == 1)
                 ]
@@ -85,9 +90,10 @@ def log_odds(counts: DataFrame, settings: Settings) -> DataFrame:
     n, other, toxic = (float(x or 0) for x in total)
     if not other or not toxic:
         return counts.select("token", F.lit(0.0).alias("weight"), "other", "toxic").limit(0)
-    prior = F.col("n") * (settings.prior / n)
+    whole = settings.prior * toxic
+    prior = F.col("n") * (whole / n)
     a, b = F.col("toxic") + prior, F.col("other") + prior
-    weight = F.log(a / (toxic + settings.prior - a)) - F.log(b / (other + settings.prior - b))
+    weight = F.log(a / (toxic + whole - a)) - F.log(b / (other + whole - b))
     z = weight / F.sqrt(1 / a + 1 / b)
     return (
         counts.filter("toxic > 0 OR other > 0")
@@ -135,6 +141,14 @@ def segments(at: np.ndarray, gain: np.ndarray, level: np.ndarray) -> list[tuple[
     return [(int(a), int(b), after - left) for a, b, left, after, _ in found]
 
 
+def _surprise(log_expected: float) -> float:
+    """Minus the logarithm of the chance of at least one, if exp(log_expected) are expected."""
+    if log_expected < -30:
+        return -log_expected
+    chance = -math.expm1(-math.exp(min(log_expected, 30)))
+    return -math.log(chance) + 0.0
+
+
 def passages(docs: DataFrame, shared, settings: Settings) -> DataFrame:
     """Adds ``n_tokens``, ``evidence`` and ``passages (first, last, score)`` to rows with ``text``, which is dropped."""
     rest = [f for f in docs.schema.fields if f.name != "text"]
@@ -162,7 +176,8 @@ def passages(docs: DataFrame, shared, settings: Settings) -> DataFrame:
                     all_of = segments(own - first[d], value[own], level[own] - level[first[d]]) if len(own) else []
                     limit = math.log(max(k * n, 1e-9))
                     significant = [s for s in all_of if decay * s[2] > limit]
-                    evidence.append(sum(decay * s[2] - limit for s in significant))
+                    counted = significant or sorted(all_of, key=lambda s: s[2])[-1:]
+                    evidence.append(sum(_surprise(limit - decay * s[2]) for s in counted))
                     found.append([{"first": a, "last": b, "score": s} for a, b, s in significant])
                 yield pa.RecordBatch.from_arrays(
                     [
