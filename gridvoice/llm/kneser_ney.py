@@ -24,6 +24,7 @@ from gridvoice.llm.common import broadcast_within, kept, slices
 BITS, ORDER = 6, 4
 CLASSES = 1 << BITS
 START, OTHER = 0, 1
+LEAST_DISCOUNT = 0.05
 
 
 @dataclass(frozen=True)
@@ -105,7 +106,8 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Interpolated modified Kneser-Ney.
 
     ``(order, gram, p)`` for the n-grams seen, and ``(order, context, backoff)``. The highest order uses counts, the lower
-    ones the number of different characters before. A discount that the counts of counts do not give is 0.
+    ones the number of different characters before. A discount that the counts of counts do not give is a small one, so
+    that unseen characters keep some probability.
     """
     shift = 1 << BITS
     by_order = {ORDER: counts}
@@ -120,7 +122,7 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         n1, n2, n3, n4 = (float(x or 0) for x in grams.agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).first())
         y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.0
         steps = [k - (k + 1) * y * b / a if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        d1, d2, d3 = (min(max(d, 0.0), k * 0.95) for k, d in enumerate(steps, 1))
+        d1, d2, d3 = (min(max(d, LEAST_DISCOUNT), k * 0.95) for k, d in enumerate(steps, 1))
         discount = F.when(F.col("n") == 1, F.lit(d1)).when(F.col("n") == 2, F.lit(d2)).otherwise(F.lit(d3))
         grams = grams.withColumn("discount", F.least(discount, F.col("n")))
         totals = grams.groupBy("context").agg(
