@@ -91,3 +91,8 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     lat1, lon1, lat2, lon2 = (F.radians(col(c)) for c in (lat1, lon1, lat2, lon2))
     half = F.pow(F.sin((lat2 - lat1) / 2), 2) + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin((lon2 - lon1) / 2), 2)
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(half))
+
+
+def zero_padded(text: Column, width: int) -> Column:
+    """``text`` with leading zeros up to ``width`` characters; longer text is not cut."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)

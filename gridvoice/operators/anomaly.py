@@ -116,22 +116,26 @@ def type_volume_anomalies(kpis: DataFrame, run_date: str) -> DataFrame:
     )
 
 
-def duration_bounds(df: DataFrame, run_date: str, days: int = 30) -> DataFrame:
-    """Exact quartiles per type over the complaints created in the last ``days`` days."""
-    since = F.date_sub(F.lit(run_date).cast("date"), days)
-    recent = df.filter((F.col("date_creation") >= since) & F.col("duree_traitement_heures").isNotNull())
+def duration_bounds(df: DataFrame, run_date: str | None = None, days: int = 30) -> DataFrame:
+    """Exact quartiles per type over the complaints created in the last ``days`` days, or over all of them."""
+    recent = df.filter(F.col("duree_traitement_heures").isNotNull())
+    if run_date is not None:
+        recent = recent.filter(F.col("date_creation") >= F.date_sub(F.lit(run_date).cast("date"), days))
     return exact_quantiles(recent, ["type_reclamation"], "duree_traitement_heures", {"q1": 0.25, "q3": 0.75}, 1.0)
 
 
-def duration_outliers(df: DataFrame, run_date: str, days: int = 30) -> DataFrame:
-    """Per type: durations created on the run date above Q3 + 3·IQR, or negative."""
+def duration_outliers(df: DataFrame, run_date: str | None = None, days: int = 30) -> DataFrame:
+    """Per type: durations created on the run date above Q3 + 3·IQR, or negative.
+
+    Without a date all complaints are checked against the quartiles of all of them.
+    """
     bounds = duration_bounds(df, run_date, days).select(
         "type_reclamation", (F.col("q3") + 3 * (F.col("q3") - F.col("q1"))).alias("borne")
     )
     duration = F.col("duree_traitement_heures")
-    today = df.filter(F.to_date("date_creation") == F.lit(run_date).cast("date"))
+    checked = df if run_date is None else df.filter(F.to_date("date_creation") == F.lit(run_date).cast("date"))
     return (
-        today.join(bounds, "type_reclamation")
+        checked.join(bounds, "type_reclamation")
         .filter((duration > F.col("borne")) | (duration < 0))
         .groupBy("type_reclamation", "borne")
         .agg(F.count(F.lit(1)).alias("nb"), F.min(duration).alias("min_heures"), F.max(duration).alias("max_heures"))
@@ -272,7 +276,8 @@ def seven_day_peaks(
     The frame is a range of seconds over all rows of a zone. Rows are first counted
     per zone and second, then each second is laid on its own period and the next
     one: a period and its predecessor cover every frame, so the window runs per
-    (zone, period) instead of one task per zone.
+    (zone, period) instead of one task per zone. The figures of a frame are a running total less
+    the running total before the frame begins, which is read at an empty row added there, so the cost is linear.
     """
     span = days * 86400
     second = F.unix_timestamp("date_creation")
@@ -285,17 +290,39 @@ def seven_day_peaks(
         per_second = per_second.withColumn("_v", F.sum("_n").over(of_day))
     per_second = per_second.withColumn("_p", F.floor(F.col("_s") / span))
     laid = per_second.withColumn("_part", F.explode(F.array(F.col("_p"), F.col("_p") + 1)))
-    frame = W.partitionBy(zone, "_part").orderBy("_s").rangeBetween(-span, 0)
-    n = F.sum("_n").over(frame)
-    total = F.sum(F.col("_n") * F.col("_v")).over(frame)
-    squares = F.sum(F.col("_n") * F.col("_v") * F.col("_v")).over(frame)
+    # odd places are rows, even ones the instants just before a frame begins
+    rows = laid.select(zone, "_part", "_s", (F.col("_s") * 2 + 1).alias("_o"), (F.col("_part") == F.col("_p")).alias("_own"), "_n", "_v")
+    begins = per_second.select(
+        zone,
+        F.col("_p").alias("_part"),
+        "_s",
+        ((F.col("_s") - span) * 2).alias("_o"),
+        F.lit(True).alias("_own"),
+        F.lit(0).cast("long").alias("_n"),
+        F.lit(None).cast("long").alias("_v"),
+    ).distinct()
+    upto = W.partitionBy(zone, "_part").orderBy("_o").rangeBetween(W.unboundedPreceding, 0)
+    volume_or_0 = F.coalesce(F.col("_v"), F.lit(0))
+    running = {
+        "_cn": F.sum("_n").over(upto),
+        "_ct": F.sum(F.col("_n") * volume_or_0).over(upto),
+        "_cq": F.sum(F.col("_n") * volume_or_0 * volume_or_0).over(upto),
+    }
+    is_row = F.col("_o") % 2 != 0
+
+    def within_frame(name: str) -> Column:
+        return (F.max(F.when(is_row, F.col(name))) - F.max(F.when(~is_row, F.col(name)))).alias(name)
+
     stats = (
-        laid.withColumns({"_cn": n, "_ct": total, "_cq": squares})
-        .filter(F.col("_part") == F.col("_p"))
+        rows.unionByName(begins)
+        .withColumns(running)
+        .filter("_own")
+        .groupBy(F.col(zone).alias("_zone"), F.col("_s").alias("_at"))
+        .agg(*[within_frame(c) for c in running], F.max("_v").alias("_vol"))
         .select(
-            F.col(zone).alias("_zone"),
-            F.col("_s").alias("_at"),
-            F.col("_v").alias("_vol"),
+            "_zone",
+            "_at",
+            "_vol",
             (F.col("_ct") / F.col("_cn")).alias("moyenne_7j"),
             F.sqrt(
                 F.greatest(
@@ -307,7 +334,7 @@ def seven_day_peaks(
     )
     on = df[zone].eqNullSafe(F.col("_zone")) & (second == F.col("_at"))
     if volume in df.columns:
-        joined = df.join(stats, on & (F.col(volume) == F.col("_vol"))).drop("_zone", "_at", "_vol")
+        joined = df.join(stats, on).drop("_zone", "_at", "_vol")
     else:
         joined = df.join(stats, on).drop("_zone", "_at").withColumnRenamed("_vol", volume)
     peak = F.col(volume) > F.col("moyenne_7j") + 2 * F.col("ecart_type_7j")

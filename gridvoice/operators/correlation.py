@@ -57,7 +57,10 @@ def link_nearest_incident(
 
 
 def enrich_with_meters(complaints: DataFrame, meters: DataFrame) -> DataFrame:
-    """Meter attributes and age at the complaint; complaints without a known meter keep nulls."""
+    """Meter attributes and age at the complaint; complaints without a known meter keep nulls.
+
+    Cleaning turns every invalid reference into a null. Those rows take no part in the join, so they are not one hot key.
+    """
     attributes = meters.select(
         "reference_linky",
         "type_compteur",
@@ -66,7 +69,9 @@ def enrich_with_meters(complaints: DataFrame, meters: DataFrame) -> DataFrame:
         "est_defectueux",
         "nombre_incidents",
     )
-    joined = complaints.join(attributes, "reference_linky", "left")
+    named = complaints.filter(F.col("reference_linky").isNotNull()).join(attributes, "reference_linky", "left")
+    nameless = complaints.filter(F.col("reference_linky").isNull())
+    joined = named.unionByName(nameless, allowMissingColumns=True)
     return joined.withColumn("anciennete_compteur_jours", F.datediff("date_creation", "date_installation"))
 
 

@@ -101,8 +101,8 @@ def with_meter_age(df: DataFrame) -> DataFrame:
 
 
 def normalise_meter_reference(ref: str | Column) -> Column:
-    """Digits of the reference, left-padded to five, behind ``LINKY_``; null stays null."""
-    return F.concat(F.lit("LINKY_"), F.lpad(F.regexp_extract(C.col(ref), "[0-9]+", 0), 5, "0"))
+    """Digits of the reference, left-padded to five and never cut, behind ``LINKY_``; null stays null."""
+    return F.concat(F.lit("LINKY_"), C.zero_padded(F.regexp_extract(C.col(ref), "[0-9]+", 0), 5))
 
 
 def repair_meter_reference(ref: str | Column, pattern: str = "^LINKY_[0-9]{5}$") -> Column:

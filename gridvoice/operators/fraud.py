@@ -159,17 +159,18 @@ def consumption_peaks(readings: DataFrame, meter: str = "numero_compteur", sigma
     return rows.filter(F.col("consommation_kwh") > F.col("moyenne") + sigma * F.col("ecart_type"))
 
 
-def twin_profiles(readings: DataFrame, as_of: str, days: int = 30, step: float = 50.0) -> DataFrame:
-    """Meters of one zone with the same daily profile over the last ``days`` days.
+def twin_profiles(readings: DataFrame, as_of: str | None = None, days: int | None = None, step: float = 50.0) -> DataFrame:
+    """Meters of one zone with the same daily profile, over all days or the last ``days`` days before ``as_of``.
 
     A profile is the set of (day, consumption in ``step`` kWh bands). It is reduced
     to an order-free fingerprint of two 64-bit hashes and a count, which merges on
-    the map side; groups of equal fingerprints replace a comparison of meter pairs.
+    the map side; groups of equal fingerprints replace a comparison of meter pairs. Equality
+    is then verified: a (day, band) of a group must be there as often as the group has meters, or
+    else the group is left out.
     """
-    until = F.lit(as_of).cast("date")
     band = F.floor(F.sum("consommation_kwh") / step)
     per_day = (
-        readings.filter((F.col("date_releve") > F.date_sub(until, days)) & (F.col("date_releve") <= until))
+        _last_days(readings, as_of, days)
         .groupBy("zone", "numero_compteur", "date_releve")
         .agg(band.alias("bande"))
     )
@@ -180,7 +181,22 @@ def twin_profiles(readings: DataFrame, as_of: str, days: int = 30, step: float =
     )
     key = ["zone", "nb_jours", "_h1", "_h2"]
     shared = profile.groupBy(*key).agg(F.count(F.lit(1)).alias("nb_compteurs"), F.min("numero_compteur").alias("premier_compteur"))
-    return (
-        profile.join(shared.filter(F.col("nb_compteurs") > 1), key)
-        .select("zone", "numero_compteur", "nb_jours", "nb_compteurs", "premier_compteur")
+    members = profile.join(shared.filter(F.col("nb_compteurs") > 1), key)
+    unequal = (
+        per_day.join(members.select("zone", "numero_compteur", *key[1:], "nb_compteurs"), ["zone", "numero_compteur"])
+        .groupBy(*key, "date_releve", "bande")
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("nb_compteurs").alias("_of"))
+        .filter(F.col("_n") != F.col("_of"))
+        .select(*key)
+        .distinct()
+    )
+    return members.join(unequal, key, "left_anti").select(
+        "zone", "numero_compteur", "nb_jours", "nb_compteurs", "premier_compteur"
     )
+
+
+def _last_days(readings: DataFrame, as_of: str | None, days: int | None) -> DataFrame:
+    if as_of is None or days is None:
+        return readings
+    until = F.lit(as_of).cast("date")
+    return readings.filter((F.col("date_releve") > F.date_sub(until, days)) & (F.col("date_releve") <= until))

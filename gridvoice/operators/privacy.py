@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridvoice.functions.skew import broadcast_if_small
 from gridvoice.operators import enrich
 
 DATE_PREFERENCES = ("date_creation", "export_date", "created_at", "run_date")
@@ -24,7 +25,10 @@ def pending_erasures(requests: DataFrame, batch: int = 100) -> DataFrame:
 
 
 def pseudonym(client: str | Column, run_date: str) -> Column:
-    """``SUPPRIME_`` and the first twelve hex digits of a salted SHA-256."""
+    """``SUPPRIME_`` and the first twelve hex digits of a salted SHA-256.
+
+    Twelve digits are the published format: 48 bits, so from some 16 million erased clients two are likely to share one.
+    """
     client = F.col(client) if isinstance(client, str) else client
     digest = F.sha2(F.concat(client.cast("string"), F.lit(f"_rgpd_{run_date}")), 256)
     return F.concat(F.lit("SUPPRIME_"), F.substring(digest, 1, 12))
@@ -47,10 +51,12 @@ def pseudonymise(df: DataFrame, requests: DataFrame, run_date: str) -> DataFrame
 def erasure_audit(tables: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     """Touched rows and tables per request. Tables without a client id are skipped.
 
+    Each table is first narrowed to the clients asked for, so only their rows are counted and moved.
     The list holds table names, so its length is bounded by the number of tables.
     """
+    asked = broadcast_if_small(requests.select("client_id").distinct())
     counts = [
-        df.groupBy("client_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("_table", F.lit(name))
+        df.join(asked, "client_id", "left_semi").groupBy("client_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("_table", F.lit(name))
         for name, df in tables.items()
         if "client_id" in df.columns
     ]
@@ -105,15 +111,22 @@ def split_archive(df: DataFrame, date_column: str, as_of: str, months: int = 12)
     return df.filter(old), df.filter(~old)
 
 
-def archive_check(df: DataFrame, date_column: str, as_of: str, months: int = 12) -> DataFrame:
-    """Archived, removed and kept row counts; copied must equal removed."""
-    old = F.coalesce(expired(date_column, as_of, months=months), F.lit(False))
-    total = F.count(F.lit(1))
-    return df.agg(
-        F.count_if(old).alias("archivees"),
-        (total - F.count_if(~old)).alias("supprimees"),
-        F.count_if(~old).alias("conservees"),
-    ).withColumn("coherent", F.col("archivees") == F.col("supprimees"))
+def archive_check(before: DataFrame, archived: DataFrame, after: DataFrame) -> DataFrame:
+    """Copied rows against rows gone from the table, each counted in what is really stored."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(*[(F.col("n") if k == i else F.lit(0)).alias(f"_{k}") for k in range(3)])
+        for i, df in enumerate((before, archived, after))
+    ]
+    return (
+        reduce(DataFrame.unionByName, counts)
+        .agg(*[F.sum(f"_{k}").alias(f"_{k}") for k in range(3)])
+        .select(
+            F.col("_1").alias("archivees"),
+            (F.col("_0") - F.col("_2")).alias("supprimees"),
+            F.col("_2").alias("conservees"),
+            (F.col("_1") == F.col("_0") - F.col("_2")).alias("coherent"),
+        )
+    )
 
 
 def overdue_requests(requests: DataFrame, as_of: str) -> DataFrame:

@@ -118,24 +118,14 @@ def exact_quartiles(t):
 
 @query(
     "a05_duration_outliers",
-    _BOUNDS.format("AND date_creation >= DATE '2001-07-20' - 3000")
+    _BOUNDS.format("")
     + """ SELECT type_reclamation, round(q3 + 3 * (q3 - q1), 4) AS borne, count(*) AS nb, round(min(duree_traitement_heures), 4) AS min_heures,
       round(max(duree_traitement_heures), 4) AS max_heures
     FROM timed JOIN q USING (type_reclamation)
     WHERE duree_traitement_heures > q3 + 3 * (q3 - q1) OR duree_traitement_heures < 0 GROUP BY 1, 2""",
 )
 def duration_outliers(t):
-    durations = enrich.with_durations(t.complaints)
-    bounds = anomaly.duration_bounds(durations, "2001-07-20", 3000).select(
-        "type_reclamation", (F.col("q3") + 3 * (F.col("q3") - F.col("q1"))).alias("borne")
-    )
-    duration = F.col("duree_traitement_heures")
-    return (
-        durations.join(bounds, "type_reclamation")
-        .filter((duration > F.col("borne")) | (duration < 0))
-        .groupBy("type_reclamation", "borne")
-        .agg(F.count(F.lit(1)).alias("nb"), F.min(duration).alias("min_heures"), F.max(duration).alias("max_heures"))
-    )
+    return anomaly.duration_outliers(enrich.with_durations(t.complaints))
 
 
 @query(

@@ -174,7 +174,7 @@ def meter_age(t):
 
 @query(
     "p38_normalised_reference",
-    """SELECT id_reclamation, 'LINKY_' || lpad(regexp_extract(reference_linky, '[0-9]+', 0), 5, '0') AS reference_normalisee
+    """SELECT id_reclamation, 'LINKY_' || lpad(regexp_extract(reference_linky, '[0-9]+', 0), greatest(5, length(regexp_extract(reference_linky, '[0-9]+', 0)))::INTEGER, '0') AS reference_normalisee
     FROM (SELECT id_reclamation, 'R-' || client_id AS reference_linky FROM tickets)""",
 )
 def normalised_reference(t):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridvoice.operators import monitoring, privacy
 from gridvoice.plans.registry import query
+from gridvoice.sources import scratch, sinks
 from gridvoice.sources.conform import EVENTS_AS_OF, register_sql_view
 
 RUN = "2001-08-02"
@@ -76,10 +77,15 @@ def retention_overruns(t):
 @query(
     "a43_archive_scope",
     f"""SELECT count(*) FILTER (WHERE date_creation < DATE '2000-08-02') AS archivees, count(*) FILTER (WHERE date_creation < DATE '2000-08-02') AS supprimees,
-      count(*) FILTER (WHERE date_creation >= DATE '2000-08-02') AS conservees, TRUE AS coherent FROM tickets""",
+      count(*) FILTER (WHERE date_creation >= DATE '2000-08-02' OR date_creation IS NULL) AS conservees, TRUE AS coherent FROM tickets""",
 )
 def archive_scope(t):
-    return privacy.archive_check(t.complaints, "date_creation", RUN, months=12)
+    """The table is written, archived and read again; the counts are those of the files."""
+    root = scratch.new_path(t.spark, "archive")
+    sinks.write_parquet(t.complaints, f"{root}/table")
+    sinks.archive_table(t.spark, f"{root}/table", f"{root}/kept", f"{root}/old", "date_creation", RUN, 12)
+    read = t.spark.read.parquet
+    return privacy.archive_check(read(f"{root}/table"), read(f"{root}/old/{RUN}"), read(f"{root}/kept"))
 
 
 @query(

@@ -32,7 +32,7 @@ register_sql_view(
 )
 register_sql_view(
     "matched_clusters",
-    """SELECT c.*, coalesce(k.known, 'INC-' || c.departement || '-' || strftime(c.fenetre_debut, '%Y%m%d%H') || '-' || lpad(c.nb_clients::VARCHAR, 4, '0')) AS incident_id,
+    """SELECT c.*, coalesce(k.known, 'INC-' || c.departement || '-' || strftime(c.fenetre_debut, '%Y%m%d%H') || '-' || lpad(c.nb_clients::VARCHAR, greatest(4, length(c.nb_clients::VARCHAR))::INTEGER, '0')) AS incident_id,
         k.known IS NOT NULL AS existant
       FROM clusters c LEFT JOIN (SELECT c.region, c.departement, c.fenetre_debut, min(i.incident_id) AS known
         FROM clusters c JOIN known_incidents i ON i.departement = c.departement AND i.statut <> 'RESOLU'
@@ -122,7 +122,7 @@ def cluster_severity(t):
 
 @query(
     "p27_incident_key",
-    """SELECT 'INC-' || departement || '-' || strftime(fenetre_debut, '%Y%m%d%H') || '-' || lpad(nb_clients::VARCHAR, 4, '0') AS incident_id, nb_clients FROM clusters""",
+    """SELECT 'INC-' || departement || '-' || strftime(fenetre_debut, '%Y%m%d%H') || '-' || lpad(nb_clients::VARCHAR, greatest(4, length(nb_clients::VARCHAR))::INTEGER, '0') AS incident_id, nb_clients FROM clusters""",
 )
 def incident_key(t):
     return found(t).select(clusters.incident_key().alias("incident_id"), "nb_clients")

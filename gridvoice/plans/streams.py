@@ -17,7 +17,7 @@ def complaint_stream(t):
     """Complaints as a stream of the event file (region ids instead of names: no join needed)."""
     schema = t.raw("events").schema
     k, u = F.col("event_id"), F.col("user_id")
-    return checks.read_parquet_stream(t.spark, t.directory, schema, "events.parquet").select(
+    return checks.read_parquet_stream(t.spark, f"{t.directory}/events.parquet", schema).select(
         k.alias("id_reclamation"),
         u.alias("client_id"),
         Tables.event_complaint_type().alias("type_reclamation"),

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 256 * 1024**2
-MIN_PARTITIONS, MAX_PARTITIONS = 8, 200_000
+MIN_PARTITIONS = 8
 
 
 def shuffle_partitions(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
@@ -16,7 +16,7 @@ def shuffle_partitions(input_bytes: int, partition_bytes: int = PARTITION_BYTES)
     Adaptive execution merges small partitions but cannot add any beyond the first
     number, so the first number must fit the largest shuffle.
     """
-    return min(MAX_PARTITIONS, max(MIN_PARTITIONS, math.ceil(input_bytes / partition_bytes)))
+    return max(MIN_PARTITIONS, math.ceil(input_bytes / partition_bytes))
 
 
 def settings(input_bytes: int) -> dict[str, str]:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridvoice.functions import columns as C
 from gridvoice.functions.domains import NOTICE_SLA, TYPES
 from gridvoice.functions.skew import broadcast_if_small
 from gridvoice.sources.scratch import materialise
@@ -33,7 +34,8 @@ def pick(index: Column, values: list[str]) -> Column:
 
 
 def meter_reference(key: Column) -> Column:
-    return F.concat(F.lit("LKY"), F.lpad(key.cast("string"), 8, "0"))
+    """``LKY`` and the key with at least eight digits; longer keys stay whole and so fail the format check."""
+    return F.concat(F.lit("LKY"), C.zero_padded(key.cast("string"), 8))
 
 
 def add_hours(ts: Column, hours: Column) -> Column:
@@ -389,14 +391,14 @@ SQL_VIEWS: dict[str, str] = {
           + to_hours((o_orderkey * 37) % 500 - 5 + CASE WHEN o_orderkey % 97 = 0 THEN 5000 ELSE 0 END) END AS date_cloture,
         CASE WHEN o_orderkey % 10 <> 0 THEN (o_orderkey % 100) / 10.0::DOUBLE END AS latitude,
         CASE WHEN o_orderkey % 10 <> 0 THEN (o_orderkey % 77) / 10.0::DOUBLE END AS longitude,
-        CASE WHEN o_custkey % 20 = 0 THEN 'LK' || o_custkey ELSE 'LKY' || lpad(o_custkey::VARCHAR, 8, '0') END AS reference_linky,
+        CASE WHEN o_custkey % 20 = 0 THEN 'LK' || o_custkey ELSE 'LKY' || lpad(o_custkey::VARCHAR, greatest(8, length(o_custkey::VARCHAR))::INTEGER, '0') END AS reference_linky,
         lpad((75000 + (o_orderkey * 31) % 20000)::VARCHAR, 5, '0') AS code_postal,
         o_totalprice AS montant, r_name AS region, n_name AS departement
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
     "meters": """
       SELECT c_custkey AS client_id,
-        CASE WHEN c_custkey % 20 = 0 THEN 'LK' || c_custkey ELSE 'LKY' || lpad(c_custkey::VARCHAR, 8, '0') END AS reference_linky,
+        CASE WHEN c_custkey % 20 = 0 THEN 'LK' || c_custkey ELSE 'LKY' || lpad(c_custkey::VARCHAR, greatest(8, length(c_custkey::VARCHAR))::INTEGER, '0') END AS reference_linky,
         CASE WHEN c_custkey % 3 = 0 THEN 'TRIPHASE' ELSE 'MONOPHASE' END AS type_compteur,
         [3, 6, 9, 12, 15, 18, 24, 36, 7][c_custkey % 9 + 1] AS puissance_souscrite_kva,
         r_name AS region, n_name AS departement,
@@ -405,7 +407,7 @@ SQL_VIEWS: dict[str, str] = {
       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "invoices": """
       SELECT l_orderkey || '-' || l_linenumber AS numero_facture,
-        'LKY' || lpad(l_partkey::VARCHAR, 8, '0') AS reference_linky,
+        'LKY' || lpad(l_partkey::VARCHAR, greatest(8, length(l_partkey::VARCHAR))::INTEGER, '0') AS reference_linky,
         CAST(l_shipdate AS DATE) AS date_emission,
         CAST(l_shipdate AS DATE) + CASE WHEN l_orderkey % 200 = 0 THEN -1 ELSE 30 END AS date_echeance,
         l_extendedprice AS montant_ht, l_extendedprice * l_tax AS montant_tva,
@@ -435,7 +437,7 @@ SQL_VIEWS: dict[str, str] = {
         region, 'D' || (user_id % 5) AS departement, ts AS date_creation
       FROM event_rows""",
     "readings": """
-      SELECT 'LKY' || lpad((user_id * 10 + event_id % 10)::VARCHAR, 8, '0') AS reference_linky,
+      SELECT 'LKY' || lpad((user_id * 10 + event_id % 10)::VARCHAR, greatest(8, length((user_id * 10 + event_id % 10)::VARCHAR))::INTEGER, '0') AS reference_linky,
         user_id AS numero_compteur, user_id % 5 AS zone,
         DATE '1995-01-01' + ((event_id * 7) % 2404)::INTEGER AS date_releve,
         value AS consommation_kwh, event_type = 'error' AS anomalie_detectee

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+# Paths handed out by this process that drop_all may delete.
+_MADE: list[str] = []
+
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for a local master."""
@@ -24,7 +27,20 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_all(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process made; call it when their results are no longer read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _MADE:
+        path = hadoop(_MADE.pop())
+        dropped += bool(path.getFileSystem(configuration).delete(path, True))
+    return dropped
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

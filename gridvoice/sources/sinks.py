@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from gridvoice.operators import merge, privacy
 from gridvoice.sources import readers, schemas
 
-MESSAGE_LENGTH = 1000
-
 
 def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Group rows by the output partitions, letting adaptive execution split the large ones.
@@ -63,10 +61,9 @@ def upsert_partitions(
     replace_partitions(merge.upsert(current, source, keys, update), path, [partition])
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
-    """Headered CSV; one part per task unless a single file is asked for (small extracts only)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Headered CSV, one part per task."""
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
 def write_jdbc(
@@ -118,7 +115,7 @@ def log_run(
 ) -> None:
     """Append one line to the run log."""
     line = spark.createDataFrame(
-        [(job, at[:10], status, int(rows), round(float(seconds), 2), message[:MESSAGE_LENGTH], at)],
+        [(job, at[:10], status, int(rows), round(float(seconds), 2), message, at)],
         "dag_id string, run_date string, status string, rows_processed bigint, duration_seconds double, message string, created_at string",
     )
     line.withColumns(
@@ -211,16 +208,21 @@ def reporting_extracts(kpis: DataFrame, consolidated: DataFrame, weeks: DataFram
 
 
 def write_extracts(extracts: Mapping[str, DataFrame], directory: str) -> dict[str, str]:
+    """One CSV folder per extract, values as Spark prints them, so that what is read back has the checksum of the frame."""
     paths = {}
     for name, df in extracts.items():
         paths[name] = f"{directory}/{name}"
-        write_csv(df, paths[name], sep=";")
+        write_csv(df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]), paths[name], sep=";")
     return paths
 
 
 def fingerprint(df: DataFrame) -> Column:
-    """Order-independent checksum of the rows."""
-    return F.hex(F.bit_xor(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])))
+    """Checksum of the rows that does not depend on their order: the sum of their hashes, as decimal digits.
+
+    Copies add up instead of cancelling. A missing value has a mark of its own; an empty text counts as missing, as in a CSV file.
+    """
+    marked = [F.coalesce(F.concat(F.lit("="), F.nullif(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit("-")) for c in df.columns]
+    return F.sum(F.xxhash64(*marked).cast("decimal(38,0)")).cast("string")
 
 
 def manifest(spark: SparkSession, paths: Mapping[str, str], sep: str = ";") -> DataFrame:
@@ -294,7 +296,7 @@ def ingest(
             write_parquet(df, target(table))
             results.append(Ingested(table, seen.get["n"], time.monotonic() - began))
         except PySparkException as exc:
-            results.append(Ingested(table, 0, time.monotonic() - began, str(exc).splitlines()[0]))
+            results.append(Ingested(table, 0, time.monotonic() - began, str(exc)))
         except Exception as exc:  # errors raised by the JVM while writing
-            results.append(Ingested(table, 0, time.monotonic() - began, type(exc).__name__))
+            results.append(Ingested(table, 0, time.monotonic() - began, f"{type(exc).__name__}: {exc}"))
     return results

@@ -18,14 +18,20 @@ from gridvoice.operators import clusters, monitoring
 DELAY = "1 hour"
 
 
-def read_parquet_stream(spark: SparkSession, directory: str, schema, files: str, per_trigger: int = 1000) -> DataFrame:
-    """Parquet files of a directory as a stream, at most ``per_trigger`` files per batch."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", files)
-        .option("maxFilesPerTrigger", per_trigger)
-        .parquet(directory)
-    )
+def read_parquet_stream(spark: SparkSession, path: str, schema, per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table, one file or a folder of part files, as a stream.
+
+    Without ``per_trigger`` a replay reads all files that are there as one batch. A number of files per batch
+    is only right for files in the order of event time: the watermark of one batch drops older rows of the next.
+
+    The path is given as a pattern that only it matches: Spark takes a plain path for a folder, and a table
+    may be a single file.
+    """
+    path = path.rstrip("/")
+    stream = spark.readStream.schema(schema)
+    if per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", per_trigger)
+    return stream.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def hourly_load(complaints: DataFrame, per_day: int = D.BASELINE_PER_DAY, delay: str = DELAY) -> DataFrame:

@@ -6,10 +6,11 @@ import crosscheck
 import pytest
 
 import __spark_entry__ as entry
+from gridvoice.plans import registry
 
 DIRECTORY = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = dict(registry.QUERIES)
+ORACLES = registry.oracles()
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridvoice import layers
-from gridvoice.operators import merge, quality
+from gridvoice.operators import merge, privacy, quality
 from gridvoice.sources import readers, schemas, scratch, sinks
 
 
@@ -102,6 +102,32 @@ def test_manifest_and_validation(spark, tmp_path):
     assert checked == {"p": (True, 2, True), "q": (False, 0, False)}
 
 
+def test_checksum_counts_copies_and_missing_values(spark):
+    def checksum(rows):
+        return sinks_checksum(spark.createDataFrame(rows, "k int, t string"))
+
+    def sinks_checksum(df):
+        return df.agg(sinks.fingerprint(df)).first()[0]
+
+    a, b = (1, "a"), (2, "b")
+    assert len({checksum(r) for r in ([a, a], [b, b], [a], [a, b], [a, a, b, b])}) == 5
+    assert checksum([(1, None)]) != checksum([(None, "1")])
+    assert checksum([a, b]) == checksum([b, a])
+
+
+def test_archive_check_finds_lost_rows(spark):
+    table = spark.range(10)
+    good = privacy.archive_check(table, table.filter("id < 4"), table.filter("id >= 4")).first()
+    assert tuple(good) == (4, 4, 6, True)
+    lost = privacy.archive_check(table, table.filter("id < 3"), table.filter("id >= 4")).first()
+    assert tuple(lost) == (3, 4, 6, False)
+
+
+def test_ingest_reports_the_whole_error(spark, tmp_path):
+    done = sinks.ingest(spark, {"reclamations": str(tmp_path / "missing")}, lambda t: str(tmp_path / "out" / t))
+    assert done[0].error and "missing" in done[0].error
+
+
 def test_archive_skips_empty(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "k int")
     assert sinks.archive(df.limit(0), str(tmp_path / "a"), "2024-01-01") is None
@@ -111,9 +137,9 @@ def test_archive_skips_empty(spark, tmp_path):
 def test_run_log_appends(spark, tmp_path):
     path = str(tmp_path / "log")
     for status in ("SUCCESS", "FAILED"):
-        sinks.log_run(spark, path, "job", status, 3, 1.239, "2024-01-01 10:00:00", "m" * 2000)
+        sinks.log_run(spark, path, "job", status, 3, 1.239, "2024-01-01 10:00:00", "m" * 5000 + "\nsecond line")
     got = spark.read.parquet(path).orderBy("status").collect()
-    assert [(r.status, r.duration_seconds, len(r.message)) for r in got] == [("FAILED", 1.24, 1000), ("SUCCESS", 1.24, 1000)]
+    assert [(r.status, r.duration_seconds, len(r.message)) for r in got] == [("FAILED", 1.24, 5012), ("SUCCESS", 1.24, 5012)]
 
 
 def test_layers_end_to_end_and_gate(spark, tmp_path):
@@ -144,7 +170,15 @@ def test_scratch_uses_the_configured_folder(spark):
     assert scratch.new_path(spark, "a") != scratch.new_path(spark, "a")
 
 
-@pytest.mark.parametrize("size,partitions", [(0, 8), (100 * 1024**2, 8), (100 * 1024**4, 200_000), (10 * 1024**4, 40_960)])
+def test_scratch_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_MADE", [])
+    kept = scratch.materialise(spark.range(3), "three")
+    assert kept.count() == 3
+    scratch.new_path(spark, "never written")
+    assert scratch.drop_all(spark) == 1 and scratch.drop_all(spark) == 0
+
+
+@pytest.mark.parametrize("size,partitions", [(0, 8), (100 * 1024**2, 8), (200 * 1024**4, 819_200), (10 * 1024**4, 40_960)])
 def test_shuffle_partitions_follow_the_input(size, partitions):
     from gridvoice import session
 
