@@ -198,6 +198,29 @@ def weekly(kpis: DataFrame, run_date: str) -> DataFrame:
     )
 
 
+def weekly_history(kpis: DataFrame) -> DataFrame:
+    """The figures of ``weekly`` for every calendar week there is, each against the week before it."""
+    share = F.try_divide(F.col("nb_critiques").cast("double"), F.col("nombre_reclamations_total"))
+    keys = ["debut_semaine", *REGION_TYPE]
+    weeks = (
+        kpis.withColumn("debut_semaine", F.trunc("date_calcul", "week"))
+        .groupBy(*keys)
+        .agg(*_figures(), C.rounded((1 - F.avg(share)) * 100, 2).alias("taux_non_critique"))
+    )
+    before = weeks.select(
+        F.date_add("debut_semaine", 7).alias("debut_semaine"), *REGION_TYPE, F.col("total_reclamations").alias("_prec")
+    )
+    start = F.col("debut_semaine")
+    return weeks.join(before, keys, "left").select(
+        F.extract(F.lit("YEAROFWEEK"), start).alias("annee"),
+        F.extract(F.lit("WEEK"), start).alias("semaine"),
+        start,
+        F.date_add(start, 6).alias("fin_semaine"),
+        *[c for c in weeks.columns if c != "debut_semaine"],
+        C.rounded(C.evolution(F.col("total_reclamations"), F.col("_prec")), 2).alias("evolution_vs_semaine_precedente"),
+    )
+
+
 def weekly_summary(weeks: DataFrame) -> DataFrame:
     """Totals per type for the latest week."""
     latest = weeks.agg(F.max("debut_semaine").alias("_latest"))

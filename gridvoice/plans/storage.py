@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from gridvoice import layers
 from gridvoice.operators import enrich, kpi, merge, quality
 from gridvoice.plans.enrichment import gold_enriched
-from gridvoice.plans.periods import RUN, consolidated, kpi_history
+from gridvoice.plans.periods import _FIGURES, RUN, consolidated, kpi_history
 from gridvoice.plans.quality_checks import raw_tickets
 from gridvoice.plans.registry import query
 from gridvoice.sources import readers, schemas, scratch, sinks
@@ -239,12 +239,12 @@ def insert_if_absent(t):
 
 def extracts(t):
     history = kpi_history(t)
-    return sinks.reporting_extracts(history, consolidated(t), kpi.weekly(t.daily_kpi, "2024-01-22"), RUN)
+    return sinks.reporting_extracts(history, consolidated(t), kpi.weekly_history(t.daily_kpi), RUN)
 
 
 _EXTRACTS = """SELECT *, TRUE AS has_bytes, TRUE AS checksum_matches FROM (SELECT 'kpis_daily' AS extract, count(*) AS rows, 10 AS columns FROM kpi_history WHERE date_calcul >= DATE '2001-08-02' - 90
   UNION ALL SELECT 'reclamations_global', count(*), 16 FROM consolidated
-  UNION ALL SELECT 'kpis_hebdomadaires', count(*), 12 FROM (SELECT DISTINCT region, type_reclamation FROM daily_kpi WHERE date_calcul BETWEEN DATE '2024-01-15' AND DATE '2024-01-21')
+  UNION ALL SELECT 'kpis_hebdomadaires', count(*), 12 FROM (SELECT DISTINCT date_trunc('week', date_calcul), region, type_reclamation FROM daily_kpi)
   UNION ALL SELECT 'sla_par_region', count(*), 6 FROM kpi_history WHERE date_calcul >= DATE '2001-08-02' - 365)"""
 
 
@@ -276,6 +276,42 @@ def reporting_extract_kpis(t):
     return extracts(t)["kpis_daily"]
 
 
+@query(
+    "s19_reporting_extract_complaints",
+    """SELECT id_reclamation, region, type_reclamation, statut, round(duree_heures, 4) AS duree_heures, sla_heures, sla_respect, risque_depassement,
+      round(heures_restantes, 4) AS heures_restantes, source, export_date::VARCHAR AS export_date FROM consolidated
+    WHERE consolidated.export_date >= DATE '2001-08-02' - 30""",
+)
+def reporting_extract_complaints(t):
+    return extracts(t)["reclamations_global"].select(
+        "id_reclamation", "region", "type_reclamation", "statut", "duree_heures", "sla_heures", "sla_respect",
+        "risque_depassement", "heures_restantes", "source", "export_date",
+    )
+
+
+@query(
+    "s19_reporting_extract_weeks",
+    f"""WITH w AS (SELECT date_trunc('week', date_calcul)::DATE AS debut, region, type_reclamation, {_FIGURES} FROM daily_kpi GROUP BY 1, 2, 3)
+    SELECT extract(isoyear FROM w.debut)::INTEGER AS annee, extract(week FROM w.debut)::INTEGER AS semaine, w.debut::VARCHAR AS debut_semaine,
+      (w.debut + 6)::VARCHAR AS fin_semaine, w.region, w.type_reclamation, w.total_reclamations, w.total_ouvertes, w.total_cloturees, w.duree_moyenne_heures, w.taux_respect_sla,
+      round((CASE WHEN p.total_reclamations > 0 THEN 100.0::DOUBLE * (w.total_reclamations - p.total_reclamations) / p.total_reclamations END)::DECIMAL(28,8), 2)::DOUBLE
+        AS evolution_vs_semaine_precedente
+    FROM w LEFT JOIN w p ON p.debut = w.debut - 7 AND p.region = w.region AND p.type_reclamation = w.type_reclamation""",
+)
+def reporting_extract_weeks(t):
+    return extracts(t)["kpis_hebdomadaires"]
+
+
+@query(
+    "s19_reporting_extract_regions",
+    """SELECT date_calcul::VARCHAR AS date_calcul, region, type_reclamation, round((avg(taux_respect_sla))::DECIMAL(28,8), 2)::DOUBLE AS taux_sla_moyen,
+      sum(nombre_ouvertes + nombre_cloturees)::BIGINT AS volume_total, round((avg(duree_moyenne_traitement))::DECIMAL(28,8), 2)::DOUBLE AS duree_moy
+    FROM kpi_history WHERE date_calcul >= DATE '2001-08-02' - 365 GROUP BY 1, 2, 3""",
+)
+def reporting_extract_regions(t):
+    return extracts(t)["sla_par_region"]
+
+
 @query(
     "s21_output_validation",
     """SELECT 'complaints' AS nom_table, TRUE AS existe, count(*) AS nb, count(*) >= 100 AS valide FROM tickets
