@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,17 +58,18 @@ def override(target: DataFrame, detail: DataFrame, keys: Sequence[str], columns:
     return joined.select(*out)
 
 
-def consolidate(complaints: DataFrame, details: Mapping[str, DataFrame], run_date: str) -> DataFrame:
-    """Base rows with the deadline columns of each specialised detail.
+def consolidate(complaints: DataFrame, details: DataFrame | Mapping[str, DataFrame], run_date: str) -> DataFrame:
+    """Base rows with the deadline columns of the specialised details.
 
-    The details hold disjoint complaint types, so they are combined first and the
-    wide base is joined once.
+    The details are one frame with a ``source`` column, or a frame per source. They hold disjoint complaint types, so
+    they are combined first and the wide base is joined once.
     """
     columns = list(OVERRIDDEN)
-    combined = None
-    for source, detail in details.items():
-        part = detail.select("id_reclamation", *columns, F.lit(source).alias("source"))
-        combined = part if combined is None else combined.unionByName(part)
+    if isinstance(details, DataFrame):
+        combined = details.select("id_reclamation", *columns, "source")
+    else:
+        parts = [d.select("id_reclamation", *columns, F.lit(s).alias("source")) for s, d in details.items()]
+        combined = reduce(DataFrame.unionByName, parts)
     return override(base(complaints, run_date), combined, ["id_reclamation"], [*columns, "source"])
 
 

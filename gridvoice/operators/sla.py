@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ def with_hours_left(df: DataFrame) -> DataFrame:
     return df.withColumn("heures_restantes", F.when(C.is_open(), F.col("sla_heures") - F.col("duree_heures")))
 
 
-def with_breach_risk(df: DataFrame, hours: int) -> DataFrame:
+def with_breach_risk(df: DataFrame, hours: int | Column) -> DataFrame:
     """Open and between zero and ``hours`` hours left."""
     left = F.col("heures_restantes")
     return df.withColumn("risque_depassement", F.coalesce(C.is_open() & (left >= 0) & (left < hours), F.lit(False)))
@@ -40,6 +42,15 @@ def detail(complaints: DataFrame, kind: str, as_of: str) -> DataFrame:
     return with_breach_risk(with_hours_left(with_compliance(rows)), D.RISK_HOURS[kind])
 
 
+def details(complaints: DataFrame, sources: Mapping[str, str], as_of: str) -> DataFrame:
+    """``detail`` of several types in one scan; ``source`` names the detail table of each type."""
+    rows = complaints.filter(F.col("type_reclamation").isin(*sources))
+    rows = with_limit(enrich.with_elapsed(rows, as_of))
+    hours = C.case("type_reclamation", {kind: D.RISK_HOURS[kind] for kind in sources})
+    rows = with_breach_risk(with_hours_left(with_compliance(rows)), hours)
+    return rows.withColumn("source", C.case("type_reclamation", dict(sources)))
+
+
 def breaches(df: DataFrame) -> DataFrame:
     """Not closed and past the limit, with the overrun. Expects ``duree_heures`` and ``sla_heures``."""
     over = F.col("duree_heures") - F.col("sla_heures")

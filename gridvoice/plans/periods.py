@@ -39,12 +39,8 @@ register_sql_view(
 
 def consolidated(t):
     tickets = enrich.with_durations(t.tickets)
-    details = {
-        "coupures": sla.detail(t.complaints, "COUPURE_ELECTRIQUE", AS_OF),
-        "facturation": sla.detail(t.complaints, "FACTURATION", AS_OF),
-        "raccordement": sla.detail(t.complaints, "RACCORDEMENT_RESEAU", AS_OF),
-    }
-    return consolidate.consolidate(tickets, details, RUN)
+    sources = {"COUPURE_ELECTRIQUE": "coupures", "FACTURATION": "facturation", "RACCORDEMENT_RESEAU": "raccordement"}
+    return consolidate.consolidate(tickets, sla.details(t.complaints, sources, AS_OF), RUN)
 
 
 def kpi_history(t):
