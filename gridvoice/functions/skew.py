@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridvoice.sources.scratch import materialise
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -116,6 +118,27 @@ def exact_quantiles(
     return hit.groupBy(*keys).agg(*outputs)
 
 
+def _pruned(pairs: DataFrame, site_cell: Sequence[str]) -> DataFrame:
+    """Pairs of cells of one size that can hold the nearest point of a place in the site cell.
+
+    A point cell can only do so if its closest corner is no farther than the farthest corner of the best one.
+    """
+    dx, dy = F.abs(F.col("_sx") - F.col("_px")), F.abs(F.col("_sy") - F.col("_py"))
+    near_x, near_y = F.greatest(dx - 1, F.lit(0)), F.greatest(dy - 1, F.lit(0))
+    bounded = pairs.withColumns(
+        {
+            "_lower": near_x * near_x + near_y * near_y,
+            "_upper": (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1),
+        }
+    )
+    best = F.min("_upper").over(W.partitionBy(*site_cell))
+    return bounded.withColumn("_best", best).filter(F.col("_lower") <= F.col("_best")).drop("_lower", "_upper", "_best")
+
+
+#: Times a crowded cell is cut into four by four.
+_CUTS = 3
+
+
 def nearest_point(
     sites: DataFrame,
     points: DataFrame,
@@ -123,57 +146,73 @@ def nearest_point(
     point_id: str,
     cell: float = 0.25,
     unit: float = 1.0,
+    crowded: int = 250_000,
 ) -> DataFrame:
     """Nearest point of the same key for each distinct (key, latitude, longitude) site.
 
-    Both sides are put on a grid. Occupied cells are compared first: a cell can
-    only hold the nearest point if its closest corner is no farther than the
-    farthest corner of the best cell. Points are then read for those cells only,
-    so the number of compared rows follows the local density, not the size of the
-    key group. Cell counts are bounded by the covered area. The distance is in
-    degrees times ``unit``; ties in that unit go to the smallest ``point_id``.
+    Both sides are put on a grid. Occupied cells are compared first, so that points are read only for cells that can hold the
+    nearest one. A pair of cells with more than ``crowded`` site-point pairs is searched coarse to fine: its cells are cut
+    and compared again, three times, before points are read. So the number of compared rows follows the
+    local density, not the size of the key group or of a crowded cell. Both inputs are evaluated once and written to the
+    shared folder. The distance is in degrees times ``unit``; ties in that unit go to the smallest ``point_id``.
     """
     keys = list(keys)
+    finest = cell / 4**_CUTS
+    both = [
+        materialise(
+            df.withColumns(
+                {"_fx": F.floor(F.col("latitude") / finest), "_fy": F.floor(F.col("longitude") / finest)}
+            ),
+            name,
+        )
+        for df, name in ((sites, "sites"), (points.withColumnRenamed(point_id, "_id"), "points"))
+    ]
+    sites, points = both[0], both[1].withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"})
+
+    def on_level(df: DataFrame, prefix: str, level: int) -> DataFrame:
+        """Cell of each row when the finest cells are joined ``level`` times."""
+        return df.withColumns(
+            {f"{prefix}x": F.shiftright("_fx", 2 * level), f"{prefix}y": F.shiftright("_fy", 2 * level)}
+        )
 
-    def gridded(df: DataFrame, prefix: str) -> DataFrame:
-        return df.withColumn(f"{prefix}x", F.floor(F.col("latitude") / cell)).withColumn(
-            f"{prefix}y", F.floor(F.col("longitude") / cell)
+    at_site, at_point = [*keys, "_sx", "_sy"], [*keys, "_px", "_py"]
+    number = F.count(F.lit(1))
+    site_cells = on_level(sites, "_s", _CUTS).groupBy(*at_site).agg(number.alias("_ns"))
+    point_cells = on_level(points, "_p", _CUTS).groupBy(*at_point).agg(number.alias("_np"))
+    pairs = materialise(_pruned(site_cells.join(point_cells, keys), at_site), "cells")
+    cells = [*at_site, "_px", "_py"]
+    is_crowded = F.col("_ns") * F.col("_np") > crowded
+
+    def compared(pairs_of: DataFrame, level: int) -> DataFrame:
+        dlat, dlon = F.col("latitude") - F.col("_plat"), F.col("longitude") - F.col("_plon")
+        return (
+            pairs_of.select(*cells)
+            .join(on_level(points, "_p", level).select(*at_point, "_id", "_plat", "_plon"), at_point)
+            .join(on_level(sites, "_s", level).select(*at_site, "latitude", "longitude"), at_site)
+            .select(*site, "_id", (F.sqrt(dlat * dlat + dlon * dlon) * unit).alias("_d"))
         )
 
-    sites_g = gridded(sites, "_s")
-    points_g = gridded(points, "_p").withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"})
-    site_cells = sites_g.select(*keys, "_sx", "_sy").distinct()
-    point_cells = points_g.select(*keys, "_px", "_py").distinct()
-    dx, dy = F.abs(F.col("_sx") - F.col("_px")), F.abs(F.col("_sy") - F.col("_py"))
-    near_x, near_y = F.greatest(dx - 1, F.lit(0)), F.greatest(dy - 1, F.lit(0))
-    pairs = site_cells.join(point_cells, keys).select(
-        *keys,
-        "_sx",
-        "_sy",
-        "_px",
-        "_py",
-        (near_x * near_x + near_y * near_y).alias("_lower"),
-        ((dx + 1) * (dx + 1) + (dy + 1) * (dy + 1)).alias("_upper"),
-    )
-    best = F.min("_upper").over(W.partitionBy(*keys, "_sx", "_sy"))
-    candidates = pairs.withColumn("_best", best).filter(F.col("_lower") <= F.col("_best"))
-    reachable = candidates.drop("_lower", "_upper", "_best").join(points_g, [*keys, "_px", "_py"])
-    dlat = F.col("latitude") - F.col("_plat")
-    dlon = F.col("longitude") - F.col("_plon")
-    between = F.sqrt(dlat * dlat + dlon * dlon) * unit
     site = [*keys, "latitude", "longitude"]
+    found = compared(pairs.filter(~is_crowded), _CUTS)
+    if not pairs.filter(is_crowded).isEmpty():
+        fine = pairs.filter(is_crowded).select(*cells)
+        for level in range(_CUTS - 1, -1, -1):
+            children = [
+                on_level(on_level(df, prefix, level + 1), child, level)
+                .select(*keys, f"{prefix}x", f"{prefix}y", f"{child}x", f"{child}y")
+                .distinct()
+                for df, prefix, child in ((sites, "_s", "_cs"), (points, "_p", "_cp"))
+            ]
+            cut = fine.join(children[0], at_site).join(children[1], at_point)
+            cut = cut.select(*keys, *[F.col(f"_c{c}").alias(f"_{c}") for c in ("sx", "sy", "px", "py")]).distinct()
+            fine = _pruned(cut, at_site)
+        found = found.unionByName(compared(materialise(fine, "cells"), 0))
     # Two passes over fixed-width values (hash aggregation, nothing sorted): the
     # smallest distance of each site, then the smallest id at that distance.
-    best = (
-        sites_g.join(reachable, [*keys, "_sx", "_sy"])
-        .select(*site, between.alias("_d"))
-        .groupBy(*site)
-        .agg(F.min("_d").alias("distance"))
-    )
+    best = found.groupBy(*site).agg(F.min("_d").alias("distance"))
     return (
-        gridded(best, "_s")
-        .join(reachable, [*keys, "_sx", "_sy"])
-        .filter(between == F.col("distance"))
+        found.join(best, site)
+        .filter(F.col("_d") == F.col("distance"))
         .groupBy(*site, "distance")
-        .agg(F.min(point_id).alias(point_id))
+        .agg(F.min("_id").alias(point_id))
     )

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ def test_exact_quantiles(spark, seed):
 
 
 @pytest.mark.parametrize("cell", [0.5, 0.25, 3.0])
-def test_nearest_point(spark, cell):
+@pytest.mark.parametrize("crowded", [250_000, 3, 0])
+def test_nearest_point(spark, cell, crowded):
     rnd = random.Random(7)
     sites = {(rnd.choice("AB"), round(rnd.uniform(-5, 5), 2), round(rnd.uniform(-5, 5), 2)) for _ in range(120)}
     points = {}
@@ -41,13 +43,26 @@ def test_nearest_point(spark, cell):
         points.setdefault(place, i)
     s = spark.createDataFrame(list(sites), "z string, latitude double, longitude double")
     p = spark.createDataFrame([(*k, i) for k, i in points.items()], "z string, latitude double, longitude double, id int")
-    got = {(r.z, r.latitude, r.longitude): (r.distance, r.id) for r in skew.nearest_point(s, p, ["z"], "id", cell).collect()}
+    got = {(r.z, r.latitude, r.longitude): (r.distance, r.id) for r in skew.nearest_point(s, p, ["z"], "id", cell, crowded=crowded).collect()}
     for z, lat, lon in sites:
         best = min((math.sqrt((lat - a) ** 2 + (lon - b) ** 2), i) for (q, a, b), i in points.items() if q == z)
         assert got[(z, lat, lon)][1] == best[1]
         assert got[(z, lat, lon)][0] == pytest.approx(best[0])
 
 
+def test_nearest_point_in_one_crowded_cell(spark):
+    rnd = random.Random(1)
+    s = spark.range(40_000).select(F.lit("A").alias("z"), (F.rand(1) * 0.25).alias("latitude"), (F.rand(2) * 0.25).alias("longitude"))
+    places = [(rnd.random() * 0.25, rnd.random() * 0.25, i) for i in range(8_000)]
+    p = spark.createDataFrame([("A", *x) for x in places], "z string, latitude double, longitude double, id int")
+    began = time.perf_counter()
+    got = skew.nearest_point(s, p, ["z"], "id").collect()
+    assert time.perf_counter() - began < 90
+    assert len(got) == 40_000
+    for r in rnd.sample(got, 40):
+        assert r.distance == pytest.approx(min(math.hypot(r.latitude - a, r.longitude - b) for a, b, _ in places))
+
+
 def test_first_per_key_is_total_and_keeps_nulls(spark):
     df = spark.createDataFrame(
         [(1, "b", 2), (1, "a", 3), (1, None, 9), (2, "z", None), (None, "q", 1), (None, "p", 5)], "k int, o string, v int"
