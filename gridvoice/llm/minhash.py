@@ -114,7 +114,12 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """``(id, members)``: the sorted shingle hashes, as bytes, of the wanted documents."""
+    """``(id, members)``: the sorted shingle hashes, as bytes, of the wanted documents.
+
+    Their ids are sent to the scan if they are within the bound, so that texts are not shuffled.
+    """
+    wanted = kept(wanted, "wanted")
+    wanted = broadcast_within(wanted, wanted.count(), 32)
 
     def run(batches):
         for batch in batches:
