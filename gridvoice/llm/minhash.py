@@ -38,7 +38,7 @@ class Settings:
     bands: int = 36
     rows: int = 7
     block: int = 512
-    hot: int = 64
+    hot: int = 16
     seed: int = 11
 
     def family(self) -> tuple[np.ndarray, np.ndarray]:
