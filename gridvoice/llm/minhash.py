@@ -8,9 +8,9 @@
    number of members inside tasks; only confirmed links leave the task.
 5. Components by alternating large-star and small-star steps.
 
-A pair at exactly the similarity 0.85 shares no bucket with a probability of 9e-7 (36 bands of 7 minima); at 0.9 of
-3e-10. The signature check refuses a pair only if fewer than ``similarity - 0.15`` of its minima agree, 6.6 standard
-deviations below the expected share.
+The minima per band follow from the similarity, so that a pair exactly at it shares no bucket with a probability of
+1e-6 at most: 7 at 0.85, 5 at 0.8, of 36 bands. The signature check refuses a pair only if fewer than ``similarity - 0.15`` of its minima agree, five standard
+deviations or more below the expected share.
 """
 
 from __future__ import annotations
@@ -31,12 +31,15 @@ from gridvoice.llm.components import components
 
 @dataclass(frozen=True)
 class Settings:
-    """Words per shingle, similarity in per cent, bands, minima per band, members per block, seed."""
+    """Words per shingle, similarity in per cent, bands, chance to miss a pair at the similarity, members per block, seed.
+
+    Buckets of more than ``hot`` unsettled members are compared in blocks inside tasks.
+    """
 
     words: int = 5
     percent: int = 80
     bands: int = 36
-    rows: int = 7
+    miss: float = 1e-6
     block: int = 512
     hot: int = 16
     seed: int = 11
@@ -50,6 +53,12 @@ class Settings:
             rng.integers(0, 2**32, size, dtype=np.uint32),
         )
 
+    @property
+    def rows(self) -> int:
+        """Minima per band: as many as the chance to miss a pair allows."""
+        share = self.percent / 100
+        return max(r for r in range(1, 33) if r == 1 or (1 - share**r) ** self.bands <= self.miss)
+
     @property
     def least_agreeing(self) -> int:
         return int((self.percent / 100 - 0.15) * self.bands * self.rows)
