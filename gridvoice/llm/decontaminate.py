@@ -49,64 +49,58 @@ def grams(items: DataFrame, width: int = WIDTH, id_col: str = "item_id", text_co
     )
 
 
-def _window_hashes(size: int) -> Column:
-    none = F.array().cast("array<long>")
-    made = F.transform(F.sequence(F.lit(1), F.col("n_words") - (size - 1)), lambda i: F.xxhash64(F.slice("w", i, size)))
-    return F.when(F.col("n_words") >= size, made).otherwise(none)
+def _hash(array: str, first: Column | int, size: int) -> Column:
+    """Hash of ``size`` words from position ``first``, which counts from 0."""
+    return F.xxhash64(*[F.get(array, F.lit(first) + k) for k in range(size)])
 
 
 def scan(docs: DataFrame, found: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document (``start`` null) and one per occurrence of a gram.
+    """``(row, doc_id, text_hash, n_words, start, size, gram)``: each occurrence of a gram; ``start`` counts words from 1.
 
-    ``(row, doc_id, text_hash, n_words, start, size, gram)``; ``start`` counts words from 1.
+    A document whose first window is no gram has a row without a gram besides, so every document is there.
     """
-    distinct = kept(
-        found.select("gram", "size").distinct().withColumn("hash", F.xxhash64(F.split("gram", " "))), "grams"
-    )
-    shape = distinct.groupBy("size").count().collect()  # at most ``width`` rows
-    sizes, total = sorted(r["size"] for r in shape), sum(r["count"] for r in shape)
+    shape = found.select("gram", "size").distinct().groupBy("size").count().collect()  # at most ``width`` rows
+    sizes, total = sorted((r["size"] for r in shape), reverse=True), sum(r["count"] for r in shape)
     blocks = max(1, math.ceil(total * GRAM_BYTES / BROADCAST_BYTES))
+    split = found.select("gram", "size").distinct().withColumn("w", F.split("gram", " "))
+    hashed = [split.filter(F.col("size") == s).select("gram", "size", _hash("w", 0, s).alias("hash")) for s in sizes]
 
     text = F.col(text_col)
-    split = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("doc_id"),
-        F.xxhash64(text).alias("text_hash"),
-        words(text).alias("w"),
-    ).withColumn("n_words", F.size("w"))
-    # the leading null stands for the document itself; then the windows of each size, one size after the other
-    hashed = split.withColumn("hashes", F.concat(F.array(F.lit(None).cast("long")), *[_window_hashes(s) for s in sizes]))
-    each = hashed.select("row", "doc_id", "text_hash", "n_words", "w", F.posexplode("hashes").alias("at", "hash"))
-    if not sizes:
-        return each.select(
-            "row",
-            "doc_id",
-            "text_hash",
-            "n_words",
-            F.lit(None).cast("int").alias("start"),
-            F.lit(None).cast("int").alias("size"),
-            F.lit(None).cast("string").alias("gram"),
+    each = (
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(id_col).alias("doc_id"),
+            F.xxhash64(text).alias("text_hash"),
+            words(text).alias("w"),
         )
-    start, size, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
-    for s in sizes:
-        count = F.greatest(F.col("n_words") - (s - 1), F.lit(0))
-        here = (F.col("at") > before) & (F.col("at") <= before + count)
-        start = F.when(here, F.col("at") - before).otherwise(start)
-        size = F.when(here, F.lit(s)).otherwise(size)
-        before = before + count
-    each = each.withColumn("start", start).withColumn("own", size)
+        .withColumn("n_words", F.size("w"))
+        .select("row", "doc_id", "text_hash", "n_words", "w", F.posexplode_outer("w").alias("at", "word"))
+    )
+    own = [F.struct(F.lit(s).alias("size"), F.when(F.col("at") + s <= F.col("n_words"), _hash("w", F.col("at"), s)).alias("hash")) for s in sizes]
+    if len(sizes) == 1:
+        each = each.withColumn("own", own[0]["size"]).withColumn("own_hash", own[0]["hash"])
+    elif sizes:
+        each = each.withColumn("_own", F.explode(F.array(*own))).withColumns(
+            {"own": F.col("_own.size"), "own_hash": F.col("_own.hash")}
+        )
+    # the row that stands for the document
+    itself = F.coalesce(F.col("at"), F.lit(0)) == 0
+    if not sizes:
+        nothing = {"start": F.lit(None).cast("int"), "size": F.lit(None).cast("int"), "gram": F.lit(None).cast("string")}
+        return each.filter(itself).select("row", "doc_id", "text_hash", "n_words", *[c.alias(n) for n, c in nothing.items()])
+    grams_of = kept(reduce(DataFrame.unionByName, hashed), "grams")
 
     def against(k: int) -> DataFrame:
-        block = distinct if blocks == 1 else distinct.filter(F.pmod("hash", F.lit(blocks)) == k)
-        block = F.broadcast(block) if blocks > 1 else broadcast_within(block, total, GRAM_BYTES)
+        block = grams_of if blocks == 1 else grams_of.filter(F.pmod("hash", F.lit(blocks)) == k)
         same = (
-            (each["hash"] == block["hash"])
+            (F.col("own_hash") == F.col("hash"))
             & (F.col("own") == F.col("size"))
-            & (F.array_join(F.slice("w", F.col("start"), F.col("own")), " ") == F.col("gram"))
+            & (F.array_join(F.slice("w", F.col("at") + 1, F.col("own")), " ") == F.col("gram"))
         )
-        rows = each.join(block, same, "left")
-        rows = rows.filter("gram IS NOT NULL OR at = 0") if k == 0 else rows.filter("gram IS NOT NULL")
-        return rows.select("row", "doc_id", "text_hash", "n_words", F.expr("if(gram IS NULL, null, start)").alias("start"), "size", "gram")
+        rows = each.join(F.broadcast(block), same, "left")
+        rows = rows.filter(F.col("gram").isNotNull() | (itself & (F.col("own") == sizes[0]))) if k == 0 else rows.filter("gram IS NOT NULL")
+        start = F.when(F.col("gram").isNotNull(), F.col("at") + 1)
+        return rows.select("row", "doc_id", "text_hash", "n_words", start.alias("start"), "size", "gram")
 
     return reduce(DataFrame.unionByName, [against(k) for k in range(blocks)])
 
@@ -129,9 +123,8 @@ def contamination(
     """
     windows = kept(grams(items, width, item_col), "windows")
     rows = kept(scan(docs, windows, width, id_col, text_col), "hits")
-    base = rows.filter("start IS NULL").select("row", "doc_id", "text_hash", "n_words")
+    base = rows.select("row", "doc_id", "text_hash", "n_words").distinct()
     hits = rows.filter("start IS NOT NULL")
-    begin, end = F.col("s.start"), F.col("s.start") + F.col("s.size")
     spans = (
         hits.groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans"))
