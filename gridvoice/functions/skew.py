@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from gridvoice.sources.scratch import materialise
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Catalyst estimates compressed file bytes; in memory a table is several times larger.
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
