@@ -17,6 +17,29 @@ SLICE_BYTES = 1 << 20
 BROADCAST_BYTES = 64 << 20
 
 
+#: Rows of one Arrow batch; texts can be long, and a task holds a batch on both sides.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+_HELD: dict = {}
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, with the session's Arrow batches limited to ``BATCH_ROWS`` rows if they are larger."""
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_SETTING, None) or 10_000) > BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
+def worker_copy(key, build):
+    """What ``build`` makes, kept by the Python worker until another operator keeps something else."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridvoice.llm.common import broadcast_within, kept, slices
+from gridvoice.llm.common import broadcast_within, kept, slices, small_batches, worker_copy
 
 BITS, ORDER = 6, 4
 CLASSES = 1 << BITS
@@ -79,7 +79,7 @@ def alphabet(trusted: DataFrame) -> list[int]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["c", "n"])
 
-    counts = trusted.select("text").mapInArrow(run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
+    counts = small_batches(trusted.select("text")).mapInArrow(run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
     best = counts.orderBy(F.desc("n"), "c").limit(CLASSES - 2).collect()
     return sorted(r["c"] for r in best)
 
@@ -99,7 +99,7 @@ def gram_counts(trusted: DataFrame, letters: list[int]) -> DataFrame:
         sums = total[at] if total is not None else np.empty(0, np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums, pa.int64())], names=["gram", "n"])
 
-    return trusted.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return small_batches(trusted.select("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,16 +163,10 @@ def table(p: list[tuple[np.ndarray, np.ndarray]], backoff: list[tuple[np.ndarray
     return np.log(dense, out=dense)
 
 
-_TABLES: dict = {}
-
-
 def _lookup(shared) -> tuple[np.ndarray, np.ndarray]:
     """The filled table of a broadcast model, built once per Python worker."""
     key, letters, p, backoff = shared.value
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = (_classes_of(letters), table(p, backoff))
-    return _TABLES[key]
+    return worker_copy(key, lambda: (_classes_of(letters), table(p, backoff)))
 
 
 def perplexities(docs: DataFrame, shared) -> DataFrame:
@@ -196,7 +190,7 @@ def perplexities(docs: DataFrame, shared) -> DataFrame:
                     names=[*rest, "n_chars_scored", "perplexity"],
                 )
 
-    return docs.mapInArrow(run, f"{schema}, n_chars_scored long, perplexity double")
+    return small_batches(docs).mapInArrow(run, f"{schema}, n_chars_scored long, perplexity double")
 
 
 def train(trusted: DataFrame):

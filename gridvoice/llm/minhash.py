@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridvoice.llm import shingles as S
-from gridvoice.llm.common import broadcast_within, kept, slices
+from gridvoice.llm.common import broadcast_within, kept, slices, small_batches
 from gridvoice.llm.components import components
 
 
@@ -119,7 +119,7 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
                 )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, SKETCH)
+    return small_batches(plain).mapInArrow(run, SKETCH)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:

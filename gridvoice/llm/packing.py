@@ -19,23 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridvoice.llm.common import kept, slices
+from gridvoice.llm.common import kept, slices, small_batches, worker_copy
 from gridvoice.llm.word_tokens import Encoder
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces of one length that are numbered by one task.
-RUN = 4096
+RUN = 512
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(vocabulary: str) -> Encoder:
     """The worker's encoder; it remembers words from task to task."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    return worker_copy(("encoder", vocabulary), lambda: Encoder(vocabulary))
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -48,7 +43,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
     def run(batches):
         encoder = _encoder(shared.value)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text"):
                 ids, offsets = encoder.encode(part.column("text").to_pylist())
                 rows = []
                 for k, doc in enumerate(part.column("id").to_pylist()):
@@ -64,7 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
                 )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, PIECES)
+    return small_batches(plain).mapInArrow(run, PIECES)
 
 
 def exact_patterns(counts: np.ndarray, capacity: int, partners: int = 12) -> np.ndarray:

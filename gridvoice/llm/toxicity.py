@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridvoice.llm import shingles as S
-from gridvoice.llm.common import broadcast_within, kept, slices
+from gridvoice.llm.common import broadcast_within, kept, slices, small_batches
 
 #: A token is a run of ASCII letters and digits and of bytes above ASCII.
 SEPARATOR = np.array([c < 0x80 and not (0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A) for c in range(256)])
@@ -78,7 +78,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
                     names=["token", "n", "other", "toxic"],
                 )
 
-    counted = rows.select("text", F.col("toxic").cast("double").alias("toxic")).mapInArrow(
+    counted = small_batches(rows.select("text", F.col("toxic").cast("double").alias("toxic"))).mapInArrow(
         run, "token long, n long, other long, toxic long"
     )
     return counted.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "other", "toxic")])
@@ -189,7 +189,7 @@ def passages(docs: DataFrame, shared, settings: Settings) -> DataFrame:
                     names=[*(f.name for f in rest), "n_tokens", "evidence", "passages"],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:

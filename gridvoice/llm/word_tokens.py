@@ -18,7 +18,7 @@ from gridvoice.llm import shingles as S
 LIMIT = 0x250
 DOTTED = 0x130
 #: Words a worker remembers; beyond it starts anew. It bounds memory and has no effect on results.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 SPACE, LETTER, NUMBER, MARK = 0, 1, 2, 3
 #: White space below U+0250, and the endings split off after an apostrophe.
 WHITE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0]

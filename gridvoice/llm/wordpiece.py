@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridvoice.llm import shingles as S
-from gridvoice.llm.common import slices
+from gridvoice.llm.common import slices, small_batches, worker_copy
 
 #: Marks the beginning of a word in the vocabulary.
 LEAD = 0x20
@@ -112,13 +112,8 @@ class Automaton:
         return out
 
 
-_AUTOMATA: dict[str, Automaton] = {}
-
-
 def _automaton(vocabulary: str) -> Automaton:
-    if vocabulary not in _AUTOMATA:
-        _AUTOMATA[vocabulary] = Automaton(byte_vocabulary(vocabulary))
-    return _AUTOMATA[vocabulary]
+    return worker_copy(("automaton", vocabulary), lambda: Automaton(byte_vocabulary(vocabulary)))
 
 
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,4 +146,4 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n_words long, n_tokens long, longest_word_tokens long")
+    return small_batches(plain).mapInArrow(run, "doc_id long, n_words long, n_tokens long, longest_word_tokens long")
