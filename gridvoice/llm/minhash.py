@@ -189,7 +189,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
     """Links between members of one bucket in different components, compared block by block.
 
-    ``rows(key, id, component, n_shingles, sig, members)`` of unsettled buckets. A bucket is cut into blocks by a hash of
+    ``rows(key, band, id, component, n_shingles, sig, members)`` of unsettled buckets. A pair is only verified in the first
+    band in which it agrees. A bucket is cut into blocks by a hash of
     the id, each pair of blocks is one group, so no group holds more than about two blocks.
     """
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
@@ -200,6 +201,7 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "key",
+            "band",
             F.least("own", "other").alias("i"),
             F.greatest("own", "other").alias("j"),
             "own",
@@ -215,6 +217,7 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
         own, component = table.column("own").to_numpy(), table.column("component").to_numpy()
         diagonal = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        banded, band = sig.reshape(len(ids), settings.bands, settings.rows), table.column("band")[0].as_py()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
         sizes = np.array([len(x) for x in sets])
         out = []
@@ -224,6 +227,7 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
             at = np.flatnonzero(rivals)
             if len(at):
                 at = at[(sig[at] == sig[k]).sum(axis=1) >= settings.least_agreeing]
+                at = at[(banded[at] == banded[k]).all(axis=2).argmax(axis=1) == band]
             out += [(ids[k], ids[m]) for m in at if _similar(sets[k], sets[m], settings.percent)]
         return pa.table(
             {"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())}
@@ -255,7 +259,7 @@ def near_duplicates(
         filled.join(shared, "same", "left").filter("head IS NULL OR head = id").select("id", "n_shingles", "sig", "keys")
     )
 
-    banded = classes.select("id", F.explode("keys").alias("key"))
+    banded = classes.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).filter("head < last")
     members = kept(banded.join(buckets.select("key", "head"), "key").distinct(), "members")
     active = kept(classes.drop("keys").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "active")
@@ -269,7 +273,7 @@ def near_duplicates(
 
     # buckets whose members are still in several components
     placed = members.join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+        "key", "band", "id", F.coalesce("component", "id").alias("component")
     )
     unsettled = placed.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")
@@ -282,7 +286,7 @@ def near_duplicates(
     right = small.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
     across = left.join(right, "key").filter("a < b AND ca <> cb").select("a", "b").distinct()
     maybe = kept(_signature_filter(across, active, settings), "maybe")
-    hot_rows = open_rows.filter(F.col("size") > settings.hot).select("key", "id", "component")
+    hot_rows = open_rows.filter(F.col("size") > settings.hot).select("key", "band", "id", "component")
     more = (
         maybe.select(F.col("a").alias("id"))
         .unionByName(maybe.select(F.col("b").alias("id")))
