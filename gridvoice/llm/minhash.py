@@ -189,8 +189,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
     """Links between members of one bucket in different components, compared block by block.
 
-    ``rows(key, band, id, component, n_shingles, sig, members)`` of unsettled buckets. A pair is only verified in the first
-    band in which it agrees. A bucket is cut into blocks by a hash of
+    ``rows(key, band, id, component, sig, keys, members)`` of unsettled buckets. A pair is only verified in the first
+    band whose bucket it shares. A bucket is cut into blocks by a hash of
     the id, each pair of blocks is one group, so no group holds more than about two blocks.
     """
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
@@ -208,6 +208,7 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
             "id",
             "component",
             "sig",
+            "keys",
             "members",
         )
     )
@@ -217,7 +218,8 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
         own, component = table.column("own").to_numpy(), table.column("component").to_numpy()
         diagonal = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
-        banded, band = sig.reshape(len(ids), settings.bands, settings.rows), table.column("band")[0].as_py()
+        keys = np.array(table.column("keys").to_pylist(), np.int64)
+        band = table.column("band")[0].as_py()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
         sizes = np.array([len(x) for x in sets])
         out = []
@@ -227,7 +229,7 @@ def _within_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
             at = np.flatnonzero(rivals)
             if len(at):
                 at = at[(sig[at] == sig[k]).sum(axis=1) >= settings.least_agreeing]
-                at = at[(banded[at] == banded[k]).all(axis=2).argmax(axis=1) == band]
+                at = at[(keys[at] == keys[k]).argmax(axis=1) == band]
             out += [(ids[k], ids[m]) for m in at if _similar(sets[k], sets[m], settings.percent)]
         return pa.table(
             {"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())}
@@ -262,7 +264,7 @@ def near_duplicates(
     banded = classes.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).filter("head < last")
     members = kept(banded.join(buckets.select("key", "head"), "key").distinct(), "members")
-    active = kept(classes.drop("keys").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "active")
+    active = kept(classes.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "active")
 
     stars = members.filter("head < id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     probable = kept(_signature_filter(stars, active, settings), "probable")

@@ -91,3 +91,18 @@ def test_word_hashes_do_not_depend_on_the_place():
     assert first.tolist() == [0, 2, 2, 2, 4, 6]
     assert hashes[0] == hashes[3] == hashes[5] and hashes[1] == hashes[4]
     assert len(np.unique(hashes)) == 3
+
+
+def test_low_bytes_that_agree_are_no_shared_bucket(few):
+    settings = minhash.Settings(words=3, percent=85)
+    size = settings.bands * settings.rows
+    members = np.arange(40, dtype=np.uint64).tobytes()
+    rows = []
+    for doc in (1, 2):
+        # the minima of the first band agree in their low bytes only; the pair's one bucket is that of the fourth
+        keys = [1000 * doc + band for band in range(settings.bands)]
+        keys[3] = 77
+        rows.append((77, 3, doc, doc, 40, bytearray(size), keys, bytearray(members)))
+    schema = "key long, band int, id long, component long, n_shingles long, sig binary, keys array<long>, members binary"
+    got = minhash._within_blocks(few.createDataFrame(rows, schema), settings).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(1, 2)]
