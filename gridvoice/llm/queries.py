@@ -24,6 +24,7 @@ from gridvoice.llm import (
     wordpiece,
 )
 from gridvoice.llm.common import table
+from gridvoice.sources import scratch
 
 QUERIES = {}
 SQL = {}
@@ -110,7 +111,7 @@ def line_templates(spark, directory):
 
 @query("op3_resharding")
 def resharding(spark, directory):
-    places = reshard.layout(table(spark, directory, "documents"))
+    places = reshard.reshard(table(spark, directory, "documents"), scratch.new_path(spark, "shards"))
     return places.select(
         "doc_id",
         "size",

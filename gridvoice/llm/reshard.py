@@ -5,7 +5,8 @@
 2. A minimum-cost flow from old shard sizes to new capacities says how many bytes go from where to where; a byte
    that stays costs nothing.
 3. Whole blocks are given to the arcs of the flow, large ones first, so that small ones even out the rest.
-4. Only shards that lose or gain a block are rewritten.
+4. Only shards that lose or gain a block are rewritten. A row's block follows from the row itself, so whole rows go to
+   their shards without a join on ids.
 """
 
 from __future__ import annotations
@@ -157,17 +158,36 @@ def _best_change(full: list[int], empty: list[int], gap: int) -> tuple[int, int
     return int(best // len(empty)), int(best % len(empty))
 
 
+#: What a row's place follows from, null-safe.
+KEYS = ["old_shard", "kind", "block"]
+
+
+def _blocked(doc_id: Column, text: Column, old_shard: Column, settings: Settings) -> dict[str, Column]:
+    """Size, checksum and block of a row."""
+    text = F.coalesce(text.cast("string"), F.lit("")).cast("binary")
+    size = (F.octet_length(text) + OVERHEAD).cast("long")
+    return {
+        "size": size,
+        "text_crc32": F.crc32(text),
+        "old_shard": old_shard.cast("int"),
+        "kind": F.floor(F.log2(size) + 1e-9).cast("int"),
+        "block": F.pmod(F.xxhash64(doc_id, F.crc32(text)), F.lit(settings.blocks)).cast("int"),
+    }
+
+
 def _with_blocks(docs: DataFrame, old_shard: Column, settings: Settings) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    sized = docs.select(
-        "doc_id",
-        (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        old_shard.cast("int").alias("old_shard"),
-    )
-    return sized.withColumn("kind", F.floor(F.log2("size") + 1e-9).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(settings.blocks)).cast("int")
+    found = _blocked(F.col("doc_id"), F.col("text"), old_shard, settings)
+    return docs.select("doc_id", *[c.alias(name) for name, c in found.items()])
+
+
+def _plan(rows: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """``(old_shard, kind, block, shard)``, one row per block, and the most rows of a block."""
+    sums = rows.groupBy(*KEYS).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    chosen = transfers([(r["old_shard"], r["kind"], r["block"], r["bytes"]) for r in sums], settings)
+    plan = rows.sparkSession.createDataFrame(
+        [(*k, shard) for k, shard in chosen.items()], "old_shard int, kind int, block int, shard int"
     )
+    return plan, max((r["n"] for r in sums), default=0)
 
 
 def by_source(settings: Settings) -> Column:
@@ -182,41 +202,85 @@ def layout(docs: DataFrame, old_shard: Column | None = None, settings: Settings
     Null and empty texts have the size of the overhead. Every row has a place, also rows that repeat an id or have a null one. Slots
     of a shard count from 0 without gaps. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
     rows = kept(_with_blocks(docs, by_source(settings) if old_shard is None else old_shard, settings), "sizes")
-    key = ["old_shard", "kind", "block"]
-    sums = rows.groupBy(*key).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-    chosen = transfers([(r["old_shard"], r["kind"], r["block"], r["bytes"]) for r in sums], settings)
-    plan = spark.createDataFrame(
-        [(*k, shard) for k, shard in chosen.items()], "old_shard int, kind int, block int, shard int"
-    )
-    runs = max(1, -(-max((r["n"] for r in sums), default=0) // RUN))
-    split = rows.withColumn("run", F.pmod(F.xxhash64("text_crc32", "doc_id", F.lit(7)), F.lit(runs)).cast("int"))
-    counted = split.groupBy(*key, "run").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(plan), key)
-    shard = Window.partitionBy("shard").orderBy(*key, "run")
-    before = counted.select(*key, "run", "shard", (F.sum("n").over(shard) - F.col("n")).alias("before"))
-    within = F.row_number().over(Window.partitionBy(*key, "run").orderBy("doc_id", "text_crc32")) - 1
+    plan, most = _plan(rows, settings)
+    return _slots(rows.join(F.broadcast(plan), KEYS), most)
+
+
+def _slots(placed: DataFrame, most: int) -> DataFrame:
+    """The layout of rows with their blocks and shards; ``most`` rows are in the fullest block."""
+    runs = max(1, -(-most // RUN))
+    split = placed.withColumn("run", F.pmod(F.xxhash64("text_crc32", "doc_id", F.lit(7)), F.lit(runs)).cast("int"))
+    counted = split.groupBy(*KEYS, "run", "shard").agg(F.count(F.lit(1)).alias("n"))
+    shard = Window.partitionBy("shard").orderBy(*KEYS, "run")
+    before = counted.select(*KEYS, "run", "shard", (F.sum("n").over(shard) - F.col("n")).alias("before"))
+    within = F.row_number().over(Window.partitionBy(*KEYS, "run", "shard").orderBy("doc_id", "text_crc32")) - 1
     return (
         split.withColumn("within", within)
-        .join(before, [*key, "run"])
+        .join(before, [*KEYS, "run", "shard"])
         .select(
             "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("before") + F.col("within")).alias("slot")
         )
     )
 
 
+def reshard(docs: DataFrame, new_path: str, old_shard: Column | None = None, settings: Settings = Settings()) -> DataFrame:
+    """Write the shards that lose or gain a block to ``new_path/new_shard=k``, whole rows, and return the layout as it is
+    then stored.
+
+    Rows of written shards are read back from there: sizes, checksums and old shards are those of the stored rows. Shards
+    without a change are not written. Rows are treated as by ``layout``; rows with a null id and rows that
+    repeat an id are written as often as they are there. Columns may have any name but ``new_shard``.
+    """
+    spark = docs.sparkSession
+    old_shard = by_source(settings) if old_shard is None else old_shard
+    rows = kept(_with_blocks(docs, old_shard, settings), "sizes")
+    plan, most = _plan(rows, settings)
+    moved = plan.filter("old_shard <> shard")
+    affected = moved.select("shard").unionByName(moved.select(F.col("old_shard").alias("shard"))).distinct()
+    affected = sorted(r[0] for r in affected.collect())  # at most one row per shard
+    found = _blocked(F.col("doc_id"), F.col("text"), old_shard, settings)
+    at = F.struct(*[found[k].alias(k) for k in KEYS])
+    to = plan.select(F.struct(*KEYS).alias("_at"), F.col("shard").alias("new_shard"))
+    going = docs.withColumn("_at", at).join(F.broadcast(to), "_at").drop("_at").filter(F.col("new_shard").isin(affected))
+    _write(going, "new_shard", new_path)
+    stored = spark.read.schema(going.schema).parquet(new_path)
+    written = _blocked(F.col("doc_id"), F.col("text"), old_shard, settings)
+    again = stored.select("doc_id", *[c.alias(name) for name, c in written.items()], F.col("new_shard").alias("shard"))
+    stayed = rows.join(F.broadcast(plan), KEYS).filter(~F.col("shard").isin(affected))
+    return _slots(kept(again.unionByName(stayed), "stored"), most)
+
+
+def _write(rows: DataFrame, shard: str, path: str) -> None:
+    """One folder per shard; a large shard is several files."""
+    rows.hint("rebalance", F.col(shard)).write.mode("overwrite").partitionBy(shard).parquet(path)
+
+
 def rewrite_affected(docs: DataFrame, places: DataFrame, old_path: str, new_path: str) -> DataFrame:
     """Write the shards that lose or gain rows to ``new_path/shard=k``; ``(shard, path)`` says where each shard is now.
 
     ``docs`` has the column ``old_shard`` and lies under ``old_path/shard=k``; ``places(doc_id, old_shard, shard)`` is the new
-    layout. Shards without a change are not read or written again.
+    layout. Places with ``size`` and ``text_crc32``, as ``layout`` gives them, tell rows that repeat an id apart. Every row, also
+    one with a null id, is written once; a row without a place or with several is an error. Shards without a change are not
+    read or written again.
     """
     spark = docs.sparkSession
+    keys = [c for c in ("doc_id", "old_shard", "size", "text_crc32") if c in places.columns]
     moved = places.filter("old_shard <> shard")
     affected = moved.select("shard").unionByName(moved.select(F.col("old_shard").alias("shard"))).distinct()
     affected = sorted(r[0] for r in affected.collect())  # at most one row per shard
-    going = docs.join(places.select("doc_id", "shard"), "doc_id").filter(F.col("shard").isin(affected))
-    going.drop("old_shard").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(new_path)
+    # equal rows share one block, so their place is one
+    of = F.struct(*keys)
+    unique = kept(places.groupBy(of.alias("_of")).agg(F.min("shard").alias("shard"), F.max("shard").alias("_most")), "places")
+    if unique.filter("shard <> _most").limit(1).count():
+        raise ValueError("rows of one id have several places; they need size and text_crc32")
+    found = {"doc_id": F.col("doc_id")} | _blocked(F.col("doc_id"), F.col("text"), F.col("old_shard"), Settings())
+    own = F.struct(*[found[k].alias(k) for k in keys])
+    # only shards that are rewritten are read; a row of another one stays where it is
+    reading = docs.filter(F.col("old_shard").isin(affected)).withColumn("_of", own)
+    going = reading.join(unique.drop("_most"), "_of", "left").drop("_of", "old_shard")
+    placed = F.when(F.col("shard").isNull(), F.raise_error(F.lit("a row has no place")).cast("int")).otherwise(F.col("shard"))
+    _write(going.withColumn("shard", placed), "shard", new_path)
     all_shards = sorted(r[0] for r in places.select("shard").distinct().collect())
     return spark.createDataFrame(
         [(s, f"{new_path if s in affected else old_path}/shard={s}") for s in all_shards], "shard int, path string"

@@ -83,3 +83,53 @@ def test_only_affected_shards_are_rewritten(few, tmp_path):
     assert where == {0: f"{new}/shard=0", 1: f"{new}/shard=1", 2: f"{old}/shard=2"}
     assert sorted(r["doc_id"] for r in few.read.parquet(where[1]).collect()) == [0, 1, 4, 7, 10]
     assert not (tmp_path / "new" / "shard=2").exists()
+
+
+def repeated():
+    """Null ids, ids in several rows with equal and other texts."""
+    return rows(300) + [(None, "x", "src1"), (None, None, None), (None, "y" * 90, "src3")] + [(7, "again", "src2")] * 3 + [(7, "other " * 9, "src5")]
+
+
+def test_rewriting_keeps_null_and_repeated_ids(few, tmp_path):
+    docs = frame(few, repeated()).drop("shard", "size").withColumn("old_shard", reshard.by_source(reshard.Settings()).cast("int"))
+    old, new = f"{tmp_path}/old", f"{tmp_path}/new"
+    docs.withColumnRenamed("old_shard", "shard").write.partitionBy("shard").parquet(old)
+    places = reshard.layout(docs, F.col("old_shard"))
+    where = reshard.rewrite_affected(docs, places, old, new).collect()
+    got = [(r["doc_id"], r["text"], r["source"], w["shard"]) for w in where for r in few.read.parquet(w["path"]).collect()]
+    assert sorted([g[:3] for g in got], key=repr) == sorted(repeated(), key=repr)
+    load = defaultdict(int)
+    for r in places.collect():
+        load[r["shard"]] += 1
+    assert load == {k: len(list(g)) for k, g in itertools.groupby(sorted(g[3] for g in got))}
+
+
+def test_places_that_ids_do_not_tell_apart(few, tmp_path):
+    docs = few.createDataFrame([(1, "a", 0), (1, "b", 0)], "doc_id long, text string, old_shard int")
+    places = few.createDataFrame([(1, 0, 0), (1, 0, 1)], "doc_id long, old_shard int, shard int")
+    with pytest.raises(ValueError):
+        reshard.rewrite_affected(docs, places, f"{tmp_path}/old", f"{tmp_path}/new")
+
+
+def test_stored_shards_hold_all_rows(few, tmp_path):
+    data = frame(few, repeated())
+    got = reshard.reshard(data, f"{tmp_path}/new").collect()
+    assert sorted(got, key=repr) == sorted(reshard.layout(data).collect(), key=repr)
+    stored = few.read.parquet(f"{tmp_path}/new")
+    assert set(stored.columns) == {*data.columns, "new_shard"}
+    held = sorted(((r["doc_id"], zlib.crc32((r["text"] or "").encode()), r["new_shard"]) for r in stored.collect()), key=repr)
+    moved = {s for r in got if r["old_shard"] != r["shard"] for s in (r["old_shard"], r["shard"])}
+    assert held == sorted(((r["doc_id"], r["text_crc32"], r["shard"]) for r in got if r["shard"] in moved), key=repr)
+
+
+def test_query_reads_what_it_wrote(few, monkeypatch, tmp_path):
+    from gridvoice.llm import queries
+
+    frame(few, repeated()).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries.scratch, "new_path", lambda spark, name: f"{tmp_path}/{name}")
+    assert queries.resharding(few, str(tmp_path)).count() == len(repeated())
+    assert (tmp_path / "shards").exists()
+
+
+def test_nothing_to_store(few, tmp_path):
+    assert reshard.reshard(frame(few, []), f"{tmp_path}/new").count() == 0
