@@ -1,11 +1,11 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
 
-* Characters are mapped to 64 classes: the 62 most frequent of the trusted text, one for all others, one for the
-  start of a text. An n-gram of four classes is a number below 64**4, so the size of the model is bounded.
+* Every character is a symbol of its own, and so is the start of a text; an n-gram is the code points of four symbols, four
+  bytes each. The model holds all n-grams of the trusted text, so it grows with it.
 * Tasks count the n-grams of trusted text; their partial counts are summed by n-gram.
 * Count tables of each order are joined with their context totals and with the probabilities of the next lower order.
-* The joined probabilities are sent to the tasks, which fill a table for look-up. Joining every n-gram of every document
-  with the count tables would move several times the input.
+* The joined probabilities are sent to the tasks as long as they are within the bound of a broadcast. Beyond it the n-grams of the
+  documents, each once a document, are joined with them by shuffling. Both give the same.
 * A document is rejected if its perplexity is above a quantile of the trusted documents of its language.
 """
 
@@ -16,15 +16,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridvoice.llm import common
+from gridvoice.llm import shingles as S
 from gridvoice.llm.common import broadcast_within, kept, slices, small_batches, worker_copy
 
-BITS, ORDER = 6, 4
-CLASSES = 1 << BITS
-START, OTHER = 0, 1
+ORDER = 4
+#: Symbols among which the probability of an unseen one is shared out, at least.
+CLASSES = 64
+#: No character has this code.
+START = 0x110000
+CODE = 4
 LEAST_DISCOUNT = 0.05
+#: Bytes of an n-gram or context of a model that is sent to the tasks.
+ROW_BYTES = 48
 
 
 @dataclass(frozen=True)
@@ -43,82 +50,80 @@ class Settings:
     bins: int = 1000
 
 
-def _classes_of(alphabet: list[int]) -> np.ndarray:
-    out = np.full(0x110000, OTHER, np.uint8)
-    out[np.array(alphabet, np.int64)] = np.arange(2, 2 + len(alphabet), dtype=np.uint8)
-    return out
-
-
 def _code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
     return np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32), sizes
 
 
-def _grams(points: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each character; texts begin with start marks."""
+def _grams(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The n-gram that ends at each character, a row of symbols; texts begin with start marks."""
     lead = ORDER - 1
-    padded = np.zeros(len(points) + lead * len(sizes), np.int32)
+    padded = np.full(len(points) + lead * len(sizes), START, np.uint32)
     at = np.arange(len(points)) + lead * np.repeat(np.arange(1, len(sizes) + 1), sizes)
-    padded[at] = classes[points]
-    gram = padded[at]
-    for back in range(1, ORDER):
-        gram |= padded[at - back] << np.int32(BITS * back)
-    return gram
+    padded[at] = points
+    return np.stack([padded[at - back] for back in range(lead, -1, -1)], axis=1)
 
 
-def alphabet(trusted: DataFrame) -> list[int]:
-    """The most frequent characters of the trusted text, at most 62."""
+def _hashes(grams: np.ndarray) -> np.ndarray:
+    """64-bit hash of each row of symbols."""
+    out = np.zeros(len(grams), np.uint64)
+    with np.errstate(over="ignore"):
+        for column in grams.T:
+            out = S.mix(out + column.astype(np.uint64) + np.uint64(1))
+    return out
+
+
+def _binary(grams: np.ndarray) -> pa.Array:
+    rows = np.ascontiguousarray(grams, "<u4")
+    width = CODE * grams.shape[1]
+    return pa.Array.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
 
-    def run(batches):
-        total = np.zeros(0x110000, np.int64)
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                points, _ = _code_points(piece.column("text").to_pylist())
-                found = np.bincount(points)
-                total[: len(found)] += found
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["c", "n"])
 
-    counts = small_batches(trusted.select("text")).mapInArrow(run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
-    best = counts.orderBy(F.desc("n"), "c").limit(CLASSES - 2).collect()
-    return sorted(r["c"] for r in best)
+def _symbols(grams: pa.ChunkedArray, order: int) -> np.ndarray:
+    return np.frombuffer(b"".join(grams.to_pylist()), "<u4").reshape(len(grams), order)
 
 
-def gram_counts(trusted: DataFrame, letters: list[int]) -> DataFrame:
-    """``(gram, n)`` over all trusted texts; each task sums its own before the shuffle."""
+def gram_counts(trusted: DataFrame) -> DataFrame:
+    """``(gram, n)`` over all trusted texts; each task sums those of a slice before the shuffle."""
 
     def run(batches):
-        classes, total = _classes_of(letters), None
         for batch in batches:
             for piece in slices(batch, "text"):
-                points, sizes = _code_points(piece.column("text").to_pylist())
-                if total is None:
-                    total = np.zeros(CLASSES**ORDER, np.int32)
-                np.add.at(total, _grams(points, sizes, classes), 1)
-        at = np.flatnonzero(total) if total is not None else np.empty(0, np.int64)
-        sums = total[at] if total is not None else np.empty(0, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums, pa.int64())], names=["gram", "n"])
+                grams = _grams(*_code_points(piece.column("text").to_pylist()))
+                _, first, n = np.unique(_hashes(grams), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([_binary(grams[first]), pa.array(n, pa.int64())], names=["gram", "n"])
+
+    return small_batches(trusted.select("text")).mapInArrow(run, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _rest(gram: Column, order: int) -> Column:
+    """Without the first symbol."""
+    return F.substring(gram, CODE + 1, CODE * (order - 1))
+
 
-    return small_batches(trusted.select("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def _context(gram: Column, order: int) -> Column:
+    """Without the last symbol."""
+    return F.substring(gram, 1, CODE * (order - 1))
 
 
-def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def model(counts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Interpolated modified Kneser-Ney.
 
-    ``(order, gram, p)`` for the n-grams seen, and ``(order, context, backoff)``. The highest order uses counts, the lower
+    ``(order, gram, p)`` for the n-grams seen, ``(order, context, backoff)``, and the number of symbols. The highest order uses counts, the lower
     ones the number of different characters before. A discount that the counts of counts do not give is a small one, so
     that unseen characters keep some probability.
     """
-    shift = 1 << BITS
     by_order = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
         # dropping the first character: what is left once for each of its predecessors
-        rest = F.pmod(F.col("gram"), F.lit(shift**order)).cast("int")
+        rest = _rest(F.col("gram"), order + 1)
         by_order[order] = by_order[order + 1].groupBy(rest.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
+    # all that were seen, the start and an unseen one
+    symbols = max(CLASSES, by_order[1].count() + 2)
     lower, probabilities, backoffs = None, [], []
     for order in range(1, ORDER + 1):
-        grams = by_order[order].withColumn("context", F.floor(F.col("gram") / shift).cast("int"))
+        grams = by_order[order].withColumn("context", _context(F.col("gram"), order))
         n1, n2, n3, n4 = (float(x or 0) for x in grams.agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).first())
         y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.0
         steps = [k - (k + 1) * y * b / a if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
@@ -131,11 +136,10 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         joined = grams.join(totals, "context")
         own = (F.col("n") - F.col("discount")) / F.col("total")
         if lower is None:
-            seen = joined.select("gram", (own + F.col("backoff") / CLASSES).alias("p"))
+            seen = joined.select("gram", (own + F.col("backoff") / symbols).alias("p"))
         else:
-            rest = F.pmod(F.col("gram"), F.lit(shift ** (order - 1))).cast("int")
             seen = (
-                joined.withColumn("rest", rest)
+                joined.withColumn("rest", _rest(F.col("gram"), order))
                 .join(lower.select(F.col("gram").alias("rest"), F.col("p").alias("lower")), "rest")
                 .select("gram", (own + F.col("backoff") * F.col("lower")).alias("p"))
             )
@@ -146,40 +150,136 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     p, b = probabilities[0], backoffs[0]
     for more_p, more_b in zip(probabilities[1:], backoffs[1:]):
         p, b = union(p, more_p), union(b, more_b)
-    return p, b
+    return p, b, symbols
+
+
+class Lookup:
+    """Probabilities of n-grams, seen or not, under a gathered model."""
+
+    def __init__(self, symbols: int, p: list, backoff: list):
+        self.symbols = symbols
+        self.p, self.backoff = ([self._sorted(*t) for t in tables] for tables in (p, backoff))
+
+    @staticmethod
+    def _sorted(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes = _hashes(grams)
+        order = np.argsort(hashes)
+        return hashes[order], values[order]
+
+    @staticmethod
+    def _find(table: tuple[np.ndarray, np.ndarray], grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each row, and whether there is one."""
+        keys, values = table
+        if not len(keys):
+            return np.zeros(len(grams)), np.zeros(len(grams), bool)
+        hashes = _hashes(grams)
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        return values[at], keys[at] == hashes
+
+    def logs(self, grams: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of the last symbol of each row after the others."""
+        out = np.ones(len(grams))
+        left = np.arange(len(grams))
+        for order in range(ORDER, 0, -1):
+            some = grams[left, ORDER - order :]
+            value, seen = self._find(self.p[order - 1], some)
+            out[left[seen]] *= value[seen]
+            left, some = left[~seen], some[~seen]
+            weight, known = self._find(self.backoff[order - 1], some[:, :-1])
+            out[left] *= np.where(known, weight, 1.0)
+        out[left] /= self.symbols
+        return np.log(out)
 
 
 def table(p: list[tuple[np.ndarray, np.ndarray]], backoff: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Logarithm of the probability of every n-gram of the highest order, seen or not."""
-    dense = np.full(1, 1.0 / CLASSES, np.float32)
-    for order in range(1, ORDER + 1):
-        weight = np.ones(CLASSES ** (order - 1), np.float32)
-        weight[backoff[order - 1][0]] = backoff[order - 1][1]
-        # (context, character) without the first character of the context is an n-gram of the order below
-        dense = np.tile(dense, CLASSES)
-        by_context = dense.reshape(-1, CLASSES)
-        by_context *= weight[:, None]
-        dense[p[order - 1][0]] = p[order - 1][1]
-    return np.log(dense, out=dense)
+    """Logarithms for every symbol after every context of the highest order that was seen, context by context."""
+    seen = p[0][0][:, 0]
+    symbols = max(CLASSES, len(seen) + 2)
+    # codes above the start stand for symbols that were not seen
+    after = np.concatenate([seen, START + 1 + np.arange(symbols - len(seen), dtype=np.uint32)]).astype(np.uint32)
+    contexts = backoff[ORDER - 1][0]
+    grams = np.column_stack([np.repeat(contexts, symbols, axis=0), np.tile(after, len(contexts))])
+    return Lookup(symbols, p, backoff).logs(grams)
+
 
+def _lookup(shared) -> Lookup:
+    """The look-up tables of a broadcast model, built once per Python worker."""
+    key, symbols, p, backoff = shared.value
+    return worker_copy(key, lambda: Lookup(symbols, p, backoff))
 
-def _lookup(shared) -> tuple[np.ndarray, np.ndarray]:
-    """The filled table of a broadcast model, built once per Python worker."""
-    key, letters, p, backoff = shared.value
-    return worker_copy(key, lambda: (_classes_of(letters), table(p, backoff)))
+
+@dataclass(frozen=True)
+class Sharded:
+    """A model beyond the bound of a broadcast: the tables of ``model``, and the number of symbols."""
+
+    p: DataFrame
+    backoff: DataFrame
+    symbols: int
+
+
+def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
+    """As ``perplexities``, by joins on n-grams. Rows that agree in all columns but ``text`` have one text."""
+    rest = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                points, sizes = _code_points(piece.column("text").to_pylist())
+                grams = _grams(points, sizes)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                # each n-gram once a row
+                _, first, n = np.unique(
+                    np.rec.fromarrays([row, _hashes(grams)]), return_index=True, return_counts=True
+                )
+                of = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece.column(c).take(of) for c in rest), _binary(grams[first]), pa.array(n, pa.int64())],
+                    names=[*rest, "_gram", "_n"],
+                )
+
+    counted = kept(small_batches(docs).mapInArrow(run, f"{schema}, _gram binary, _n long"), "grams")
+    valued = counted.select("_gram").distinct().withColumn("_factor", F.lit(1.0)).withColumn("_found", F.lit(None).cast("double"))
+    for order in range(ORDER, 0, -1):
+        suffix = F.substring(F.col("_gram"), CODE * (ORDER - order) + 1, CODE * order)
+        p = shared.p.filter(F.col("order") == order).select(F.col("gram").alias("_own"), "p")
+        b = shared.backoff.filter(F.col("order") == order).select(F.col("context").alias("_before"), "backoff")
+        valued = (
+            valued.withColumn("_own", suffix)
+            .withColumn("_before", _context(suffix, order))
+            .join(p, "_own", "left")
+            .join(b, "_before", "left")
+            .select(
+                "_gram",
+                F.coalesce("_found", F.col("_factor") * F.col("p")).alias("_found"),
+                (F.col("_factor") * F.coalesce("backoff", F.lit(1.0))).alias("_factor"),
+            )
+        )
+    valued = valued.select("_gram", F.log(F.coalesce("_found", F.col("_factor") / shared.symbols)).alias("_log"))
+    own = F.struct(*rest).alias("_row")
+    summed = (
+        counted.join(valued, "_gram")
+        .groupBy(own)
+        .agg(F.exp(-F.sum(F.col("_n") * F.col("_log")) / F.sum("_n")).alias("perplexity"))
+    )
+    sized = docs.select(own, F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_scored"))
+    return sized.join(summed, "_row", "left").select(*[F.col("_row")[c].alias(c) for c in rest], "n_chars_scored", "perplexity")
 
 
 def perplexities(docs: DataFrame, shared) -> DataFrame:
     """Adds ``n_chars_scored`` and ``perplexity`` to rows that have ``text``, which is dropped."""
+    if isinstance(shared, Sharded):
+        return _joined_perplexities(docs, shared)
     rest = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
 
     def run(batches):
         for batch in batches:
             for piece in slices(batch, "text"):
-                classes, logs = _lookup(shared)
                 points, sizes = _code_points(piece.column("text").to_pylist())
-                values = logs[_grams(points, sizes, classes)].astype(np.float64)
+                grams = _grams(points, sizes)
+                _, first, which = np.unique(_hashes(grams), return_index=True, return_inverse=True)
+                values = _lookup(shared).logs(grams[first])[which]
                 total = np.zeros(len(sizes))
                 filled = np.flatnonzero(sizes)
                 if len(filled):
@@ -195,17 +295,22 @@ def perplexities(docs: DataFrame, shared) -> DataFrame:
 
 def train(trusted: DataFrame):
     """The model of the trusted texts, ready for ``perplexities``."""
-    letters = alphabet(trusted)
-    p, backoff = model(kept(gram_counts(trusted, letters), "grams"))
+    p, backoff, symbols = model(kept(gram_counts(trusted), "grams"))
+    p, backoff = kept(p, "probabilities"), kept(backoff, "backoffs")
+    if (p.count() + backoff.count()) * ROW_BYTES > common.BROADCAST_BYTES:
+        return Sharded(p, backoff, symbols)
     columns = []
     for frame, key in ((p, "gram"), (backoff, "context")):
-        # bounded by the number of n-grams of 64 classes, whatever the input
+        # within the bound of a broadcast
         rows = frame.toArrow()
-        order = rows.column("order").to_numpy()
-        keys, values = rows.column(key).to_numpy(), rows.column(2).to_numpy()
-        columns.append([(keys[order == o], values[order == o]) for o in range(1, ORDER + 1)])
+        of = rows.column("order").to_numpy()
+        tables = []
+        for order in range(1, ORDER + 1):
+            own = rows.filter(pa.array(of == order))
+            tables.append((_symbols(own.column(key), order - (key == "context")), own.column(2).to_numpy()))
+        columns.append(tables)
     spark = trusted.sparkSession
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, letters, *columns))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, symbols, *columns))
 
 
 def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -106,3 +106,43 @@ def test_without_trusted_texts_or_documents(few):
     df = frame(few, [(1, "some text", "en"), (2, None, "en")])
     assert {r["doc_id"]: r["kept"] for r in kn.classify(df, labels(few, [])).collect()} == {1: True, 2: False}
     assert kn.classify(df.limit(0), labels(few, [(1, 1)])).count() == 0
+
+
+def wide(seed, n=200):
+    """Texts of more than 62 different characters."""
+    rng = random.Random(seed)
+    letters = "abcdefghij" * 20 + "".join(map(chr, range(0x30, 0x90))) + "\0Ж漢\U0001f600"
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 300))) for _ in range(n)]
+
+
+def test_every_character_counts_for_itself(few):
+    texts = wide(1)
+    shared = kn.train(frame(few, [(n, t, "en") for n, t in enumerate(texts)]))
+    _, symbols, p, _ = shared.value
+    assert symbols == len(set("".join(texts))) + 2 > kn.CLASSES
+    padded = ["\ue000" * 3 + t for t in texts]
+    assert len(p[3][0]) == len({t[i : i + 4] for t in padded for i in range(len(t) - 3)})
+
+
+def test_rare_and_foreign_characters_are_not_one_symbol(few):
+    # digits are rare: a run of them was one class that follows itself
+    letters = "".join(map(chr, [*range(0x61, 0x7B), *range(0x41, 0x5B), *range(0xC0, 0xE0)]))
+    rng = random.Random(3)
+    good = ["".join(rng.choice(letters) for _ in range(300)) + " 2024 1999 3187 " for _ in range(40)]
+    runs = [(1, "70365418" * 40, "en"), (2, "漢字假名" * 80, "en"), (3, good[0], "en")]
+    shared = kn.train(frame(few, [(n, t, "en") for n, t in enumerate(good)]))
+    got = {r["doc_id"]: r["perplexity"] for r in kn.perplexities(frame(few, runs).select("doc_id", "text"), shared).collect()}
+    assert got[3] < got[1] and got[3] < got[2]
+
+
+def test_joined_and_gathered_models_agree(few, monkeypatch):
+    texts = wide(5, 60)
+    rows = [(n, t, "en") for n, t in enumerate(texts)] + [(70, "new Ωmega", "en"), (71, None, "en"), (72, "", None), (None, "ab", "en"), (3, texts[3], "en"), (3, "ba", "en")]
+    df, marks = frame(few, rows), labels(few, [(n, 1) for n in range(60)])
+    gathered = sorted(kn.classify(df, marks).collect(), key=repr)
+    monkeypatch.setattr(kn.common, "BROADCAST_BYTES", 0)
+    joined = sorted(kn.classify(df, marks).collect(), key=repr)
+    assert len(joined) == len(rows)
+    for x, y in zip(gathered, joined):
+        assert x[:4] == y[:4] and x["kept"] == y["kept"]
+        assert x["perplexity"] == pytest.approx(y["perplexity"]) and x["threshold"] == pytest.approx(y["threshold"])
