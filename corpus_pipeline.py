@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines whose template recurs."""
-    return templates.without_recurring(docs)
+    """Documents without lines whose template recurs, and without identical lines of 50 words or more."""
+    return templates.without_recurring(docs, templates.Settings(long_words=50))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ the line's template. Templates that recur across documents are dropped, except f
 
 Leaves are counted on hashes. Only the lines of leaves that recur, one row per different line, go through the
 token counts, so copies cost one row each and prose that does not recur costs none.
+
+With ``long_words`` set, a line of so many words also recurs if it stands, character by character, in two documents.
 """
 
 from __future__ import annotations
@@ -23,15 +25,19 @@ VARIABLE = "<*>"
 
 @dataclass(frozen=True)
 class Settings:
-    """Leading tokens of a leaf, documents that make a template recur, constant share of a template in per cent."""
+    """Leading tokens of a leaf, documents that make a template recur, constant share of a template in per cent.
+
+    Identical lines of ``long_words`` words or more recur from two documents on; None leaves that to templates.
+    """
 
     depth: int = 3
     min_docs: int = 5
     constant_percent: int = 80
+    long_words: int | None = None
 
 
 def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, text_hash, line_no, leaf, masked, size``: lines that have tokens."""
+    """``doc_id, text_hash, line_no, size, exact, leaf, masked``: lines that have tokens."""
     each = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
@@ -45,6 +51,7 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
             "text_hash",
             "line_no",
             "size",
+            F.xxhash64("line").alias("exact"),
             F.xxhash64("size", F.slice("tokens", 1, settings.depth)).alias("leaf"),
             F.array_join("tokens", " ").alias("masked"),
         )
@@ -107,16 +114,35 @@ def _recurring(docs: DataFrame, index: DataFrame, settings: Settings) -> DataFra
     return known.select("leaf", "line", "sum", "xor").join(recurring, ["leaf", "sum", "xor"]).select("leaf", "line", "keeper")
 
 
+def _identical(index: DataFrame) -> DataFrame:
+    """``exact, keeper`` of the long lines that stand in two documents or more."""
+    return (
+        index.filter("exact IS NOT NULL")
+        .select("exact", "doc_id")
+        .distinct()
+        .groupBy("exact")
+        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("keeper"))
+        .filter("docs > 1")
+        .select("exact", "keeper")
+    )
+
+
 def with_dropped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """All columns of ``docs``, with ``_dropped``: the line numbers, from 0, of recurring lines; null if there are none."""
-    index = kept(
-        _lines(docs, settings).select("doc_id", "text_hash", "line_no", "leaf", F.xxhash64("masked").alias("line")), "lines"
-    )
+    each = _lines(docs, settings)
+    columns = ["doc_id", "text_hash", "line_no", "leaf", F.xxhash64("masked").alias("line")]
+    if settings.long_words is not None:
+        columns.append(F.when(F.col("size") >= settings.long_words, F.col("exact")).alias("exact"))
+    index = kept(each.select(*columns), "lines")
     recurring = kept(_recurring(docs, index, settings), "recurring")
     recurring = broadcast_within(recurring, recurring.count(), 48)
+    found = index.join(recurring, ["leaf", "line"]).select("doc_id", "text_hash", "line_no", "keeper")
+    if settings.long_words is not None:
+        identical = kept(_identical(index), "identical")
+        identical = broadcast_within(identical, identical.count(), 32)
+        found = found.unionByName(index.join(identical, "exact").select("doc_id", "text_hash", "line_no", "keeper"))
     gone = (
-        index.join(recurring, ["leaf", "line"])
-        .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+        found.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.sort_array(F.collect_set("line_no")).alias("_dropped"))
     )
@@ -135,7 +161,7 @@ def _left_over(text: Column) -> Column:
 def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, text_left``.
 
-    A template recurs if at least ``min_docs`` documents have a line of it. It stays in the recurring document with the smallest
+    A template recurs if at least ``min_docs`` documents have a line of it, an identical line of ``long_words`` words if two have. It stays in the recurring document with the smallest
     id. Lines without tokens are never dropped. A null text has no lines and stays null. Rows that repeat an id are one
     document when documents are counted. Rows with a null id are one document together, never the first. Other columns are
     ignored. An empty table gives an empty table.

@@ -48,3 +48,14 @@ def test_odd_rows(few):
 def test_empty_table(few):
     assert templates.dedup(frame(few, [])).count() == 0
     assert templates.without_recurring(frame(few, [])).count() == 0
+
+
+def test_identical_long_lines_recur_from_two_documents_on(few):
+    import corpus_pipeline
+
+    long = " ".join(f"{'abcde'[n % 5]}{'xyz'[n % 3]}{'kl' * (n // 9)}" for n in range(50))
+    short, near = long.rsplit(" ", 1)[0], long.replace("ax", "bx", 1)
+    rows = [(4, f"own\n{long}"), (2, f"{long}\nalso own"), (7, long), (5, short), (6, short), (8, f"{near}\n{long} 1"), (9, f"{long} 2"), (None, f"z\n{long}")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(few, frame(few, rows), "").collect()}
+    assert got == {4: "own", 2: f"{long}\nalso own", 5: short, 6: short, 8: f"{near}\n{long} 1", 9: f"{long} 2", None: "z"}
+    assert left(templates.dedup(frame(few, rows))) == dict(rows)
