@@ -30,7 +30,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _encoder(vocabulary: str) -> Encoder:
     """The worker's encoder; it remembers words from task to task."""
-    return worker_copy(("encoder", vocabulary), lambda: Encoder(vocabulary))
+    return worker_copy(("encoder", vocabulary), lambda: Encoder(vocabulary, as_library=True))
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

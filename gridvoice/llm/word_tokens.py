@@ -3,7 +3,8 @@
 A tokenizer that splits a text into words before it merges symbols gives a word the same ids wherever it stands. So the
 text is split here, with the split pattern of the vocabulary, on arrays of code points; only words that this worker has
 not met go through the library. Texts with characters from U+0250 on, and those with a dotted capital I, go through
-the library as they are: their normal form or lower case may differ between Unicode versions.
+the library as they are: their normal form or lower case may differ between Unicode versions. So do texts with the string of an added token, if those
+are to give its id.
 """
 
 from __future__ import annotations
@@ -40,11 +41,16 @@ _VALUES = S.symbol_values(int(_LOWER.max()) + 1)
 
 
 class Encoder:
-    """Ids of texts under one vocabulary. Strings of special tokens are ordinary text."""
+    """Ids of texts under one vocabulary.
 
-    def __init__(self, vocabulary: str):
+    Strings of special tokens are ordinary text, or with ``as_library`` what the library's default makes of them: their ids.
+    """
+
+    def __init__(self, vocabulary: str, as_library: bool = False):
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not as_library
+        added = self.tokenizer.get_added_tokens_decoder().values() if as_library else []
+        self.added = [t.content for t in added]
         self._forget()
 
     def _forget(self) -> None:
@@ -79,7 +85,9 @@ class Encoder:
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         odd = (points >= LIMIT) | (points == DOTTED)
-        strange = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]))
+        whole = np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) > 0
+        whole |= np.array([any(a in t for a in self.added) for t in texts], bool)
+        strange = np.flatnonzero(whole)
         if not len(strange):
             return self._plain(points, offsets)
         usual = [t for i, t in enumerate(texts) if i not in set(strange.tolist())]

@@ -112,3 +112,13 @@ def test_repeated_and_null_ids_and_empty_table(few):
     got = packing.pack(packing.pieces(df, VOCABULARY, 8), 8).collect()
     assert len(got) == 3 and len({(r["sequence_id"], r["offset"]) for r in got}) == 3
     assert packing.pack(packing.pieces(df.limit(0), VOCABULARY)).count() == 0
+
+
+def test_special_tokens_as_in_the_library(few):
+    plain = Tokenizer.from_str(VOCABULARY)
+    texts = ["a <|endoftext|> b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> x", "<|endoftext", "no token 漢 <|endoftext|>", "plain words", "", None]
+    df = few.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pieces(df, VOCABULARY).collect() if texts[r["doc_id"]]}
+    want = {n: plain.encode(t, add_special_tokens=False).ids + [packing.END_ID] for n, t in enumerate(texts) if t}
+    assert want[0][:-1] != library(texts[0])
+    assert got == {n: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for n, ids in want.items()}
