@@ -16,6 +16,7 @@ from gridvoice.llm import (
     kneser_ney,
     minhash,
     packing,
+    periodic_runs,
     reshard,
     rules,
     templates,
@@ -198,3 +199,31 @@ def quality_rules(spark, directory):
 @query("op10_token_counts")
 def token_counts(spark, directory):
     return wordpiece.token_counts(table(spark, directory, "documents"), content(PIECE_VOCABULARY))
+
+
+@query("op11_periodic_runs")
+def runs_of_words(spark, directory):
+    docs = periodic_runs.with_planted_runs(table(spark, directory, "documents"))
+    found = periodic_runs.periodic_runs(docs)
+    # runs are ordered by start and period, so the first of equal exponents is the one wanted
+    best = F.aggregate(
+        "runs",
+        F.expr("CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>)"),
+        lambda best, run: F.when(
+            best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run
+        ).otherwise(best),
+    )
+    lines = F.transform(
+        "runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text_collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
