@@ -333,14 +333,19 @@ def with_planted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     h = F.crc32(F.col(id_col).cast("long").cast("string").cast("binary"))
     g = F.floor(h / 10)
-    n = F.size(words).cast("long")
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
 
-    def planted(column):
-        position = F.sequence(F.lit(0).cast("long"), n - 1)
-        source = F.transform(position, lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-        return F.array_join(F.transform(source, lambda i: F.element_at(column, (i + 1).cast("int"))), " ")
-
-    chosen = (h % 10 == 0) & (n > 0)
-    return docs.withColumn(text_col, F.when(chosen, planted(words)).otherwise(F.col(text_col)))
+    def planted(held):
+        column, n = held["words"], F.size(held["words"]).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+        # head and root are cut out and the root is repeated, so no word is looked up by its number
+        root = F.slice(column, (a + 1).cast("int"), p.cast("int"))
+        tail = F.slice(F.flatten(F.array_repeat(root, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+        return F.array_join(F.concat(F.slice(column, F.lit(1), a.cast("int")), tail), " ")
+
+    # a one-element array binds the words, so they are split once
+    changed = F.transform(F.array(F.struct(words.alias("words"))), lambda held: F.when(F.size(held["words"]) > 0, planted(held)))
+    chosen = h % 10 == 0
+    return docs.withColumn(
+        text_col, F.when(chosen, F.coalesce(F.element_at(changed, 1), F.col(text_col))).otherwise(F.col(text_col))
+    )
