@@ -18,8 +18,10 @@ Each text is handled by itself, in memory that is in proportion to its words.
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -264,8 +266,8 @@ def merged(period: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
 
 def word_runs(words: list, settings: Settings = Settings()) -> np.ndarray:
     """Runs of a list of words: rows of start, end and smallest period, by start and period."""
-    numbers: dict = {}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    numbers = defaultdict(count().__next__)
+    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     found = [zone_runs(ids[begin:end], settings) + [begin, begin, 0] for begin, end in zones(ids, settings)]
     if not found:
         return np.empty((0, 3), np.int64)
