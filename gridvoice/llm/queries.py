@@ -22,6 +22,7 @@ from gridvoice.llm import (
     templates,
     toxicity,
     warc,
+    whitening,
     wordpiece,
 )
 from gridvoice.llm.common import table
@@ -227,3 +228,8 @@ def runs_of_words(spark, directory):
         F.sha2("text_collapsed", 256).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query("op12_whitening")
+def whitened(spark, directory):
+    return whitening.whiten(table(spark, directory, "embeddings"))
