@@ -15,6 +15,7 @@ from gridvoice.llm import (
     decontaminate,
     kneser_ney,
     minhash,
+    multi_index,
     packing,
     periodic_runs,
     reshard,
@@ -233,3 +234,21 @@ def runs_of_words(spark, directory):
 @query("op12_whitening")
 def whitened(spark, directory):
     return whitening.whiten(table(spark, directory, "embeddings"))
+
+
+@query(
+    "op13_embedding_duplicates",
+    """WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+      AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+    reach AS (SELECT a, b FROM links UNION SELECT r.a, x.b FROM reach r JOIN links x ON r.b = x.a),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1),
+    least_id AS (SELECT a AS vec_id, least(a, min(b)) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+      coalesce(component_id, vec_id) = vec_id AS kept
+    FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN least_id USING (vec_id)""",
+)
+def embedding_duplicates(spark, directory):
+    return multi_index.near_duplicates(table(spark, directory, "embeddings"))
