@@ -14,6 +14,10 @@ CLUSTER = ["region", "departement", "fenetre_debut"]
 SEVERITY_ORDER = ["CRITIQUE", "MAJEUR", "MODERE"]
 
 
+def known_departement() -> Column:
+    return F.coalesce("departement", F.lit("INCONNU"))
+
+
 def open_outages(complaints: DataFrame, run_date: str | None = None) -> DataFrame:
     """Open outage complaints (of one day when given) with their two-hour window start."""
     rows = complaints.filter((F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & C.is_open())
@@ -24,7 +28,7 @@ def open_outages(complaints: DataFrame, run_date: str | None = None) -> DataFram
         "id_reclamation",
         "client_id",
         "region",
-        F.coalesce("departement", F.lit("INCONNU")).alias("departement"),
+        known_departement().alias("departement"),
         "date_creation",
         F.col("_w.start").alias("fenetre_debut"),
     )

@@ -12,7 +12,7 @@ from gridvoice.plans.enrichment import gold_enriched
 from gridvoice.plans.periods import _FIGURES, RUN, consolidated, kpi_history
 from gridvoice.plans.quality_checks import raw_tickets
 from gridvoice.plans.registry import query
-from gridvoice.sources import readers, schemas, scratch, sinks
+from gridvoice.sources import readers, schemas, scratch, sinks, versions
 from gridvoice.sources.conform import AS_OF
 
 _CSV_COLUMNS = ["id_reclamation", "client_id", "type_reclamation", "priorite", "statut", "date_creation", "date_cloture", "latitude"]
@@ -171,6 +171,25 @@ def full_reload(t):
     return t.spark.read.parquet(path).groupBy("statut").agg(F.count(F.lit(1)).alias("nb"))
 
 
+@query(
+    "s15_published_reload",
+    """SELECT 'avant' AS lecture, statut, count(*) AS nb FROM tickets GROUP BY ALL
+      UNION ALL SELECT 'apres', statut, count(*) FROM tickets WHERE statut <> 'CLOTURE' GROUP BY ALL""",
+)
+def published_reload(t):
+    """A reload that fails its check, then one that passes, under a reader that began before both and one that begins after."""
+    root = scratch.new_path(t.spark, "published")
+    versions.publish(t.complaints, root, min_rows=1)
+    before = versions.read(t.spark, root)
+    try:
+        versions.publish(t.complaints.filter("statut = 'INCONNU'"), root, min_rows=1)
+    except versions.Rejected:
+        versions.publish(t.complaints.filter(F.col("statut") != "CLOTURE"), root, min_rows=1)
+    after = versions.read(t.spark, root)
+    both = before.withColumn("lecture", F.lit("avant")).unionByName(after.withColumn("lecture", F.lit("apres")))
+    return both.groupBy("lecture", "statut").agg(F.count(F.lit(1)).alias("nb"))
+
+
 @query(
     "s16_slice_replace",
     """SELECT year(date_creation)::INTEGER AS annee, count(*) AS nb, round((sum(CASE WHEN year(date_creation) = 1997 THEN montant * 2 ELSE montant END))::DECIMAL(28,8), 1)::DOUBLE AS montant

@@ -8,7 +8,7 @@ from gridvoice.plans.incidents import MIN_CLIENTS
 from gridvoice.plans.registry import query
 from gridvoice.sources import scratch
 from gridvoice.sources.conform import EVENTS_AS_OF, Tables, pick, register_sql_view
-from gridvoice.streaming import checks
+from gridvoice.streaming import checks, incidents
 
 register_sql_view("closed", "SELECT max(ts) - INTERVAL 1 HOUR AS limite FROM events")
 
@@ -66,6 +66,35 @@ def stream_outage_clusters(t):
     )
 
 
+@query(
+    "j19_stream_incidents",
+    """WITH c AS (SELECT *, lag(debut_incident) OVER (PARTITION BY departement ORDER BY fenetre_debut) AS avant FROM clusters
+      WHERE fenetre_debut + INTERVAL 2 HOURS <= (SELECT limite FROM closed)),
+    g AS (SELECT *, sum(CASE WHEN avant >= debut_incident - INTERVAL 1 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY departement ORDER BY fenetre_debut) AS suite FROM c),
+    p AS (SELECT *, (row_number() OVER (PARTITION BY departement, suite ORDER BY fenetre_debut) + 1) // 2 AS paire FROM g),
+    i AS (SELECT departement, arg_min('INC-' || departement || '-' || strftime(fenetre_debut, '%Y%m%d%H') || '-'
+        || lpad(nb_clients::VARCHAR, greatest(4, length(nb_clients::VARCHAR))::INTEGER, '0'), fenetre_debut) AS incident_id,
+      max(nb_clients) AS nb_clients_affectes, max(nb_reclamations) AS nb_reclamations_liees, min(debut_incident) AS debut,
+      max(fenetre_debut) + INTERVAL 8 HOURS AS fin FROM p GROUP BY departement, suite, paire)
+    SELECT departement, incident_id, strftime(debut, '%Y-%m-%d %H:%M:%S') AS date_debut_incident, nb_clients_affectes, nb_reclamations_liees,
+      CASE WHEN fin <= limite THEN 'RESOLU' ELSE 'DETECTE' END AS statut, CASE WHEN fin <= limite THEN strftime(fin, '%Y-%m-%d %H:%M:%S') END AS date_fin_incident
+    FROM i, closed""",
+)
+def stream_incidents(t):
+    """Clusters of consecutive windows: a cluster joins the incident that the one before it opened, if that began at most an hour earlier."""
+    found = checks.outage_clusters(complaint_stream(t), MIN_CLIENTS)
+    changes = finished(t, incidents.track(found), "j19", lambda rows, path, state: incidents.start(t.spark, rows, path, state))
+    return incidents.latest(changes).select(
+        "departement",
+        "incident_id",
+        second("date_debut_incident"),
+        "nb_clients_affectes",
+        "nb_reclamations_liees",
+        "statut",
+        second("date_fin_incident"),
+    )
+
+
 @query(
     "st3_stream_freshness",
     f"""SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS derniere,

@@ -52,7 +52,9 @@ def outage_clusters(
     Distinct counts are not allowed on streams, so clients are first aggregated per
     window and then counted: two chained windowed aggregations.
     """
-    outages = complaints.filter((F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & C.is_open())
+    outages = complaints.filter((F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & C.is_open()).withColumn(
+        "departement", clusters.known_departement()
+    )
     per_client = (
         outages.withWatermark("date_creation", delay)
         .groupBy(F.window("date_creation", clusters.WINDOW).alias("window"), "region", "departement", "client_id")
