@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridvoice.operators import consolidate, enrich, kpi, sla
+from gridvoice.operators import consolidate, enrich, kpi, sketches, sla
 from gridvoice.plans.registry import query
 from gridvoice.sources.conform import AS_OF, register_sql_view
 
@@ -137,6 +137,31 @@ def week_over_week(t):
     )
 
 
+def _from_sketches(unit: str, name: str) -> str:
+    return f"""SELECT date_trunc('{unit}', date_creation)::DATE::VARCHAR AS {name}, region, type_reclamation, count(*) AS nombre_reclamations_total,
+      count(duree_traitement_heures) AS nb_durees, count(DISTINCT client_id) AS nb_clients_exact, TRUE AS clients_juste, TRUE AS mediane_juste
+    FROM timed GROUP BY 1, 2, 3"""
+
+
+def daily_sketches(t):
+    return t.kept("daily_sketches", lambda: sketches.daily(enrich.with_durations(t.tickets)))
+
+
+@query("a17_weekly_sketches", _from_sketches("week", "debut_semaine"))
+def weekly_sketches(t):
+    """Distinct clients and medians of every week from stored daily sketches, judged against the rows."""
+    found = sketches.estimates(sketches.weekly(daily_sketches(t)))
+    rows = enrich.with_durations(t.tickets)
+    return sketches.against_rows(found, rows, F.trunc("date_creation", "week"), "debut_semaine")
+
+
+@query("a19_monthly_sketches", _from_sketches("month", "debut_mois"))
+def monthly_sketches(t):
+    found = sketches.estimates(sketches.monthly(daily_sketches(t)))
+    rows = enrich.with_durations(t.tickets)
+    return sketches.against_rows(found, rows, F.trunc("date_creation", "month"), "debut_mois")
+
+
 @query(
     "a18_weekly_summary",
     f"""WITH s AS ({_weekly('2024-01-15')} UNION ALL {_weekly('2024-01-22')})

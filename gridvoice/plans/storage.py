@@ -12,7 +12,7 @@ from gridvoice.plans.enrichment import gold_enriched
 from gridvoice.plans.periods import _FIGURES, RUN, consolidated, kpi_history
 from gridvoice.plans.quality_checks import raw_tickets
 from gridvoice.plans.registry import query
-from gridvoice.sources import readers, schemas, scratch, sinks, versions
+from gridvoice.sources import buckets, ledger, readers, schemas, scratch, sinks, versions
 from gridvoice.sources.conform import AS_OF
 
 _CSV_COLUMNS = ["id_reclamation", "client_id", "type_reclamation", "priorite", "statut", "date_creation", "date_cloture", "latitude"]
@@ -130,6 +130,30 @@ def lineage(t):
     )
 
 
+@query("s08_incremental_ingest", _SUMMARY.replace("SELECT type_reclamation", "SELECT type_reclamation, 2 AS nb_lots"))
+def incremental_ingest(t):
+    """Closed complaints are loaded first, the others when their files have come; a third run finds nothing to read."""
+    source, root = scratch.new_path(t.spark, "incoming"), scratch.new_path(t.spark, "loaded")
+    declared = T.StructType.fromDDL(
+        "id_reclamation BIGINT, client_id BIGINT, type_reclamation STRING, priorite STRING, statut STRING, date_creation TIMESTAMP, "
+        "date_cloture TIMESTAMP, latitude DOUBLE"
+    )
+
+    def read(spark, paths):
+        return spark.read.option("header", True).option("timestampFormat", readers.TIMESTAMP_FORMAT).schema(declared).csv(paths)
+
+    closed = F.col("statut") == "CLOTURE"
+    text = {c: F.date_format(c, readers.TIMESTAMP_FORMAT) for c in ("date_creation", "date_cloture")}
+    for part in (closed, ~closed, F.lit(False)):
+        part_rows = t.complaints.select(*_CSV_COLUMNS).filter(part).withColumns(text)
+        if not part_rows.isEmpty():
+            part_rows.write.mode("append").option("header", True).csv(source)
+        ledger.load_new(t.spark, source, root, read, "part-*")
+    found = ledger.rows(t.spark, root)
+    lots = found.groupBy("type_reclamation").agg(F.count_distinct("lot").alias("nb_lots"))
+    return summary(found).join(lots, "type_reclamation")
+
+
 @query("s10_parquet_overwrite", _SUMMARY)
 def parquet_overwrite(t):
     path = scratch.new_path(t.spark, "overwrite")
@@ -246,6 +270,15 @@ def upsert_in_place(t):
     return t.spark.read.parquet(path).select(*_KEYS, "nombre_ouvertes", "nombre_cloturees")
 
 
+@query("s17_bucketed_upsert", _UPSERT)
+def bucketed_upsert(t):
+    target, source = upsert_inputs(t)
+    table = buckets.create(target, scratch.new_path(t.spark, "buckets"), _KEYS, 8)
+    for _ in range(2):
+        table.upsert(source, ["nombre_ouvertes"])
+    return table.rows()
+
+
 @query(
     "s18_insert_if_absent",
     """SELECT pdl_id, statut_pdl FROM points UNION ALL SELECT DISTINCT pdl_id, 'NOUVEAU' FROM complaint_points WHERE pdl_id NOT IN (SELECT pdl_id FROM points)""",

@@ -6,9 +6,9 @@ from gridvoice.functions import columns as C
 from gridvoice.plans.governance import PER_DAY
 from gridvoice.plans.incidents import MIN_CLIENTS
 from gridvoice.plans.registry import query
-from gridvoice.sources import scratch
+from gridvoice.sources import scratch, versions
 from gridvoice.sources.conform import EVENTS_AS_OF, Tables, pick, register_sql_view
-from gridvoice.streaming import checks, incidents
+from gridvoice.streaming import checks, incidents, serving
 
 register_sql_view("closed", "SELECT max(ts) - INTERVAL 1 HOUR AS limite FROM events")
 
@@ -53,6 +53,23 @@ def stream_hourly_load(t):
     return finished(t, checks.hourly_load(complaint_stream(t), PER_DAY), "st1")
 
 
+def served(t, stream, name, keys):
+    root = scratch.new_path(t.spark, name)
+    serving.serve(stream, f"{root}/table", keys, f"{root}/checkpoint").awaitTermination()
+    return versions.read(t.spark, f"{root}/table")
+
+
+@query(
+    "st1_serving_load",
+    f"""SELECT strftime(heure, '%Y-%m-%d %H:%M:%S') AS heure, volume,
+      CASE WHEN {_RATIO} >= 10 THEN 'CRISE' WHEN {_RATIO} >= 5 THEN 'CRITIQUE' WHEN {_RATIO} >= 2 THEN 'ELEVE' ELSE 'NORMAL' END AS niveau_charge FROM hours""",
+)
+def serving_load(t):
+    """The load of every hour seen so far, hours that are not over included."""
+    rows = served(t, checks.hourly_load(complaint_stream(t), PER_DAY), "st1_serving", ["heure"])
+    return rows.select(second("heure"), "volume", "niveau_charge")
+
+
 @query(
     "st2_stream_outage_clusters",
     f"""SELECT substr(departement, 2)::BIGINT AS region, departement, strftime(fenetre_debut, '%Y-%m-%d %H:%M:%S') AS fenetre_debut, nb_clients, nb_reclamations,
@@ -108,6 +125,15 @@ def stream_freshness(t):
     )
 
 
+@query(
+    "st3_serving_freshness",
+    "SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS derniere FROM events GROUP BY 1",
+)
+def serving_freshness(t):
+    latest = checks.latest_per_source(complaint_stream(t), "event_type", "date_creation")
+    return served(t, latest, "st3_serving", ["event_type"]).select("event_type", second("derniere"))
+
+
 @query(
     "st4_stream_duplicates",
     """SELECT CAST(date_creation AS DATE)::VARCHAR AS creation_day, client_id, type_reclamation, count(*) AS nb_reclamations
