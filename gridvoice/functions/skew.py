@@ -119,6 +119,48 @@ def exact_quantiles(
     return hit.groupBy(*keys).agg(*outputs)
 
 
+#: Rows of a count-min sketch; a key's estimate is too high by more than ``e / width`` of the rows with a chance of e ** -DEPTH.
+DEPTH = 4
+
+
+def _sketch_buckets(key: Column, width: int) -> list[Column]:
+    """The bucket of a key in each row of a count-min sketch."""
+    return [F.pmod(F.xxhash64(F.lit(row), key), F.lit(width)).cast("int") for row in range(DEPTH)]
+
+
+def heavy_buckets(df: DataFrame, key: str, share: float, width: int) -> DataFrame:
+    """Buckets ``(_row, _bucket)`` of a count-min sketch of the key that hold at least ``share`` of the rows with a key.
+
+    The sketch is an ordinary aggregation into ``DEPTH * width`` numbers, whatever the number of keys.
+    """
+    filled = df.filter(F.col(key).isNotNull()).select(F.posexplode(F.array(*_sketch_buckets(F.col(key), width))).alias("_row", "_bucket"))
+    counts = filled.groupBy("_row", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(W.partitionBy("_row"))
+    return counts.withColumn("_total", total).filter(F.col("_n") >= share * F.col("_total")).select("_row", "_bucket")
+
+
+def left_join_heavy(df: DataFrame, dim: DataFrame, key: str, share: float = 0.001, width: int | None = None) -> DataFrame:
+    """Left join in which no key brings a large part of ``df`` into one task, whatever adaptive execution does.
+
+    A count-min sketch of ``df`` names the dimension rows that may belong to heavy keys, at least ``share`` of the rows. There are
+    few of them, and they are broadcast, if their size allows; the rows they match stay where they are. The other rows are shuffled,
+    and none of their keys is heavy. A key that is taken for heavy by mistake changes nothing in the result. ``dim`` is unique on the key.
+    """
+    width = width or int(8 / share)
+    heavy = materialise(heavy_buckets(df, key, share, width), "heavy")
+    marked = dim
+    for row, bucket in enumerate(_sketch_buckets(F.col(key), width)):
+        of_row = heavy.filter(F.col("_row") == row).select(F.col("_bucket").alias("_b"))
+        marked = marked.withColumn("_b", bucket).join(F.broadcast(of_row), "_b", "left_semi").drop("_b")
+    few = materialise(marked, "heavy_rows")
+    columns = [c for c in dim.columns if c != key]
+    split = df.join(broadcast_if_small(few.withColumn("_heavy", F.lit(True))), key, "left")
+    rest = split.filter(F.col("_heavy").isNull())
+    named = rest.filter(F.col(key).isNotNull()).select(*df.columns).join(dim, key, "left").select(*df.columns, *columns)
+    nameless = rest.filter(F.col(key).isNull()).select(*df.columns, *columns)
+    return split.filter("_heavy").select(*df.columns, *columns).unionByName(named).unionByName(nameless)
+
+
 def _pruned(pairs: DataFrame, site_cell: Sequence[str]) -> DataFrame:
     """Pairs of cells of one size that can hold the nearest point of a place in the site cell.
 

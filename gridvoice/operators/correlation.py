@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridvoice.functions import columns as C
-from gridvoice.functions.skew import nearest_point
+from gridvoice.functions.skew import broadcast_if_small, left_join_heavy, nearest_point
+from gridvoice.sources.scratch import materialise
 
 LOOK_BACK_DAYS = 180
 
@@ -59,7 +62,8 @@ def link_nearest_incident(
 def enrich_with_meters(complaints: DataFrame, meters: DataFrame) -> DataFrame:
     """Meter attributes and age at the complaint; complaints without a known meter keep nulls.
 
-    Cleaning turns every invalid reference into a null. Those rows take no part in the join, so they are not one hot key.
+    Cleaning turns every invalid reference into a null. Those rows take no part in the join, so they are not one hot key, and
+    neither is a meter with very many complaints.
     """
     attributes = meters.select(
         "reference_linky",
@@ -69,9 +73,7 @@ def enrich_with_meters(complaints: DataFrame, meters: DataFrame) -> DataFrame:
         "est_defectueux",
         "nombre_incidents",
     )
-    named = complaints.filter(F.col("reference_linky").isNotNull()).join(attributes, "reference_linky", "left")
-    nameless = complaints.filter(F.col("reference_linky").isNull())
-    joined = named.unionByName(nameless, allowMissingColumns=True)
+    joined = left_join_heavy(complaints, attributes, "reference_linky")
     return joined.withColumn("anciennete_compteur_jours", F.datediff("date_creation", "date_installation"))
 
 
@@ -140,26 +142,46 @@ def linky_kpis(df: DataFrame) -> DataFrame:
     return df.groupBy("region").agg(*figures)
 
 
-def in_incident_zone(
-    complaints: DataFrame, incidents: DataFrame, as_of: str, half_side: float = 0.1, period_days: int = 30
-) -> DataFrame:
-    """Whether a complaint lies in an incident's box (± ``half_side`` degrees) during its life.
+#: Dyadic levels of days: the highest covers 2 ** 15 days, 89 years, and longer lives take more nodes of it.
+LEVELS = 16
+#: A hot node is cut into so many parts a side.
+CUTS = 8
+
 
-    Incidents are laid on the cells their box touches and on the periods of their
-    life, so the match is an equality on (cell, period) with a residual check. The
-    search runs on distinct places and times with a semi join: matching pairs are
-    never produced.
+def _nodes(first: Column, last: Column) -> Column:
+    """The days ``first`` to ``last`` as at most two dyadic intervals a level: ``(level, node)`` is the days ``node * 2**level`` on.
+
+    On a level, whole nodes left of the next level's whole nodes and right of them are taken. On the highest all are.
     """
-    side = 2 * half_side
-    margin = half_side + 1e-9
+
+    def named(nodes: Column, level: int) -> Column:
+        return F.transform(nodes, lambda n: F.struct(F.lit(level).alias("level"), n.alias("node")))
+
+    parts = []
+    for k in range(LEVELS):
+        low, high = F.shiftright(first + (2**k - 1), k), F.shiftright(last + 1, k) - 1
+        if k == LEVELS - 1:
+            taken = F.when(low <= high, F.sequence(low, high))
+        else:
+            left, right = (low <= high) & (low % 2 != 0), (low <= high) & (high % 2 == 0) & ((low % 2 == 0) | (high != low))
+            taken = F.filter(F.array(F.when(left, low), F.when(right, high)), lambda n: n.isNotNull())
+        taken = F.coalesce(taken, F.array().cast("array<int>"))
+        parts.append(named(taken, k))
+    return F.flatten(F.array(*parts))
+
+
+def incident_nodes(incidents: DataFrame, as_of: str, half_side: float = 0.1) -> DataFrame:
+    """One row per cell that an incident's box touches and per dyadic interval of the days of its life.
+
+    The days between the first and the last are covered whole; these two are rows of their own (``level`` -1), whose hours must be
+    compared. So the rows of an incident grow with the logarithm of its age.
+    """
+    side, margin = 2 * half_side, half_side + 1e-9
     epoch = F.lit("1970-01-01").cast("date")
 
     def cells(c: str) -> Column:
         return F.sequence(F.floor((F.col(c) - margin) / side), F.floor((F.col(c) + margin) / side))
 
-    def period(c: str) -> Column:
-        return F.floor(F.datediff(c, epoch) / period_days)
-
     lives = incidents.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("latitude").alias("_ilat"),
         F.col("longitude").alias("_ilon"),
@@ -167,30 +189,92 @@ def in_incident_zone(
         F.coalesce(F.col("date_fin").cast("timestamp"), C.moment(as_of)).alias("_end"),
     )
     lives = lives.filter(F.col("_end") >= F.col("_start")).distinct()
-    boxes = (
-        lives.withColumn("_cx", F.explode(cells("_ilat")))
+    first, last = F.datediff("_start", epoch), F.datediff("_end", epoch)
+    edges = F.transform(F.array_distinct(F.array(first, last)), lambda d: F.struct(F.lit(-1).alias("level"), d.alias("node")))
+    return (
+        lives.withColumn("_n", F.explode(F.concat(edges, _nodes(first + 1, last - 1))))
+        .withColumn("_cx", F.explode(cells("_ilat")))
         .withColumn("_cy", F.explode(cells("_ilon")))
-        .withColumn("_period", F.explode(F.sequence(period("_start"), period("_end"))))
+        .select("_cx", "_cy", F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"), "_ilat", "_ilon", "_start", "_end")
     )
+
+
+def in_incident_zone(
+    complaints: DataFrame, incidents: DataFrame, as_of: str, half_side: float = 0.1, hot: int = 1_000_000
+) -> DataFrame:
+    """Whether a complaint lies in an incident's box (± ``half_side`` degrees) during its life.
+
+    Incidents lie in an index of grid cells and dyadic intervals of days (``incident_nodes``); a complaint looks up its cell and the
+    intervals that hold its day, so the match is an equality with a residual check. A node with more than ``hot`` pairs is cut into
+    eight by eight parts: an incident whose box holds a whole part answers for all places in it without a comparison, and only
+    those at the rim of a part are compared. The search runs on distinct places and times with semi joins: matching pairs are never produced.
+    """
+    side = 2 * half_side
+    epoch = F.lit("1970-01-01").cast("date")
+    nodes = materialise(incident_nodes(incidents, as_of, half_side), "incident_nodes")
+    levels = sorted(r[0] for r in nodes.select("_level").distinct().collect())
+    place, key = ["_lat", "_lon", "_at"], ["_cx", "_cy", "_level", "_node"]
     sites = complaints.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("date_creation").alias("_at")
     )
-    sites = sites.distinct().withColumns(
-        {
-            "_sx": F.floor(F.col("_lat") / side),
-            "_sy": F.floor(F.col("_lon") / side),
-            "_speriod": period("_at"),
-        }
-    )
-    inside = (
-        (F.col("_sx") == F.col("_cx"))
-        & (F.col("_sy") == F.col("_cy"))
-        & (F.col("_speriod") == F.col("_period"))
-        & F.col("_lat").between(F.col("_ilat") - half_side, F.col("_ilat") + half_side)
-        & F.col("_lon").between(F.col("_ilon") - half_side, F.col("_ilon") + half_side)
-        & F.col("_at").between(F.col("_start"), F.col("_end"))
+    day = F.datediff("_at", epoch)
+    asked = [F.struct(F.lit(k).alias("level"), F.shiftright(day, max(k, 0)).alias("node")) for k in levels] or [
+        F.struct(F.lit(-1).alias("level"), day.alias("node"))
+    ]
+    looked = (
+        sites.distinct()
+        .withColumn("_n", F.explode(F.array(*asked)))
+        .select(
+            *place,
+            F.floor(F.col("_lat") / side).alias("_cx"),
+            F.floor(F.col("_lon") / side).alias("_cy"),
+            F.col("_n.level").alias("_level"),
+            F.col("_n.node").alias("_node"),
+        )
     )
-    hits = sites.join(boxes, inside, "left_semi").select("_lat", "_lon", "_at", F.lit(True).alias("_hit"))
+    # the few nodes that are crowded on both sides
+    per_node = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("_i"))
+    per_site = looked.groupBy(*key).agg(F.count(F.lit(1)).alias("_s"))
+    crowded = materialise(per_node.join(per_site, key).filter(F.col("_i") * F.col("_s") > hot).select(*key), "crowded")
+    some = not crowded.isEmpty()
+    crowded = broadcast_if_small(crowded)
+
+    def kind(df: DataFrame, how: str) -> DataFrame:
+        return df.join(crowded, key, how) if some else df
+
+    def inside(a: DataFrame, b: DataFrame, on: list[str]) -> Column:
+        return (
+            reduce(lambda x, y: x & y, [a[c] == b[c] for c in on])
+            & a["_lat"].between(b["_ilat"] - half_side, b["_ilat"] + half_side)
+            & a["_lon"].between(b["_ilon"] - half_side, b["_ilon"] + half_side)
+            & a["_at"].between(b["_start"], b["_end"])
+        )
+
+    plain, known = kind(looked, "left_anti"), kind(nodes, "left_anti")
+    hits = plain.join(known, inside(plain, known, key), "left_semi").select(*place)
+    if some:
+        part = side / CUTS
+        cut = kind(looked, "left_semi").withColumns({"_px": F.floor(F.col("_lat") / part), "_py": F.floor(F.col("_lon") / part)})
+
+        def parts(c: str, cell: str) -> Column:
+            low, high = F.floor((F.col(c) - half_side - 1e-9) / part), F.floor((F.col(c) + half_side + 1e-9) / part)
+            first, last = F.col(cell) * CUTS, F.col(cell) * CUTS + CUTS - 1
+            # a place on the rim of a cell may be rounded into the next part
+            return F.sequence(F.greatest(low, first - 1), F.least(high, last + 1))
+
+        def holds(c: str, p: str) -> Column:
+            return (F.col(p) * part - 1e-9 >= F.col(c) - half_side) & ((F.col(p) + 1) * part + 1e-9 <= F.col(c) + half_side)
+
+        spread = (
+            kind(nodes, "left_semi").withColumn("_px", F.explode(parts("_ilat", "_cx"))).withColumn("_py", F.explode(parts("_ilon", "_cy")))
+        )
+        spread = spread.withColumn("_whole", (F.col("_level") >= 0) & holds("_ilat", "_px") & holds("_ilon", "_py"))
+        cut_key = [*key, "_px", "_py"]
+        whole = spread.filter("_whole").select(*cut_key).distinct()
+        hits = hits.unionByName(cut.join(whole, cut_key, "left_semi").select(*place))
+        open_, rim = cut.join(whole, cut_key, "left_anti"), spread.filter("NOT _whole")
+        hits = hits.unionByName(open_.join(rim, inside(open_, rim, cut_key), "left_semi").select(*place))
+    hits = hits.distinct().withColumn("_hit", F.lit(True))
     same = (
         (F.col("latitude") == F.col("_lat"))
         & (F.col("longitude") == F.col("_lon"))
@@ -201,5 +285,5 @@ def in_incident_zone(
 
 
 def with_client_history(complaints: DataFrame, clients: DataFrame) -> DataFrame:
-    """Left join of client attributes, one row per complaint."""
-    return complaints.join(clients, "client_id", "left")
+    """Left join of client attributes, one row per complaint; a client with very many complaints is not one task."""
+    return left_join_heavy(complaints, clients, "client_id")

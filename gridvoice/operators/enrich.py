@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridvoice.functions import columns as C
 from gridvoice.functions import domains as D
 from gridvoice.functions.skew import attach_group_stats
+from gridvoice.sources.scratch import materialise
 
 
 def with_durations(df: DataFrame) -> DataFrame:
@@ -63,27 +64,27 @@ def with_group_volume(df: DataFrame, keys: Sequence[str], name: str) -> DataFram
 
 
 def with_sequence_number(df: DataFrame, key: str, at: str, tie: str, name: str) -> DataFrame:
-    """1-based rank of each row of ``key`` by time, then by ``tie``.
+    """1-based rank of each row of ``key`` by time, then by ``tie``; rows equal in all three have no defined order.
 
-    Rows are counted per second; running counts of earlier days and of earlier
-    seconds of the day give each second its offset, and only the rows of one second
-    are ordered. A busy key is thus spread over its seconds.
+    The rows are range-partitioned and sorted by (key, time, tie), so a busy key, and a busy second of it, is spread over as many tasks
+    as it fills. A row's rank is its place in its partition, less the place of the key's first row there, plus the key's
+    rows in earlier partitions. The sorted rows are written once: their places must not change between the two uses.
     """
-    second, day = F.unix_timestamp(at), F.floor(F.col("_s") / 86400)
-    per_second = df.groupBy(F.col(key).alias("_k"), second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    per_second = per_second.withColumn("_d", day)
-    per_day = per_second.groupBy(F.col("_k").alias("_dk"), F.col("_d").alias("_dd")).agg(F.sum("_n").alias("_dn"))
-    earlier_days = F.sum("_dn").over(W.partitionBy("_dk").orderBy("_dd")) - F.col("_dn")
-    per_day = per_day.select("_dk", "_dd", earlier_days.alias("_days"))
-    earlier_seconds = F.sum("_n").over(W.partitionBy("_k", "_d").orderBy("_s")) - F.col("_n")
-    offsets = (
-        per_second.withColumn("_seconds", earlier_seconds)
-        .join(per_day, F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd")))
-        .select("_k", "_s", (F.col("_days") + F.col("_seconds")).alias("_before"))
+    order = [key, at, tie]
+    placed = materialise(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}),
+        "ranked",
     )
-    ranked = df.withColumn("_r", F.row_number().over(W.partitionBy(key, second).orderBy(at, tie)))
-    joined = ranked.join(offsets, ranked[key].eqNullSafe(F.col("_k")) & second.eqNullSafe(F.col("_s")))
-    return joined.select(*df.columns, (F.col("_r") + F.col("_before")).alias(name))
+    per_part = placed.groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(
+        F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_n")
+    )
+    # one row per partition that has the key
+    earlier = F.sum("_n").over(W.partitionBy("_k").orderBy("_p")) - F.col("_n")
+    offsets = per_part.select("_k", "_p", (earlier - F.col("_start") + 1).alias("_shift"))
+    joined = placed.join(offsets, (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k")))
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))
 
 
 def with_partition_columns(df: DataFrame, at: str = "date_creation") -> DataFrame:

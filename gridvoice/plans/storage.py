@@ -169,6 +169,22 @@ def partitioned_write(t):
     return t.spark.read.parquet(path).groupBy("region", "type_reclamation").agg(F.count(F.lit(1)).alias("nb"))
 
 
+@query(
+    "s11_pruned_read",
+    """SELECT region, annee, count(*) AS nb FROM (SELECT region, year(date_creation)::INTEGER AS annee FROM tickets)
+    WHERE annee IN (SELECT annee FROM (SELECT year(date_creation)::INTEGER AS annee, count(*) AS n FROM tickets GROUP BY 1) WHERE annee % 2 = 0 AND n > 0) GROUP BY 1, 2""",
+)
+def pruned_read(t):
+    """Even years of a table partitioned by year and region, picked by the rows of another table."""
+    path, years = scratch.new_path(t.spark, "partitioned"), scratch.new_path(t.spark, "years")
+    rows = enrich.with_partition_columns(t.tickets).select("id_reclamation", "region", "annee")
+    sinks.write_parquet(rows, path, ["annee", "region"])
+    sinks.write_parquet(rows.groupBy("annee").agg(F.count(F.lit(1)).alias("n")), years)
+    selection = t.spark.read.parquet(years).filter((F.col("annee") % 2 == 0) & (F.col("n") > 0))
+    found = readers.read_selected(t.spark, path, selection, ["annee"])
+    return found.groupBy("region", "annee").agg(F.count(F.lit(1)).alias("nb"))
+
+
 @query(
     "s12_snapshot_rerun",
     """SELECT d AS date_calcul, region, type_reclamation, count(*) AS nombre_reclamations_total FROM tickets, (VALUES ('2001-08-02'), ('2001-08-03')) v(d) GROUP BY 1, 2, 3""",

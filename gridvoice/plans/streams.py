@@ -8,7 +8,7 @@ from gridvoice.plans.incidents import MIN_CLIENTS
 from gridvoice.plans.registry import query
 from gridvoice.sources import scratch, versions
 from gridvoice.sources.conform import EVENTS_AS_OF, Tables, pick, register_sql_view
-from gridvoice.streaming import checks, incidents, serving
+from gridvoice.streaming import arrivals, checks, incidents, serving
 
 register_sql_view("closed", "SELECT max(ts) - INTERVAL 1 HOUR AS limite FROM events")
 
@@ -143,6 +143,21 @@ def stream_duplicates(t):
     return finished(t, checks.daily_duplicates(complaint_stream(t)), "st4")
 
 
+@query(
+    "st4_duplicates_on_arrival",
+    """SELECT CAST(date_creation AS DATE)::VARCHAR AS creation_day, client_id, type_reclamation, count(*) AS nb_reclamations, 1 AS nb_premieres,
+      count(*) - 1 AS nb_repetees, 0 AS nb_tardives FROM event_tickets GROUP BY 1, 2, 3""",
+)
+def duplicates_on_arrival(t):
+    rows = finished(t, complaint_stream(t), "st4_arrivals", arrivals.report)
+    return rows.groupBy(F.col("jour").alias("creation_day"), "client_id", "type_reclamation").agg(
+        F.count(F.lit(1)).alias("nb_reclamations"),
+        F.count_if(F.col("etat") == arrivals.FIRST).alias("nb_premieres"),
+        F.count_if(F.col("etat") == arrivals.REPEATED).alias("nb_repetees"),
+        F.count_if(F.col("etat") == arrivals.LATE).alias("nb_tardives"),
+    )
+
+
 @query(
     "st5_stream_recovery",
     f"""WITH w AS (SELECT ts, unnest([date_trunc('hour', ts) - INTERVAL 1 HOUR, date_trunc('hour', ts)]) AS debut FROM events)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridvoice.functions.skew import broadcast_if_small
+
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 PARTITION_COLUMNS = ("annee", "mois")
 
@@ -26,6 +28,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_selected(spark: SparkSession, path: str, selection: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partitioned table whose partition is in ``selection``.
+
+    The selection is a filtered frame that is only known when the query runs. It is broadcast if its size allows, and its keys prune the
+    folders before the scan lists them (dynamic partition pruning).
+    """
+    wanted = selection.select(*columns).distinct()
+    return spark.read.parquet(path).join(broadcast_if_small(wanted), list(columns), "left_semi")
+
+
 def optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None when the path does not exist."""
     try:
