@@ -139,13 +139,18 @@ def heavy_buckets(df: DataFrame, key: str, share: float, width: int) -> DataFram
     return counts.withColumn("_total", total).filter(F.col("_n") >= share * F.col("_total")).select("_row", "_bucket")
 
 
-def left_join_heavy(df: DataFrame, dim: DataFrame, key: str, share: float = 0.001, width: int | None = None) -> DataFrame:
+def left_join_heavy(
+    df: DataFrame, dim: DataFrame, key: str, share: float = 0.001, width: int | None = None, limit: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame:
     """Left join in which no key brings a large part of ``df`` into one task, whatever adaptive execution does.
 
-    A count-min sketch of ``df`` names the dimension rows that may belong to heavy keys, at least ``share`` of the rows. There are
+    A dimension of an estimated size up to ``limit`` is broadcast. Otherwise a count-min sketch of ``df`` names the dimension rows that may belong to heavy keys, at least ``share`` of the rows. There are
     few of them, and they are broadcast, if their size allows; the rows they match stay where they are. The other rows are shuffled,
     and none of their keys is heavy. A key that is taken for heavy by mistake changes nothing in the result. ``dim`` is unique on the key.
     """
+    if estimated_bytes(dim) <= limit:
+        columns = [c for c in dim.columns if c != key]
+        return df.join(F.broadcast(dim), key, "left").select(*df.columns, *columns)
     width = width or int(8 / share)
     heavy = materialise(heavy_buckets(df, key, share, width), "heavy")
     marked = dim

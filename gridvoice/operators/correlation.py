@@ -142,41 +142,36 @@ def linky_kpis(df: DataFrame) -> DataFrame:
     return df.groupBy("region").agg(*figures)
 
 
-#: Dyadic levels of days: the highest covers 2 ** 15 days, 89 years, and longer lives take more nodes of it.
-LEVELS = 16
+#: Levels of the index of days: an interval of level k is 2 ** k days. The highest is 45 years, longer lives take more of it.
+LEVELS = range(0, 16, 2)
+#: Side of a cell in half sides of a box: a box touches one or two cells a side.
+CELL = 4
 #: A hot node is cut into so many parts a side.
 CUTS = 8
 
 
-def _nodes(first: Column, last: Column) -> Column:
-    """The days ``first`` to ``last`` as at most two dyadic intervals a level: ``(level, node)`` is the days ``node * 2**level`` on.
+def _nodes(first: Column, last: Column, level: Column) -> Column:
+    """The intervals of a level that the days ``first`` to ``last`` hold whole, less those that lie in a whole interval of the next level."""
+    scale = F.call_function("shiftleft", F.lit(1), level)
+    low, high = F.call_function("shiftright", first + scale - 1, level), F.call_function("shiftright", last + 1, level) - 1
+    top = level == max(LEVELS)
+    above, upto = F.shiftright(low + 3, 2), F.shiftright(high + 1, 2) - 1  # whole intervals of the next level
+    single = top | (above > upto)
+    nothing = F.array().cast("array<int>")
 
-    On a level, whole nodes left of the next level's whole nodes and right of them are taken. On the highest all are.
-    """
-
-    def named(nodes: Column, level: int) -> Column:
-        return F.transform(nodes, lambda n: F.struct(F.lit(level).alias("level"), n.alias("node")))
+    def between(a: Column, b: Column) -> Column:
+        return F.when(a <= b, F.sequence(a, b)).otherwise(nothing)
 
-    parts = []
-    for k in range(LEVELS):
-        low, high = F.shiftright(first + (2**k - 1), k), F.shiftright(last + 1, k) - 1
-        if k == LEVELS - 1:
-            taken = F.when(low <= high, F.sequence(low, high))
-        else:
-            left, right = (low <= high) & (low % 2 != 0), (low <= high) & (high % 2 == 0) & ((low % 2 == 0) | (high != low))
-            taken = F.filter(F.array(F.when(left, low), F.when(right, high)), lambda n: n.isNotNull())
-        taken = F.coalesce(taken, F.array().cast("array<int>"))
-        parts.append(named(taken, k))
-    return F.flatten(F.array(*parts))
+    return F.when(single, between(low, high)).otherwise(F.concat(between(low, above * 4 - 1), between((upto + 1) * 4, high)))
 
 
 def incident_nodes(incidents: DataFrame, as_of: str, half_side: float = 0.1) -> DataFrame:
-    """One row per cell that an incident's box touches and per dyadic interval of the days of its life.
+    """One row per cell that an incident's box touches and per interval of the days of its life.
 
-    The days between the first and the last are covered whole; these two are rows of their own (``level`` -1), whose hours must be
-    compared. So the rows of an incident grow with the logarithm of its age.
+    Intervals are those of a tree of days, four of a level in one of the next, so the rows of an incident grow with the logarithm of
+    its age. ``_within`` says that it lasts from before the interval to after it; on its first and last day hours decide.
     """
-    side, margin = 2 * half_side, half_side + 1e-9
+    side, margin = CELL * half_side, half_side + 1e-9
     epoch = F.lit("1970-01-01").cast("date")
 
     def cells(c: str) -> Column:
@@ -188,39 +183,42 @@ def incident_nodes(incidents: DataFrame, as_of: str, half_side: float = 0.1) ->
         F.col("date_incident").cast("timestamp").alias("_start"),
         F.coalesce(F.col("date_fin").cast("timestamp"), C.moment(as_of)).alias("_end"),
     )
-    lives = lives.filter(F.col("_end") >= F.col("_start")).distinct()
-    first, last = F.datediff("_start", epoch), F.datediff("_end", epoch)
-    edges = F.transform(F.array_distinct(F.array(first, last)), lambda d: F.struct(F.lit(-1).alias("level"), d.alias("node")))
+    lives = materialise(lives.filter(F.col("_end") >= F.col("_start")).distinct(), "lives")
+    lives = lives.withColumns({"_first": F.datediff("_start", epoch), "_last": F.datediff("_end", epoch)})
+    levels = F.explode(F.array(*[F.lit(k) for k in LEVELS]))
+    nodes = lives.withColumn("_level", levels).withColumn("_node", F.explode(_nodes(F.col("_first"), F.col("_last"), F.col("_level"))))
+    scale = F.call_function("shiftleft", F.lit(1), F.col("_level"))
+    within = (F.col("_node") * scale > F.col("_first")) & ((F.col("_node") + 1) * scale <= F.col("_last"))
     return (
-        lives.withColumn("_n", F.explode(F.concat(edges, _nodes(first + 1, last - 1))))
+        nodes.withColumn("_within", within)
         .withColumn("_cx", F.explode(cells("_ilat")))
         .withColumn("_cy", F.explode(cells("_ilon")))
-        .select("_cx", "_cy", F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"), "_ilat", "_ilon", "_start", "_end")
+        .select("_cx", "_cy", "_level", "_node", "_within", "_ilat", "_ilon", "_start", "_end")
     )
 
 
 def in_incident_zone(
-    complaints: DataFrame, incidents: DataFrame, as_of: str, half_side: float = 0.1, hot: int = 1_000_000
+    complaints: DataFrame, incidents: DataFrame, as_of: str, half_side: float = 0.1, hot: int = 500
 ) -> DataFrame:
     """Whether a complaint lies in an incident's box (± ``half_side`` degrees) during its life.
 
-    Incidents lie in an index of grid cells and dyadic intervals of days (``incident_nodes``); a complaint looks up its cell and the
-    intervals that hold its day, so the match is an equality with a residual check. A node with more than ``hot`` pairs is cut into
+    Incidents lie in an index of grid cells and intervals of days (``incident_nodes``); a complaint looks up its cell and the
+    intervals that hold its day, so the match is an equality with a residual check. A node with more than ``hot`` incidents is cut into
     eight by eight parts: an incident whose box holds a whole part answers for all places in it without a comparison, and only
     those at the rim of a part are compared. The search runs on distinct places and times with semi joins: matching pairs are never produced.
     """
-    side = 2 * half_side
+    side = CELL * half_side
     epoch = F.lit("1970-01-01").cast("date")
-    nodes = materialise(incident_nodes(incidents, as_of, half_side), "incident_nodes")
-    levels = sorted(r[0] for r in nodes.select("_level").distinct().collect())
+    nodes = incident_nodes(incidents, as_of, half_side)
     place, key = ["_lat", "_lon", "_at"], ["_cx", "_cy", "_level", "_node"]
     sites = complaints.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("date_creation").alias("_at")
     )
     day = F.datediff("_at", epoch)
-    asked = [F.struct(F.lit(k).alias("level"), F.shiftright(day, max(k, 0)).alias("node")) for k in levels] or [
-        F.struct(F.lit(-1).alias("level"), day.alias("node"))
-    ]
+    per_node = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("_i"))
+    found = per_node.agg(F.sort_array(F.collect_set("_level")).alias("levels"), F.count_if(F.col("_i") > hot).alias("crowded")).first()
+    some = found["crowded"] > 0
+    asked = [F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("node")) for k in found["levels"] or [0]]
     looked = (
         sites.distinct()
         .withColumn("_n", F.explode(F.array(*asked)))
@@ -232,12 +230,7 @@ def in_incident_zone(
             F.col("_n.node").alias("_node"),
         )
     )
-    # the few nodes that are crowded on both sides
-    per_node = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("_i"))
-    per_site = looked.groupBy(*key).agg(F.count(F.lit(1)).alias("_s"))
-    crowded = materialise(per_node.join(per_site, key).filter(F.col("_i") * F.col("_s") > hot).select(*key), "crowded")
-    some = not crowded.isEmpty()
-    crowded = broadcast_if_small(crowded)
+    crowded = broadcast_if_small(materialise(per_node.filter(F.col("_i") > hot).select(*key), "crowded")) if some else None
 
     def kind(df: DataFrame, how: str) -> DataFrame:
         return df.join(crowded, key, how) if some else df
@@ -268,7 +261,7 @@ def in_incident_zone(
         spread = (
             kind(nodes, "left_semi").withColumn("_px", F.explode(parts("_ilat", "_cx"))).withColumn("_py", F.explode(parts("_ilon", "_cy")))
         )
-        spread = spread.withColumn("_whole", (F.col("_level") >= 0) & holds("_ilat", "_px") & holds("_ilon", "_py"))
+        spread = spread.withColumn("_whole", F.col("_within") & holds("_ilat", "_px") & holds("_ilon", "_py"))
         cut_key = [*key, "_px", "_py"]
         whole = spread.filter("_whole").select(*cut_key).distinct()
         hits = hits.unionByName(cut.join(whole, cut_key, "left_semi").select(*place))
