@@ -74,3 +74,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage: a lost executor costs a re-read, not a recomputation.
     """
     return scratch.materialise(df, name)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, made longer until the frame has none of them, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found

@@ -86,22 +86,25 @@ def decontamination(spark, directory):
     )
 
 
-_T = templates.Settings()
+_T = templates.Settings(long_words=50)
 
 
 @query(
     "op2_line_templates",
     rf"""WITH l AS (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
     t AS (SELECT doc_id, line_no, line, regexp_extract_all(regexp_replace(line, '[0-9]+', '<*>', 'g'), {_WORDS}) AS tokens FROM l),
-    m AS (SELECT doc_id, line_no, len(tokens) AS size, tokens[1:{_T.depth}] AS lead, tokens FROM t WHERE len(tokens) > 0),
+    m AS (SELECT doc_id, line_no, line, len(tokens) AS size, tokens[1:{_T.depth}] AS lead, tokens FROM t WHERE len(tokens) > 0),
     leaves AS (SELECT size, lead FROM m GROUP BY ALL HAVING count(DISTINCT doc_id) >= {_T.min_docs}),
-    d AS (SELECT size, lead, tokens, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM m SEMI JOIN leaves USING (size, lead) GROUP BY ALL),
-    e AS (SELECT size, lead, tokens, docs, first_doc, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM d),
-    c AS (SELECT size, lead, place, token FROM e GROUP BY ALL HAVING sum(docs) >= {_T.min_docs}),
-    k AS (SELECT size, lead, tokens, docs, first_doc, string_agg(place || ':' || token, ' ' ORDER BY place) AS template
-      FROM e JOIN c USING (size, lead, place, token) GROUP BY ALL HAVING count(*) * 100 >= size * {_T.constant_percent}),
-    r AS (SELECT size, lead, template, min(first_doc) AS keeper FROM k GROUP BY ALL HAVING sum(docs) >= {_T.min_docs}),
-    gone AS (SELECT m.doc_id, m.line_no FROM m JOIN k USING (size, lead, tokens) JOIN r USING (size, lead, template) WHERE m.doc_id <> r.keeper)
+    d AS (SELECT DISTINCT size, lead, tokens, doc_id FROM m SEMI JOIN leaves USING (size, lead)),
+    e AS (SELECT size, lead, tokens, doc_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM d),
+    c AS (SELECT size, lead, place, token FROM e GROUP BY ALL HAVING count(DISTINCT doc_id) >= {_T.min_docs}),
+    k AS (SELECT size, lead, tokens, string_agg(place || ':' || token, ' ' ORDER BY place) AS template
+      FROM (SELECT DISTINCT size, lead, tokens, token, place FROM e) JOIN c USING (size, lead, place, token) GROUP BY ALL
+      HAVING count(*) * 100 >= size * {_T.constant_percent}),
+    r AS (SELECT size, lead, template, min(doc_id) AS keeper FROM k JOIN d USING (size, lead, tokens) GROUP BY ALL HAVING count(DISTINCT doc_id) >= {_T.min_docs}),
+    longs AS (SELECT line, min(doc_id) AS keeper FROM l JOIN m USING (doc_id, line_no, line) WHERE size >= {_T.long_words} GROUP BY 1 HAVING count(DISTINCT doc_id) > 1),
+    gone AS (SELECT m.doc_id, m.line_no FROM m JOIN k USING (size, lead, tokens) JOIN r USING (size, lead, template) WHERE m.doc_id <> r.keeper
+      UNION SELECT m.doc_id, m.line_no FROM m JOIN longs USING (line) WHERE m.doc_id <> longs.keeper AND m.size >= {_T.long_words})
     SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_dropped,
       md5(CASE WHEN text IS NULL THEN NULL WHEN n IS NULL THEN text ELSE coalesce(left_over, '') END) AS text_left_md5
     FROM documents LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) USING (doc_id)

@@ -4,8 +4,9 @@ A line falls into a leaf of a tree of fixed depth: the number of its tokens, the
 variable from the start. In a leaf, a token that stands at its position in few documents is variable. What remains is
 the line's template. Templates that recur across documents are dropped, except from the first document that has them.
 
-Leaves are counted on hashes. Only the lines of leaves that recur, one row per different line, go through the
-token counts, so copies cost one row each and prose that does not recur costs none.
+Lines are cut into tokens once and written with their leaf. Only the lines of leaves that recur, one row per different line, go
+through the token counts, so copies cost one row each and prose that does not recur costs none. "In few documents" and "across documents" mean
+different documents: a document with several lines of a template counts once.
 
 With ``long_words`` set, a line of so many words also recurs if it stands, character by character, in two documents.
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridvoice.llm.common import broadcast_within, kept
+from gridvoice.llm.common import broadcast_within, free_names, kept
 
 WHITE = r"[\x20\x09-\x0D]+"
 VARIABLE = "<*>"
@@ -58,8 +59,36 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _recurring(docs: DataFrame, index: DataFrame, settings: Settings) -> DataFrame:
-    """``leaf, line, first_doc`` of the lines whose template recurs."""
+def _across(rows: DataFrame, by: list[str], index: DataFrame, min_docs: int) -> DataFrame:
+    """The groups whose lines stand in at least ``min_docs`` different documents; ``rows`` has ``leaf, line, docs, first_doc``.
+
+    Different first documents, and the documents of one line, are different documents, which settles nearly all groups. Only for groups
+    that have enough lines without that are the documents themselves listed.
+    """
+    bounds = kept(
+        rows.groupBy(*by, "first_doc")
+        .agg(F.max("docs").alias("most"), F.sum("docs").alias("docs"))
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("firsts"), F.max("most").alias("most"), F.sum("docs").alias("docs"))
+        .filter(F.col("docs") >= min_docs),
+        "bounds",
+    )
+    settled = (F.col("firsts") >= min_docs) | (F.col("most") >= min_docs)
+    open_ = bounds.filter(~settled).select(*by)
+    open_ = broadcast_within(open_, open_.count(), 16 * len(by) + 16)
+    listed = (
+        rows.join(open_, by)
+        .select(*{*by, "leaf", "line"})
+        .join(index.select("leaf", "line", "doc_id"), ["leaf", "line"])
+        .select(*by, "doc_id")
+        .distinct()
+    )
+    counted = listed.groupBy(*by).agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
+    return bounds.filter(settled).select(*by).unionByName(counted.select(*by))
+
+
+def _recurring(index: DataFrame, settings: Settings) -> DataFrame:
+    """``leaf, line, keeper`` of the lines whose template recurs; the keeper is the smallest document that has the template."""
     leaves = kept(
         index.select("leaf", "doc_id")
         .distinct()
@@ -71,24 +100,17 @@ def _recurring(docs: DataFrame, index: DataFrame, settings: Settings) -> DataFra
     )
     leaves = broadcast_within(leaves, leaves.count(), 32)
     different = kept(
-        _lines(docs, settings)
-        .join(leaves, "leaf")
-        .select("leaf", "masked", "size", "doc_id")
+        index.join(leaves, "leaf")
+        .select("leaf", "line", "masked", "size", "doc_id")
         .distinct()
-        .groupBy("leaf", "masked", "size")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"))
-        .withColumn("line", F.xxhash64("masked")),
-        "lines",
-    )
-    each = different.select("leaf", "line", "docs", F.posexplode(F.split("masked", " ")).alias("at", "token")).withColumn(
-        "token", F.xxhash64("token")
-    )
-    constant = (
-        each.groupBy("leaf", "at", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= settings.min_docs)
-        .select("leaf", "at", "token")
+        .groupBy("leaf", "line", "masked", "size")
+        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc")),
+        "different",
     )
+    each = different.select(
+        "leaf", "line", "docs", "first_doc", F.posexplode(F.split("masked", " ")).alias("at", "token")
+    ).withColumn("token", F.xxhash64("token"))
+    constant = _across(each, ["leaf", "at", "token"], index, settings.min_docs)
     # the template of a line: its constant tokens with their positions, whatever stands elsewhere
     templates = (
         each.select("leaf", "line", "at", "token")
@@ -100,18 +122,17 @@ def _recurring(docs: DataFrame, index: DataFrame, settings: Settings) -> DataFra
             F.bit_xor(F.xxhash64("token", "at")).alias("xor"),
         )
     )
-    known = (
+    known = kept(
         different.select("leaf", "line", "size", "docs", "first_doc")
         .join(templates, ["leaf", "line"])
         .filter(F.col("constants") * 100 >= F.col("size") * settings.constant_percent)
+        .drop("constants", "size"),
+        "known",
     )
-    recurring = (
-        known.groupBy("leaf", "sum", "xor")
-        .agg(F.sum("docs").alias("docs"), F.min("first_doc").alias("keeper"))
-        .filter(F.col("docs") >= settings.min_docs)
-        .select("leaf", "sum", "xor", "keeper")
-    )
-    return known.select("leaf", "line", "sum", "xor").join(recurring, ["leaf", "sum", "xor"]).select("leaf", "line", "keeper")
+    template = ["leaf", "sum", "xor"]
+    keepers = known.groupBy(*template).agg(F.min("first_doc").alias("keeper"))
+    recurring = _across(known, template, index, settings.min_docs).join(keepers, template)
+    return known.select(*template, "line").join(recurring, template).select("leaf", "line", "keeper")
 
 
 def _identical(index: DataFrame) -> DataFrame:
@@ -127,14 +148,15 @@ def _identical(index: DataFrame) -> DataFrame:
     )
 
 
-def with_dropped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """All columns of ``docs``, with ``_dropped``: the line numbers, from 0, of recurring lines; null if there are none."""
+def with_dropped(docs: DataFrame, settings: Settings = Settings(), into: str = "dropped") -> DataFrame:
+    """All columns of ``docs``, with ``into``: the line numbers, from 0, of recurring lines; null if there are none."""
+    own_id, own_hash = free_names(docs, "own_id", "own_hash")
     each = _lines(docs, settings)
-    columns = ["doc_id", "text_hash", "line_no", "leaf", F.xxhash64("masked").alias("line")]
+    columns = ["doc_id", "text_hash", "line_no", "leaf", F.xxhash64("masked").alias("line"), "size", "masked"]
     if settings.long_words is not None:
         columns.append(F.when(F.col("size") >= settings.long_words, F.col("exact")).alias("exact"))
     index = kept(each.select(*columns), "lines")
-    recurring = kept(_recurring(docs, index, settings), "recurring")
+    recurring = kept(_recurring(index, settings), "recurring")
     recurring = broadcast_within(recurring, recurring.count(), 48)
     found = index.join(recurring, ["leaf", "line"]).select("doc_id", "text_hash", "line_no", "keeper")
     if settings.long_words is not None:
@@ -143,26 +165,27 @@ def with_dropped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         found = found.unionByName(index.join(identical, "exact").select("doc_id", "text_hash", "line_no", "keeper"))
     gone = (
         found.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.sort_array(F.collect_set("line_no")).alias("_dropped"))
+        .groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+        .agg(F.sort_array(F.collect_set("line_no")).alias(into))
     )
     gone = kept(gone, "dropped")
-    sized = gone.agg(F.count(F.lit(1)), F.sum(F.size("_dropped"))).first()
+    sized = gone.agg(F.count(F.lit(1)), F.sum(F.size(into))).first()
     gone = broadcast_within(gone, sized[0] + (sized[1] or 0), 64)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(gone, same, "left").drop("_id", "_hash")
+    same = docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash))
+    return docs.join(gone, same, "left").drop(own_id, own_hash)
 
 
-def _left_over(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("_dropped", i))
-    return F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(lines, "\n"))
+def _left_over(text: Column, dropped: str) -> Column:
+    lines = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(dropped, i))
+    return F.when(F.col(dropped).isNull(), text).otherwise(F.array_join(lines, "\n"))
 
 
 def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, text_left``.
 
-    A template recurs if at least ``min_docs`` documents have a line of it, an identical line of ``long_words`` words if two have. It stays in the recurring document with the smallest
-    id. Lines without tokens are never dropped. A null text has no lines and stays null. Rows that repeat an id are one
+    A template recurs if at least ``min_docs`` different documents have a line of it, an identical line of ``long_words`` words if two
+    have. It stays in the document with the smallest id of those that have it, in all lines there. Texts and lines of any length are read
+    whole. Lines without tokens are never dropped. A null text has no lines and stays null. Rows that repeat an id are one
     document when documents are counted. Rows with a null id are one document together, never the first. Other columns are
     ignored. An empty table gives an empty table.
     """
@@ -170,18 +193,21 @@ def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return with_dropped(plain, settings).select(
         "doc_id",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        _left_over(F.col("text")).alias("text_left"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        _left_over(F.col("text"), "dropped").alias("text_left"),
     )
 
 
 def without_recurring(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents, with all their columns, without recurring lines; those left without any word go.
 
-    ``n_chars`` follows the text. Documents that had no words before stay as they are.
+    ``n_chars`` follows the text. Documents that had no words before stay as they are. Other columns may have any name.
     """
-    marked = with_dropped(docs, settings).withColumn("text", _left_over(F.col("text")))
-    stays = F.col("_dropped").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    changed = F.when(F.col("_dropped").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-    columns = [changed.cast(f.dataType).alias("n_chars") if f.name == "n_chars" else f.name for f in docs.schema.fields]
+    (dropped,) = free_names(docs, "dropped")
+    marked = with_dropped(docs, settings, dropped).withColumn("text", _left_over(F.col("text"), dropped))
+    stays = F.col(dropped).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = F.when(F.col(dropped).isNull(), F.col("n_chars")).otherwise(F.length("text"))
+    columns = [
+        changed.cast(f.dataType).alias("n_chars") if f.name == "n_chars" else F.col(f"`{f.name}`") for f in docs.schema.fields
+    ]
     return marked.filter(stays).select(*columns)

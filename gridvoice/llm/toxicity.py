@@ -254,10 +254,8 @@ def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     else:
         x = np.array([r["bin"] / 20 for r in binned])
         intercept, slope = logistic(x, y, np.array([float(r["n"]) for r in binned]))
-        position = F.least(F.floor(F.sqrt("evidence") * 20), F.lit(settings.bins)) / 20
-        # within a bin the exact evidence breaks the tie
-        fine = F.least(F.sqrt("evidence"), F.lit(settings.bins / 20)) - position
-        probability = 1 / (1 + F.exp(-(intercept + slope * (position + fine))))
+        # the bins are for the fit; every text is scored on its own evidence
+        probability = 1 / (1 + F.exp(-(intercept + slope * F.sqrt("evidence"))))
     return found.select(
         "doc_id",
         held_out(F.col("doc_id"), settings.folds).alias("held_out"),

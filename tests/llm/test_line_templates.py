@@ -59,3 +59,39 @@ def test_identical_long_lines_recur_from_two_documents_on(few):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(few, frame(few, rows), "").collect()}
     assert got == {4: "own", 2: f"{long}\nalso own", 5: short, 6: short, 8: f"{near}\n{long} 1", 9: f"{long} 2", None: "z"}
     assert left(templates.dedup(frame(few, rows))) == dict(rows)
+
+
+def variants(doc, names, ending="delta eps zeta eta theta iota kappa"):
+    return (doc, "\n".join(f"alpha beta gamma {name} {ending}" for name in names))
+
+
+def test_lines_of_one_document_count_once(few):
+    """Two documents with three lines of a template each, and three that only share its beginning."""
+    rows = [variants(1, ["anna", "bert", "carl"]), variants(2, ["dora", "emil", "fred"])]
+    rows += [(n, f"alpha beta gamma {'xyz'[n - 3] * 2} {'uvw'[n - 3]}a b{n}c d{'klm'[n - 3]} e{'fgh'[n - 3]} f g") for n in (3, 4, 5)]
+    assert left(templates.dedup(frame(few, rows))) == dict(rows)
+
+
+def test_documents_are_listed_where_first_documents_do_not_tell(few):
+    """Every line stands in document 1 and in one other: one first document, but six documents."""
+    names = ["anna", "bert", "carl", "dora", "emil"]
+    rows = [variants(1, names)] + [variants(2 + n, [name]) for n, name in enumerate(names)]
+    got = left(templates.dedup(frame(few, rows)))
+    assert got == {1: rows[0][1], **{n: "" for n in range(2, 7)}}
+    # with one of them less there are five, with two less four
+    assert left(templates.dedup(frame(few, rows[:5]))) == {1: rows[0][1], **{n: "" for n in range(2, 6)}}
+    assert left(templates.dedup(frame(few, rows[:4]))) == dict(rows[:4])
+
+
+def test_clashing_names_and_very_long_lines(few):
+    import pyspark.sql.functions as F
+
+    line, long = "the very same line of text", " ".join(f"w{'abcdefghij'[n % 10]}" for n in range(40_000))
+    rows = [(n, f"{line}\n{long}\n{'abcde'[n]}{'vwxyz'[n]} own") for n in range(5)]
+    names = ["_id", "_hash", "_dropped", "dropped", "own_id", "OWN_HASH", "text_hash", "exact"]
+    df = frame(few, rows).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    cut = templates.without_recurring(df)
+    assert cut.columns == df.columns
+    for r in cut.collect():
+        assert r["text"] == (rows[0][1] if r["doc_id"] == 0 else rows[r["doc_id"]][1].rsplit("\n", 1)[1])
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in names)
