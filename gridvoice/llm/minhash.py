@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridvoice.llm import shingles as S
-from gridvoice.llm.common import broadcast_within, kept, slices, small_batches
+from gridvoice.llm.common import broadcast_within, free_names, kept, slices, small_batches
 from gridvoice.llm.components import components
 
 
@@ -74,6 +74,10 @@ def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+def _digest(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
 def _sets(piece: pa.RecordBatch, column: str, words: int) -> Iterator[np.ndarray]:
     raw, offsets = S.text_bytes(piece.column(column))
     raw = S.lowered(raw)
@@ -83,7 +87,7 @@ def _sets(piece: pa.RecordBatch, column: str, words: int) -> Iterator[np.ndarray
         yield np.unique(S.shingle_hashes(hashes[first[i] : first[i + 1]], words))
 
 
-SKETCH = "id long, n_shingles long, same binary, sig binary, keys array<long>"
+SKETCH = "id long, text_hash long, n_shingles long, same binary, sig binary, keys array<long>"
 
 
 def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
@@ -94,9 +98,10 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
         for batch in batches:
             for piece in slices(batch, "text"):
                 rows = []
-                for doc, found in zip(piece.column("id").to_pylist(), _sets(piece, "text", settings.words)):
+                ids, hashes = piece.column("id").to_pylist(), piece.column("text_hash").to_pylist()
+                for doc, text, found in zip(ids, hashes, _sets(piece, "text", settings.words)):
                     if not len(found) or doc is None:
-                        rows.append((doc, len(found), None, None, None))
+                        rows.append((doc, text, len(found), None, None, None))
                         continue
                     least = minima(found, a, b)
                     with np.errstate(over="ignore"):
@@ -104,43 +109,78 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
                         for column in least.reshape(settings.bands, settings.rows).T:
                             folded = S.mix(folded + column.astype(np.uint64) + np.uint64(1))
                         folded = S.mix(folded + np.arange(settings.bands, dtype=np.uint64))
-                    digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    rows.append((doc, len(found), digest, least.astype(np.uint8).tobytes(), folded.view(np.int64)))
+                    rows.append((doc, text, len(found), _digest(found), least.astype(np.uint8).tobytes(), folded.view(np.int64)))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(columns[0], pa.int64()),
                         pa.array(columns[1], pa.int64()),
-                        pa.array(columns[2], pa.binary()),
+                        pa.array(columns[2], pa.int64()),
                         pa.array(columns[3], pa.binary()),
-                        pa.array(columns[4], pa.list_(pa.int64())),
+                        pa.array(columns[4], pa.binary()),
+                        pa.array(columns[5], pa.list_(pa.int64())),
                     ],
-                    names=["id", "n_shingles", "same", "sig", "keys"],
+                    names=["id", "text_hash", "n_shingles", "same", "sig", "keys"],
                 )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return small_batches(plain).mapInArrow(run, SKETCH)
+    return small_batches(plain.withColumn("text_hash", F.xxhash64("text"))).mapInArrow(run, SKETCH)
+
+
+def _repeated(sketch: DataFrame) -> DataFrame | None:
+    """``(doc, same, node)`` for ids that stand for different sets, or None: each of their sets gets a number of its own, above all ids."""
+    filled = sketch.filter("same IS NOT NULL").select("id", "same", F.xxhash64("same").alias("mark"))
+    several = filled.groupBy("id").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low <> high").select("id")
+    several = kept(several, "several")
+    n = several.count()
+    if not n:
+        return None
+    top = sketch.agg(F.max("id")).first()[0]
+    found = filled.join(broadcast_within(several, n, 32), "id").select(F.col("id").alias("doc"), "same").distinct()
+    return kept(found.withColumn("node", F.monotonically_increasing_id() + F.lit(top + 1)), "nodes")
+
+
+def _as_nodes(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """``id`` becomes the node of ``(id, same)``, and ``doc`` the id."""
+    rows = rows.withColumnRenamed("id", "doc")
+    if repeated is None:
+        return rows.withColumn("id", F.col("doc"))
+    return rows.join(repeated, ["doc", "same"], "left").withColumn("id", F.coalesce("node", "doc")).drop("node")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """``(id, members)``: the sorted shingle hashes, as bytes, of the wanted documents.
+def _full_sets(
+    docs: DataFrame, wanted: DataFrame, settings: Settings, id_col: str, text_col: str, repeated: DataFrame | None
+) -> DataFrame:
+    """``(id, members)``: the sorted shingle hashes, as bytes, of the wanted nodes.
 
     Their ids are sent to the scan if they are within the bound, so that texts are not shuffled.
     """
     wanted = kept(wanted, "wanted")
-    wanted = broadcast_within(wanted, wanted.count(), 32)
+    n = wanted.count()
+    asked = wanted
+    if repeated is not None:
+        own = repeated.select(F.col("node").alias("id"), "doc")
+        asked = kept(wanted.join(own, "id", "left").select(F.coalesce("doc", "id").alias("id")).distinct(), "asked")
+    asked = broadcast_within(asked, n, 32)
 
     def run(batches):
         for batch in batches:
             for piece in slices(batch, "text"):
-                found = [s.tobytes() for s in _sets(piece, "text", settings.words)]
+                found = list(_sets(piece, "text", settings.words))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(found, pa.binary())], names=["id", "members"]
+                    [
+                        piece.column("id"),
+                        pa.array([_digest(s) if len(s) else None for s in found], pa.binary()),
+                        pa.array([s.tobytes() for s in found], pa.binary()),
+                    ],
+                    names=["id", "same", "members"],
                 )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # a repeated id names one document; its rows with other texts would only repeat links
-    return plain.join(wanted, "id", "left_semi").mapInArrow(run, "id long, members binary")
+    sets = plain.join(asked, "id", "left_semi").mapInArrow(run, "id long, same binary, members binary").filter("same IS NOT NULL")
+    if repeated is None:
+        return sets.select("id", "members")
+    return _as_nodes(sets, repeated).join(wanted, "id", "left_semi").select("id", "members")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -248,11 +288,18 @@ def near_duplicates(
     if it is that one.
 
     Null, empty and blank texts have no shingles, are linked with nothing and are kept. A text of fewer words
-    than a shingle is one shingle. A row with a null id has no component and is kept. Rows that
-    repeat an id are one document in several rows. Other columns of ``docs`` are ignored. An empty table gives an empty
-    table.
+    than a shingle is one shingle; texts of any length are read whole. A row with a null id has no component and is kept. Rows that
+    repeat an id with other words are documents of their own: each is linked by its own text. Of equally similar documents none is
+    preferred, all links count. Other columns of ``docs`` are ignored. An empty table gives an empty table.
     """
+    return _labelled(docs, settings, id_col, text_col).drop("text_hash")
+
+
+def _labelled(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``text_hash``, which tells rows of one id apart."""
     sketch = kept(sketches(docs, settings, id_col, text_col), "sketch")
+    repeated = _repeated(sketch)
+    sketch = _as_nodes(sketch, repeated)
     filled = sketch.filter("same IS NOT NULL")
     heads = filled.groupBy("same").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies"))
     shared = kept(heads.filter("copies > 1").select("same", "head"), "copies")
@@ -269,7 +316,7 @@ def near_duplicates(
     stars = members.filter("head < id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     probable = kept(_signature_filter(stars, active, settings), "probable")
     wanted = probable.select(F.col("a").alias("id")).unionByName(probable.select(F.col("b").alias("id"))).distinct()
-    sets = kept(_full_sets(docs, wanted, settings, id_col, text_col).dropDuplicates(["id"]), "sets")
+    sets = kept(_full_sets(docs, wanted, settings, id_col, text_col, repeated).dropDuplicates(["id"]), "sets")
     links = kept(_confirm(probable, sets, settings.percent), "confirmed")
     grouped = components(links)
 
@@ -295,42 +342,52 @@ def near_duplicates(
         .unionByName(hot_rows.select("id"))
         .distinct()
     )
-    more_sets = kept(_full_sets(docs, more, settings, id_col, text_col).dropDuplicates(["id"]), "sets")
+    more_sets = kept(_full_sets(docs, more, settings, id_col, text_col, repeated).dropDuplicates(["id"]), "sets")
     hot = hot_rows.join(active, "id").join(more_sets, "id")
     extra = _confirm(maybe, more_sets, settings.percent).unionByName(_within_blocks(hot, settings).distinct())
     labels = components(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(extra))
 
     result = (
-        sketch.select("id", "n_shingles", "same")
+        sketch.select("id", "doc", "text_hash", "n_shingles", "same")
         .join(shared, "same", "left")
         .withColumn("node", F.coalesce("head", "id"))
         .join(labels, "node", "left")
-        .withColumn("component_id", F.coalesce("component", "node"))
+        .withColumn("component", F.coalesce("component", "node"))
     )
+    if repeated is None:
+        result = result.withColumn("component_id", F.col("component"))
+    else:
+        # numbers of sets are not ids: the smallest id among the rows of a component
+        result = kept(result.select("doc", "text_hash", "n_shingles", "component"), "labelled")
+        least = result.groupBy("component").agg(F.min("doc").alias("component_id"))
+        result = result.join(least, result["component"].eqNullSafe(least["component"]))
     return result.select(
-        F.col("id").alias("doc_id"),
+        F.col("doc").alias("doc_id"),
+        "text_hash",
         "n_shingles",
         "component_id",
-        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 
 
 def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents, with all their columns: one of each group of near duplicates, that with the smallest id.
 
-    Of rows that repeat an id one stays. Rows with a null id stay.
+    Of rows that repeat an id and a text one stays; rows of one id with other texts are judged each by its own. Rows with a null id stay.
     """
-    found = kept(near_duplicates(docs, settings), "duplicates")
-    gone = kept(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    gone = broadcast_within(gone, gone.count(), 32)
-    again = kept(
-        found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"),
-        "again",
-    )
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    found = kept(_labelled(docs, settings, "doc_id", "text"), "duplicates")
+    own_id, own_hash = free_names(docs, "own_id", "own_hash")
+    named = [F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)]
+    gone = kept(found.filter("NOT kept").select(*named).distinct(), "gone")
+    gone = broadcast_within(gone, gone.count(), 40)
+    again = found.filter("doc_id IS NOT NULL").groupBy(*named).count().filter("count > 1").select(own_id, own_hash)
+    again = kept(again, "again")
+    same = (docs["doc_id"] == F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash))
+    left = docs.join(gone, same, "left_anti")
     repeated = again.count()
     if not repeated:
         return left
-    again = broadcast_within(again, repeated, 32)
-    same = F.col("doc_id") == F.col("_again")
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    again = broadcast_within(again, repeated, 40)
+    twice = left.withColumn(own_hash, F.xxhash64("text")).withColumn(own_id, F.col("doc_id"))
+    once = twice.join(again, [own_id, own_hash], "left_semi").dropDuplicates([own_id, own_hash]).drop(own_id, own_hash)
+    return left.join(again, same, "left_anti").unionByName(once)

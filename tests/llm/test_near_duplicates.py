@@ -106,3 +106,39 @@ def test_low_bytes_that_agree_are_no_shared_bucket(few):
     schema = "key long, band int, id long, component long, n_shingles long, sig binary, keys array<long>, members binary"
     got = minhash._within_blocks(few.createDataFrame(rows, schema), settings).collect()
     assert [(r["a"], r["b"]) for r in got] == [(1, 2)]
+
+
+def prose(start, n=60):
+    return " ".join(f"w{start + k}" for k in range(n))
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [1, 0, 2, 3], [3, 2, 1, 0]])
+def test_rows_of_one_id_are_linked_each_by_its_text(few, order):
+    one, two = prose(0), prose(1000)
+    rows = [(5, one), (5, two), (8, one + " end"), (9, two + " end")]
+    docs = few.createDataFrame([rows[k] for k in order], "doc_id long, text string").coalesce(1)
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(5, 5, True), (5, 5, True), (8, 5, False), (9, 5, False)]
+    assert sorted(map(tuple, minhash.without_copies(docs).collect())) == sorted([(5, one), (5, two)])
+
+
+def test_repeated_ids_among_large_ones(few):
+    """The smallest id of a component belongs to a row whose id repeats, and one set has both kinds of rows."""
+    one, two, three = prose(0), prose(1000), prose(2000)
+    rows = [(3, one), (3, two), (2, one + " end"), (7, one), (8, two + " end"), (9, three), (9, three), (4, None), (4, ""), (None, one)]
+    docs = few.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()), key=str)
+    want = [(3, 2, False), (3, 3, True), (2, 2, True), (7, 2, False), (8, 3, False), (9, 9, True), (9, 9, True), (4, 4, True), (4, 4, True), (None, None, True)]
+    assert got == sorted(want, key=str)
+    left = sorted(map(tuple, minhash.without_copies(docs).collect()), key=str)
+    assert left == sorted([(3, two), (2, one + " end"), (9, three), (4, None), (4, ""), (None, one)], key=str)
+
+
+def test_clashing_names(few):
+    from pyspark.sql import functions as F
+
+    names = ["_gone", "own_id", "OWN_HASH", "same", "node", "id", "text_hash", "keys"]
+    docs = few.createDataFrame([(1, prose(0)), (2, prose(0)), (2, prose(0)), (3, prose(500)), (3, prose(500))], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit(c) for c in names})
+    left = minhash.without_copies(docs)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 3]
