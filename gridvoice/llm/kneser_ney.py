@@ -6,7 +6,9 @@
 * Count tables of each order are joined with their context totals and with the probabilities of the next lower order.
 * The joined probabilities are sent to the tasks as long as they are within the bound of a broadcast. Beyond it the n-grams of the
   documents, each once a document, are joined with them by shuffling. Both give the same.
-* A document is rejected if its perplexity is above a quantile of the trusted documents of its language.
+* A document is rejected if its perplexity is above a quantile of the trusted documents of its language. There each trusted text is
+  measured by a model that has not seen it: the trusted texts are dealt into folds by their hash, and besides the model of all there is
+  one without each fold, whose counts are all counts less those of the fold. All models are made by the same jobs.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ CLASSES = 64
 START = 0x110000
 CODE = 4
 LEAST_DISCOUNT = 0.05
+#: The model of all trusted texts; model k is that without fold k.
+WHOLE = -1
 #: Bytes of an n-gram or context of a model that is sent to the tasks.
 ROW_BYTES = 48
 
@@ -48,6 +52,8 @@ class Settings:
     scatter: float = 4.5
     #: Bins of the logarithm of the perplexity for the quantile, per unit.
     bins: int = 1000
+    #: Parts of the trusted texts, each measured by a model of the others.
+    folds: int = 4
 
 
 def _code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +90,42 @@ def _symbols(grams: pa.ChunkedArray, order: int) -> np.ndarray:
 
 
 def gram_counts(trusted: DataFrame) -> DataFrame:
-    """``(gram, n)`` over all trusted texts; each task sums those of a slice before the shuffle."""
+    """``(model, gram, n)`` over all trusted texts, and over those outside of each fold if there is a column ``fold``.
+
+    Each task sums the n-grams of a slice before the shuffle.
+    """
+    folded = "fold" in trusted.columns
 
     def run(batches):
         for batch in batches:
             for piece in slices(batch, "text"):
-                grams = _grams(*_code_points(piece.column("text").to_pylist()))
-                _, first, n = np.unique(_hashes(grams), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([_binary(grams[first]), pa.array(n, pa.int64())], names=["gram", "n"])
-
-    return small_batches(trusted.select("text")).mapInArrow(run, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+                points, sizes = _code_points(piece.column("text").to_pylist())
+                grams = _grams(points, sizes)
+                hashes, of = _hashes(grams), np.repeat(piece.column("fold").to_numpy(), sizes)
+                for fold in np.unique(of):
+                    own = np.flatnonzero(of == fold)
+                    _, first, n = np.unique(hashes[own], return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), fold), pa.int32()), _binary(grams[own[first]]), pa.array(n, pa.int64())],
+                        names=["fold", "gram", "n"],
+                    )
+
+    fold = F.col("fold").cast("int") if folded else F.lit(WHOLE)
+    parts = small_batches(trusted.select("text", F.coalesce(fold, F.lit(WHOLE)).alias("fold"))).mapInArrow(
+        run, "fold int, gram binary, n long"
+    )
+    folds = [r[0] for r in trusted.select("fold").distinct().collect() if r[0] is not None] if folded else []
+    if len(folds) < 2:  # without the only fold nothing is left
+        folds = []
+    without = [F.sum(F.when(F.col("fold") != k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in folds]
+    models = [F.struct(F.lit(WHOLE).alias("model"), F.col("n")), *(F.struct(F.lit(k).alias("model"), F.col(f"n{k}").alias("n")) for k in folds)]
+    return (
+        parts.groupBy("gram")
+        .agg(F.sum("n").alias("n"), *without)
+        .select("gram", F.explode(F.array(*models)).alias("m"))
+        .select("m.model", "gram", "m.n")
+        .filter("n > 0")
+    )
 
 
 def _rest(gram: Column, order: int) -> Column:
@@ -106,46 +138,60 @@ def _context(gram: Column, order: int) -> Column:
     return F.substring(gram, 1, CODE * (order - 1))
 
 
-def model(counts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Interpolated modified Kneser-Ney.
+def _of_model(values: dict[int, float], column: str = "model") -> Column:
+    """The value of a row's model."""
+    found = F.lit(None).cast("double")
+    for model, value in values.items():
+        found = F.when(F.col(column) == model, F.lit(float(value))).otherwise(found)
+    return found
+
 
-    ``(order, gram, p)`` for the n-grams seen, ``(order, context, backoff)``, and the number of symbols. The highest order uses counts, the lower
-    ones the number of different characters before. A discount that the counts of counts do not give is a small one, so
-    that unseen characters keep some probability.
+def model(counts: DataFrame) -> tuple[DataFrame, DataFrame, dict[int, int]]:
+    """Interpolated modified Kneser-Ney, for all models of ``counts`` at once.
+
+    ``(model, order, gram, p)`` for the n-grams seen, ``(model, order, context, backoff)``, and the number of symbols of each model. The highest
+    order uses counts, the lower ones the number of different characters before. A discount that the counts of counts do not give is a
+    small one, so that unseen characters keep some probability.
     """
     by_order = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
         # dropping the first character: what is left once for each of its predecessors
         rest = _rest(F.col("gram"), order + 1)
-        by_order[order] = by_order[order + 1].groupBy(rest.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        by_order[order] = by_order[order + 1].groupBy("model", rest.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
     # all that were seen, the start and an unseen one
-    symbols = max(CLASSES, by_order[1].count() + 2)
+    symbols = {WHOLE: CLASSES} | {r["model"]: max(CLASSES, r["count"] + 2) for r in by_order[1].groupBy("model").count().collect()}
     lower, probabilities, backoffs = None, [], []
     for order in range(1, ORDER + 1):
         grams = by_order[order].withColumn("context", _context(F.col("gram"), order))
-        n1, n2, n3, n4 = (float(x or 0) for x in grams.agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).first())
-        y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.0
-        steps = [k - (k + 1) * y * b / a if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        d1, d2, d3 = (min(max(d, LEAST_DISCOUNT), k * 0.95) for k, d in enumerate(steps, 1))
-        discount = F.when(F.col("n") == 1, F.lit(d1)).when(F.col("n") == 2, F.lit(d2)).otherwise(F.lit(d3))
+        # a row per model
+        seen_times = grams.groupBy("model").agg(*[F.sum((F.col("n") == k).cast("int")) for k in (1, 2, 3, 4)]).collect()
+        discounts: list[dict[int, float]] = [{}, {}, {}]
+        for own_model, *times in seen_times:
+            n1, n2, n3, n4 = map(float, times)
+            y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.0
+            steps = [k - (k + 1) * y * b / a if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+            for k, d in enumerate(steps, 1):
+                discounts[k - 1][own_model] = min(max(d, LEAST_DISCOUNT), k * 0.95)
+        d1, d2, d3 = map(_of_model, discounts)
+        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         grams = grams.withColumn("discount", F.least(discount, F.col("n")))
-        totals = grams.groupBy("context").agg(
+        totals = grams.groupBy("model", "context").agg(
             F.sum("n").alias("total"), (F.sum("discount") / F.sum("n")).alias("backoff")
         )
-        joined = grams.join(totals, "context")
+        joined = grams.join(totals, ["model", "context"])
         own = (F.col("n") - F.col("discount")) / F.col("total")
         if lower is None:
-            seen = joined.select("gram", (own + F.col("backoff") / symbols).alias("p"))
+            seen = joined.select("model", "gram", (own + F.col("backoff") / _of_model(symbols)).alias("p"))
         else:
             seen = (
                 joined.withColumn("rest", _rest(F.col("gram"), order))
-                .join(lower.select(F.col("gram").alias("rest"), F.col("p").alias("lower")), "rest")
-                .select("gram", (own + F.col("backoff") * F.col("lower")).alias("p"))
+                .join(lower.select("model", F.col("gram").alias("rest"), F.col("p").alias("lower")), ["model", "rest"])
+                .select("model", "gram", (own + F.col("backoff") * F.col("lower")).alias("p"))
             )
         lower = kept(seen, f"order{order}")
-        probabilities.append(lower.select(F.lit(order).alias("order"), "gram", "p"))
-        backoffs.append(totals.select(F.lit(order).alias("order"), "context", "backoff"))
+        probabilities.append(lower.select("model", F.lit(order).alias("order"), "gram", "p"))
+        backoffs.append(totals.select("model", F.lit(order).alias("order"), "context", "backoff"))
     union = DataFrame.unionByName
     p, b = probabilities[0], backoffs[0]
     for more_p, more_b in zip(probabilities[1:], backoffs[1:]):
@@ -202,19 +248,19 @@ def table(p: list[tuple[np.ndarray, np.ndarray]], backoff: list[tuple[np.ndarray
     return Lookup(symbols, p, backoff).logs(grams)
 
 
-def _lookup(shared) -> Lookup:
-    """The look-up tables of a broadcast model, built once per Python worker."""
-    key, symbols, p, backoff = shared.value
-    return worker_copy(key, lambda: Lookup(symbols, p, backoff))
+def _lookup(shared) -> dict[int, Lookup]:
+    """The look-up tables of broadcast models, built once per Python worker."""
+    key, models = shared.value
+    return worker_copy(key, lambda: {k: Lookup(*tables) for k, tables in models.items()})
 
 
 @dataclass(frozen=True)
 class Sharded:
-    """A model beyond the bound of a broadcast: the tables of ``model``, and the number of symbols."""
+    """Models beyond the bound of a broadcast: the tables of ``model``, and the number of symbols of each."""
 
     p: DataFrame
     backoff: DataFrame
-    symbols: int
+    symbols: dict[int, int]
 
 
 def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
@@ -239,62 +285,93 @@ def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
                 )
 
     counted = kept(small_batches(docs).mapInArrow(run, f"{schema}, _gram binary, _n long"), "grams")
-    valued = counted.select("_gram").distinct().withColumn("_factor", F.lit(1.0)).withColumn("_found", F.lit(None).cast("double"))
+    models = F.lit(WHOLE)
+    if "fold" in rest:
+        fold = F.when(F.col("fold").isin(list(shared.symbols)), F.col("fold"))
+        models = F.explode(F.array_compact(F.array(F.lit(WHOLE), fold.cast("int"))))
+    counted = counted.withColumn("_model", models)
+    valued = counted.select("_model", "_gram").distinct().withColumn("_factor", F.lit(1.0)).withColumn("_found", F.lit(None).cast("double"))
     for order in range(ORDER, 0, -1):
         suffix = F.substring(F.col("_gram"), CODE * (ORDER - order) + 1, CODE * order)
-        p = shared.p.filter(F.col("order") == order).select(F.col("gram").alias("_own"), "p")
-        b = shared.backoff.filter(F.col("order") == order).select(F.col("context").alias("_before"), "backoff")
+        p = shared.p.filter(F.col("order") == order).select(F.col("model").alias("_model"), F.col("gram").alias("_own"), "p")
+        b = shared.backoff.filter(F.col("order") == order).select(
+            F.col("model").alias("_model"), F.col("context").alias("_before"), "backoff"
+        )
         valued = (
             valued.withColumn("_own", suffix)
             .withColumn("_before", _context(suffix, order))
-            .join(p, "_own", "left")
-            .join(b, "_before", "left")
+            .join(p, ["_model", "_own"], "left")
+            .join(b, ["_model", "_before"], "left")
             .select(
+                "_model",
                 "_gram",
                 F.coalesce("_found", F.col("_factor") * F.col("p")).alias("_found"),
                 (F.col("_factor") * F.coalesce("backoff", F.lit(1.0))).alias("_factor"),
             )
         )
-    valued = valued.select("_gram", F.log(F.coalesce("_found", F.col("_factor") / shared.symbols)).alias("_log"))
+    unseen = F.col("_factor") / _of_model(shared.symbols, "_model")
+    valued = valued.select("_model", "_gram", F.log(F.coalesce("_found", unseen)).alias("_log"))
     own = F.struct(*rest).alias("_row")
-    summed = (
-        counted.join(valued, "_gram")
-        .groupBy(own)
-        .agg(F.exp(-F.sum(F.col("_n") * F.col("_log")) / F.sum("_n")).alias("perplexity"))
-    )
+
+    def mean(which: Column) -> Column:
+        n = F.when(which, F.col("_n"))
+        return F.exp(-F.sum(n * F.col("_log")) / F.sum(n))
+
+    whole = F.col("_model") == WHOLE
+    found = [mean(whole).alias("perplexity")] + ([mean(~whole).alias("unseen")] if "fold" in rest else [])
+    summed = counted.join(valued, ["_model", "_gram"]).groupBy(own).agg(*found)
     sized = docs.select(own, F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_scored"))
-    return sized.join(summed, "_row", "left").select(*[F.col("_row")[c].alias(c) for c in rest], "n_chars_scored", "perplexity")
+    return sized.join(summed, "_row", "left").select(
+        *[F.col("_row")[c].alias(c) for c in rest], *[c for c in sized.columns + summed.columns if c != "_row"]
+    )
 
 
 def perplexities(docs: DataFrame, shared) -> DataFrame:
-    """Adds ``n_chars_scored`` and ``perplexity`` to rows that have ``text``, which is dropped."""
+    """Adds ``n_chars_scored`` and ``perplexity`` to rows that have ``text``, which is dropped.
+
+    If there is a column ``fold``, also ``unseen``, the perplexity under the model without that fold; null without a fold or such a model.
+    """
     if isinstance(shared, Sharded):
         return _joined_perplexities(docs, shared)
     rest = [c for c in docs.columns if c != "text"]
+    names = [*rest, "n_chars_scored", "perplexity", *(["unseen"] if "fold" in rest else [])]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    schema += ", n_chars_scored long" + "".join(f", {c} double" for c in names[len(rest) + 1 :])
+
+    def mean(values: np.ndarray, sizes: np.ndarray, there: np.ndarray) -> pa.Array:
+        """Perplexity of each text that is there; ``values`` are those of its characters, one text after the other."""
+        total, sizes = np.zeros(len(sizes)), np.where(there, sizes, 0)
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            total[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled])
+        return pa.array(np.exp(-total / np.maximum(sizes, 1)), mask=sizes == 0)
 
     def run(batches):
+        models = _lookup(shared)
         for batch in batches:
             for piece in slices(batch, "text"):
                 points, sizes = _code_points(piece.column("text").to_pylist())
                 grams = _grams(points, sizes)
                 _, first, which = np.unique(_hashes(grams), return_index=True, return_inverse=True)
-                values = _lookup(shared).logs(grams[first])[which]
-                total = np.zeros(len(sizes))
-                filled = np.flatnonzero(sizes)
-                if len(filled):
-                    total[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled])
-                ppl = pa.array(np.exp(-total / np.maximum(sizes, 1)), mask=sizes == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in rest), pa.array(sizes), ppl],
-                    names=[*rest, "n_chars_scored", "perplexity"],
-                )
-
-    return small_batches(docs).mapInArrow(run, f"{schema}, n_chars_scored long, perplexity double")
+                seen = grams[first]
+                found = [mean(models[WHOLE].logs(seen)[which], sizes, sizes > 0)]
+                if "fold" in rest:
+                    fold = pa.compute.fill_null(piece.column("fold"), WHOLE).to_numpy(zero_copy_only=False)
+                    fold = np.where(np.isin(fold, list(models)), fold, WHOLE)
+                    of, values = np.repeat(fold, sizes), np.zeros(len(which))
+                    for k in np.setdiff1d(fold, [WHOLE]):
+                        own = np.flatnonzero(of == k)
+                        some, inverse = np.unique(which[own], return_inverse=True)
+                        values[own] = models[k].logs(seen[some])[inverse]
+                    there = fold != WHOLE
+                    found.append(mean(values[of != WHOLE], sizes, there))
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), pa.array(sizes), *found], names=names)
+
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def train(trusted: DataFrame):
-    """The model of the trusted texts, ready for ``perplexities``."""
+    """The models of the trusted texts, ready for ``perplexities``: that of all, and with a column ``fold`` those without each fold."""
     p, backoff, symbols = model(kept(gram_counts(trusted), "grams"))
     p, backoff = kept(p, "probabilities"), kept(backoff, "backoffs")
     if (p.count() + backoff.count()) * ROW_BYTES > common.BROADCAST_BYTES:
@@ -303,21 +380,23 @@ def train(trusted: DataFrame):
     for frame, key in ((p, "gram"), (backoff, "context")):
         # within the bound of a broadcast
         rows = frame.toArrow()
-        of = rows.column("order").to_numpy()
-        tables = []
-        for order in range(1, ORDER + 1):
-            own = rows.filter(pa.array(of == order))
-            tables.append((_symbols(own.column(key), order - (key == "context")), own.column(2).to_numpy()))
+        of_model, of_order = (rows.column(c).to_numpy() for c in ("model", "order"))
+        tables = {}
+        for k in symbols:
+            for order in range(1, ORDER + 1):
+                own = rows.filter(pa.array((of_model == k) & (of_order == order)))
+                symbols_ = _symbols(own.column(key), order - (key == "context"))
+                tables.setdefault(k, []).append((symbols_, own.column(3).to_numpy()))
         columns.append(tables)
-    spark = trusted.sparkSession
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, symbols, *columns))
+    models = {k: (n, columns[0][k], columns[1][k]) for k, n in symbols.items()}
+    return trusted.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, models))
 
 
 def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row: ``doc_id, lang, text_hash, n_chars_scored, perplexity, threshold, kept``.
 
     Trusted are all texts labelled ``quality = 1``. The threshold of a language is the accepted quantile of its trusted
-    documents times the margin, higher for short texts; a language without trusted documents has that of all of them together. Without any
+    documents, each under a model without its fold (under the model of all if they are all in one fold), times the margin, higher for short texts; a language without trusted documents has that of all of them together. Without any
     trusted text the threshold is null and every text is kept. Null and empty texts have no perplexity and are not kept. A
     null language is a language of its own. Rows that repeat an id are each judged on their own text; labels that
     repeat an id count once, the best one. Other columns are ignored.
@@ -327,11 +406,13 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     marked = docs.select(
         F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     ).join(good, F.col("doc_id") == F.col("_good"), "left")
+    fold = F.pmod(F.xxhash64("text"), F.lit(settings.folds)).cast("int")
+    marked = marked.withColumn("fold", F.when(F.col("_good").isNotNull(), fold))
     shared = train(marked.filter("_good IS NOT NULL"))
     scored = kept(
         perplexities(
             marked.select(
-                "doc_id", "lang", F.xxhash64("text").alias("text_hash"), F.col("_good").isNotNull().alias("trusted"), "text"
+                "doc_id", "lang", F.xxhash64("text").alias("text_hash"), F.col("_good").isNotNull().alias("trusted"), "fold", "text"
             ),
             shared,
         ),
@@ -339,7 +420,7 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     )
     bins = (
         scored.filter("trusted AND perplexity IS NOT NULL")
-        .groupBy("lang", F.ceil(F.log("perplexity") * settings.bins).alias("bin"))
+        .groupBy("lang", F.ceil(F.log(F.coalesce("unseen", "perplexity")) * settings.bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     by_lang = _quantile(bins, settings, ["lang"])

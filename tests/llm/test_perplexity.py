@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridvoice.llm import kneser_ney as kn
 
@@ -76,7 +77,7 @@ def test_matches_plain_model(few):
 
 def test_probabilities_of_a_context_add_up(few):
     shared = kn.train(frame(few, [(n, t, "en") for n, t in enumerate(sample(5))]))
-    _, _, p, backoff = shared.value
+    _, p, backoff = shared.value[1][kn.WHOLE]
     dense = np.exp(kn.table(p, backoff).astype(float)).reshape(-1, kn.CLASSES)
     assert np.allclose(dense.sum(axis=1), 1, atol=1e-4)
 
@@ -118,7 +119,7 @@ def wide(seed, n=200):
 def test_every_character_counts_for_itself(few):
     texts = wide(1)
     shared = kn.train(frame(few, [(n, t, "en") for n, t in enumerate(texts)]))
-    _, symbols, p, _ = shared.value
+    symbols, p, _ = shared.value[1][kn.WHOLE]
     assert symbols == len(set("".join(texts))) + 2 > kn.CLASSES
     padded = ["\ue000" * 3 + t for t in texts]
     assert len(p[3][0]) == len({t[i : i + 4] for t in padded for i in range(len(t) - 3)})
@@ -146,3 +147,33 @@ def test_joined_and_gathered_models_agree(few, monkeypatch):
     for x, y in zip(gathered, joined):
         assert x[:4] == y[:4] and x["kept"] == y["kept"]
         assert x["perplexity"] == pytest.approx(y["perplexity"]) and x["threshold"] == pytest.approx(y["threshold"])
+
+
+def test_a_fold_is_measured_by_a_model_of_the_others(few):
+    texts = sample(7, 40) + ["", None]
+    df = frame(few, [(n, t, "en") for n, t in enumerate(texts)]).select("doc_id", "text", (F.col("doc_id") % 3).cast("int").alias("fold"))
+    shared = kn.train(df)
+    scored = kn.perplexities(df.union(df.selectExpr("doc_id + 100", "text", "null")), shared).collect()
+    assert len(scored) == 2 * len(texts)
+    whole = plain_model([t or "" for t in texts])
+    parts = [plain_model([t or "" for n, t in enumerate(texts) if n % 3 != k]) for k in range(3)]
+    for row in scored:
+        n, text = row["doc_id"] % 100, texts[row["doc_id"] % 100]
+        if not text:
+            assert row["perplexity"] is None and row["unseen"] is None
+            continue
+        assert row["perplexity"] == pytest.approx(whole(text), rel=1e-4)
+        if row["fold"] is None:
+            assert row["unseen"] is None
+        else:
+            assert row["unseen"] == pytest.approx(parts[n % 3](text), rel=1e-4)
+
+
+def test_unseen_trusted_documents_are_kept(few):
+    """Trained on every second trusted document, the others are judged as well as those."""
+    sf = "/root/testdata/sf0.01"
+    docs, marks = few.read.parquet(f"{sf}/documents.parquet"), few.read.parquet(f"{sf}/labels.parquet")
+    judged = kn.classify(docs, marks.filter("doc_id % 2 = 0")).join(marks.filter("doc_id % 2 = 1"), "doc_id")
+    got = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert got.get((1, False), 0) <= 0.02 * (got[1, True] + got.get((1, False), 0))
+    assert got.get((0, False), 0) >= 0.9 * (got.get((0, True), 0) + got.get((0, False), 0))
