@@ -5,7 +5,8 @@ vocabulary with failure links does so in one pass: where no edge fits, the link
 after the longest pieces are cut off, and the number of those pieces was computed beforehand. So pieces are
 counted without building them.
 
-The automaton reads all different words of a slice at once, one symbol per step.
+The automaton reads all different words of a slice at once, one symbol per step. Once few words are left, which are the long ones, they
+are read one after the other by plain look-ups, so the time stays linear in the bytes.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from gridvoice.llm.common import slices, small_batches, worker_copy
 
 #: Marks the beginning of a word in the vocabulary.
 LEAD = 0x20
+#: Words below which a step over arrays costs more than plain look-ups.
+FEW = 32
 
 
 def byte_vocabulary(content: str) -> list[bytes]:
@@ -57,6 +60,8 @@ class Automaton:
         edges = sorted((node << 8 | byte, child) for node, own in enumerate(children) for byte, child in own.items())
         self.edges = np.array([e for e, _ in edges], np.int64)
         self.targets = np.array([t for _, t in edges], np.int32)
+        # the same in plain types, for words read one by one
+        self.plain = dict(edges), self.link.tolist(), self.popped.tolist()
 
     def _link(self, children: list[dict[int, int]], final: list[bool]) -> None:
         """Breadth first: what is left and how many pieces are cut off if no edge fits at a node."""
@@ -83,6 +88,17 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
         return np.where(self.edges[at] == wanted, self.targets[at], -1)
 
+    def _read(self, node: int, symbols: bytes) -> tuple[int, int]:
+        """Node and number of pieces cut off after the symbols, read one by one."""
+        edges, link, popped = self.plain
+        count = 0
+        for symbol in symbols:
+            while (target := edges.get(node << 8 | symbol)) is None:
+                count += popped[node]
+                node = link[node]
+            node = target
+        return node, count
+
     def lengths(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: int | None = LEAD) -> np.ndarray:
         """Number of pieces of each word ``raw[start:end]``, with ``lead`` before it."""
         count = np.zeros(len(starts), np.int64)
@@ -94,6 +110,11 @@ class Automaton:
             node[:] = self._step(node, np.full(len(node), lead))
         for k in range(int(size[0]) if len(size) else 0):
             active = np.arange(np.searchsorted(-size, -k, "left"))
+            if len(active) <= FEW:
+                for word in active.tolist():
+                    node[word], more = self._read(int(node[word]), raw[first[word] + k : first[word] + size[word]].tobytes())
+                    count[word] += more
+                break
             symbols = raw[first[active] + k].astype(np.int64)
             while len(active):
                 target = self._step(node[active], symbols)
@@ -122,7 +143,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     ``vocabulary`` is the content of a byte-level vocabulary file. A word is a run of bytes other than ASCII
     white space; it is cut with one space before it, greedily into the longest pieces. White space alone gives no tokens. Null and empty
     texts have no words and no tokens. Rows that repeat an id, or have a null one, are each counted. Other columns are
-    ignored. An empty table gives an empty table.
+    ignored. An empty table gives an empty table. A word of any length is read in time linear in its bytes.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 

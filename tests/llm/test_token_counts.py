@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from pathlib import Path
 
 import numpy as np
@@ -17,10 +18,10 @@ DOCS = "doc_id long, text string, id string, n_words string, n_tokens string"
 
 def greedy(word, pieces):
     longest = max(map(len, pieces))
-    count = 0
-    while word:
-        size = next(n for n in range(min(longest, len(word)), 0, -1) if word[:n] in pieces)
-        word, count = word[size:], count + 1
+    count = at = 0
+    while at < len(word):
+        at += next(n for n in range(min(longest, len(word) - at), 0, -1) if word[at : at + n] in pieces)
+        count += 1
     return count
 
 
@@ -58,3 +59,16 @@ def test_documents(few):
         want.append((doc, len(counts), sum(counts), max(counts, default=0)))
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert wordpiece.token_counts(df.limit(0), VOCABULARY).count() == 0
+
+
+def test_long_words_take_linear_time():
+    rng = random.Random(2)
+    automaton = wordpiece.Automaton(PIECES)
+    one = bytes(rng.choices(b"abcdefghij/=", k=1_000_000))
+    words = [b"the", one, b"x" * 300_000, one[:100_000]] + [bytes(rng.choices(b"abcde", k=n)) for n in range(1, 80)]
+    begin = time.perf_counter()
+    got = lengths(automaton, words, 0x20)
+    assert time.perf_counter() - begin < 10
+    known = set(PIECES)
+    assert got[0] == greedy(b" the", known) and got[3:] == [greedy(b" " + w, known) for w in words[3:]]
+    assert got[1] > 9 * got[3]
