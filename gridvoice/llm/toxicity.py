@@ -9,7 +9,10 @@
    sum p exp(decay * score) = 1 over the tokens of the non-toxic training texts; a segment
    of score s is expected E = K n exp(-decay s) times, so the chance of any is 1 - exp(-E). A document's evidence
    is minus the logarithm of that chance, summed over its segments with E < 1, or of its best one if there are none.
+   The decay is found on the scores in bins of a thousandth, which bounds what the driver holds.
 4. A logistic curve on the evidence, fitted on training labels, gives a score from 0 to 1.
+
+The scores of tokens are counted, and sent to the tasks within the bound of a broadcast. Beyond it each text gets those of its own tokens by a join.
 """
 
 from __future__ import annotations
@@ -23,9 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridvoice.llm import common
 from gridvoice.llm import shingles as S
 from gridvoice.llm.common import broadcast_within, kept, slices, small_batches
 
+#: Bytes of a token and its score in the table that is sent to the tasks.
+ROW_BYTES = 24
+#: Scores per unit that the law of chance tells apart.
+STEPS = 1000
+
 #: A token is a run of ASCII letters and digits and of bytes above ASCII.
 SEPARATOR = np.array([c < 0x80 and not (0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A) for c in range(256)])
 
@@ -149,23 +158,71 @@ def _surprise(log_expected: float) -> float:
     return -math.log(chance) + 0.0
 
 
+def with_own_scores(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """Adds ``tokens`` and ``weights``, the scored tokens of the text of each row of ``docs(doc_id, text, …)``, in order of the token.
+
+    A text brings each of its tokens once, so a row holds no more than its vocabulary.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                hashes, first = _tokens(piece)
+                text = np.repeat(np.arange(piece.num_rows), np.diff(first))
+                _, own = np.unique(np.rec.fromarrays([text, hashes]), return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("text_hash").take(pa.array(text[own])), pa.array(hashes[own].view(np.int64))],
+                    names=["text_hash", "token"],
+                )
+
+    hashed = F.xxhash64("text")
+    texts = small_batches(docs.filter("text IS NOT NULL").select(hashed.alias("text_hash"), "text"))
+    scored = (
+        texts.mapInArrow(run, "text_hash long, token long")
+        .distinct()
+        .join(table.select("token", "weight"), "token")
+        .groupBy("text_hash")
+        .agg(F.sort_array(F.collect_list(F.struct("token", "weight"))).alias("own"))
+        .select("text_hash", F.col("own.token").alias("tokens"), F.col("own.weight").alias("weights"))
+    )
+    return docs.withColumn("text_hash", hashed).join(scored, "text_hash", "left").drop("text_hash")
+
+
 def passages(docs: DataFrame, shared, settings: Settings) -> DataFrame:
-    """Adds ``n_tokens``, ``evidence`` and ``passages (first, last, score)`` to rows with ``text``, which is dropped."""
-    rest = [f for f in docs.schema.fields if f.name != "text"]
+    """Adds ``n_tokens``, ``evidence`` and ``passages (first, last, score)`` to rows with ``text``, which is dropped.
+
+    ``shared`` is a broadcast of tokens in order, their scores, decay and factor of the law; without tokens, rows bring ``tokens``
+    and ``weights`` of their own, which are dropped.
+    """
+    rest = [f for f in docs.schema.fields if f.name not in ("text", "tokens", "weights")]
+
+    def value_of(piece: pa.RecordBatch, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        _, tokens, weights, _, _ = shared.value
+        value = np.full(len(hashes), -settings.cost)
+        parts = [(0, len(hashes), tokens, weights)]
+        if tokens is None:
+            own = zip(first, first[1:], piece.column("tokens"), piece.column("weights"))
+            parts = [
+                (a, b, np.sort(np.array(t.as_py(), np.int64).view(np.uint64)), _in_order(t.as_py(), w.as_py()))
+                for a, b, t, w in own
+                if t.is_valid
+            ]
+        for a, b, known, scores in parts:
+            if len(known):
+                where = np.minimum(np.searchsorted(known, hashes[a:b]), len(known) - 1)
+                value[a:b] = np.where(known[where] == hashes[a:b], scores[where], value[a:b])
+        return value
+
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
     schema += ", n_tokens long, evidence double, passages array<struct<first:int,last:int,score:double>>"
     inner = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]))
 
     def run(batches):
-        _, tokens, weights, decay, k = shared.value
+        _, _, _, decay, k = shared.value
         for batch in batches:
             for piece in slices(batch, "text"):
                 hashes, first = _tokens(piece)
-                value = np.full(len(hashes), -settings.cost)
-                if len(tokens):
-                    where = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
-                    known = tokens[where] == hashes
-                    value[known] = weights[where[known]]
+                value = value_of(piece, hashes, first)
                 level = np.concatenate([[0.0], np.cumsum(value)])
                 hits = np.flatnonzero(value > 0)
                 bounds = np.searchsorted(hits, first)
@@ -192,6 +249,11 @@ def passages(docs: DataFrame, shared, settings: Settings) -> DataFrame:
     return small_batches(docs).mapInArrow(run, schema)
 
 
+def _in_order(tokens: list[int], weights: list[float]) -> np.ndarray:
+    """The scores in the order of the tokens as unsigned numbers."""
+    return np.array(weights)[np.argsort(np.array(tokens, np.int64).view(np.uint64))]
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Intercept and slope (not negative) of a weighted logistic regression, by Newton's method with a small ridge."""
     a, b = 0.0, 1.0
@@ -229,18 +291,27 @@ def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     )
     counts = kept(token_counts(rows), "tokens")
     totals = counts.agg(F.sum("other")).first()[0] or 0
-    # only significant tokens: their number follows the vocabulary, not the documents
-    table = log_odds(counts, settings).toArrow()
-    hashes = table.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, weights = hashes[order], table.column("weight").to_numpy()[order]
-    share = table.column("other").to_numpy()[order] / max(totals, 1)
-    decay, k = _law(weights, share, settings)
+    scores = kept(log_odds(counts, settings), "scores")
+    # at most ``STEPS`` numbers per unit of a score go to the driver
+    steps = (
+        scores.groupBy(F.round(F.col("weight") * STEPS).alias("step"))
+        .agg(F.sum("other").alias("other"), F.sum("weight").alias("sum"), F.count(F.lit(1)).alias("n"))
+        .toArrow()
+    )
+    mean = steps.column("sum").to_numpy() / np.maximum(steps.column("n").to_numpy(), 1)
+    decay, k = _law(mean, steps.column("other").to_numpy() / max(totals, 1), settings)
+    texts = rows.select("doc_id", F.col("toxic").cast("int").alias("label"), "text")
+    hashes = weights = None
+    if scores.count() * ROW_BYTES <= common.BROADCAST_BYTES:
+        table = scores.select("token", "weight").toArrow()
+        hashes = table.column("token").to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        hashes, weights = hashes[order], table.column("weight").to_numpy()[order]
+    else:
+        texts = with_own_scores(texts, scores)
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, hashes, weights, decay, k))
 
-    found = kept(
-        passages(rows.select("doc_id", F.col("toxic").cast("int").alias("label"), "text"), shared, settings), "passages"
-    )
+    found = kept(passages(texts, shared, settings), "passages")
     # at most ``bins`` numbers per label go to the driver
     binned = (
         found.filter("label IS NOT NULL")

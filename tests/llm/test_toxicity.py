@@ -1,7 +1,10 @@
 """Segments against brute force, and held-out accuracy."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -99,3 +102,53 @@ def test_odd_rows(few):
     assert by[None]["held_out"]
     assert [r["score"] for r in toxicity.score(frame(few, rows[:3]), labels(few, [])).collect()] == [0.0] * 3
     assert toxicity.score(frame(few, []), labels(few, marks)).count() == 0
+
+
+def plain_scores(rows, marks):
+    """Evidence and score of each text by dictionaries, brute-force segments and bisection."""
+    tokens = {d: re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for d, t in rows}
+    known = {d: t for d, t in marks if t is not None and zlib.crc32(str(d).encode()) % 5}
+    n, other, toxic = Counter(), Counter(), Counter()
+    for d, own in tokens.items():
+        n.update(set(own))
+        if d in known:
+            (toxic if known[d] else other).update(set(own))
+    whole_toxic, whole_other, ratio = toxic.total(), other.total(), toxic.total() / n.total()
+    weight = {}
+    for t in n:
+        a, b = toxic[t] + n[t] * ratio, other[t] + n[t] * ratio
+        w = math.log(a / (2 * whole_toxic - a)) - math.log(b / (whole_other + whole_toxic - b))
+        if (toxic[t] or other[t]) and abs(w / math.sqrt(1 / a + 1 / b)) >= 3:
+            weight[t] = w
+    chance = {t: other[t] / whole_other for t in weight}
+    law = [*((weight[t], chance[t]) for t in weight), (-0.1, 1 - sum(chance.values()))]
+    low, high = 0.0, 100.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if sum(p * math.exp(min(middle * w, 700)) for w, p in law) < 1 else (low, middle)
+    k = max(sum(chance[t] for t in weight if weight[t] > 0), 1e-9)
+    evidence = {}
+    for d, own in tokens.items():
+        found = [(math.log(k * len(own)) - high * s, s) for _, _, s in brute_segments([weight.get(t, -0.1) for t in own])]
+        counted = [e for e, _ in found if e < 0] or [e for e, s in sorted(found, key=lambda x: x[1])[-1:]]
+        evidence[d] = sum(-math.log(-math.expm1(-math.exp(e))) if e > -30 else -e for e in counted)
+    bins = Counter((known[d], min(math.floor(math.sqrt(evidence[d]) * 20), 400)) for d in known)
+    y, x, size = (np.array(c, float) for c in zip(*((t, b / 20, c) for (t, b), c in bins.items())))
+    a, b = toxicity.logistic(x, y, size)
+    return evidence, {d: 1 / (1 + math.exp(-(a + b * math.sqrt(e)))) for d, e in evidence.items()}
+
+
+def test_matches_a_plain_version_gathered_or_joined(few, monkeypatch):
+    rows, marks = corpus(n=150)
+    # toxic words that clean texts have as well, so that chance segments have a law
+    rows += [(200 + n, f"w1 w2 w3 w4 w5 w6 w7 w8 {('vile', 'nasty', 'scum')[n % 3]} w9 w1 w2") for n in range(12)]
+    marks += [(200 + n, 0) for n in range(12)]
+    rows += [(500, None), (501, ""), (502, rows[0][1]), (503, "vile Ünder scum " * 9), (504, rows[0][1])]
+    evidence, scores = plain_scores(rows, marks)
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(toxicity.common, "BROADCAST_BYTES", limit)
+        got = toxicity.score(frame(few, rows), labels(few, marks)).collect()
+        assert len(got) == len(rows) and max(r["evidence"] for r in got) > 5
+        for r in got:
+            assert r["evidence"] == pytest.approx(evidence[r["doc_id"]], rel=5e-3, abs=5e-3)
+            assert r["score"] == pytest.approx(scores[r["doc_id"]], abs=0.02)
