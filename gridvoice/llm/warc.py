@@ -1,28 +1,35 @@
 """Web archives: records written and read by Spark, and an index merged from sorted runs.
 
-A record is one string; Spark's text writer ends each with an empty line, which is what the format asks for. The archives
-are read as whole files of a bounded number of records. Each archive gives a run of index entries in the
-order of URL key and time. Ranges of the key then merge their parts of all runs with a loser tree.
+Records are joined by empty lines, as the format asks for, into archives of a bounded number of bytes, and Spark's text writer makes a
+file of each. The archives are read as whole files. Each archive gives a run of index entries in the
+order of URL key and time. Ranges of the key, of a bounded number of entries, then merge their parts of all runs with a loser tree.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridvoice.llm.common import broadcast_within, kept
+from gridvoice.llm.common import broadcast_within, kept, slices
 from gridvoice.sources import scratch
 
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
-RECORDS_PER_FILE = 2000
+#: Bytes of an archive; a larger record is an archive of its own.
+ARCHIVE_BYTES = 32 << 20
+#: Index entries of a range that one task merges.
+RANGE_ROWS = 250_000
+#: Entries of a run that are taken out of the columns at once.
+AHEAD = 64
 FIRST_CAPTURE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 INDEX = (
     "urlkey string, timestamp string, page_id long, payload_bytes long, payload_digest string, record_type string,"
@@ -107,20 +114,29 @@ def entries(content: bytes, archive: str) -> Iterator[tuple]:
 
 def order_key(entry: tuple) -> tuple:
     """Order of the index: URL key, time, page; entries without a page first."""
-    return entry[0], entry[1], -1 if entry[2] is None else entry[2]
+    return entry[0], entry[1], entry[2] is not None, entry[2] or 0
 
 
 class LoserTree:
-    """Merge of k sorted runs: each inner node keeps the loser of its match, so the next winner needs log k matches."""
+    """Merge of k sorted runs: each inner node keeps the loser of its match, so the next winner needs log k matches.
 
-    def __init__(self, runs: list[list[tuple]]):
-        self.runs, self.at = runs, [0] * len(runs)
-        k = len(runs)
-        self.keys = [order_key(r[0]) if r else None for r in runs]
+    Of each run only the next entry is held.
+    """
+
+    def __init__(self, runs: Iterable[Iterable[tuple]]):
+        self.runs = [iter(run) for run in runs]
+        k = len(self.runs)
+        self.heads, self.keys = [None] * k, [None] * k
+        for leaf in range(k):
+            self._advance(leaf)
         self.losers = [-1] * max(k, 1)
         for leaf in range(k):
             self._climb(leaf, build=True)
 
+    def _advance(self, leaf: int) -> None:
+        self.heads[leaf] = entry = next(self.runs[leaf], None)
+        self.keys[leaf] = None if entry is None else order_key(entry)
+
     def _wins(self, a: int, b: int) -> bool:
         if self.keys[a] is None or self.keys[b] is None:
             return self.keys[b] is None and (self.keys[a] is not None or a < b)
@@ -142,10 +158,8 @@ class LoserTree:
         if not self.runs:
             return
         while self.keys[winner := self.losers[0]] is not None:
-            run, at = self.runs[winner], self.at[winner]
-            yield run[at]
-            self.at[winner] = at = at + 1
-            self.keys[winner] = order_key(run[at]) if at < len(run) else None
+            yield self.heads[winner]
+            self._advance(winner)
             self._climb(winner)
 
 
@@ -170,14 +184,23 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     first = F.when(~F.col("owner").eqNullSafe(F.col("page_id")), F.col("owner"))
 
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            made = [record(*row) for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names))]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["value"])
-
+            for piece in slices(batch, "html"):
+                for row in zip(*(piece.column(c).to_pylist() for c in piece.schema.names)):
+                    made = record(*row)
+                    own = len(made.encode("utf-8")) + len(END)
+                    if held and size + own > limit:
+                        yield pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.string())], names=["value"])
+                        held, size = [], 0
+                    held.append(made)
+                    size += own
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.string())], names=["value"])
+
+    limit = ARCHIVE_BYTES
     rows = plain.join(owners, "sha", "left").select("page_id", "url", "html", first.alias("refers_to"))
-    rows.mapInArrow(run, "value string").write.option("lineSep", END).option(
-        "maxRecordsPerFile", RECORDS_PER_FILE
-    ).text(path)
+    rows.mapInArrow(run, "value string").write.option("lineSep", END).option("maxRecordsPerFile", 1).text(path)
 
 
 def runs_of(spark: SparkSession, path: str) -> DataFrame:
@@ -200,27 +223,38 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def merged(runs: DataFrame) -> DataFrame:
     """All index entries in the order of URL key, time and page, across partitions.
 
-    A range of keys is one partition. There the entries of each archive are still a sorted run; one that
-    arrives out of order is put in order. The partitions are sized by Spark, so a task holds one range.
+    A range of keys is one partition, of ``RANGE_ROWS`` entries or so. There the entries of each archive arrive as a sorted run. A task holds
+    its range as columns, and the entries that come next of each run.
     """
 
     def run(batches):
-        held: dict[str, list[tuple]] = {}
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in COLUMNS)):
-                held.setdefault(row[7], []).append(row)
-        for own in held.values():
-            if any(order_key(a) > order_key(b) for a, b in zip(own, own[1:])):
-                own.sort(key=order_key)
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        if not rows.num_rows:
+            return
+        of = rows.column("archive").chunk(0).dictionary_encode().indices.to_numpy()
+        bounds = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])).tolist()
+
+        def entries_of(start: int, stop: int) -> Iterator[tuple]:
+            for at in range(start, stop, AHEAD):
+                some = rows.slice(at, min(AHEAD, stop - at))
+                yield from zip(*(some.column(c).to_pylist() for c in COLUMNS))
+
         out: list[tuple] = []
-        for row in LoserTree([held[name] for name in sorted(held)]):
+        for row in LoserTree(entries_of(a, b) for a, b in zip(bounds, bounds[1:])):
             out.append(row)
             if len(out) == 8192:
                 yield _batch(out)
                 out = []
         yield _batch(out)
 
-    return runs.repartitionByRange("urlkey", "timestamp", "page_id").mapInArrow(run, INDEX)
+    least = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, math.ceil(runs.count() / RANGE_ROWS))
+    order = ["urlkey", "timestamp", "page_id"]
+    ranged = runs.repartitionByRange(ranges, *order)
+    return ranged.sortWithinPartitions("archive", *order).mapInArrow(run, INDEX)
 
 
 def captures(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:

@@ -50,6 +50,24 @@ def test_round_trip(few):
     assert [warc.order_key(tuple(r)) for r in got] == sorted(warc.order_key(tuple(r)) for r in got)
 
 
+def test_archives_are_bounded_by_bytes(few, tmp_path, monkeypatch):
+    """Pages of up to 3 MB, in few partitions; many runs meet in ranges of few entries."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 20)
+    monkeypatch.setattr(warc, "RANGE_ROWS", 40)
+    rng = random.Random(4)
+    sizes = [3_000_000, 2_000_000, 900_000] + [rng.randrange(200_000) for _ in range(60)]
+    rows = [(n, f"http://h{n % 3}.org/{n % 7}", chr(97 + n % 26) * size) for n, size in enumerate(sizes)]
+    rows += [(200 + n, "http://hot.org", "é" * 1000) for n in range(300)]
+    got = warc.captures(frame(few, rows).coalesce(2), str(tmp_path / "archives")).collect()
+    keys = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[k] for k in keys) for r in got), key=repr) == brute(rows)
+    assert [warc.order_key(tuple(r)) for r in got] == sorted(warc.order_key(tuple(r)) for r in got)
+    files = [p for p in (tmp_path / "archives").glob("*.txt")]
+    assert len(files) > 5 and len({r["archive"] for r in got}) == len(files)
+    large = [p for p in files if p.stat().st_size > 1 << 20]
+    assert len(large) == 2 and all(p.read_bytes().count(b"WARC-Type: ") == 1 for p in large)
+
+
 def test_small_payloads_do_not_revisit(few):
     got = warc.captures(frame(few, ROWS), least_bytes=9).collect()
     assert sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in got), key=repr) == sorted(
@@ -79,6 +97,20 @@ def test_loser_tree():
         assert len(merged) == sum(map(len, runs))
 
 
+def test_loser_tree_holds_one_entry_of_a_run():
+    taken = []
+
+    def run(name):
+        for n in range(5):
+            taken.append(name)
+            yield ("a", str(n), name)
+
+    tree = iter(warc.LoserTree(run(name) for name in range(4)))
+    next(tree)
+    assert len(taken) == 4
+    assert len(list(tree)) == 19
+
+
 def test_damage_is_found():
     good = (warc.record(1, "http://a.org", "abc", None) + warc.END).encode()
     assert [e[2] for e in warc.entries(good, "x")] == [1]
