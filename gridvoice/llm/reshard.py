@@ -4,7 +4,8 @@
    by parameters, go to the driver.
 2. A minimum-cost flow from old shard sizes to new capacities says how many bytes go from where to where; a byte
    that stays costs nothing.
-3. Whole blocks are given to the arcs of the flow, large ones first, so that small ones even out the rest.
+3. The blocks of an old shard whose sum is nearest to what the flow leaves there stay; the others are given to its arcs, large
+   ones first, so that small ones even out the rest. Bytes moved are charged where shards are evened out.
 4. Only shards that lose or gain a block are rewritten. A row's block follows from the row itself, so whole rows go to
    their shards without a join on ids.
 """
@@ -101,7 +102,16 @@ def transfers(
         cost = [[int(i != j) for j in range(m)] for i in range(n)]
     wanted = min_cost_flow(supply, demand, cost)
     load, chosen = [0] * m, {}
-    for old, kind, number, size in sorted(blocks, key=lambda b: (-b[3], b)):
+    ordered = sorted(blocks, key=lambda b: (-b[3], b))
+    for old in range(min(n, m)):
+        own = [b for b in ordered if b[0] == old]
+        for position in _nearest_sum([b[3] for b in own], wanted[old][old]):
+            chosen[own[position][:3]] = old
+            load[old] += own[position][3]
+        wanted[old][old] = -total  # nothing more stays
+    for old, kind, number, size in ordered:
+        if (old, kind, number) in chosen:
+            continue
         # what the flow still sends there; once that is used up, the emptiest of its targets
         to = max(range(m), key=lambda j: (wanted[old][j], demand[j] - load[j], -j))
         wanted[old][to] -= size
@@ -111,9 +121,45 @@ def transfers(
     return chosen
 
 
+def _nearest_sum(sizes: list[int], goal: int, steps: int = 1 << 16) -> list[int]:
+    """Positions of the sizes whose sum is nearest to the goal, to about a part in ``steps``.
+
+    Sums are bits of a number; that of the first k sizes is kept for each k, to read the choice backwards.
+    """
+    if sum(sizes) <= goal:
+        return list(range(len(sizes)))
+    unit = max(1, goal // steps)
+    units = [(size + unit // 2) // unit for size in sizes]
+    aim = goal // unit
+    within = (1 << (2 * aim + 1)) - 1  # zero is never further than twice the goal
+    reached = [1]
+    for size in units:
+        reached.append((reached[-1] | reached[-1] << size if size <= 2 * aim else reached[-1]) & within)
+    below = (reached[-1] & ((1 << (aim + 1)) - 1)).bit_length() - 1
+    above = reached[-1] >> aim
+    above = aim + (above & -above).bit_length() - 1 if above else 2 * aim + 1
+    left, positions = below if aim - below <= above - aim else above, []
+    for position in reversed(range(len(units))):
+        if not reached[position] >> left & 1:
+            positions.append(position)
+            left -= units[position]
+    return positions
+
+
+def least_moved(blocks: list[tuple[int, int, int, int]], settings: Settings) -> int:
+    """Bytes that any layout with equal loads has to move: what the old shards hold above an equal share."""
+    supply = [0] * max(settings.old_shards, settings.shards)
+    for old, _, _, size in blocks:
+        supply[old] += size
+    total, m = sum(supply), settings.shards
+    share = [total // m + (j < total % m) if j < m else 0 for j in range(len(supply))]
+    return sum(max(0, have - may) for have, may in zip(supply, share))
+
+
 def _even_out(blocks, chosen: dict, load: list[int], steps: int = 20_000) -> None:
-    """Move a block, or swap two if no move helps, from a full to the emptiest shard as long as that brings them together.
+    """Move a block, or swap two, from a full to the emptiest shard as long as that brings them together.
 
+    A change that takes blocks away from their old shard is charged their bytes, so blocks that move anyway go first.
     It ends when all are within a two-thousandth of their mean, or nothing helps.
     """
     held: dict[int, list[tuple[int, tuple[int, int, int]]]] = {j: [] for j in range(len(load))}
@@ -127,7 +173,7 @@ def _even_out(blocks, chosen: dict, load: list[int], steps: int = 20_000) -> Non
             gap = load[full] - load[empty]
             if gap <= close:
                 return
-            change = _best_change([s for s, _ in held[full]], [s for s, _ in held[empty]], gap)
+            change = _best_change(_priced(held[full], full, empty), _priced(held[empty], empty, full), gap)
             if change is None:
                 continue
             out, back = change
@@ -144,18 +190,26 @@ def _even_out(blocks, chosen: dict, load: list[int], steps: int = 20_000) -> Non
             return
 
 
-def _best_change(full: list[int], empty: list[int], gap: int) -> tuple[int, int | None] | None:
-    """Positions of the block to move, and of one to take back: what goes over is nearest to half the gap."""
-    out = np.array(full, np.int64)
-    fits = np.flatnonzero((out > 0) & (out < gap))
-    if len(fits):
-        return int(fits[np.argmin(np.abs(2 * out[fits] - gap))]), None
-    difference = out[:, None] - np.array(empty, np.int64)[None, :]
-    useful = (difference > 0) & (difference < gap)
+def _priced(held: list[tuple[int, tuple[int, int, int]]], at: int, to: int) -> np.ndarray:
+    """Size of each block of a shard, and the bytes moved more (or less) if it goes from there to another one."""
+    return np.array([(size, size * ((old == at) - (old == to))) for size, (old, _, _) in held], np.int64).reshape(-1, 2).T
+
+
+def _best_change(full: np.ndarray, empty: np.ndarray, gap: int) -> tuple[int, int | None] | None:
+    """Positions of the block to move, and of one to take back, if any.
+
+    What goes over lies nearest to half the gap, with the bytes that are moved more added to the distance.
+    """
+    # taking nothing back is the first column
+    size = full[0][:, None] - np.concatenate([[0], empty[0]])[None, :]
+    price = full[1][:, None] + np.concatenate([[0], empty[1]])[None, :]
+    useful = (size > 0) & (size < gap)
     if not useful.any():
         return None
-    best = np.where(useful, np.abs(2 * difference - gap), np.iinfo(np.int64).max).argmin()
-    return int(best // len(empty)), int(best % len(empty))
+    loss = np.abs(2 * size - gap) + 2 * price
+    best = int(np.where(useful, loss, np.iinfo(np.int64).max).argmin())
+    out, back = divmod(best, size.shape[1])
+    return out, back - 1 if back else None
 
 
 #: What a row's place follows from, null-safe.

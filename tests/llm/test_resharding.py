@@ -34,11 +34,58 @@ def test_flow_is_cheapest(seed):
     assert sum(flow[i][j] * cost[i][j] for i in range(3) for j in range(3)) == best
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_nearest_sum(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randrange(1, 60) for _ in range(rng.randrange(9))]
+    goal = rng.randrange(0, 200)
+    got = reshard._nearest_sum(sizes, goal)
+    sums = [sum(c) for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k)]
+    assert len(set(got)) == len(got)
+    assert abs(sum(sizes[k] for k in got) - goal) == min(abs(x - goal) for x in sums)
+
+
+def test_nearest_sum_of_large_sizes():
+    rng = random.Random(1)
+    sizes = [rng.randrange(1, 1 << 40) for _ in range(200)]
+    goal = sum(sizes) // 3
+    assert abs(sum(sizes[k] for k in reshard._nearest_sum(sizes, goal)) - goal) <= goal // 1000
+
+
+@pytest.mark.parametrize("seed, shards", [(0, 40), (1, 40), (2, 33), (3, 20), (4, 5)])
+def test_no_more_bytes_are_moved_than_needed(seed, shards):
+    """Growing and shrinking, with one old shard that holds a third of all bytes."""
+    rng = random.Random(seed)
+    settings = reshard.Settings(shards=shards)
+    blocks = [(o, k, n, (1 << k) * rng.randrange(50, 100) * (16 if o == 3 else 1)) for o in range(32) for k in range(8) for n in range(32)]
+    chosen = reshard.transfers(blocks, settings)
+    total = sum(b[3] for b in blocks)
+    load = [sum(b[3] for b in blocks if chosen[b[:3]] == j) for j in range(shards)]
+    assert max(load) - min(load) <= total // shards // 2000 + 1
+    least = reshard.least_moved(blocks, settings)
+    assert sum(b[3] for b in blocks if chosen[b[:3]] != b[0]) <= 1.005 * least
+
+
 def test_too_little_room():
     with pytest.raises(ValueError):
         reshard.min_cost_flow([5], [3], [[0]])
 
 
+def test_fewest_bytes_of_a_small_table(few):
+    """Blocks of one or two documents, where a block is a large part of a shard."""
+    from gridvoice.llm.common import table
+
+    docs = table(few, "/root/testdata/sf0.01", "documents")
+    before, moved, load = defaultdict(int), 0, defaultdict(int)
+    for r in reshard.layout(docs).collect():
+        before[r["old_shard"]] += r["size"]
+        load[r["shard"]] += r["size"]
+        moved += r["size"] * (r["old_shard"] != r["shard"])
+    share = sum(load.values()) / 40
+    assert max(load.values()) - min(load.values()) <= share / 1000
+    assert moved <= 1.005 * sum(max(0, b - share) for b in before.values())
+
+
 def rows(n=3000):
     rng = random.Random(4)
     out = [(d, "é" * rng.randrange(1, 300), f"src{0 if rng.random() < 0.4 else rng.randrange(20)}") for d in range(n)]
