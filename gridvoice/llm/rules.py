@@ -1,7 +1,8 @@
 """Quality rules as a short-circuit cascade. Only DataFrame functions.
 
-The counts of a text are taken once. The rules are then tried one after the other until one rejects; their order is by
-rejections per cost, both measured on a sample. The order has no effect on the verdict.
+The counts of a text, which are part of the result, are taken once for every text. The rules are then tried one after the other until
+one rejects; each of them does its own work on the text (letters, endings and beginnings of lines) only if none before it rejected. Their order
+is by rejections per cost among the rows that are left, both measured on a sample. The order has no effect on the verdict.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 8
 #: Rows of the sample on which cost and selectivity are measured; it decides on speed only.
 SAMPLE_ROWS = 2000
+#: Times that a job reads the sample, and jobs per rule, to measure its cost.
+COPIES = 4
+ROUNDS = 3
 
 
 def _count(c: Column) -> Column:
@@ -99,21 +103,62 @@ def standard(text_col: str = "text") -> dict[str, Column]:
     }
 
 
-def order_of(sample: DataFrame, rules: dict[str, Column]) -> list[str]:
-    """Names of the rules, most rejections per second of the sample first."""
+def costs(sample: DataFrame, rules: dict[str, Column], copies: int = COPIES, rounds: int = ROUNDS) -> dict[str, float]:
+    """Seconds that a rule takes on the copied sample; rules whose costs cannot be told apart have the same.
 
-    def seconds(condition: Column) -> tuple[float, int]:
-        began = time.perf_counter()
-        rejected = sample.agg(F.sum(condition.cast("int"))).first()[0] or 0
-        return time.perf_counter() - began, rejected
+    The sample is read ``copies`` times in a job, so that the rule and not the job is measured; the least of some rounds counts. What
+    is below a sixteenth of the dearest rule is taken as that, and rules that follow each other within a factor of two
+    form a class and cost its mean: a measure in a busy session is not more exact, and the order shall not depend on it.
+    """
+    many = sample.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
 
-    seconds(F.lit(False))
-    idle = min(seconds(F.lit(False))[0] for _ in range(2))
-    value = {}
-    for name, condition in rules.items():
-        took, rejected = seconds(condition)
-        value[name] = rejected / max(took - idle, 1e-3)
-    return sorted(rules, key=lambda name: (-value[name], name))
+    def seconds(condition: Column) -> float:
+        began = time.perf_counter()
+        many.agg(F.sum(condition.cast("int"))).collect()
+        return time.perf_counter() - began
+
+    idle, took = float("inf"), dict.fromkeys(rules, float("inf"))
+    for _ in range(rounds):
+        idle = min(idle, seconds(F.col("_copy") < 0))
+        for name, condition in rules.items():
+            took[name] = min(took[name], seconds(condition))
+    return in_classes({name: t - idle for name, t in took.items()})
+
+
+def in_classes(cost: dict[str, float]) -> dict[str, float]:
+    """Each cost as the mean of its class: costs of at least a sixteenth of the largest, a factor of two apart at most."""
+    least = max(max(cost.values(), default=0) / 16, 1e-3)
+    classes: list[list[str]] = []
+    for name in sorted(cost, key=lambda n: (cost[n], n)):
+        before = max(cost[classes[-1][-1]], least) if classes else None
+        if before is None or max(cost[name], least) > 2 * before:
+            classes.append([])
+        classes[-1].append(name)
+    return {name: sum(max(cost[n], least) for n in c) / len(c) for c in classes for name in c}
+
+
+def order_of(
+    sample: DataFrame, rules: dict[str, Column], first: Column | None = None, cost: dict[str, float] | None = None
+) -> list[str]:
+    """Names of the rules: at each place the one with most rejections per cost of the rows that the rules before it leave.
+
+    Rows that ``first`` rejects reach no rule. Rejections come from one pass: rows per set of rules that reject them, at most one
+    set per row of the sample. Ties go by name.
+    """
+    cost = costs(sample, rules) if cost is None else cost
+    verdicts = [F.coalesce(condition, F.lit(False)).alias(f"v{k}") for k, condition in enumerate(rules.values())]
+    reaching = sample if first is None else sample.filter(~F.coalesce(first, F.lit(False)))
+    sets = [
+        ({name for name, rejects in zip(rules, r) if rejects}, r["count"])
+        for r in reaching.select(*verdicts).groupBy(*[f"v{k}" for k in range(len(rules))]).count().collect()
+    ]
+    order: list[str] = []
+    while len(order) < len(rules):
+        sets = [(who, n) for who, n in sets if not who & set(order)]
+        gain = {name: sum(n for who, n in sets if name in who) / cost[name] for name in rules if name not in order}
+        # rules that reject nothing more: cheap ones first
+        order.append(min(gain, key=lambda name: (-gain[name], cost[name], name)))
+    return order
 
 
 def cascade(rules: dict[str, Column], order: list[str], first: Column | None = None) -> Column:
@@ -128,13 +173,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     """Per row: ``doc_id``, the counts, ``base_failed`` and ``kept``.
 
     Null and empty texts have no words, so the base rejects them. Rows that repeat an id, or have a null one, are each judged
-    on their own text. Other columns are ignored. An empty table gives an empty table.
+    on their own text. Texts of any length are judged whole. Rules with equal rejections per cost are tried by name, without effect on the verdict.
+    Other columns, whatever their names, are ignored. An empty table gives an empty table.
     """
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = plain.count()
     sample = kept(counts(plain.sample(min(1.0, sample_rows / max(rows, 1)), seed=5)), "sample")
     rules = standard()
-    verdict = cascade(rules, order_of(sample, rules), base_failed())
+    verdict = cascade(rules, order_of(sample, rules, base_failed()), base_failed())
     return counts(plain).select(
         "doc_id",
         "n_words",

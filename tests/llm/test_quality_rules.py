@@ -56,6 +56,44 @@ def test_order_has_no_effect_and_nulls_do_not_reject(few):
     assert sorted(rules.order_of(df, conditions)) == ["a", "b", "c"]
 
 
+def test_order_follows_what_the_rules_before_leave(few):
+    """Rule b rejects most, a rejects only rows that b rejects, c few others; d is dear and rejects as many as b."""
+    df = few.range(100).withColumnRenamed("id", "v")
+    v = F.col("v")
+    conditions = {"a": v < 40, "b": v < 50, "c": (v >= 50) & (v < 55), "d": v >= 50, "n": F.lit(None).cast("boolean")}
+    cheap = dict.fromkeys(conditions, 1.0)
+    assert rules.order_of(df, conditions, cost=cheap | {"d": 20.0}) == ["b", "c", "d", "a", "n"]
+    assert rules.order_of(df, conditions, cost=cheap) == ["b", "d", "a", "c", "n"]
+    # what the base rejects counts for no rule
+    assert rules.order_of(df, conditions, v < 50, cheap)[0] == "d"
+
+
+def test_costs_that_cannot_be_told_apart_are_equal():
+    first = rules.in_classes({"a": 0.001, "b": -0.01, "c": 0.03, "x": 1.0, "y": 1.7, "z": 2.9, "w": 7.0})
+    assert first["a"] == first["b"] == first["c"] < first["x"]
+    again = rules.in_classes({"a": 0.02, "b": 0.004, "c": -0.02, "x": 1.4, "y": 1.2, "z": 2.2, "w": 7.0})
+    assert again["a"] == again["b"] == again["c"]
+    assert again["x"] == again["y"] == again["z"] < again["w"]
+    assert rules.in_classes({}) == {}
+
+
+def test_one_order_in_repeated_runs(few):
+    from gridvoice.llm.common import kept, table
+
+    sample = kept(rules.counts(table(few, "/root/testdata/sf0.01", "documents").select("text")), "sample")
+    orders = {tuple(rules.order_of(sample, rules.standard(), rules.base_failed())) for _ in range(4)}
+    assert len(orders) == 1
+    cost = rules.costs(sample, rules.standard())
+    assert cost["symbols"] < cost["capitals"] and cost["short words"] < cost["cut lines"]
+
+
+def test_a_dear_rule_is_not_evaluated_on_rejected_rows(few):
+    df = few.range(50).withColumnRenamed("id", "v")
+    fails = F.raise_error(F.lit("evaluated")).cast("boolean")
+    got = df.select(rules.cascade({"dear": fails}, ["dear"], F.col("v") >= 0).alias("k")).collect()
+    assert not any(r["k"] for r in got)
+
+
 def test_clean_text_is_kept_and_junk_is_not(few):
     prose = "The quick brown foxes jump over some lazy dogs while many other animals watch them from the green hill today, quietly."
     junk = [prose.upper(), prose.replace(" ", " | # "), "\n".join("- " + w for w in prose.split() + prose.split("o")), "..." * 30]
