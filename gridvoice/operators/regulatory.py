@@ -12,32 +12,43 @@ from gridvoice.operators.consolidate import override
 PLACE = ["region", "departement"]
 
 
-def continuity(consolidated: DataFrame, complaints: DataFrame, as_of: str, run_date: str, days: int = 365) -> DataFrame:
-    """Interruption minutes (SAIDI), frequency (SAIFI) and duration (CAIDI) per region and département.
+def interruptions_per_client(rows: DataFrame, as_of: str, run_date: str, days: int = 365) -> DataFrame:
+    """One row per place and client of consolidated complaints: outages of the run date, their hours, and whether the client is in
+    the customer base (a complaint of any type in the last ``days`` days). Complaint ids are unique.
 
-    The customer base is the region's distinct clients over the last ``days`` days.
+    It is all that the continuity indices need, merged before the shuffle, and small enough to be read twice.
     """
+    outage = (F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & (F.col("export_date") == F.lit(run_date).cast("date"))
     since = C.moment(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    clients = (
-        complaints.filter(F.col("date_creation") >= since)
+    return rows.groupBy(*PLACE, "client_id").agg(
+        F.count_if(outage).alias("outages"),
+        F.sum(F.when(outage, F.coalesce("duree_heures", F.lit(0.0)))).alias("hours"),
+        F.coalesce(F.max(F.col("date_creation") >= since), F.lit(False)).alias("in_base"),
+    )
+
+
+def continuity(clients: DataFrame, run_date: str) -> DataFrame:
+    """Interruption minutes (SAIDI), frequency (SAIFI) and duration (CAIDI) per region and département.
+
+    ``clients`` are the rows of ``interruptions_per_client``. The customer base is the region's distinct clients in the base.
+    """
+    base = (
+        clients.filter("in_base AND client_id IS NOT NULL")
         .groupBy("region")
         .agg(F.count_distinct("client_id").alias("_base"))
     )
     outages = (
-        consolidated.filter(
-            (F.col("type_reclamation") == "COUPURE_ELECTRIQUE")
-            & (F.col("export_date") == F.lit(run_date).cast("date"))
-        )
+        clients.filter("outages > 0")
         .groupBy(*PLACE)
         .agg(
-            F.count_distinct("id_reclamation").alias("nb_interruptions"),
-            F.sum(F.coalesce("duree_heures", F.lit(0.0))).alias("duree_totale_interruption_h"),
-            F.count_distinct("client_id").alias("nb_clients_affectes"),
+            F.sum("outages").alias("nb_interruptions"),
+            F.sum("hours").alias("duree_totale_interruption_h"),
+            F.count("client_id").alias("nb_clients_affectes"),
         )
     )
     minutes = F.col("duree_totale_interruption_h") * 60.0
     has_base = F.col("_base") > 0
-    return outages.join(clients, "region", "left").select(
+    return outages.join(base, "region", "left").select(
         F.lit(run_date).cast("date").alias("date_calcul"),
         *PLACE,
         C.rounded(F.when(has_base, minutes * F.col("nb_clients_affectes") / F.col("_base")).otherwise(0.0), 4).alias(

@@ -346,15 +346,15 @@ def reporting_extract_kpis(t):
 
 @query(
     "s19_reporting_extract_complaints",
-    """SELECT id_reclamation, region, type_reclamation, statut, round(duree_heures, 4) AS duree_heures, sla_heures, sla_respect, risque_depassement,
+    """SELECT id_reclamation, client_id, region, departement, type_reclamation, statut, priorite, strftime(date_creation, '%Y-%m-%d %H:%M:%S') AS date_creation,
+      strftime(date_cloture, '%Y-%m-%d %H:%M:%S') AS date_cloture, round(duree_heures, 4) AS duree_heures, sla_heures, sla_respect, risque_depassement,
       round(heures_restantes, 4) AS heures_restantes, source, export_date::VARCHAR AS export_date FROM consolidated
     WHERE consolidated.export_date >= DATE '2001-08-02' - 30""",
 )
 def reporting_extract_complaints(t):
-    return extracts(t)["reclamations_global"].select(
-        "id_reclamation", "region", "type_reclamation", "statut", "duree_heures", "sla_heures", "sla_respect",
-        "risque_depassement", "heures_restantes", "source", "export_date",
-    )
+    """All sixteen columns of the extract."""
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("date_creation", "date_cloture")}
+    return extracts(t)["reclamations_global"].withColumns(times)
 
 
 @query(

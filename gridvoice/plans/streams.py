@@ -29,9 +29,9 @@ def complaint_stream(t):
     )
 
 
-def finished(t, stream, name, run=checks.run_to_parquet):
+def finished(t, stream, name):
     root = scratch.new_path(t.spark, name)
-    run(stream, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
+    checks.run_to_parquet(stream, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{root}/rows")
 
 
@@ -119,8 +119,9 @@ def stream_incidents(t):
 )
 def stream_freshness(t):
     latest = checks.latest_per_source(complaint_stream(t), "event_type", "date_creation")
-    rows = finished(t, latest, "st3", checks.run_latest_to_parquet)
-    return rows.select(
+    root = scratch.new_path(t.spark, "st3")
+    checks.run_latest(latest, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return versions.read(t.spark, f"{root}/table").select(
         "event_type", second("derniere"), C.hours_between(C.moment(EVENTS_AS_OF), F.col("derniere")).alias("age_heures")
     )
 

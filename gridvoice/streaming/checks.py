@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gridvoice.functions import columns as C
 from gridvoice.functions import domains as D
 from gridvoice.operators import clusters, monitoring
+from gridvoice.sources import versions
 
 DELAY = "1 hour"
 
@@ -126,16 +127,19 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, available_now:
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
-def run_latest_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a small table of the current totals, rewritten at every batch."""
+def run_latest(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Keep a small table of the current totals at ``root``: every batch is published as a version.
 
-    def rewrite(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Readers see the totals of one batch, never a table that is being written. A batch that comes again changes nothing.
+    """
 
-    return (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(rewrite)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def replace(batch: DataFrame, number: int) -> None:
+        now = versions.current(batch.sparkSession, root)
+        if now is not None and number <= now.facts.get("batch", -1):
+            batch.write.format("noop").mode("overwrite").save()  # the stream's state stores must be written all the same
+            return
+        versions.publish(batch, root, {"batch": number})
+        versions.prune(batch.sparkSession, root, 2)
+
+    writer = stream.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gridvoice.sources import versions
 from gridvoice.streaming import checks
 
 SCHEMA = "user_id long, date_creation timestamp, type_reclamation string, client_id long"
@@ -37,3 +38,29 @@ def test_all_rows_are_counted(spark, tmp_path, files, check):
     assert closed.exceptAll(got).count() == 0
     assert got.exceptAll(batch).count() == 0
     assert closed.count() > 0
+
+
+def test_latest_totals_are_published_in_versions(spark, tmp_path):
+    """Totals over files in four batches; a reader between them sees one whole batch, a repeated batch changes nothing."""
+    path, root, state = (str(tmp_path / n) for n in ("events.parquet", "table", "state"))
+    rows(spark).repartition(4).write.parquet(path)
+    stream = checks.read_parquet_stream(spark, path, SCHEMA, per_trigger=1)
+    latest = checks.latest_per_source(stream, "type_reclamation", "date_creation")
+    checks.run_latest(latest, root, state).awaitTermination()
+    expected = checks.latest_per_source(spark.read.parquet(path), "type_reclamation", "date_creation")
+    before = versions.current(spark, root)
+    reader = versions.read(spark, root)
+    assert sorted(reader.collect()) == sorted(expected.collect())
+    assert before.facts["batch"] == 3
+    # the last commit is lost: the batch is delivered again
+    commits = sorted((tmp_path / "state" / "commits").glob("*[0-9]"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    checks.run_latest(latest, root, state).awaitTermination()
+    assert versions.current(spark, root) == before
+    # more rows: a new version, while the reader stays on its own
+    late = spark.createDataFrame([(9, "A", 1)], "user_id long, type_reclamation string, client_id long")
+    late.coalesce(1).withColumn("date_creation", F.timestamp_seconds(F.lit(10 * 86400))).write.mode("append").parquet(path)
+    checks.run_latest(latest, root, state).awaitTermination()
+    assert versions.read(spark, root).agg(F.max(F.unix_timestamp("derniere"))).first()[0] == 10 * 86400
+    assert reader.agg(F.max(F.unix_timestamp("derniere"))).first()[0] < 4 * 86400
