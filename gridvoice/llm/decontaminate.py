@@ -1,8 +1,11 @@
 """Benchmark decontamination: document windows looked up in a broadcast set of benchmark n-grams.
 
 Only DataFrame functions. One scan of the documents hashes every window of words, looks the hashes up in the broadcast
-set and confirms a hit on the words themselves. A set above the broadcast bound is worked off in blocks, one scan each.
-Only hits and one row per document leave the scan.
+set and confirms a hit on the words themselves. For a set above the broadcast bound only the hashes are sent, and the words of the hits
+are confirmed afterwards, each different one once; a set of hashes above the bound is worked off in blocks, one scan each. Only
+hits and one row per document leave the scan.
+
+Texts of any length are read whole. The order of windows with equal words, and of items that share a window, has no effect.
 """
 
 from __future__ import annotations
@@ -13,13 +16,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridvoice.llm.common import BROADCAST_BYTES, broadcast_within, kept
+from gridvoice.llm.common import BROADCAST_BYTES, broadcast_within, free_names, kept
 
 #: Everything in ASCII that is neither a digit nor a lower-case letter.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
-#: Memory of one n-gram in the broadcast set.
+#: Memory of one n-gram in the broadcast set, with its words and as a hash alone.
 GRAM_BYTES = 400
+HASH_BYTES = 48
 
 
 def lower_az(text: Column) -> Column:
@@ -61,7 +65,8 @@ def scan(docs: DataFrame, found: DataFrame, width: int = WIDTH, id_col: str = "d
     """
     shape = found.select("gram", "size").distinct().groupBy("size").count().collect()  # at most ``width`` rows
     sizes, total = sorted((r["size"] for r in shape), reverse=True), sum(r["count"] for r in shape)
-    blocks = max(1, math.ceil(total * GRAM_BYTES / BROADCAST_BYTES))
+    with_words = total * GRAM_BYTES <= BROADCAST_BYTES
+    blocks = max(1, math.ceil(total * HASH_BYTES / BROADCAST_BYTES))
     split = found.select("gram", "size").distinct().withColumn("w", F.split("gram", " "))
     hashed = [split.filter(F.col("size") == s).select("gram", "size", _hash("w", 0, s).alias("hash")) for s in sizes]
 
@@ -90,19 +95,30 @@ def scan(docs: DataFrame, found: DataFrame, width: int = WIDTH, id_col: str = "d
         return each.filter(itself).select("row", "doc_id", "text_hash", "n_words", *[c.alias(n) for n, c in nothing.items()])
     grams_of = kept(reduce(DataFrame.unionByName, hashed), "grams")
 
-    def against(k: int) -> DataFrame:
-        block = grams_of if blocks == 1 else grams_of.filter(F.pmod("hash", F.lit(blocks)) == k)
-        same = (
-            (F.col("own_hash") == F.col("hash"))
-            & (F.col("own") == F.col("size"))
-            & (F.array_join(F.slice("w", F.col("at") + 1, F.col("own")), " ") == F.col("gram"))
-        )
-        rows = each.join(F.broadcast(block), same, "left")
-        rows = rows.filter(F.col("gram").isNotNull() | (itself & (F.col("own") == sizes[0]))) if k == 0 else rows.filter("gram IS NOT NULL")
+    own_gram = F.array_join(F.slice("w", F.col("at") + 1, F.col("own")), " ")
+    in_set = (F.col("own_hash") == F.col("hash")) & (F.col("own") == F.col("size"))
+    columns = ["row", "doc_id", "text_hash", "n_words", "start", "size", "gram"]
+
+    def found_in(rows: DataFrame, k: int) -> DataFrame:
+        first = F.lit(k == 0) & itself & (F.col("own") == sizes[0])
         start = F.when(F.col("gram").isNotNull(), F.col("at") + 1)
-        return rows.select("row", "doc_id", "text_hash", "n_words", start.alias("start"), "size", "gram")
+        return rows.filter(F.col("gram").isNotNull() | first).withColumn("start", start).select(*columns)
+
+    if with_words:
+        return found_in(each.join(F.broadcast(grams_of), in_set & (own_gram == F.col("gram")), "left"), 0)
+
+    def against(k: int) -> DataFrame:
+        hashes = grams_of.filter(F.pmod("hash", F.lit(blocks)) == k).select("hash", "size").distinct()
+        rows = each.join(F.broadcast(hashes), in_set, "left")
+        return found_in(rows.withColumn("gram", F.when(F.col("hash").isNotNull(), own_gram)), k)
 
-    return reduce(DataFrame.unionByName, [against(k) for k in range(blocks)])
+    candidates = kept(reduce(DataFrame.unionByName, [against(k) for k in range(blocks)]), "candidates")
+    # windows that have the hash of a gram without being one, next to none: found on the different words of the candidates
+    alike = candidates.filter("gram IS NOT NULL").select("gram").distinct().join(grams_of.select("gram"), "gram", "left_anti")
+    alike = kept(alike.withColumn("alike", F.lit(True)), "alike")
+    rows = candidates.join(broadcast_within(alike, alike.count(), GRAM_BYTES), "gram", "left")
+    confirmed = [F.when(F.col("alike").isNull(), F.col(c)).alias(c) for c in columns[4:]]
+    return rows.select(*columns[:4], *confirmed)
 
 
 def contamination(
@@ -181,37 +197,38 @@ def without_contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH)
 
 
 def without_spans(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All documents with the words inside benchmark windows taken out of ``text``; separators stay."""
+    """All documents with the words inside benchmark windows taken out of ``text``; separators stay. Other columns may have any name."""
+    own_id, own_hash, spans, split, first = free_names(docs, "own_id", "own_hash", "spans", "split", "first")
     flagged = kept(
         contamination(docs, items, width)
         .filter("contaminated")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-        .dropDuplicates(["_id", "_hash"]),
+        .select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("spans").alias(spans))
+        .dropDuplicates([own_id, own_hash]),
         "flagged",
     )
     flagged = broadcast_within(flagged, flagged.count(), 1024)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    same = docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash))
     both_cases = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all("text", F.lit(f"{both_cases}|[^{both_cases[1:-2]}]+"), F.lit(0))
     # a piece is a word or a separator; words are numbered by what came before
     first_is_word = F.when(F.col("text").rlike(f"^{both_cases}"), F.lit(0)).otherwise(F.lit(1))
     rebuilt = F.array_join(
         F.transform(
-            "_pieces",
+            split,
             lambda piece, i: F.when(
-                ((i + F.col("_first")) % 2 == 1)
+                ((i + F.col(first)) % 2 == 1)
                 & F.exists(
-                    "_spans",
-                    lambda s: ((i + F.col("_first") + 1) / 2 >= s["start"])
-                    & ((i + F.col("_first") + 1) / 2 < s["start"] + s["size"]),
+                    spans,
+                    lambda s: ((i + F.col(first) + 1) / 2 >= s["start"])
+                    & ((i + F.col(first) + 1) / 2 < s["start"] + s["size"]),
                 ),
                 F.lit(""),
             ).otherwise(piece),
         ),
         "",
     )
-    joined = docs.join(flagged, same, "left").withColumn("_pieces", F.when(F.col("_spans").isNotNull(), pieces))
-    joined = joined.withColumn("_first", first_is_word)
-    return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), rebuilt).otherwise(F.col("text"))).select(
-        *docs.columns
+    joined = docs.join(flagged, same, "left").withColumn(split, F.when(F.col(spans).isNotNull(), pieces))
+    joined = joined.withColumn(first, first_is_word)
+    return joined.withColumn("text", F.when(F.col(spans).isNotNull(), rebuilt).otherwise(F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridvoice.llm import decontaminate
 
@@ -49,9 +50,14 @@ def case(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_BYTES, 3 * decontaminate.GRAM_BYTES])
-def test_matches_brute_force(few, monkeypatch, bound):
+@pytest.mark.parametrize("alike", [False, True])
+@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_BYTES, 20 * decontaminate.GRAM_BYTES, 3 * decontaminate.GRAM_BYTES])
+def test_matches_brute_force(few, monkeypatch, bound, alike):
+    """With words, with hashes in one block, in several blocks; also where many windows have the hash of a gram."""
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bound)
+    if alike:
+        exact = decontaminate._hash
+        monkeypatch.setattr(decontaminate, "_hash", lambda *of: F.pmod(exact(*of), F.lit(9)))
     docs, items = case(3)
     got = decontaminate.contamination(*frames(few, docs, items), width=5).collect()
     got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got), key=repr)
@@ -74,3 +80,20 @@ def test_documents_and_spans_are_removed(few):
     cut = decontaminate.without_spans(docs, items)
     assert cut.columns == docs.columns
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == {1: "Keep this,    now. End", 2: "clean", None: "  ", 3: None}
+
+
+def test_columns_of_any_name(few):
+    names = ["_id", "_spans", "_first", "_pieces", "own_id", "own_hash", "spans", "split", "first", "a.b"]
+    docs, items = frames(few, [(1, "now drop this one"), (2, "clean")], [(7, "drop this one")])
+    docs = docs.select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    for got, ids in ((decontaminate.without_spans(docs, items), {1, 2}), (decontaminate.without_contaminated(docs, items), {2})):
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert {r["doc_id"] for r in rows} == ids and all(r[n] == n for r in rows for n in names)
+
+
+def test_a_very_long_text(few):
+    """300,000 words with one window at the end, and one window over and over."""
+    docs, items = frames(few, [(1, "word " * 300_000 + "drop this one"), (2, "drop this one " * 20_000)], [(7, "drop this one")])
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (300_003, 3), 2: (60_000, 60_000)}
