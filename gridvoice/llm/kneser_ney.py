@@ -4,8 +4,8 @@
   bytes each. The model holds all n-grams of the trusted text, so it grows with it.
 * Tasks count the n-grams of trusted text; their partial counts are summed by n-gram.
 * Count tables of each order are joined with their context totals and with the probabilities of the next lower order.
-* The joined probabilities are sent to the tasks as long as they are within the bound of a broadcast. Beyond it the n-grams of the
-  documents, each once a document, are joined with them by shuffling. Both give the same.
+* The joined probabilities are sent to the tasks as long as they are within the bound of a broadcast. Beyond it the n-grams of slices of
+  documents, each once a slice, are joined with them by shuffling, and the answers with their slice. Both give the same.
 * A document is rejected if its perplexity is above a quantile of the trusted documents of its language. There each trusted text is
   measured by a model that has not seen it: the trusted texts are dealt into folds by their hash, and besides the model of all there is
   one without each fold, whose counts are all counts less those of the fold. All models are made by the same jobs.
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ CODE = 4
 LEAST_DISCOUNT = 0.05
 #: The model of all trusted texts; model k is that without fold k.
 WHOLE = -1
+#: Bytes of text whose n-grams are asked for together where the models are joined.
+SLICE_BYTES = 8 << 20
 #: Bytes of an n-gram or context of a model that is sent to the tasks.
 ROW_BYTES = 48
 
@@ -263,34 +266,58 @@ class Sharded:
     symbols: dict[int, int]
 
 
+def _means(values: np.ndarray, sizes: np.ndarray, there: np.ndarray) -> pa.Array:
+    """Perplexity of each text that is there; ``values`` are those of its characters, one text after the other."""
+    total, sizes = np.zeros(len(sizes)), np.where(there, sizes, 0)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        total[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled])
+    return pa.array(np.exp(-total / np.maximum(sizes, 1)), mask=sizes == 0)
+
+
+def _folds(column: pa.Array | pa.ChunkedArray, models) -> np.ndarray:
+    """The fold of each text that has a model without it, else ``WHOLE``."""
+    fold = pa.compute.fill_null(column, WHOLE).to_numpy(**({} if isinstance(column, pa.ChunkedArray) else {"zero_copy_only": False}))
+    return np.where(np.isin(fold, list(models)), fold, WHOLE)
+
+
 def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
-    """As ``perplexities``, by joins on n-grams. Rows that agree in all columns but ``text`` have one text."""
+    """As ``perplexities``, by joins on n-grams.
+
+    The documents are dealt into slices of some MiB. A slice asks once for each of its n-grams; the answers come from joins
+    with the counts, and go back to their slice. So the rows that are shuffled are different n-grams of slices, not of documents.
+    """
     rest = [c for c in docs.columns if c != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    known = list(shared.symbols)
 
-    def run(batches):
+    def deal(batches):
+        task, number, held = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                points, sizes = _code_points(piece.column("text").to_pylist())
-                grams = _grams(points, sizes)
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                # each n-gram once a row
-                _, first, n = np.unique(
-                    np.rec.fromarrays([row, _hashes(grams)]), return_index=True, return_counts=True
-                )
-                of = pa.array(row[first])
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c).take(of) for c in rest), _binary(grams[first]), pa.array(n, pa.int64())],
-                    names=[*rest, "_gram", "_n"],
-                )
-
-    counted = kept(small_batches(docs).mapInArrow(run, f"{schema}, _gram binary, _n long"), "grams")
-    models = F.lit(WHOLE)
-    if "fold" in rest:
-        fold = F.when(F.col("fold").isin(list(shared.symbols)), F.col("fold"))
-        models = F.explode(F.array_compact(F.array(F.lit(WHOLE), fold.cast("int"))))
-    counted = counted.withColumn("_model", models)
-    valued = counted.select("_model", "_gram").distinct().withColumn("_factor", F.lit(1.0)).withColumn("_found", F.lit(None).cast("double"))
+                size = piece.column("text").nbytes
+                if held and held + size > SLICE_BYTES:
+                    number, held = number + 1, 0
+                held += size
+                name = pa.array([f"{task}-{number}"] * piece.num_rows)
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in [*rest, "text"]), name], names=[*rest, "text", "_slice"])
+
+    def ask(batches):
+        for batch in batches:
+            names = batch.column("_slice")
+            for name in names.unique().to_pylist():
+                own = batch.filter(pa.compute.equal(names, name))
+                fold = _folds(own.column("fold"), known) if "fold" in rest else np.full(own.num_rows, WHOLE)
+                for k in {WHOLE, *fold.tolist()}:
+                    some = own if k == WHOLE else own.filter(pa.array(fold == k))
+                    grams = _grams(*_code_points(some.column("text").to_pylist()))
+                    _, first = np.unique(_hashes(grams), return_index=True)
+                    columns = [pa.array([name] * len(first), pa.string()), pa.array(np.full(len(first), k, np.int32)), _binary(grams[first])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["_slice", "_model", "_gram"])
+
+    dealt = kept(small_batches(docs).mapInArrow(deal, f"{plain}, text string, _slice string"), "dealt")
+    wanted = kept(dealt.mapInArrow(ask, "_slice string, _model int, _gram binary"), "wanted")
+    valued = wanted.select("_model", "_gram").distinct().withColumn("_factor", F.lit(1.0)).withColumn("_found", F.lit(None).cast("double"))
     for order in range(ORDER, 0, -1):
         suffix = F.substring(F.col("_gram"), CODE * (ORDER - order) + 1, CODE * order)
         p = shared.p.filter(F.col("order") == order).select(F.col("model").alias("_model"), F.col("gram").alias("_own"), "p")
@@ -311,19 +338,32 @@ def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
         )
     unseen = F.col("_factor") / _of_model(shared.symbols, "_model")
     valued = valued.select("_model", "_gram", F.log(F.coalesce("_found", unseen)).alias("_log"))
-    own = F.struct(*rest).alias("_row")
-
-    def mean(which: Column) -> Column:
-        n = F.when(which, F.col("_n"))
-        return F.exp(-F.sum(n * F.col("_log")) / F.sum(n))
-
-    whole = F.col("_model") == WHOLE
-    found = [mean(whole).alias("perplexity")] + ([mean(~whole).alias("unseen")] if "fold" in rest else [])
-    summed = counted.join(valued, ["_model", "_gram"]).groupBy(own).agg(*found)
-    sized = docs.select(own, F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_scored"))
-    return sized.join(summed, "_row", "left").select(
-        *[F.col("_row")[c].alias(c) for c in rest], *[c for c in sized.columns + summed.columns if c != "_row"]
-    )
+    answers = wanted.distinct().join(valued, ["_model", "_gram"])
+    names = [*rest, "n_chars_scored", "perplexity", *(["unseen"] if "fold" in rest else [])]
+
+    def score(texts: pa.Table, logs: pa.Table) -> pa.Table:
+        points, sizes = _code_points(texts.column("text").to_pylist())
+        own, which = np.unique(_hashes(_grams(points, sizes)), return_inverse=True)
+        of_model, log = logs.column("_model").to_numpy(), logs.column("_log").to_numpy()
+        hashes = _hashes(_symbols(logs.column("_gram"), ORDER))
+
+        def values(k: int, of: np.ndarray) -> np.ndarray:
+            """Logarithms of the n-grams ``of``, all of which model k was asked for."""
+            there = np.flatnonzero(of_model == k)
+            there = there[np.argsort(hashes[there])]
+            return log[there][np.searchsorted(hashes[there], of)]
+
+        found = [_means(values(WHOLE, own)[which], sizes, sizes > 0)]
+        if "fold" in rest:
+            fold = _folds(texts.column("fold"), known)
+            of, unseen = np.repeat(fold, sizes), np.zeros(len(which))
+            for k in np.setdiff1d(fold[sizes > 0], [WHOLE]):
+                unseen[of == k] = values(k, own[which[of == k]])
+            found.append(_means(unseen[of != WHOLE], sizes, fold != WHOLE))
+        return pa.Table.from_arrays([*(texts.column(c) for c in rest), pa.array(sizes), *found], names=names)
+
+    schema = f"{plain}, n_chars_scored long" + "".join(f", {c} double" for c in names[len(rest) + 1 :])
+    return dealt.groupBy("_slice").cogroup(answers.groupBy("_slice")).applyInArrow(score, schema)
 
 
 def perplexities(docs: DataFrame, shared) -> DataFrame:
@@ -338,14 +378,6 @@ def perplexities(docs: DataFrame, shared) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     schema += ", n_chars_scored long" + "".join(f", {c} double" for c in names[len(rest) + 1 :])
 
-    def mean(values: np.ndarray, sizes: np.ndarray, there: np.ndarray) -> pa.Array:
-        """Perplexity of each text that is there; ``values`` are those of its characters, one text after the other."""
-        total, sizes = np.zeros(len(sizes)), np.where(there, sizes, 0)
-        filled = np.flatnonzero(sizes)
-        if len(filled):
-            total[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled])
-        return pa.array(np.exp(-total / np.maximum(sizes, 1)), mask=sizes == 0)
-
     def run(batches):
         models = _lookup(shared)
         for batch in batches:
@@ -354,17 +386,16 @@ def perplexities(docs: DataFrame, shared) -> DataFrame:
                 grams = _grams(points, sizes)
                 _, first, which = np.unique(_hashes(grams), return_index=True, return_inverse=True)
                 seen = grams[first]
-                found = [mean(models[WHOLE].logs(seen)[which], sizes, sizes > 0)]
+                found = [_means(models[WHOLE].logs(seen)[which], sizes, sizes > 0)]
                 if "fold" in rest:
-                    fold = pa.compute.fill_null(piece.column("fold"), WHOLE).to_numpy(zero_copy_only=False)
-                    fold = np.where(np.isin(fold, list(models)), fold, WHOLE)
+                    fold = _folds(piece.column("fold"), models)
                     of, values = np.repeat(fold, sizes), np.zeros(len(which))
                     for k in np.setdiff1d(fold, [WHOLE]):
                         own = np.flatnonzero(of == k)
                         some, inverse = np.unique(which[own], return_inverse=True)
                         values[own] = models[k].logs(seen[some])[inverse]
                     there = fold != WHOLE
-                    found.append(mean(values[of != WHOLE], sizes, there))
+                    found.append(_means(values[of != WHOLE], sizes, there))
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), pa.array(sizes), *found], names=names)
 
     return small_batches(docs).mapInArrow(run, schema)
