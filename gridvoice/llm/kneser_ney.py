@@ -303,15 +303,23 @@ def _joined_perplexities(docs: DataFrame, shared: Sharded) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in [*rest, "text"]), name], names=[*rest, "text", "_slice"])
 
     def ask(batches):
+        # what the present slice has asked for, per model
+        present, asked = None, {}
         for batch in batches:
             names = batch.column("_slice")
             for name in names.unique().to_pylist():
+                if name != present:
+                    present, asked = name, {}
                 own = batch.filter(pa.compute.equal(names, name))
                 fold = _folds(own.column("fold"), known) if "fold" in rest else np.full(own.num_rows, WHOLE)
                 for k in {WHOLE, *fold.tolist()}:
                     some = own if k == WHOLE else own.filter(pa.array(fold == k))
                     grams = _grams(*_code_points(some.column("text").to_pylist()))
-                    _, first = np.unique(_hashes(grams), return_index=True)
+                    hashes, first = np.unique(_hashes(grams), return_index=True)
+                    before = asked.get(k, np.zeros(0, np.uint64))
+                    new = np.isin(hashes, before, assume_unique=True, invert=True)
+                    asked[k] = np.concatenate([before, hashes[new]])
+                    first = first[new]
                     columns = [pa.array([name] * len(first), pa.string()), pa.array(np.full(len(first), k, np.int32)), _binary(grams[first])]
                     yield pa.RecordBatch.from_arrays(columns, names=["_slice", "_model", "_gram"])
 
