@@ -52,21 +52,26 @@ def outage_clusters(
 
     Distinct counts are not allowed on streams, so clients are first aggregated per
     window and then counted: two chained windowed aggregations.
+
+    Time goes on with all complaints, not only with open outages: their silence must end windows too. So the
+    others are not filtered (Spark moves a filter below the watermark) but merged to one group per window and département.
     """
-    outages = complaints.filter((F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & C.is_open()).withColumn(
-        "departement", clusters.known_departement()
+    outage = F.coalesce((F.col("type_reclamation") == "COUPURE_ELECTRIQUE") & C.is_open(), F.lit(False))
+    marked = (
+        complaints.withWatermark("date_creation", delay)
+        .withColumn("departement", clusters.known_departement())
+        .withColumn("_outage", outage)
+        .withColumn("_client", F.when(F.col("_outage"), F.col("client_id")))
     )
-    per_client = (
-        outages.withWatermark("date_creation", delay)
-        .groupBy(F.window("date_creation", clusters.WINDOW).alias("window"), "region", "departement", "client_id")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("date_creation").alias("_first"),
-            F.max("date_creation").alias("_last"),
-        )
+    per_client = marked.groupBy(
+        F.window("date_creation", clusters.WINDOW).alias("window"), "region", "departement", "_outage", "_client"
+    ).agg(
+        F.count_if("_outage").alias("_n"),
+        F.min(F.when(F.col("_outage"), F.col("date_creation"))).alias("_first"),
+        F.max(F.when(F.col("_outage"), F.col("date_creation"))).alias("_last"),
     )
     found = per_client.groupBy("window", "region", "departement").agg(
-        F.count(F.lit(1)).alias("nb_clients"),
+        F.count("_client").alias("nb_clients"),
         F.sum("_n").alias("nb_reclamations"),
         F.min("_first").alias("debut_incident"),
         F.max("_last").alias("fin_periode"),
