@@ -7,11 +7,13 @@ delivered again replaces its own rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridvoice.sources import readers
+from gridvoice.streaming.incidents import state_in_rocksdb
 
 #: A key is remembered this long after its first row: a day, and an hour of lateness.
 DELAY = "25 hours"
@@ -47,7 +49,8 @@ def report(complaints: DataFrame, path: str, checkpoint: str, delay: str = DELAY
     """Write the state of every row at its arrival to ``path``, a folder per batch and day."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()  # read several times, and all of it is needed for the state stores
+        # read several times, and all of it is needed for the state stores
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
             earlier = readers.optional_parquet(batch.sparkSession, path)
             if earlier is not None:
@@ -61,4 +64,6 @@ def report(complaints: DataFrame, path: str, checkpoint: str, delay: str = DELAY
             batch.unpersist()
 
     writer = arrivals(complaints, delay=delay).writeStream.outputMode("append").foreachBatch(apply)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    # a key for every client, type and day: more than a heap holds
+    with state_in_rocksdb(complaints.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -8,6 +8,7 @@ silence. The rules are those of ``clusters.match_open_incidents`` and ``clusters
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -148,12 +149,19 @@ def latest(changes: DataFrame) -> DataFrame:
     return last.withColumn("statut", F.when(F.col("date_fin_incident").isNotNull(), "RESOLU").otherwise("DETECTE"))
 
 
-def start(spark: SparkSession, changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the changes to Parquet; processes what is there and stops. The state store must be RocksDB for this operator."""
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their state in RocksDB, beside the heap and on disk."""
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        writer = changes.writeStream.format("parquet").outputMode("append").option("path", path)
-        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        yield
     finally:
         spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+def start(spark: SparkSession, changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the changes to Parquet; processes what is there and stops. The state store must be RocksDB for this operator."""
+    with state_in_rocksdb(spark):
+        writer = changes.writeStream.format("parquet").outputMode("append").option("path", path)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,6 +9,8 @@ import pytest
 
 from gridvoice.plans import registry
 from gridvoice.plans import streams  # noqa: F401  registers the queries
+from gridvoice.sources import scratch
+from gridvoice.streaming import incidents
 
 SMALLEST = Path("/root/testdata/sf0.001")
 
@@ -47,3 +49,12 @@ def test_incidents(spark, directory):
     matches(spark, directory, "j19_stream_incidents")
     found = registry.QUERIES["j19_stream_incidents"](spark, directory).collect()
     assert {r["statut"] for r in found} == {"RESOLU", "DETECTE"}
+
+
+def test_duplicates_on_arrival(spark, directory):
+    """Equal to the SQL; the state of the keys is beside the heap."""
+    folders = len(scratch._MADE)
+    matches(spark, directory, "st4_duplicates_on_arrival")
+    (root,) = [p for p in scratch._MADE[folders:] if "st4_arrivals" in p]
+    assert incidents.ROCKSDB in (Path(root) / "checkpoint/offsets/0").read_text()
+    assert spark.conf.get(incidents.PROVIDER) != incidents.ROCKSDB
