@@ -89,7 +89,17 @@ def _binary(grams: np.ndarray) -> pa.Array:
 
 
 def _symbols(grams: pa.ChunkedArray, order: int) -> np.ndarray:
-    return np.frombuffer(b"".join(grams.to_pylist()), "<u4").reshape(len(grams), order)
+    """The rows of symbols of n-grams of one order, without an object for each of them."""
+    parts = [np.zeros((0, order), np.uint32)]
+    for chunk in grams.cast(pa.large_binary()).chunks:
+        _, offsets, data = chunk.buffers()
+        if len(chunk) and data is not None:
+            ends = np.frombuffer(offsets, np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+            raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+            parts.append(np.frombuffer(raw.tobytes(), "<u4").reshape(len(chunk), order))
+        else:
+            parts.append(np.zeros((len(chunk), order), np.uint32))
+    return np.concatenate(parts)
 
 
 def gram_counts(trusted: DataFrame) -> DataFrame:
@@ -409,25 +419,27 @@ def perplexities(docs: DataFrame, shared) -> DataFrame:
     return small_batches(docs).mapInArrow(run, schema)
 
 
+def _gathered(frame: DataFrame, own_model: int, key: str, value: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and values of one model, order by order."""
+    rows = frame.filter(F.col("model") == own_model).select("order", key, value).toArrow()
+    tables = []
+    for order in range(1, ORDER + 1):
+        own = rows.filter(pa.compute.equal(rows.column("order"), order))
+        tables.append((_symbols(own.column(key), order - (key == "context")), own.column(value).to_numpy().copy()))
+    return tables
+
+
 def train(trusted: DataFrame):
     """The models of the trusted texts, ready for ``perplexities``: that of all, and with a column ``fold`` those without each fold."""
     p, backoff, symbols = model(kept(gram_counts(trusted), "grams"))
     p, backoff = kept(p, "probabilities"), kept(backoff, "backoffs")
     if (p.count() + backoff.count()) * ROW_BYTES > common.BROADCAST_BYTES:
         return Sharded(p, backoff, symbols)
-    columns = []
-    for frame, key in ((p, "gram"), (backoff, "context")):
-        # within the bound of a broadcast
-        rows = frame.toArrow()
-        of_model, of_order = (rows.column(c).to_numpy() for c in ("model", "order"))
-        tables = {}
-        for k in symbols:
-            for order in range(1, ORDER + 1):
-                own = rows.filter(pa.array((of_model == k) & (of_order == order)))
-                symbols_ = _symbols(own.column(key), order - (key == "context"))
-                tables.setdefault(k, []).append((symbols_, own.column(3).to_numpy()))
-        columns.append(tables)
-    models = {k: (n, columns[0][k], columns[1][k]) for k, n in symbols.items()}
+    models = {}
+    for k, n in symbols.items():
+        # within the bound of a broadcast, and of one model at a time what is gathered is held beside the arrays
+        models[k] = (n, _gathered(p, k, "gram", "p"), _gathered(backoff, k, "context", "backoff"))
+    pa.default_memory_pool().release_unused()
     return trusted.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, models))
 
 
@@ -457,6 +469,8 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
         ),
         "perplexity",
     )
+    if not isinstance(shared, Sharded):
+        shared.destroy()  # every text has its perplexity; else the driver holds the models as long as it runs
     bins = (
         scored.filter("trusted AND perplexity IS NOT NULL")
         .groupBy("lang", F.ceil(F.log(F.coalesce("unseen", "perplexity")) * settings.bins).alias("bin"))
