@@ -38,6 +38,19 @@ def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_BYTES) -> D
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+#: Rows of a side of a join that may be sent to all tasks, some tens of bytes each.
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_few(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFrame:
+    """Side of a join with a counted number of rows: hinted to be broadcast up to ``limit`` rows, shuffled and sorted beyond it.
+
+    Catalyst takes exploded rows for as small as the rows they were made of, and compressed files for as small as on disk. So it
+    would build tables of any size on the driver; the count decides instead.
+    """
+    return F.broadcast(df) if rows <= limit else df.hint("merge")
+
+
 def attach_group_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
     """Add per-group aggregates to every row (nulls in a key form a group)."""
     names = {k: f"_k_{k}" for k in keys}

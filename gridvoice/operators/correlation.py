@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridvoice.functions import columns as C
-from gridvoice.functions.skew import broadcast_if_small, left_join_heavy, nearest_point
+from gridvoice.functions.skew import broadcast_if_few, left_join_heavy, nearest_point
 from gridvoice.sources.scratch import materialise
 
 LOOK_BACK_DAYS = 180
@@ -206,6 +206,7 @@ def in_incident_zone(
     intervals that hold its day, so the match is an equality with a residual check. A node with more than ``hot`` incidents is cut into
     eight by eight parts: an incident whose box holds a whole part answers for all places in it without a comparison, and only
     those at the rim of a part are compared. The search runs on distinct places and times with semi joins: matching pairs are never produced.
+    Rows of nodes and parts are counted, and broadcast only if they are few.
     """
     side = CELL * half_side
     epoch = F.lit("1970-01-01").cast("date")
@@ -216,7 +217,13 @@ def in_incident_zone(
     )
     day = F.datediff("_at", epoch)
     per_node = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("_i"))
-    found = per_node.agg(F.sort_array(F.collect_set("_level")).alias("levels"), F.count_if(F.col("_i") > hot).alias("crowded")).first()
+    full = F.col("_i") > hot
+    found = per_node.agg(
+        F.sort_array(F.collect_set("_level")).alias("levels"),
+        F.count_if(full).alias("crowded"),
+        F.coalesce(F.sum(F.when(full, F.col("_i"))), F.lit(0)).alias("in_crowded"),
+        F.coalesce(F.sum(F.when(~full, F.col("_i"))), F.lit(0)).alias("in_others"),
+    ).first()
     some = found["crowded"] > 0
     asked = [F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("node")) for k in found["levels"] or [0]]
     looked = (
@@ -230,7 +237,7 @@ def in_incident_zone(
             F.col("_n.node").alias("_node"),
         )
     )
-    crowded = broadcast_if_small(materialise(per_node.filter(F.col("_i") > hot).select(*key), "crowded")) if some else None
+    crowded = broadcast_if_few(materialise(per_node.filter(full).select(*key), "crowded"), found["crowded"]) if some else None
 
     def kind(df: DataFrame, how: str) -> DataFrame:
         return df.join(crowded, key, how) if some else df
@@ -243,7 +250,7 @@ def in_incident_zone(
             & a["_at"].between(b["_start"], b["_end"])
         )
 
-    plain, known = kind(looked, "left_anti"), kind(nodes, "left_anti")
+    plain, known = kind(looked, "left_anti"), broadcast_if_few(kind(nodes, "left_anti"), found["in_others"])
     hits = plain.join(known, inside(plain, known, key), "left_semi").select(*place)
     if some:
         part = side / CUTS
@@ -263,9 +270,10 @@ def in_incident_zone(
         )
         spread = spread.withColumn("_whole", F.col("_within") & holds("_ilat", "_px") & holds("_ilon", "_py"))
         cut_key = [*key, "_px", "_py"]
-        whole = spread.filter("_whole").select(*cut_key).distinct()
+        at_most = found["in_crowded"] * (CUTS + 2) ** 2
+        whole = broadcast_if_few(spread.filter("_whole").select(*cut_key).distinct(), at_most)
         hits = hits.unionByName(cut.join(whole, cut_key, "left_semi").select(*place))
-        open_, rim = cut.join(whole, cut_key, "left_anti"), spread.filter("NOT _whole")
+        open_, rim = cut.join(whole, cut_key, "left_anti"), broadcast_if_few(spread.filter("NOT _whole"), at_most)
         hits = hits.unionByName(open_.join(rim, inside(open_, rim, cut_key), "left_semi").select(*place))
     hits = hits.distinct().withColumn("_hit", F.lit(True))
     same = (

@@ -148,6 +148,40 @@ def test_rows_of_an_incident_do_not_grow_with_its_age(spark):
     assert counts[2014] <= 9 * 6 * 6 and counts[2014] < 4 * counts[2023]
 
 
+def sides_sent_to_all(df, column):
+    """Build sides with an exploded column that semi joins of the plan send to all tasks."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName().startswith("BroadcastHashJoin") and ("LeftSemi" in node.simpleString(50) or "LeftAnti" in node.simpleString(50)):
+            found += [text for text in [children[1].treeString()] if "explode" in text and f"{column}#" in text]
+        todo += children
+    return found
+
+
+@pytest.mark.parametrize("n, hot, column, sent", [(4000, 100_000, "_node", False), (40, 100_000, "_node", True), (4000, 20, "_px", False)])
+def test_exploded_nodes_of_many_incidents_are_not_broadcast(spark, n, hot, column, sent):
+    lives = spark.range(n).select(
+        (F.col("id") % 100 / 10).alias("latitude"),
+        (F.col("id") % 77 / 10).alias("longitude"),
+        F.date_add(F.lit("2014-01-01").cast("date"), (F.col("id") % 900).cast("int")).alias("date_incident"),
+        F.lit(None).cast("date").alias("date_fin"),
+    )
+    complaints = spark.range(100).select(
+        "id",
+        (F.col("id") / 10).alias("latitude"),
+        (F.col("id") % 77 / 10).alias("longitude"),
+        F.timestamp_seconds(F.unix_timestamp(F.lit("2015-06-01 00:00:00")) + F.col("id") * 15_000).alias("date_creation"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = correlation.in_incident_zone(complaints, lives, "2024-01-01 00:00:00", hot=hot)
+        assert bool(sides_sent_to_all(got, column)) is sent
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_ten_year_old_incidents_in_one_cell(spark):
     """Twenty thousand open incidents and as many complaints share a cell or its neighbours."""
     old = spark.range(20_000).select(
