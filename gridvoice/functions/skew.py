@@ -179,25 +179,12 @@ def left_join_heavy(
     return split.filter("_heavy").select(*df.columns, *columns).unionByName(named).unionByName(nameless)
 
 
-def _pruned(pairs: DataFrame, site_cell: Sequence[str]) -> DataFrame:
-    """Pairs of cells of one size that can hold the nearest point of a place in the site cell.
-
-    A point cell can only do so if its closest corner is no farther than the farthest corner of the best one.
-    """
-    dx, dy = F.abs(F.col("_sx") - F.col("_px")), F.abs(F.col("_sy") - F.col("_py"))
-    near_x, near_y = F.greatest(dx - 1, F.lit(0)), F.greatest(dy - 1, F.lit(0))
-    bounded = pairs.withColumns(
-        {
-            "_lower": near_x * near_x + near_y * near_y,
-            "_upper": (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1),
-        }
-    )
-    best = F.min("_upper").over(W.partitionBy(*site_cell))
-    return bounded.withColumn("_best", best).filter(F.col("_lower") <= F.col("_best")).drop("_lower", "_upper", "_best")
-
-
-#: Times a crowded cell is cut into four by four.
-_CUTS = 3
+#: Sides of the cells that are compared, from coarse to fine, as powers of two of the finest one.
+_STEPS = (14, 12, 10, 9, 8, 6, 4, 2, 0)
+#: Step of a key whose places all see the same points.
+_WHOLE = 99
+#: Degrees by which rounding may move a place out of its cell.
+_SLACK = 1e-9
 
 
 def nearest_point(
@@ -207,73 +194,120 @@ def nearest_point(
     point_id: str,
     cell: float = 0.25,
     unit: float = 1.0,
-    crowded: int = 250_000,
+    crowded: int = 500,
+    busy: int = 4_000_000,
 ) -> DataFrame:
     """Nearest point of the same key for each distinct (key, latitude, longitude) site.
 
-    Both sides are put on a grid. Occupied cells are compared first, so that points are read only for cells that can hold the
-    nearest one. A pair of cells with more than ``crowded`` site-point pairs is searched coarse to fine: its cells are cut
-    and compared again, three times, before points are read. So the number of compared rows follows the
-    local density, not the size of the key group or of a crowded cell. Both inputs are evaluated once and written to the
+    Sites are compared with lists of points. A key with at most ``crowded`` points has one list, all of them. Otherwise both sides are
+    put on a grid, and occupied cells are compared from coarse to fine (sides of ``cell`` times 64 down to ``cell`` / 256): a
+    cell of sites keeps the cells of points that can hold the nearest one of any site in it, and is cut only while those hold more
+    than ``crowded`` points, or more than ``busy`` pairs with its sites. Of their points only those enter the list that can
+    be nearest. So no more than that is compared for a list, and what is written follows the number of sites, points and occupied
+    cells: compared pairs are aggregated where they arise. Both inputs are evaluated once and written to the
     shared folder. The distance is in degrees times ``unit``; ties in that unit go to the smallest ``point_id``.
     """
     keys = list(keys)
-    finest = cell / 4**_CUTS
-    both = [
+    side = cell / 2**8
+    sites, points = [
         materialise(
-            df.withColumns(
-                {"_fx": F.floor(F.col("latitude") / finest), "_fy": F.floor(F.col("longitude") / finest)}
-            ),
-            name,
+            df.withColumns({"_fx": F.floor(F.col("latitude") / side), "_fy": F.floor(F.col("longitude") / side)}), name
         )
         for df, name in ((sites, "sites"), (points.withColumnRenamed(point_id, "_id"), "points"))
     ]
-    sites, points = both[0], both[1].withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"})
-
-    def on_level(df: DataFrame, prefix: str, level: int) -> DataFrame:
-        """Cell of each row when the finest cells are joined ``level`` times."""
-        return df.withColumns(
-            {f"{prefix}x": F.shiftright("_fx", 2 * level), f"{prefix}y": F.shiftright("_fy", 2 * level)}
-        )
-
-    at_site, at_point = [*keys, "_sx", "_sy"], [*keys, "_px", "_py"]
+    points = points.withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"})
     number = F.count(F.lit(1))
-    site_cells = on_level(sites, "_s", _CUTS).groupBy(*at_site).agg(number.alias("_ns"))
-    point_cells = on_level(points, "_p", _CUTS).groupBy(*at_point).agg(number.alias("_np"))
-    pairs = materialise(_pruned(site_cells.join(point_cells, keys), at_site), "cells")
-    cells = [*at_site, "_px", "_py"]
-    is_crowded = F.col("_ns") * F.col("_np") > crowded
-
-    def compared(pairs_of: DataFrame, level: int) -> DataFrame:
-        dlat, dlon = F.col("latitude") - F.col("_plat"), F.col("longitude") - F.col("_plon")
-        return (
-            pairs_of.select(*cells)
-            .join(on_level(points, "_p", level).select(*at_point, "_id", "_plat", "_plon"), at_point)
-            .join(on_level(sites, "_s", level).select(*at_site, "latitude", "longitude"), at_site)
-            .select(*site, "_id", (F.sqrt(dlat * dlat + dlon * dlon) * unit).alias("_d"))
-        )
+    numbers = sites.groupBy(*keys).agg(number.alias("_ns")).join(points.groupBy(*keys).agg(number.alias("_np")), keys)
+    numbers = materialise(numbers, "numbers")
+    large = (F.col("_np") > crowded) | (F.col("_ns") * F.col("_np") > busy)
+    found = numbers.agg(number.alias("keys"), F.count_if(large).alias("large")).first()
+
+    tile, nothing = [*keys, "_step", "_sx", "_sy"], F.lit(0).cast("long")
+    whole = numbers.filter(~large).select(*keys)
+    steps = whole.withColumn("_steps", F.array(F.lit(_WHOLE)))
+    lists = points.join(broadcast_if_few(whole, found["keys"] - found["large"]), keys, "left_semi")
+    lists = lists.select(*keys, F.lit(_WHOLE).alias("_step"), nothing.alias("_sx"), nothing.alias("_sy"), "_plat", "_plon", "_id")
+    if found["large"]:
+        many = broadcast_if_few(numbers.filter(large).select(*keys), found["large"])
+        cells, reached = _lists(sites.join(many, keys, "left_semi"), points.join(many, keys, "left_semi"), keys, side, crowded, busy)
+        used = cells.groupBy(*keys).agg(F.collect_set("_step").alias("_steps"))
+        steps = materialise(steps.unionByName(used), "steps")
+        lists = lists.unionByName(reached)
+    lists = lists.hint("merge")
+
+    asked = sites.join(broadcast_if_few(steps, found["keys"]), keys).withColumn("_step", F.explode("_steps"))
+
+    def at(c: str) -> Column:
+        return F.when(F.col("_step") == _WHOLE, nothing).otherwise(F.call_function("shiftright", F.col(c), F.col("_step")))
+
+    asked = asked.select(*keys, "_step", at("_fx").alias("_sx"), at("_fy").alias("_sy"), "latitude", "longitude")
+    dlat, dlon = F.col("latitude") - F.col("_plat"), F.col("longitude") - F.col("_plon")
+    distance = F.sqrt(dlat * dlat + dlon * dlon) * unit
+    # Two passes over fixed-width values (hash aggregation, nothing sorted): the smallest distance of each site, then the smallest
+    # id at that distance. Both groupings keep the key of the join, so the pairs stay in their tasks.
+    site = [*tile, "latitude", "longitude"]
+    best = asked.join(lists, tile).groupBy(*site).agg(F.min(distance).alias("distance"))
+    at_best = best.join(lists, tile).filter(distance == F.col("distance"))
+    picked = at_best.groupBy(*site, "distance").agg(F.min("_id").alias(point_id))
+    return picked.select(*keys, "latitude", "longitude", "distance", point_id)
+
+
+def _lists(
+    sites: DataFrame, points: DataFrame, keys: list[str], side: float, crowded: int, busy: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cells of sites and the points that can be nearest to a site in them, both with (keys, ``_step``, ``_sx``, ``_sy``).
+
+    A cell of points can hold the nearest one only if its closest corner is no farther than the farthest corner of the best cell.
+    """
+    at_site, at_point = [*keys, "_sx", "_sy"], [*keys, "_px", "_py"]
 
-    site = [*keys, "latitude", "longitude"]
-    found = compared(pairs.filter(~is_crowded), _CUTS)
-    if not pairs.filter(is_crowded).isEmpty():
-        fine = pairs.filter(is_crowded).select(*cells)
-        for level in range(_CUTS - 1, -1, -1):
-            children = [
-                on_level(on_level(df, prefix, level + 1), child, level)
-                .select(*keys, f"{prefix}x", f"{prefix}y", f"{child}x", f"{child}y")
-                .distinct()
-                for df, prefix, child in ((sites, "_s", "_cs"), (points, "_p", "_cp"))
-            ]
-            cut = fine.join(children[0], at_site).join(children[1], at_point)
-            cut = cut.select(*keys, *[F.col(f"_c{c}").alias(f"_{c}") for c in ("sx", "sy", "px", "py")]).distinct()
-            fine = _pruned(cut, at_site)
-        found = found.unionByName(compared(materialise(fine, "cells"), 0))
-    # Two passes over fixed-width values (hash aggregation, nothing sorted): the
-    # smallest distance of each site, then the smallest id at that distance.
-    best = found.groupBy(*site).agg(F.min("_d").alias("distance"))
-    return (
-        found.join(best, site)
-        .filter(F.col("_d") == F.col("distance"))
-        .groupBy(*site, "distance")
-        .agg(F.min("_id").alias(point_id))
-    )
+    def on_step(df: DataFrame, prefix: str, step: int) -> DataFrame:
+        return df.withColumns({f"{prefix}x": F.shiftright("_fx", step), f"{prefix}y": F.shiftright("_fy", step)})
+
+    def counted(df: DataFrame, prefix: str, step: int, above: int | None) -> DataFrame:
+        """Rows per cell of a step, with the cell of the step above that holds it."""
+        parent = [] if above is None else [f"_{prefix}x", f"_{prefix}y"]
+        df = on_step(df, f"_c{prefix}", step)
+        df = df if above is None else on_step(df, f"_{prefix}", above)
+        return df.groupBy(*keys, *parent, f"_c{prefix}x", f"_c{prefix}y").agg(F.count(F.lit(1)).alias(f"_n{prefix}")).hint("merge")
+
+    cells, reached, undone = [], [], None
+    for above, step in zip((None, *_STEPS), _STEPS):
+        own, theirs = counted(sites, "s", step, above), counted(points, "p", step, above)
+        pairs = own.join(theirs, keys) if undone is None else undone.join(own, at_site).join(theirs, at_point)
+        pairs = pairs.select(*keys, *[F.col(f"_c{c}").alias(f"_{c}") for c in ("sx", "sy", "px", "py")], "_ns", "_np")
+        dx, dy = F.abs(F.col("_sx") - F.col("_px")), F.abs(F.col("_sy") - F.col("_py"))
+        near_x, near_y = F.greatest(dx - 1, F.lit(0)), F.greatest(dy - 1, F.lit(0))
+        lower, upper = near_x * near_x + near_y * near_y, (dx + 1) * (dx + 1) + (dy + 1) * (dy + 1)
+        best = pairs.groupBy(*at_site).agg(F.min(upper).alias("_best"))
+        kept = materialise(pairs.join(best.hint("merge"), at_site).filter(lower <= F.col("_best")).drop("_best"), "cells")
+        full = (F.sum("_np") > crowded) | (F.sum("_np") * F.max("_ns") > busy)
+        full = full & F.lit(step != _STEPS[-1])  # the finest cells are compared as they are
+        state = materialise(kept.groupBy(*at_site).agg(full.alias("_full")), "state")
+        count = state.agg(F.count_if("_full").alias("full"), F.count_if(~F.col("_full")).alias("done")).first()
+        kept = kept.select(*at_site, "_px", "_py")
+        if count["done"]:
+            done = kept.join(state.filter(~F.col("_full")).select(*at_site).hint("merge"), at_site)
+            cells.append(done.select(*keys, F.lit(step).alias("_step")))
+            near = _within_reach(done, on_step(points, "_p", step), at_site, at_point, side * 2**step)
+            reached.append(near.select(*keys, F.lit(step).alias("_step"), "_sx", "_sy", "_plat", "_plon", "_id"))
+        if not count["full"]:
+            break
+        undone = kept.join(state.filter("_full").select(*at_site).hint("merge"), at_site)
+    return reduce(DataFrame.unionByName, cells), reduce(DataFrame.unionByName, reached)
+
+
+def _within_reach(pairs: DataFrame, points: DataFrame, at_site: list[str], at_point: list[str], width: float) -> DataFrame:
+    """Points of the paired cells that come as near to the cell of sites as the farthest site in it may be from the best point."""
+    points = points.select(*at_point, "_plat", "_plon", "_id").hint("merge")
+
+    def span(p: str, c: str) -> tuple[Column, Column]:
+        """Least and greatest distance of a point to a cell along one axis."""
+        below, beyond = F.col(c) * width - F.col(p), F.col(p) - (F.col(c) + 1) * width
+        return F.greatest(below, beyond, F.lit(0.0)), F.greatest(-below, -beyond)
+
+    (near_x, far_x), (near_y, far_y) = span("_plat", "_sx"), span("_plon", "_sy")
+    nearest, farthest = F.sqrt(near_x * near_x + near_y * near_y), F.sqrt(far_x * far_x + far_y * far_y)
+    # the pairs learn the reach first: points beyond it are not shuffled to the lists
+    reach = pairs.join(points, at_point).groupBy(*at_site).agg(F.min(farthest).alias("_reach"))
+    return pairs.join(reach.hint("merge"), at_site).join(points, at_point).filter(nearest <= F.col("_reach") + _SLACK)

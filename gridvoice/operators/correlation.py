@@ -23,8 +23,8 @@ def link_nearest_incident(
     An incident counts from its day (midnight) to midnight ``days`` days later. The
     range becomes an equality on (region, day, exactly midnight) by listing the days
     an incident is active. The search runs once per distinct place of a region-day,
-    so copies and busy places cost nothing, and the grid search compares near
-    places only. Without a place, or without a placed incident, the smallest
+    so copies and busy places cost nothing, and compares a place only with the
+    incidents that can be nearest to its cell (``nearest_point``). Without a place, or without a placed incident, the smallest
     incident id of the region-day is taken and the distance is null.
     """
     keys = ["region", "_jour", "_minuit"]
@@ -47,10 +47,10 @@ def link_nearest_incident(
     sites = placed.filter(known).select(*keys, "latitude", "longitude").distinct()
     points = active.filter(known).groupBy(*keys, "latitude", "longitude").agg(F.min("id_incident").alias("id_incident"))
     nearest = nearest_point(sites, points, keys, "id_incident", cell, C.KM_PER_DEGREE)
-    anyone = active.groupBy(*keys).agg(F.min("id_incident").alias("_any"))
+    anyone = materialise(active.groupBy(*keys).agg(F.min("id_incident").alias("_any")), "anyone")
     return (
-        placed.join(nearest, [*keys, "latitude", "longitude"], "left")
-        .join(anyone, keys, "left")
+        placed.join(nearest.hint("merge"), [*keys, "latitude", "longitude"], "left")
+        .join(broadcast_if_few(anyone, anyone.count()), keys, "left")
         .select(
             *complaints.columns,
             F.coalesce("id_incident", "_any").alias("incident_lie"),

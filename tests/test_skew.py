@@ -63,6 +63,41 @@ def test_nearest_point_in_one_crowded_cell(spark):
         assert r.distance == pytest.approx(min(math.hypot(r.latitude - a, r.longitude - b) for a, b, _ in places))
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """Plans and numbers of rows of the intermediate tables that the search writes."""
+    tables, keep = [], skew.materialise
+
+    def noted(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        kept = keep(df, name)
+        tables.append((name, plan, kept.count()))
+        return kept
+
+    monkeypatch.setattr(skew, "materialise", noted)
+    return tables
+
+
+@pytest.mark.parametrize("limits", [{}, {"crowded": 30}, {"busy": 2_000}])
+def test_nearest_point_among_many_occupied_cells(spark, written, limits):
+    """Sites and points in some thousand cells of one key, and points that are far from all sites: no table holds all pairs of cells."""
+    rnd = random.Random(3)
+    sites = list({(0, round(rnd.uniform(-8, 8), 2), round(rnd.uniform(-8, 8), 2)) for _ in range(1200)})
+    sites += [(1, round(rnd.uniform(0, 1), 2), round(rnd.uniform(0, 1), 3)) for _ in range(60)]
+    points = {(rnd.uniform(-8, 8), rnd.uniform(-8, 8)) for _ in range(900)}
+    points = [(0, *p, i) for i, p in enumerate(sorted(points))]
+    points += [(1, 30 + rnd.random() / 50, 30 + rnd.random() / 50, i) for i in range(100)] + [(2, 0.0, 0.0, 7)]
+    s = spark.createDataFrame(sorted(set(sites)), "z int, latitude double, longitude double")
+    p = spark.createDataFrame(points, "z int, latitude double, longitude double, id int")
+    got = {(r.z, r.latitude, r.longitude): (r.distance, r.id) for r in skew.nearest_point(s, p, ["z"], "id", **limits).collect()}
+    assert len(got) == len(set(sites))
+    for z, lat, lon in set(sites):
+        dist, i = min((math.sqrt((lat - a) ** 2 + (lon - b) ** 2), i) for q, a, b, i in points if q == z)
+        assert got[z, lat, lon] == (pytest.approx(dist), i)
+    assert not [name for name, plan, _ in written if "Window" in plan]
+    assert max(rows for *_, rows in written) < 25 * len(points)
+
+
 def test_first_per_key_is_total_and_keeps_nulls(spark):
     df = spark.createDataFrame(
         [(1, "b", 2), (1, "a", 3), (1, None, 9), (2, "z", None), (None, "q", 1), (None, "p", 5)], "k int, o string, v int"
