@@ -98,6 +98,22 @@ def test_nearest_point_among_many_occupied_cells(spark, written, limits):
     assert max(rows for *_, rows in written) < 25 * len(points)
 
 
+def test_nearest_pick_by_region_sorts_no_pairs(spark, written):
+    """The query per region gives the sums of its links, and nothing on its way holds cells or pairs in sorted groups."""
+    from gridvoice.plans import links
+    from gridvoice.sources.conform import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    got = {r.region: (r.nb, r.nb_liees, r.distance_moyenne_km) for r in links.nearest_by_region(t).collect()}
+    assert written and not [name for name, plan, _ in written if "Window" in plan]
+    rows = correlation.link_nearest_incident(t.tickets, t.incidents).select("region", "incident_lie", "distance_incident_km").collect()
+    for region in {r.region for r in rows}:
+        own = [r for r in rows if r.region == region]
+        far = [r.distance_incident_km for r in own if r.distance_incident_km is not None]
+        linked = sum(r.incident_lie is not None for r in own)
+        assert got[region] == (len(own), linked, pytest.approx(sum(far) / len(far)) if far else None)
+
+
 def test_first_per_key_is_total_and_keeps_nulls(spark):
     df = spark.createDataFrame(
         [(1, "b", 2), (1, "a", 3), (1, None, 9), (2, "z", None), (None, "q", 1), (None, "p", 5)], "k int, o string, v int"
